@@ -81,3 +81,11 @@ def text_or_empty(c: str | Column = "text") -> Column:
 def space_words(text: Column) -> Column:
     """Words between ASCII white space, in order; an empty array for an empty text."""
     return F.filter(F.split(text, "[ \\t-\\r]+"), lambda w: w != "")
+
+
+def opaque(c: Column) -> Column:
+    """c, unchanged, as an expression that the optimizer neither copies into later steps nor evaluates twice.
+
+    A filter over a costly projection is otherwise pushed below it with every expression written out.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)

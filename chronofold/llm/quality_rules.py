@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import space_words, text_or_empty
+from chronofold.llm.common import opaque, space_words, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -94,17 +94,17 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed; one narrow pass."""
     t = text_or_empty(text)
     lines = F.regexp_extract_all(t, F.lit("[^\\n]*[^ \\t-\\r][^\\n]*"), F.lit(0))
-    out = docs.withColumn("_words", space_words(t)).withColumn("_lines", lines)
-    out = out.withColumn("_hashes", _repeat_words(F.col("_words")))
+    out = docs.withColumn("_words", opaque(space_words(t))).withColumn("_lines", opaque(lines))
+    out = out.withColumn("_hashes", opaque(_repeat_words(F.col("_words"))))
     twins = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    out = out.withColumn("_ranked", F.when(twins, _covered(F.col("_hashes"))))
+    out = out.withColumn("_ranked", opaque(F.when(twins, _covered(F.col("_hashes")))))
     out = out.withColumns({
         "n_words": F.size("_words").cast("long"),
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": F.coalesce(F.when(F.col("_ranked").isNotNull(), _union_of_spans(F.col("_ranked"))), F.lit(0).cast("long")),
+        "n_repeat_words": opaque(F.coalesce(F.when(F.col("_ranked").isNotNull(), _union_of_spans(F.col("_ranked"))), F.lit(0).cast("long"))),
     })
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed).drop("_words", "_lines", "_hashes", "_ranked")
