@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import quality_rules
+from chronofold.llm import quality_rules, token_counts
 from chronofold.llm.common import read
 
 
@@ -16,7 +16,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
