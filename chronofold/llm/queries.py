@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import quality_rules, simhash, token_counts
+from chronofold.llm import decontaminate, quality_rules, simhash, token_counts
 from chronofold.llm.common import read
 
 
@@ -27,10 +27,42 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 QUERIES = {
+    "op7_decontaminate": op7_decontaminate,
     "op5_simhash": op5_simhash,
     "op3_token_counts": op3_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+_OP7 = r"""
+WITH raw AS (
+  SELECT doc_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, list_aggregate(list_slice(w, s, s + 9), 'string_agg', ' ') AS win, least(len(w), 10) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM wins),
+spots AS (
+  SELECT doc_id, s, n, list_aggregate(list_slice(w, s, s + n - 1), 'string_agg', ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM raw, lens WHERE len(w) >= n)),
+hits AS (SELECT doc_id, s, spots.n, item_id FROM spots JOIN wins ON spots.win = wins.win AND spots.n = wins.n),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+SELECT raw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM raw LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_decontaminate": _OP7,
+}
