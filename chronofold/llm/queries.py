@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import decontaminate, quality_rules, simhash, token_counts
+from chronofold.llm import decontaminate, quality_rules, simhash, suffix_dedup, token_counts
 from chronofold.llm.common import read
 
 
@@ -33,7 +33,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.span_digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op5_simhash": op5_simhash,
     "op3_token_counts": op3_token_counts,
