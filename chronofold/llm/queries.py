@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import decontaminate, quality_rules, simhash, suffix_dedup, token_counts
+from chronofold.llm import archives, decontaminate, quality_rules, simhash, suffix_dedup, token_counts
 from chronofold.llm.common import read
 
 
@@ -33,11 +33,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op1_legacy_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archives.convert_pages(read(spark, sf_dir, "pages"))
+    return found.select(F.col("seq").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.span_digests(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_legacy_archives": op1_legacy_archives,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op5_simhash": op5_simhash,
