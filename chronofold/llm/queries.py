@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import archives, chat_format, decontaminate, quality_rules, simhash, suffix_dedup, token_counts
+from chronofold.llm import archives, chat_format, decontaminate, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts
 from chronofold.llm.common import read
 
 
@@ -42,6 +42,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.span_digests(read(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 #: The added conversation whose texts hold the template's own control strings.
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -55,6 +59,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_format": op9_chat_format,
     "op1_legacy_archives": op1_legacy_archives,
     "op2_suffix_dedup": op2_suffix_dedup,
