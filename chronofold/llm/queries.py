@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import archives, chat_format, decontaminate, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts
+from chronofold.llm import archives, chat_format, decontaminate, html_extract, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts
 from chronofold.llm.common import read
 
 
@@ -27,6 +27,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(read(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -59,6 +63,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_html_extraction": op6_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_format": op9_chat_format,
     "op1_legacy_archives": op1_legacy_archives,
