@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import archives, chat_format, decontaminate, html_extract, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts
+from chronofold.llm import archives, chat_format, decontaminate, html_extract, quality_classifier, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts
 from chronofold.llm.common import read
 
 
@@ -22,6 +22,20 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded and decoded again: piece count, digest of the comma-joined ids and of the decoded text."""
+    import public_tokenizers
+
+    pieces = sentence_pieces.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = sentence_pieces.encode_documents(read(spark, sf_dir, "documents"), pieces)
+    return sentence_pieces.decode_documents(encoded, pieces).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("text"), 256).alias("text_sha256"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -63,6 +77,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_sentence_pieces": op4_sentence_pieces,
     "op6_html_extraction": op6_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_format": op9_chat_format,
