@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -15,6 +17,17 @@ ASCII_SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _scratch: dict[str, list[str]] = {}
+_owner: contextvars.ContextVar[str] = contextvars.ContextVar("scratch owner", default="query")
+
+
+@contextlib.contextmanager
+def owned(owner: str):
+    """Scratch tables made inside belong to owner."""
+    token = _owner.set(owner)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,12 +52,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def scratch_path(spark: SparkSession, label: str, owner: str = "query") -> str:
+def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, removed by release(owner) or when the driver ends."""
     path = f"{shared_dir(spark)}/chronofold-{label}-{uuid.uuid4().hex}"
     if not _scratch:
         atexit.register(_release_all, spark)
-    _scratch.setdefault(owner, []).append(path)
+    _scratch.setdefault(_owner.get(), []).append(path)
     return path
 
 
@@ -62,9 +75,9 @@ def _release_all(spark: SparkSession) -> None:
         _scratch.clear()
 
 
-def materialize(df: DataFrame, label: str, owner: str = "query") -> DataFrame:
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """df as a written table in the shared folder: cuts its lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, label, owner)
+    path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

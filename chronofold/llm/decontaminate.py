@@ -123,12 +123,14 @@ def contamination(
     anchors = materialize(choose_anchors(windows, term_counts(docs, windows, key, text)), "anchors")
     index = build_index(docs, anchors, key, text)
     found = phrase_candidates(index, anchors, anchors.count())
-    by_doc = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "win", "items"))).alias("found"))
+    by_doc = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "win", "items"))).alias("_found"))
+    by_doc = by_doc.withColumnRenamed("doc", "_doc")
+    carried = dict.fromkeys([key, text, *extra])
+    joined = docs.select(*carried).join(by_doc.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_doc")), "left")
     body = text_or_empty(text)
-    joined = docs.select(F.col(key), *extra, body.alias("_body")).join(by_doc.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("doc")), "left")
-    joined = joined.withColumn("_words", opaque(F.when(F.col("found").isNotNull(), words_of(F.col("_body")))))
-    hits = F.filter("found", lambda c: F.slice("_words", c["start"] + 1, F.size(c["win"])) == c["win"])
-    joined = joined.withColumn("_hits", opaque(F.coalesce(F.when(F.col("found").isNotNull(), hits), F.expr("slice(found, 1, 0)"))))
+    joined = joined.withColumn("_words", opaque(F.when(F.col("_found").isNotNull(), words_of(body))))
+    hits = F.filter("_found", lambda c: F.slice("_words", c["start"] + 1, F.size(c["win"])) == c["win"])
+    joined = joined.withColumn("_hits", opaque(F.coalesce(F.when(F.col("_found").isNotNull(), hits), F.expr("slice(_found, 1, 0)"))))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
 
     def cover(acc: Column, c: Column) -> Column:
@@ -139,7 +141,7 @@ def contamination(
     n_hit = F.coalesce(F.aggregate("_hits", zero, cover)["n"], F.lit(0).cast("long"))
     ids = F.coalesce(F.sort_array(F.array_distinct(F.flatten(F.transform("_hits", lambda c: c["items"])))), F.array().cast("array<string>"))
     out = joined.select(
-        key, *extra, F.regexp_count("_body", F.lit(WORD)).cast("long").alias("n_words"), opaque(n_hit).alias("n_hit"), opaque(ids).alias("items")
+        key, *extra, F.regexp_count(body, F.lit(WORD)).cast("long").alias("n_words"), opaque(n_hit).alias("n_hit"), opaque(ids).alias("items")
     )
     return out.select(
         key, *extra, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")

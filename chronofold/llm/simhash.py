@@ -250,7 +250,12 @@ def near_duplicates(docs: DataFrame, most: int = 3, key: str = "doc_id", text: s
 
 
 def keep_representatives(docs: DataFrame, most: int = 3) -> DataFrame:
-    """One row of each near-duplicate group: the row of the smallest doc_id (one of them if rows repeat)."""
-    found = near_duplicates(docs, most).groupBy("component_id").agg(F.count(F.lit(1)).alias("_n"))
-    kept = docs.join(found.select(F.col("component_id").alias("_keep")).hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept
+    """One row of each near-duplicate group: the row of the smallest doc_id, one of them if rows repeat it."""
+    found = near_duplicates(docs, most)
+    chosen = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).select(F.col("component_id").alias("_keep"))
+    kept = docs.join(chosen.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_again"))
+    if not repeated.head(1):
+        return kept
+    again = kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("_again")), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("_again")), "left_anti").unionByName(again)
