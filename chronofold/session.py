@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_pinned: list[DataFrame] = []
+
 
 def get_session(app: str = "chronofold", cores: str | int | None = None, shuffle_partitions: int = 8) -> SparkSession:
     """The active session, or a local one with UTC time, AQE and Arrow switched on."""
@@ -27,3 +30,15 @@ def get_session(app: str = "chronofold", cores: str | int | None = None, shuffle
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; any path that Spark's readers open will do."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """df, computed once for all the branches of a plan that read it; lost parts are computed again. unpin() frees it."""
+    _pinned.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return df
+
+
+def unpin() -> None:
+    """Frees what pinned() holds."""
+    while _pinned:
+        _pinned.pop().unpersist()
