@@ -75,10 +75,23 @@ def _release_all(spark: SparkSession) -> None:
         _scratch.clear()
 
 
+@contextlib.contextmanager
+def clean_shuffles(spark: SparkSession):
+    """Shuffle files of the writes inside go when each write ends, not at some later garbage collection."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """df as a written table in the shared folder: cuts its lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    with clean_shuffles(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -23,7 +23,6 @@ hashes, and matches across segment ends are still found.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 import numpy as np
@@ -245,14 +244,12 @@ def _refine_groups(length: int, most: int = 2 << 20):
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, spans): byte spans [start, end) of each document that repeat earlier bytes; documents without any are absent."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
     counted = texts.select("text").mapInArrow(_gram_counts(length), "gram long, n long")
     repeated = counted.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     runs = texts.mapInArrow(_runs(length), f"gram long, digest long, key {kind}, start long, n int")
     shared = materialize(runs.join(repeated, "gram"), "runs")
-    _collect_garbage(spark)
 
     firsts = shared.groupBy("gram", "digest").agg(F.min(F.struct("key", "start", "n")).alias("f"), F.count(F.lit(1)).alias("copies"))
     firsts = materialize(firsts.select("gram", "digest", "f.*", "copies"), "first-runs")
@@ -266,7 +263,6 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
     wanted = mixed.groupBy("key").agg(F.collect_list(F.struct("gram", "digest", "start", "n")).alias("runs")).withColumnRenamed("key", "key0")
     carried = texts.join(wanted.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("key0"))).select("key", "text", "runs")
     pieces = materialize(carried.mapInArrow(_cut_runs(length), f"gram long, key {kind}, start long, piece binary"), "pieces")
-    _collect_garbage(spark)
     pieces = pieces.join(kinds, "gram")
     cold = pieces.where(F.col("kinds") <= HOT_RUNS).select("gram", "key", "start", "piece")
     cold = cold.repartition("gram").sortWithinPartitions("gram", "key", "start")
@@ -285,12 +281,6 @@ def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
     return later.select("key", "start", (F.col("start") + length).alias("end"))
 
 
-def _collect_garbage(spark) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def merge_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
     """Maximal runs of covered bytes, in order; touching spans are one run."""
     out: list[tuple[int, int]] = []
