@@ -7,7 +7,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 Predict = Callable[[np.ndarray], np.ndarray]
 
@@ -26,7 +26,7 @@ def positions(df: DataFrame, predict: Predict | None, pattern: str = "area_per_c
               add_log_area: bool = False, batch: int = 1024) -> DataFrame:
     """df with predicted columns: patterns are scaled by their maximum (or by their sum, with the log of the area appended). Rows at or below
     min_area, empty patterns and a missing model give NaN and never reach the model."""
-    schema = df.schema
+    schema = StructType(list(df.schema.fields))
     for n in names:
         schema = schema.add(n, DoubleType())
 
