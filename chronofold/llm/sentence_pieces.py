@@ -96,20 +96,23 @@ def _bit(i: Column) -> Column:
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(unit, n, edges): edges is an array of (worst, s, e, ends, inner, id, ch), best scores first.
+    """(unit, uses, n, edges): edges is an array of (worst, s, e, ends, inner, id, ch), best scores first.
 
     ends holds the bits of both ends, inner those between them; an edge without an id is a character that
     no piece covers.
     """
-    starts = units.select("unit", F.length("unit").alias("n")).select("unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
-    spans = starts.select("unit", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("s")))).alias("len"))
-    cut = spans.select("unit", "n", "s", (F.col("s") + F.col("len")).alias("e"), F.substring("unit", F.col("s") + 1, F.col("len")).alias("piece"))
+    # Dealt by unit before it is exploded: the edges, many times the units, are grouped where they are made.
+    parts = 4 * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = units.repartition(parts, "unit").select("unit", "uses", F.length("unit").alias("n"))
+    starts = dealt.select("unit", "uses", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
+    spans = starts.select("unit", "uses", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("s")))).alias("len"))
+    cut = spans.select("unit", "uses", "n", "s", (F.col("s") + F.col("len")).alias("e"), F.substring("unit", F.col("s") + 1, F.col("len")).alias("piece"))
     edges = cut.join(F.broadcast(pieces), "piece", "left").where("id is not null or e = s + 1")
     edge = F.struct(
         (-F.col("score")).alias("worst"), "s", "e", (_bit(F.col("s")).bitwiseOR(_bit(F.col("e")))).alias("ends"),
         (_bit(F.col("e")) - _bit(F.col("s") + 1)).alias("inner"), "id", F.when(F.col("id").isNull(), F.col("piece")).alias("ch"),
     )
-    return edges.groupBy("unit").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
+    return edges.groupBy("unit").agg(F.first("uses").alias("uses"), F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def merge_fold(edges: Column, n: Column) -> Column:
@@ -229,8 +232,7 @@ def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
     else:
         bits = merge_fold(F.col("edges"), F.col("n"))
     folded = folded.withColumn("bits", F.when(F.spark_partition_id() >= 0, bits))
-    done = folded.select("unit", _ids(F.col("edges"), F.col("bits"), pieces.first_byte, pieces.unk).alias("ids"))
-    short_done = done.join(short, "unit").select("unit", "uses", "ids")
+    short_done = folded.select("unit", "uses", _ids(F.col("edges"), F.col("bits"), pieces.first_byte, pieces.unk).alias("ids"))
     long_done = units.where(F.length("unit") > MAX_UNIT).mapInArrow(_fold_long_rows(pieces), "unit string, uses long, ids array<int>")
     return short_done.unionByName(long_done)
 
