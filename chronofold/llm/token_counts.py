@@ -63,10 +63,15 @@ def count_in_batches(tokenizer: str):
 
     def run(batches):
         encoder = load_encoder(tokenizer)
+        done: set[bytes] = set()  # of this task; a row that is there twice meets itself here
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            counts = [len(encoder.encode(t, allowed_special="all")) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
+            digests, counts = [], []
+            for digest, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist()):
+                if digest not in done:
+                    done.add(digest)
+                    digests.append(digest)
+                    counts.append(len(encoder.encode(text, allowed_special="all")))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
     return run
 
