@@ -318,6 +318,7 @@ def encode_documents(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text:
     hot = spark.sparkContext.broadcast(_hot_table(spark, table, hot_units))
     rare = texts.mapInArrow(_rare_units(hot), f"key {kind}, unit string")
     found = rare.join(table.select("unit", "ids"), "unit").groupBy("key").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
+    found = materialize(found, "rare-units")  # its shuffles go before the texts are shuffled
     shrunk = texts.mapInArrow(_shrunk, f"key {kind}, packed binary")
     joined = shrunk.join(found.withColumnRenamed("key", "key0").hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("key0")), "left")
     out = joined.select("key", "packed", "rare").mapInArrow(_assemble(hot), f"key {kind}, ids array<int>")
