@@ -94,11 +94,9 @@ def _fill(df, value, out, by, order, width, after):
     rows = with_bucket(df, width, order[0])
     dated = F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in order], F.col(value).alias("_value")))
     rows = carried(rows, {"_carry": (F.min if after else F.max)(dated)}, {"_carry": F.min if after else F.max}, by, backwards=after)
-    span = _rows(by, order)
-    if after:
-        local = F.first(dated, ignorenulls=True).over(span.rowsBetween(0, Window.unboundedFollowing))
-    else:
-        local = F.last(dated, ignorenulls=True).over(span.rowsBetween(Window.unboundedPreceding, 0))
+    # Backwards in reverse order: a frame that grows costs a row once, one that shrinks costs its whole rest for each row.
+    span = Window.partitionBy(*by, "_bucket").orderBy(*[F.col(c).desc() if after else F.col(c).asc() for c in order])
+    local = F.last(dated, ignorenulls=True).over(span.rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn(out, F.coalesce(local, F.col("_carry"))["_value"]).drop("_carry", "_bucket")
 
 
