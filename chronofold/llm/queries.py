@@ -12,7 +12,7 @@ from chronofold.llm.common import read
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_cascade(read(spark, sf_dir, "documents"))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
@@ -122,6 +122,36 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM t GROUP BY conv_id
 """
 
+_OP1 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+w AS (SELECT h, max(page_id) AS winner FROM p WHERE n >= 1000 GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN coalesce(winner, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN winner <> page_id THEN winner END AS refers_to
+FROM p LEFT JOIN w ON p.h = w.h
+"""
+
+_OP10 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+win AS (SELECT doc_id, s, list_slice(w, s, s + 4) AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS s FROM d WHERE len(w) >= 5)),
+again AS (SELECT doc_id, s FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS c FROM win) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(s, s + 5)) AS i FROM again) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+         len(regexp_extract_all(t, '!')) AS bangs, len(regexp_extract_all(t, '[A-Z]{3,}')) AS shouts
+  FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR n_symbols > 0.1 * n_words OR n_dup_lines > 0.5 * n_lines
+            OR word_chars < 2 * n_words OR word_chars > 25 * n_words OR bangs > 0.5 * n_words OR shouts > 0.5 * n_words) AS kept
+FROM m
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_legacy_archives": _OP1,
+    "op10_quality_rules": _OP10,
     "op7_decontaminate": _OP7,
 }
