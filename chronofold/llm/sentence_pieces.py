@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from chronofold.llm.common import materialize, text_or_empty
 
 SPACE = "▁"
-MAX_UNIT = 62
+#: One bit per boundary of a unit, and one more for their number, fit into a signed long.
+MAX_UNIT = 61
 HOT_UNITS = 1 << 19
 UNK_PENALTY = 10.0
 UNIT = rf"{SPACE}*[^{SPACE} \t\n]+|{SPACE}+|[ \t\n]"

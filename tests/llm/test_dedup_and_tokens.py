@@ -207,7 +207,7 @@ def test_pieces_match_the_library(spark, pieces):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     rng = random.Random(3)
     pool = [*"aeth inou  \n\t▁éß漢字日12.,!)\r\x0b", "the", "ing", "\U0001f600", " "]
-    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 50))) for _ in range(120)] + [None, "", "x" * 100 + " end"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 50))) for _ in range(120)] + [None, "", "x" * 100 + " end"] + ["theing" * 20][:1] + [("theing" * 20)[:n] for n in range(58, 66)]
     docs = spark.createDataFrame([*enumerate(texts), (None, "ab"), (0, texts[0])], "doc_id long, text string").withColumn("ids", F.lit("clash"))
     for hot in (0, 40, 1 << 19):
         encoded = sentence_pieces.encode_documents(docs, pieces, hot_units=hot)
