@@ -64,6 +64,11 @@ def pulse_counts(df: DataFrame, by: Sequence[str] = ("run_id", "channel"), key:
     )
 
 
+def channel_dimension(df: DataFrame, nominal: DataFrame, channel: str = "channel") -> DataFrame:
+    """The nominal channels and every other channel that df has; rows without a channel name none."""
+    return nominal.select(channel).union(df.select(channel).where(F.col(channel).isNotNull())).distinct()
+
+
 def dark_rate(df: DataFrame, channels: DataFrame, seconds: float, value: str = "area", channel: str = "channel") -> DataFrame:
     """Per channel of the dimension: n / T, sqrt(n) / T, mean and population deviation; a silent channel has rate 0 and no mean."""
     found = df.groupBy(channel).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("deviation"))

@@ -93,8 +93,9 @@ def se_gain_mode(spark, sf_dir):
 @query("dark_rate", f"""WITH {HITS_SQL}, c AS (SELECT i AS channel FROM range(0, 160) r(i)) SELECT c.channel, round(count(h.hit_id) / 2592000.0, 9) AS dark_rate, round(sqrt(count(h.hit_id)) / 2592000.0, 9) AS dark_rate_error,
 round(avg(h.area), 4) AS mean, round(stddev_pop(h.area), 4) AS deviation FROM c LEFT JOIN hits h ON h.channel = c.channel GROUP BY 1""")
 def dark_rate(spark, sf_dir):
-    channels = spark.range(160).select(F.col("id").alias("channel"))
-    d = mo.dark_rate(hits(spark, sf_dir), channels, 2592000.0)
+    h = hits(spark, sf_dir)
+    channels = mo.channel_dimension(h, spark.range(160).select(F.col("id").alias("channel")))
+    d = mo.dark_rate(h, channels, 2592000.0)
     return d.select("channel", F.round("dark_rate", 9).alias("dark_rate"), F.round("dark_rate_error", 9).alias("dark_rate_error"), F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"))
 
 
