@@ -25,7 +25,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm.common import materialize, text_or_empty
@@ -63,9 +63,10 @@ def fingerprint(text: str | None) -> int:
 
 
 def _fingerprints(batches):
+    """The last column, text, gives way to fp."""
     for batch in batches:
         values = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(values)], names=["key", "fp"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=[*batch.schema.names[:-1], "fp"])
 
 
 def popcount_segments(fp: np.ndarray) -> np.ndarray:
@@ -236,26 +237,44 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
 
 
+def _prints(docs: DataFrame, key: str, text: str, **more: Column) -> DataFrame:
+    """(key, *more, fp) of every row, stored."""
+    rows = docs.select(F.col(key).alias("key"), *[c.alias(name) for name, c in more.items()], text_or_empty(text).alias("text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return materialize(rows.mapInArrow(_fingerprints, f"{kinds}, fp long"), "fingerprints")
+
+
+def _classes(firsts: DataFrame, most: int) -> DataFrame:
+    """firsts (one row per fingerprint) with the root of each one's component."""
+    roots = components(near_links(firsts, most))
+    return firsts.join(roots, firsts.fp == roots.node, "left").select(*firsts.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, most: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fp, component_id) of every row; fp is the signed 64-bit fingerprint."""
-    prints = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
-    kind = prints.schema["key"].dataType.simpleString()
-    prints = materialize(prints.mapInArrow(_fingerprints, f"key {kind}, fp long"), "fingerprints")
-    firsts = prints.groupBy("fp").agg(F.min("key").alias("first_key"))
-    roots = components(near_links(firsts, most))
-    classes = firsts.join(roots, firsts.fp == roots.node, "left").select("fp", "first_key", F.coalesce("root", "fp").alias("root"))
+    prints = _prints(docs, key, text)
+    classes = _classes(prints.groupBy("fp").agg(F.min("key").alias("first_key")), most)
     names = classes.groupBy("root").agg(F.min("first_key").alias("component_id"))
     named = classes.join(names, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
 def keep_representatives(docs: DataFrame, most: int = 3) -> DataFrame:
-    """One row of each near-duplicate group: the row of the smallest doc_id, one of them if rows repeat it."""
-    found = near_duplicates(docs, most)
-    chosen = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).select(F.col("component_id").alias("_keep"))
-    kept = docs.join(chosen.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_again"))
+    """One row of each near-duplicate group: the row of the smallest doc_id (null ids last), of its texts the one of the
+    smallest digest, any one of the rows that repeat both.
+
+    An id and a text belong to one group only, so rows are chosen and met by both; an id alone may stand in several groups.
+    """
+    digest = F.md5(text_or_empty("text"))
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "digest")
+    prints = _prints(docs, "doc_id", "text", digest=digest)
+    firsts = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    chosen = _classes(firsts, most).groupBy("root").agg(F.min("first").alias("first"))
+    chosen = materialize(chosen.select(F.col("first")["key"].alias("_key"), F.col("first")["digest"].alias("_digest")), "representatives")
+    same = F.col("doc_id").eqNullSafe(F.col("_key")) & (digest == F.col("_digest"))
+    kept = docs.join(chosen.hint("shuffle_hash"), same, "left_semi")
+    repeated = prints.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("_key"), F.col("digest").alias("_digest"))
     if not repeated.head(1):
         return kept
-    again = kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("_again")), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("_again")), "left_anti").unionByName(again)
+    again = kept.join(repeated, same, "left_semi").withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    return kept.join(repeated, same, "left_anti").unionByName(again)

@@ -138,6 +138,16 @@ def test_near_duplicates_edges(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_whatever_its_id(spark):
+    one, two, three = "a b c d", "quite another text here", "and a third one that is unlike both"
+    keep = lambda rows: sorted((r.doc_id or -1, r.text) for r in simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert keep([(None, one), (None, two), (None, one), (4, three)]) == [(-1, one), (-1, two), (4, three)]
+    assert keep([(3, one), (3, two), (3, two)]) == [(3, one), (3, two)]
+    # The id of a group's duplicate is the representative of another group.
+    assert keep([(1, one), (2, one), (2, two), (5, two)]) == [(1, one), (2, two)]
+    assert keep([(None, one), (7, one), (None, None), (None, "")])[1:] == [(7, one)]
+
+
 def contaminated(text, items):
     low = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     w, hit, ids = low(text), set(), set()
