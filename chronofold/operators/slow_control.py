@@ -51,15 +51,36 @@ def average_every(df: DataFrame, n: int, value: str = "value", by: Sequence[str]
     return means.join(sizes, list(by)).where(F.col("bin") < bins).drop("_n")
 
 
-def interpolate_clock(pulses: DataFrame, syncs: DataFrame, key: str, truth: str = "truth", by: Sequence[str] = RUN, width: int = ordered.HOUR) -> DataFrame:
-    """(key, synced): the truth clock at each pulse, linear between the sync before (or at) and the next; null before the first and after the last."""
+def interpolate_clock(
+    pulses: DataFrame, syncs: DataFrame, key: str, truth: str = "truth", by: Sequence[str] = RUN, width: int = ordered.HOUR, extrapolate: bool = True
+) -> DataFrame:
+    """(key, synced): the truth clock at each pulse, linear between the sync before (or at) and the next.
+
+    Before the first and after the last sync of a run, the line of its two nearest syncs goes on; without extrapolate,
+    and in a run with a single sync time, it is null there.
+    """
     points = syncs.select(*by, "time", truth, F.col("time").alias("_id"))
+    cols = [truth]
+    if extrapolate:
+        points = points.groupBy(*by, "time").agg(F.max(truth).alias(truth)).withColumn("_id", F.col("time"))
+        points = ordered.previous_row(points, ["time", truth], by, ("time",), width)
+        points = ordered.next_row(points, ["time", truth], by, ("time",), width)
+        cols = [truth, "prev_time", f"prev_{truth}", "next_time", f"next_{truth}"]
     lean = pulses.select(*by, "time", key)
-    prev = nearest(lean, points, [truth], None, "before", False, by, key, "_id", width).select(key, "time", F.col("n_time").alias("t0"), F.col(f"n_{truth}").alias("g0"))
-    nxt = nearest(lean, points, [truth], None, "after", False, by, key, "_id", width).select(key, F.col("n_time").alias("t1"), F.col(f"n_{truth}").alias("g1"))
+    at = lambda side: [F.col("n_time").alias(f"t{side}"), *[F.col(f"n_{c}").alias(f"{c}{side}") for c in cols]]
+    prev = nearest(lean, points, cols, None, "before", False, by, key, "_id", width).select(key, "time", *at(0))
+    nxt = nearest(lean, points, cols, None, "after", False, by, key, "_id", width).select(key, *at(1))
     both = prev.join(nxt, key)
-    frac = F.try_divide((F.col("time") - F.col("t0")).cast("double"), (F.col("t1") - F.col("t0")).cast("double"))
-    line = F.col("g0") + F.when(F.col("t0") == F.col("t1"), F.lit(0)).otherwise((frac * (F.col("g1") - F.col("g0"))).cast("long"))
+    t0, g0, t1, g1 = (F.col(c) for c in ("t0", f"{truth}0", "t1", f"{truth}1"))
+    if extrapolate:
+        # After the last sync: from the one before it through the last. Before the first: from the first through its next.
+        late, early = t1.isNull(), t0.isNull()
+        t0, g0, t1, g1 = (
+            F.when(late, F.col("prev_time0")).when(early, t1).otherwise(t0), F.when(late, F.col(f"prev_{truth}0")).when(early, g1).otherwise(g0),
+            F.when(late, t0).when(early, F.col("next_time1")).otherwise(t1), F.when(late, g0).when(early, F.col(f"next_{truth}1")).otherwise(g1),
+        )
+    frac = F.try_divide((F.col("time") - t0).cast("double"), (t1 - t0).cast("double"))
+    line = g0 + F.when(t0 == t1, F.lit(0)).otherwise((frac * (g1 - g0)).cast("long"))
     return both.select(key, line.alias("synced"))
 
 

@@ -207,9 +207,23 @@ def scada_average_n(spark, sf_dir):
 SELECT q.hit_id, a.truth + CASE WHEN a.st = b.st THEN 0 ELSE CAST(trunc(((q.time - a.st) / CAST(b.st - a.st AS DOUBLE)) * (b.truth - a.truth)) AS BIGINT) END AS synced
 FROM q ASOF LEFT JOIN s a ON q.time >= a.st ASOF LEFT JOIN s b ON q.time <= b.st""")
 def gps_interpolate(spark, sf_dir):
+    return _synced(spark, sf_dir, extrapolate=False)
+
+
+def _synced(spark, sf_dir, extrapolate):
     h = hits(spark, sf_dir)
     s = h.where("type = 3").select("run_id", "time", (F.col("time") + 5000 + F.col("k")).alias("truth"))
-    return sc.interpolate_clock(h.where("type = 1"), s, "hit_id", width=WIDTH)
+    return sc.interpolate_clock(h.where("type = 1"), s, "hit_id", width=WIDTH, extrapolate=extrapolate)
+
+
+@query("gps_extrapolate", f"""WITH {HITS_SQL}, s AS (SELECT *, lag(st) OVER w AS pt, lag(truth) OVER w AS pg, lead(st) OVER w AS nt, lead(truth) OVER w AS ng
+FROM (SELECT time AS st, max(time + 5000 + k) AS truth FROM hits WHERE type = 3 GROUP BY 1) WINDOW w AS (ORDER BY st)), q AS (SELECT hit_id, time FROM hits WHERE type = 1),
+e AS (SELECT q.hit_id, q.time, CASE WHEN b.st IS NULL THEN a.pt WHEN a.st IS NULL THEN b.st ELSE a.st END AS t0, CASE WHEN b.st IS NULL THEN a.pg WHEN a.st IS NULL THEN b.truth ELSE a.truth END AS g0,
+CASE WHEN b.st IS NULL THEN a.st WHEN a.st IS NULL THEN b.nt ELSE b.st END AS t1, CASE WHEN b.st IS NULL THEN a.truth WHEN a.st IS NULL THEN b.ng ELSE b.truth END AS g1
+FROM q ASOF LEFT JOIN s a ON q.time >= a.st ASOF LEFT JOIN s b ON q.time <= b.st)
+SELECT hit_id, g0 + CASE WHEN t0 = t1 THEN 0 ELSE CAST(trunc(((time - t0) / CAST(t1 - t0 AS DOUBLE)) * (g1 - g0)) AS BIGINT) END AS synced FROM e""")
+def gps_extrapolate(spark, sf_dir):
+    return _synced(spark, sf_dir, extrapolate=True)
 
 
 @query("pulse_assemble", "SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1")
