@@ -7,7 +7,8 @@
 4. ``phrase_candidates`` takes the postings of the rarest term, subtracts its offset to get a start,
    and intersects with the offset-adjusted postings of the next rarest.
 5. ``contamination`` compares whole windows at the surviving starts and sums the words they cover.
-``proximity_matches`` answers from the same postings which documents hold both rare terms within a span.
+``near_passages`` answers from postings of its own which documents hold, within a span, the two rarest terms of a window
+among those that occur at all: a window with a word that no document has can be near one, though it is nowhere as a phrase.
 
 Test terms and windows are broadcast only if their measured number is within BROADCAST_ROWS; beyond it the
 same joins shuffle.
@@ -71,11 +72,19 @@ def term_counts(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text:
     return terms.join(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term", "left").select("term", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-def choose_anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """windows with their two rarest terms and their offsets: t1, o1, t2, o2 (t2 is null in one-word windows)."""
+def _ranked(windows: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """windows with win_id; (win_id, r): the terms of each, rarest first, as structs of n, term, off."""
     numbered = windows.withColumn("win_id", F.xxhash64(F.to_json("win")))
     spread = numbered.select("win_id", F.posexplode("win").alias("off", "term")).join(counts, "term")
-    ranked = spread.groupBy("win_id").agg(F.sort_array(F.collect_list(F.struct("n", "term", "off"))).alias("r"))
+    return numbered, spread.groupBy("win_id").agg(F.sort_array(F.collect_list(F.struct("n", "term", "off"))).alias("r"))
+
+
+def choose_anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """windows with their two rarest terms and their offsets: t1, o1, t2, o2 (t2 is null in one-word windows).
+
+    A window with a term that no document has matches nowhere as a phrase and is left out.
+    """
+    numbered, ranked = _ranked(windows, counts)
     first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
     picked = ranked.where(first["n"] > 0).select(
         "win_id", first["term"].alias("t1"), first["off"].alias("o1"), second["term"].alias("t2"), second["off"].alias("o2")
@@ -83,6 +92,15 @@ def choose_anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return numbered.join(picked, "win_id")
 
 
+def choose_pairs(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """(win_id, win, items, t1, t2): the two rarest terms among those that documents have; windows with fewer than two have none."""
+    numbered, ranked = _ranked(windows, counts)
+    # A term that a window repeats stands at several offsets; one is enough here.
+    seen = F.array_distinct(F.transform(F.filter("r", lambda x: x["n"] > 0), lambda x: x["term"]))
+    pairs = ranked.select("win_id", F.get(seen, F.lit(0)).alias("t1"), F.get(seen, F.lit(1)).alias("t2")).where("t2 is not null")
+    return numbered.join(pairs, "win_id")
+
+
 def build_index(docs: DataFrame, anchors: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The stored postings (term, doc, place) of all anchor terms."""
     terms = anchors.select(F.explode(F.array_compact(F.array("t1", "t2"))).alias("term")).distinct()
@@ -102,17 +120,39 @@ def phrase_candidates(index: DataFrame, anchors: DataFrame, n_anchors: int) -> D
     return two.unionByName(starts.where("t2 is null")).select("doc", "start", "win", "items").distinct()
 
 
-def proximity_matches(index: DataFrame, anchors: DataFrame, span: int = 20) -> DataFrame:
-    """(win_id, doc, distance): documents with both rarest terms of a window at most span words apart; the least distance.
+def _pair_distances(index: DataFrame, pairs: DataFrame, span: int) -> DataFrame:
+    """(t1, t2, doc, distance): documents with both terms of a pair at most span words apart; the least distance.
 
     Postings are met per band of span places, so a frequent pair in one long text is not crossed with itself.
     """
-    pairs = anchors.where("t2 is not null").select("win_id", "t1", "t2")
-    one = index.join(pairs, F.col("term") == F.col("t1")).select("win_id", "doc", F.col("place").alias("p1"), "t2")
+    one = index.join(pairs.select("t1", "t2"), F.col("term") == F.col("t1")).select("doc", F.col("place").alias("p1"), "t1", "t2")
     one = one.withColumn("band", F.explode(F.expr(f"sequence(p1 div {span} - 1, p1 div {span} + 1)")))
-    two = index.select(F.col("term").alias("t2"), "doc", F.col("place").alias("p2"), F.expr(f"place div {span}").alias("band"))
-    near = one.join(two, ["doc", "t2", "band"]).where((F.abs(F.col("p1") - F.col("p2")) <= span) & (F.col("p1") != F.col("p2")))
-    return near.groupBy("win_id", "doc").agg(F.min(F.abs(F.col("p1") - F.col("p2"))).alias("distance"))
+    two = index.select(F.col("term").alias("term2"), F.col("doc").alias("doc2"), F.col("place").alias("p2"), F.expr(f"place div {span}").alias("band2"))
+    meets = F.col("doc").eqNullSafe(F.col("doc2")) & (F.col("t2") == F.col("term2")) & (F.col("band") == F.col("band2"))
+    near = one.join(two, meets).where((F.abs(F.col("p1") - F.col("p2")) <= span) & (F.col("p1") != F.col("p2")))
+    return near.groupBy("t1", "t2", "doc").agg(F.min(F.abs(F.col("p1") - F.col("p2"))).alias("distance"))
+
+
+def proximity_matches(index: DataFrame, anchors: DataFrame, span: int = 20) -> DataFrame:
+    """(win_id, doc, distance): documents with both rare terms of a window at most span words apart; the least distance.
+
+    Windows that share their two terms (most neighbours do) are met once.
+    """
+    shared = anchors.where("t2 is not null").select("win_id", "t1", "t2")
+    return _pair_distances(index, shared.select("t1", "t2").distinct(), span).join(shared, ["t1", "t2"]).select("win_id", "doc", "distance")
+
+
+def near_passages(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW, span: int = 20, key: str = "doc_id", text: str = "text", item: str = "item_id"
+) -> DataFrame:
+    """(key, item, distance): documents with the two rarest terms of one of the item's windows at most span words apart, and the
+    least distance. Terms that no document has are passed over, so a passage with a changed word is found too."""
+    windows = materialize(benchmark_windows(items, size, item, text), "windows")
+    chosen = materialize(choose_pairs(windows, term_counts(docs, windows, key, text)), "pairs")
+    index = build_index(docs, chosen, key, text)
+    owners = chosen.select("t1", "t2", F.explode("items").alias("item")).distinct()
+    found = _pair_distances(index, chosen.select("t1", "t2").distinct(), span).join(owners, ["t1", "t2"])
+    return found.groupBy("doc", "item").agg(F.min("distance").alias("distance")).select(F.col("doc").alias(key), "item", "distance")
 
 
 def contamination(

@@ -51,6 +51,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op7_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity matches of op7: documents that hold the rare terms of a benchmark window close together."""
+    return decontaminate.near_passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op1_legacy_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = archives.convert_pages(read(spark, sf_dir, "pages"))
     return found.select(F.col("seq").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -84,6 +89,7 @@ QUERIES = {
     "op1_legacy_archives": op1_legacy_archives,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op7_proximity": op7_proximity,
     "op5_simhash": op5_simhash,
     "op3_token_counts": op3_token_counts,
     "op10_quality_rules": op10_quality_rules,

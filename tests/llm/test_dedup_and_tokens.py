@@ -189,6 +189,38 @@ def test_decontamination_is_native_and_finds_near_terms(spark):
     assert all(r.distance <= 20 for r in near)
 
 
+def test_near_passages(spark):
+    rng = random.Random(12)
+    # A changed word: delta and omega stand in no document.
+    items = [(1, "alpha beta gamma delta"), (2, "one"), (3, None), (4, "go go go go"), (7, "omega kappa sigma")] + [(10 + i, words(rng, 13, 90)) for i in range(5)]
+    docs = [(1, "alpha x x beta gamma"), (2, "alpha " + "x " * 50 + "beta"), (None, "Sigma, kappa"), (4, None), (5, "go go one")]
+    docs += [(20 + i, words(rng, 45, 90)) for i in range(12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    low = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+    count = {}
+    for w in [w for _, t in docs for w in low(t)]:
+        count[w] = count.get(w, 0) + 1
+    want = {}
+    for key, text in items:
+        b = low(text)
+        for win in [b[i : i + 10] for i in range(max(len(b) - 9, 1))]:
+            pair = sorted({w for w in win if w in count}, key=lambda w: (count[w], w))[:2]
+            for doc, body in docs if len(pair) == 2 else []:
+                w = low(body)
+                gaps = [abs(i - j) for i, x in enumerate(w) for j, y in enumerate(w) if x == pair[0] and y == pair[1] and abs(i - j) <= 20]
+                if gaps:
+                    want[doc, str(key)] = min([*gaps, want.get((doc, str(key)), 99)])
+    got = {(r.doc_id, r["item"]): r.distance for r in decontaminate.near_passages(frame, bench).collect()}
+    assert got == want and (1, "1") in got and got[None, "7"] == 1 and (2, "1") not in got
+    windows = decontaminate.benchmark_windows(bench)
+    pairs = decontaminate.choose_pairs(windows, decontaminate.term_counts(frame, windows))
+    assert 1 in {r.doc for r in decontaminate.proximity_matches(decontaminate.build_index(frame, pairs), pairs).collect()}
+    plan = decontaminate.near_passages(frame, bench)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Cartesian" not in plan
+    assert decontaminate.near_passages(frame.limit(0), bench).count() == decontaminate.near_passages(frame, bench.limit(0)).count() == 0
+
+
 def test_token_counts_and_cache(spark, tmp_path):
     from tokenizers import Tokenizer
 
