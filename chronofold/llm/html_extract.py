@@ -8,6 +8,9 @@ If a page marks its article (``article``, ``main``, ``role=main``, ``itemprop=ar
 weight and any text is a surge, so short articles stay whole; otherwise a surge needs SURGE characters, and
 the heaviest region is kept with the other regions in the same containers.
 
+A marked paragraph or heading runs to its end tag or the next block, a marked list item to its end tag or the next item of its
+list, and both end with their container; an article or main element is marked by full class names only.
+
 Defined cases: null and empty html give an empty text; unclosed elements end where their container does, and an opening
 article ends an unclosed menu or header; raw text (script, style, ...) without an end runs to the end of the page; comments and
 doctypes are dropped; ``<`` before anything but a tag is text; repeated rows are extracted one by one; an empty
@@ -40,6 +43,11 @@ RAW = frozenset("script style noscript template textarea title iframe svg math o
 BOILERPLATE = frozenset("nav footer aside form menu dialog button fieldset head".split())
 CONTAINERS = frozenset("html body div section article main nav header footer aside form menu dialog button fieldset ul ol dl table tbody thead tfoot tr td th blockquote figure details center head".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr address figcaption caption legend summary option".split())
+#: Blocks that end at the next block, and list items, which end at the next item of their list.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 pre caption legend summary option".split())
+ITEMS = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"])}
+#: An end tag of an item, address or figcaption does not reach beyond these.
+SCOPES = frozenset("html body ul ol menu dl table td th figure".split())
 #: Words in class and id names, and roles, that mark what is not article text.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs "
@@ -66,22 +74,37 @@ class _Open:
     boiler: bool
     article: int
     number: int
+    #: A marked paragraph, heading or item, or inside of one: its text makes no lines.
+    dropped: bool = False
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)}
 
 
-def _marked(attrs: dict[str, str]) -> bool:
+def _marked(attrs: dict[str, str], whole: bool = False) -> bool:
+    """Whether the element is marked as no article text; whole: by a full class name or id, not by a word of one."""
     if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
     for value in (attrs.get("class", ""), attrs.get("id", "")):
         for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
-            if any(t in MARKS or t.startswith(PREFIXES) for t in _TOKEN.findall(name)):
+            if name in MARKS if whole else any(t in MARKS or t.startswith(PREFIXES) for t in _TOKEN.findall(name)):
                 return True
     return "display:none" in attrs.get("style", "").replace(" ", "").lower()
 
 
+def _unclosed(stack: list[_Open]) -> int:
+    """Where the menus and headers begin that an opening article ends; a marked item goes only with the menu around it."""
+    first = at = len(stack)
+    items = False
+    while at > 1 and stack[at - 1].boiler and (stack[at - 1].name in ("nav", "header", "menu", "head", "ul", "form") or stack[at - 1].name in ITEMS):
+        at -= 1
+        items = items or stack[at].name in ITEMS
+        if not items or stack[at].name in ("nav", "header", "menu", "head"):
+            first, items = at, False
+    return first
+
+
 def page_lines(html: str) -> list[Line]:
     """The page's blocks in order; article numbers its article or main element (0: outside of any)."""
     lines: list[Line] = []
@@ -104,7 +127,7 @@ def page_lines(html: str) -> list[Line]:
         nonlocal linked, plain
         if chunks:
             body = _SPACE.sub(" ", "".join(chunks)).strip()
-            if body:
+            if body and not stack[-1].dropped:
                 top = stack[-1]
                 lines.append(Line(body, 0 if top.boiler or linked > plain else plain, top.boiler, top.article, top.number))
             chunks.clear()
@@ -136,32 +159,43 @@ def page_lines(html: str) -> list[Line]:
             continue
         flush()
         in_link = False
+        if stack[-1].dropped and stack[-1].name in LEAVES:
+            # It ends here, by its own end tag or by the next block; a stray end tag of another name is as good as one.
+            stack.pop()
+            if closing and name in LEAVES:
+                continue
         if closing:
-            if name in CONTAINERS:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name == name:
-                        del stack[i:]
-                        break
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name == name:
+                    del stack[i:]
+                    break
+                if name not in CONTAINERS and stack[i].name in SCOPES:
+                    break
             continue
+        if name in ITEMS:
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name in ITEMS[name]:
+                    del stack[i:]
+                    break
+                if stack[i].name in CONTAINERS and stack[i].name != "div":
+                    break
         attrs = _attributes(raw) if raw.strip() else {}
         main = name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
-        if main and not _marked(attrs):
-            while len(stack) > 1 and stack[-1].boiler and stack[-1].name in ("nav", "header", "menu", "head", "ul", "form"):
-                stack.pop()
+        marked = bool(attrs) and _marked(attrs, name in ("article", "main"))
+        if main and not marked:
+            del stack[_unclosed(stack) :]
         if name in CONTAINERS and not raw.rstrip().endswith("/"):
             top = stack[-1]
-            boiler = top.boiler or name in BOILERPLATE or (name == "header" and not top.article) or (name not in ("html", "body") and _marked(attrs))
+            boiler = top.boiler or name in BOILERPLATE or (name == "header" and not top.article) or (name not in ("html", "body") and marked)
             numbers += 1
             if main and not boiler and not top.article:
                 articles += 1
                 stack.append(_Open(name, False, articles, numbers))
             else:
-                stack.append(_Open(name, boiler, top.article, numbers))
-        elif name not in CONTAINERS and attrs and _marked(attrs):
-            # A marked paragraph or heading: a container of its own up to its end tag or the next block.
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
-            nxt = at if end is None else end.end()
-            at = nxt
+                stack.append(_Open(name, boiler, top.article, numbers, top.dropped))
+        elif name not in CONTAINERS and name != "hr" and marked and not raw.rstrip().endswith("/"):
+            numbers += 1
+            stack.append(_Open(name, True, stack[-1].article, numbers, True))
     flush()
     return lines
 

@@ -142,3 +142,24 @@ def test_html_edge_cases(spark):
 def test_surges_and_dives():
     assert html_extract.surge_and_dive([0, 5, 80, 0, 90, 0, 0, 0, 0, 70], 60) == [(1, 4), (9, 9)]
     assert html_extract.surge_and_dive([0, 0], 1) == []
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<article><p class=cookie-note>We use cookies<p>First paragraph.</p><p>Second.</article>", "First paragraph.\nSecond."),
+        ("<article><h2 class=share-title>Share this<p>First paragraph.</article>", "First paragraph."),
+        ("<nav><ul><li class=menu-item>A</ul></nav><article><p>Start.<ul><li>x</li><li>y</ul></article>", "Start.\nx\ny"),
+        ("<nav><ul><li class=menu-item>A<article><p>Start.</p></article>", "Start."),
+        ("<article><p>Text.</p><ol><li class=comment>One<ul><li>inner</li></ul>rest of it</li><li>kept</li></ol></article>", "Text.\nkept"),
+        ("<article><ul><li class=ad>A<li>b<li class=ad>C</ul>after</article>", "b\nafter"),
+        ("<article><dl><dt class=ad>A<dd>b<dd class=ad>C</dl>after</article>", "b\nafter"),
+        ("<article><p>Text.</p><ul><li class=comment><article><p>A comment that is longer than the text</p></article></li></ul></article>", "Text."),
+        ("<article><hr class=ad>Text.<p class=ad>Gone</p>More.</article>", "Text.\nMore."),
+        ("<article><address class=ad><p class=ad>A</address>Text.</article>", "Text."),
+        ("<main class='layout-with-sidebar'><p>Text.</p></main>", "Text."),
+        ("<article class=comment><p>A remark of some length</p></article><article><p>Text.</p></article>", "Text."),
+    ],
+)
+def test_marked_blocks_end_where_they_should(html, want):
+    assert html_extract.main_text(html) == want
