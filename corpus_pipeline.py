@@ -1,8 +1,8 @@
 """A corpus pipeline over five of the training-data operators.
 
 STAGES run in order, each on the written table of the stage before: quality rules drop rejected documents,
-SimHash keeps one document of each near-duplicate group, suffix-array dedup cuts repeated passages out of the
-texts, decontamination drops documents that hold benchmark windows, and SentencePiece encodes what is left. All
+SimHash keeps one document of each near-duplicate group (op5's: three-word shingles, 3 differing bits),
+suffix-array dedup cuts repeated passages out of the texts, decontamination drops documents that hold benchmark windows, and SentencePiece encodes what is left. All
 stages but the last return the columns of documents.
 """
 
