@@ -161,6 +161,7 @@ def wire_region(spark, sf_dir):
 q AS (SELECT p.vec_id, m.v, greatest(sqrt((p.a - m.a) ** 2 + (p.b - m.b) ** 2), 1e-6) AS d, row_number() OVER (PARTITION BY p.vec_id ORDER BY sqrt((p.a - m.a) ** 2 + (p.b - m.b) ** 2), m.vec_id) AS r FROM e p, e m WHERE m.vec_id < 100)
 SELECT vec_id, round(sum(v / d) / sum(1 / d), 6) AS value FROM q WHERE r <= 4 GROUP BY 1""")
 def idw_map(spark, sf_dir):
+    """All rows, looked up in a map of 100 points: they stand for a calibration map, whose size does not grow with the data."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("abv")])
     points = e.where("vec_id < 100").orderBy("vec_id").toPandas()
     m = numeric.NearestMap(points[["a", "b"]].to_numpy(), points["v"].to_numpy())
