@@ -69,21 +69,46 @@ def test_arc_versions_and_errors():
     body = b"HTTP/1.0 200 OK\r\nA: b\r\n\r\nhello"
     v1 = archives._filedesc(1, "f") + b"\n" + b"http://x 1.2.3.4 20010203040506 text/html %d\n" % len(body) + body + b"\n"
     v2 = archives._filedesc(2, "f") + b"\n" + b"dns:x 1.2.3.4 20010203040506 text/dns 200 - - 0 f 3\nabc\n"
-    one = [archives._converted(r) for r in archives.parse_arc(gzip.compress(v1[:200]) + gzip.compress(v1[200:]))]
+    converted = lambda raw: [archives._converted(r, "f", i) for i, r in enumerate(archives.parse_arc(raw))]
+    one = converted(gzip.compress(v1[:200]) + gzip.compress(v1[200:]))
     assert [r["kind"] for r in one] == ["warcinfo", "response"]
     assert one[1]["date"] == "2001-02-03T04:05:06Z" and one[1]["payload_digest"] == hashlib.sha1(b"hello").hexdigest()
-    assert [archives._converted(r)["kind"] for r in archives.parse_arc(v2)] == ["warcinfo", "resource"]
+    assert [r["kind"] for r in converted(v2)] == ["warcinfo", "resource"]
     with pytest.raises(archives.ArchiveError, match="cut short"):
         list(archives.parse_arc(v1[:-10]))
     with pytest.raises(archives.ArchiveError, match="fits no version"):
         list(archives.parse_arc(archives._filedesc(1, "f") + b"\nhttp://x 1.2.3.4 3\nabc\n"))
     with pytest.raises(archives.ArchiveError, match="no length"):
         list(archives.parse_arc(b"http://x 1.2.3.4 2001 text/html many\n"))
-    record = archives._warc_record(one[1] | {"revisited": None, "first_id": None, "first_url": None, "first_date": None})
+    record = archives._warc_record(one[1])
     assert base64.b32encode(hashlib.sha1(b"hello").digest()) in record
     assert next(archives.parse_warc(record + b"\r\n\r\n"))["block"] == body
 
 
+def test_archives_of_many_files_and_long_pages(spark, tmp_path, monkeypatch):
+    """Files end at their number of records, every record id is its own, revisits read back whole, the SQL twin agrees."""
+    import duckdb
+
+    from chronofold.llm import queries
+
+    monkeypatch.setattr(archives, "FILE_RECORDS", 5)
+    monkeypatch.setitem(archives.PACKED, "maxRecordsPerFile", 5)
+    long = "<p>" + "sö long " * 300_000
+    rows = [(i, f"http://h/{i}", ["x" * 1500, "y" * 999, long, f"own {i}"][i % 4]) for i in range(23)] + [(2, "http://h/2", long)] * 2 + [(2, "http://other", long), (22, "http://h/2", long), (None, None, long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    arc = archives.write_arc(pages, f"file://{tmp_path}/arc", version_by="2")
+    assert len(list((tmp_path / "arc").glob("*.gz"))) == 2 * 4
+    warc = archives.write_warc(spark, arc, f"file://{tmp_path}/warc")
+    records = archives.read_warc(spark, warc).collect()
+    assert len({r.record_id for r in records}) == len(records) == len(rows) + 8
+    assert {r.payload.decode() for r in records if r.record_type == "response"} == {h for _, _, h in rows}
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    got = [tuple(r) for r in queries.op1_legacy_archives(spark, str(tmp_path)).select(*names).collect()]
+    twin = queries.ORACLES["op1_legacy_archives"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(got, key=str) == sorted(duckdb.sql(f"SELECT {', '.join(names)} FROM ({twin})").fetchall(), key=str)
+
+
 def test_archives_empty(spark):
     assert archives.convert_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
