@@ -17,6 +17,8 @@ ASCII_SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _scratch: dict[str, list[str]] = {}
+#: Names of the scratch tables that the catalog knows, by path.
+_tables: dict[str, str] = {}
 _owner: contextvars.ContextVar[str] = contextvars.ContextVar("scratch owner", default="query")
 
 
@@ -47,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    if path in _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(path)}")
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -95,6 +99,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, label: str, column: str) -> DataFrame:
+    """df as a written table bucketed by column: a later join on it shuffles the other side only. Rows are written where they are."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    with clean_shuffles(spark):
+        writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column)
+        writer.option("path", path).option("compression", "zstd").saveAsTable(name)
+    _tables[path] = name
+    return spark.table(name)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, LOWER)

@@ -132,8 +132,8 @@ _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
 w AS (SELECT h, max(page_id) AS winner FROM p WHERE n >= 1000 GROUP BY h)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.h) AS payload_digest,
-       CASE WHEN coalesce(winner, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN winner <> page_id THEN winner END AS refers_to
+       CASE WHEN winner IS NULL OR page_id IS NOT DISTINCT FROM winner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM winner THEN winner END AS refers_to
 FROM p LEFT JOIN w ON p.h = w.h
 """
 

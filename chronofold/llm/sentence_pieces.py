@@ -1,23 +1,28 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text becomes units: its spaces turn into U+2581, one is put in front, and it is cut before every run of
-them and around white space that no piece holds. No piece crosses such a cut (``load_pieces`` checks the table),
-so a unit's pieces do not depend on its neighbours. Distinct units are encoded once:
-
-1. substrings of at most the longest piece's length are exploded,
-2. equi-joined to the piece table (bounded by the vocabulary, broadcast),
-3. grouped by unit into edges of its lattice,
-4. folded with the higher-order ``aggregate``: ``viterbi`` for unigram tables, ``merge`` for BPE tables, where
-   each step removes the boundary inside the best-scored edge that spans exactly two tokens. A best
-   path over BPE scores is not what a BPE model does, so Viterbi would give other pieces than the library.
+A text becomes units: its spaces turn into U+2581, one is put in front, and it is cut where no piece of the
+table reaches over: around white space, in front of every run of U+2581, and, if the table allows it (``load_pieces``
+looks), between letters, digits and signs. A unit's pieces do not depend on its neighbours, so distinct units are encoded once:
+
+1. documents are coded in blocks of about BLOCK_BYTES: a block stores its distinct units and, for each document,
+   their numbers; blocks are written once, bucketed by block,
+2. the distinct units of all blocks are numbered, their substrings of at most the longest piece's length exploded,
+3. equi-joined to the piece table (bounded by the vocabulary, broadcast),
+4. grouped by unit into the edges of its lattice,
+5. folded with the higher-order ``aggregate``: ``viterbi_fold`` for unigram tables, ``merge_fold`` for BPE tables. A best
+   path over BPE scores is not what a BPE model does, so Viterbi would give other pieces than the library,
+6. joined back to the blocks' units, and gathered per block into the documents' ids.
+
+``merge_fold`` visits each edge once, best piece first, and removes the boundary inside an edge that spans exactly two
+tokens. That is the library's repeated choice of the best pair if no piece is built by way of a worse one;
+``load_pieces`` builds every piece of the table to see that, and ``merge_steps`` repeats the choice for other tables.
 
 Lattices of up to MAX_UNIT characters keep their boundaries in one long; longer units are folded in Arrow
-batches by the same rules with a heap. Unit tables are stored; the commonest HOT_UNITS are broadcast, the others reach
-their documents by a join on the unit, so nothing broadcast grows with the corpus.
+batches by the same rules with a heap. No text and no block is shuffled, nothing that grows with the corpus is broadcast.
 
 Characters without a piece become byte pieces (or unk where a table has none). Defined cases: null texts are
-empty and have no pieces; repeated rows are encoded one by one; null ids are kept; equal ids share what they
-need of the unit table; an empty table gives an empty table; other columns are ignored.
+empty and have no pieces; repeated rows are encoded one by one; null and equal ids are kept; a text beyond
+BLOCK_BYTES is a block of its own; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,23 +33,29 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import materialize, text_or_empty
+from chronofold.llm.common import materialize, materialize_by, opaque, text_or_empty
 
 SPACE = "▁"
 #: One bit per boundary of a unit, and one more for their number, fit into a signed long.
 MAX_UNIT = 61
-HOT_UNITS = 1 << 19
 UNK_PENALTY = 10.0
-UNIT = rf"{SPACE}*[^{SPACE} \t\n]+|{SPACE}+|[ \t\n]"
-_UNIT = re.compile(UNIT)
+BLOCK_BYTES = 8 << 20
+#: Units that one task makes lattices of.
+TASK_UNITS = 20_000
+#: An edge as one long: place of its piece in the order of scores, start, end, id.
+ID_BITS, END_BITS = 20, 6
+NO_ID = (1 << ID_BITS) - 1
+#: White space, then either runs of anything else, or of letters (and whatever else is beyond U+00BF but for the signs of U+2000 to U+206F), one digit, and runs of signs.
+COARSE = rf"{SPACE}*[^{SPACE} \t\n]+|{SPACE}+|[ \t\n]"
+FINE = rf"{SPACE}*[A-Za-z\u00C0-\u1FFF\u2070-\u2580\u2582-\U0010FFFF]+|[0-9]|{SPACE}*[^{SPACE} \t\n0-9A-Za-z\u00C0-\u1FFF\u2070-\U0010FFFF]+|{SPACE}+|[ \t\n]"
 
 
 @dataclass
 class Pieces:
-    """A piece table: ids and scores of normal pieces, byte pieces by value, and how to fold."""
+    """A piece table: ids and scores of normal pieces, byte pieces by value, how to fold, and where texts may be cut."""
 
     ids: dict[str, int]
     scores: dict[str, float]
@@ -52,13 +63,19 @@ class Pieces:
     first_byte: int | None
     unk: int
     fold: str
+    units: str = COARSE
     longest: int = field(init=False)
+    #: Whether no piece is built by way of a piece of a worse score.
+    ordered: bool = field(init=False)
 
     def __post_init__(self):
         self.longest = max((len(p) for p in self.ids), default=1)
+        self.ordered = self.fold == "merge" and all(_in_order(p, self) for p in self.ids)
 
-    def rows(self) -> list[tuple[str, int, float]]:
-        return [(p, i, self.scores[p]) for p, i in self.ids.items()]
+    def rows(self) -> list[tuple[str, int, int, float]]:
+        """(piece, id, place, score), place 0 for the best score."""
+        place = {s: k for k, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        return [(p, i, place[self.scores[p]], self.scores[p]) for p, i in self.ids.items()]
 
 
 def load_pieces(model: str, fold: str = "merge") -> Pieces:
@@ -66,6 +83,8 @@ def load_pieces(model: str, fold: str = "merge") -> Pieces:
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    if sp.get_piece_size() >= NO_ID:
+        raise ValueError(f"a table of {NO_ID} pieces or more does not fit an edge")
     ids, scores, surface, first = {}, {}, [], None
     for i in range(sp.get_piece_size()):
         piece = sp.id_to_piece(i)
@@ -77,67 +96,92 @@ def load_pieces(model: str, fold: str = "merge") -> Pieces:
         else:
             ids[piece], scores[piece] = i, sp.get_score(i)
             surface.append(piece.replace(SPACE, " ").encode())
-    if any(re.search(rf"[^{SPACE}]{SPACE}|[ \t\n]", p) for p in ids):
+    whole = [u for u in (FINE, COARSE) if all(p.strip(SPACE) == "" or re.fullmatch(u, p) for p in ids)]
+    if not whole:
         raise ValueError("this table has pieces that cross unit boundaries")
-    return Pieces(ids, scores, surface, first, sp.unk_id(), fold)
+    return Pieces(ids, scores, surface, first, sp.unk_id(), fold, whole[0])
 
 
-def units_of(text: Column) -> Column:
+def units_of(text: str, pattern: str = COARSE) -> list[str]:
     """The units of a text, in order."""
-    spaced = F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
-    return F.when(text != "", F.regexp_extract_all(spaced, F.lit(UNIT), F.lit(0)))
+    return re.findall(pattern, SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def _bit(i: Column | int) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), i if isinstance(i, Column) else F.lit(i))
+
+
+def _low(x: Column, shift: int, bits: int) -> Column:
+    return F.call_function("shiftright", x, F.lit(shift)).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+
+def _start(x: Column) -> Column:
+    return _low(x, ID_BITS + END_BITS, END_BITS)
+
 
+def _end(x: Column) -> Column:
+    return _low(x, ID_BITS, END_BITS)
 
-def python_units(text: str) -> list[str]:
-    return _UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+def _ends(x: Column) -> Column:
+    """The bits of both ends of an edge."""
+    return _bit(_start(x)).bitwiseOR(_bit(_end(x)))
 
-def _bit(i: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), i)
 
+def _inner(x: Column) -> Column:
+    """The bits between them."""
+    return _bit(_end(x)) - _bit(_start(x) + 1)
 
-def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(unit, uses, n, edges): edges is an array of (worst, s, e, ends, inner, id, ch), best scores first.
 
-    ends holds the bits of both ends, inner those between them; an edge without an id is a character that
-    no piece covers.
-    """
+def lattice(units: DataFrame, pieces: DataFrame, longest: int, parts: int) -> DataFrame:
+    """(unit, n, edges, scores) for a table of (uid, unit): edges as sorted longs, best pieces first; an edge with NO_ID is a
+    character that no piece covers. scores are those of the edges by place of their piece."""
     # Dealt by unit before it is exploded: the edges, many times the units, are grouped where they are made.
-    parts = 4 * int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = units.repartition(parts, "unit").select("unit", "uses", F.length("unit").alias("n"))
-    starts = dealt.select("unit", "uses", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
-    spans = starts.select("unit", "uses", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("s")))).alias("len"))
-    cut = spans.select("unit", "uses", "n", "s", (F.col("s") + F.col("len")).alias("e"), F.substring("unit", F.col("s") + 1, F.col("len")).alias("piece"))
-    edges = cut.join(F.broadcast(pieces), "piece", "left").where("id is not null or e = s + 1")
-    edge = F.struct(
-        (-F.col("score")).alias("worst"), "s", "e", (_bit(F.col("s")).bitwiseOR(_bit(F.col("e")))).alias("ends"),
-        (_bit(F.col("e")) - _bit(F.col("s") + 1)).alias("inner"), "id", F.when(F.col("id").isNull(), F.col("piece")).alias("ch"),
-    )
-    return edges.groupBy("unit").agg(F.first("uses").alias("uses"), F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
+    dealt = units.repartition(parts, "uid").select("uid", "unit", F.length("unit").alias("n"))
+    starts = dealt.select("uid", "unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
+    spans = starts.select("uid", "unit", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("s")))).alias("len"))
+    cut = spans.select("uid", "unit", "s", "len", F.substring("unit", F.col("s") + 1, F.col("len")).alias("piece"))
+    edges = cut.join(F.broadcast(pieces), "piece", "left").where("id is not null or len = 1")
+    place = F.coalesce("place", F.lit((1 << 30) - 1)).cast("long")
+    shifted = lambda c, by: F.call_function("shiftleft", c.cast("long"), F.lit(by))
+    edge = shifted(place, ID_BITS + 2 * END_BITS) + shifted(F.col("s"), ID_BITS + END_BITS) + shifted(F.col("s") + F.col("len"), ID_BITS) + F.coalesce("id", F.lit(NO_ID))
+    grouped = edges.select("uid", "unit", edge.alias("edge")).groupBy("uid").agg(F.first("unit").alias("unit"), F.collect_list("edge").alias("edges"))
+    return grouped.select("unit", F.length("unit").alias("n"), opaque(F.sort_array("edges")).alias("edges"))
 
 
 def merge_fold(edges: Column, n: Column) -> Column:
-    """Boundaries, as bits, after all merges: each step takes the best edge over exactly two tokens."""
-    full = _bit(n + 1) - 1
+    """Boundaries, as bits, after all merges, each edge visited once: for tables whose pieces are built in order."""
+
+    def step(bits: Column, x: Column) -> Column:
+        two = (bits.bitwiseAND(_ends(x)) == _ends(x)) & (F.bit_count(bits.bitwiseAND(_inner(x))) == 1)
+        return F.when(two, bits - bits.bitwiseAND(_inner(x))).otherwise(bits)
+
+    return F.aggregate(edges, _bit(n + 1) - 1, step)
+
+
+def merge_steps(edges: Column, n: Column) -> Column:
+    """The same for any table: each step takes the best edge over exactly two tokens, wherever it stands in the order."""
 
     def step(bits: Column, _: Column) -> Column:
-        fits = F.filter(edges, lambda x: (bits.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(bits.bitwiseAND(x["inner"])) == 1))
-        return bits - F.coalesce(bits.bitwiseAND(F.get(fits, F.lit(0))["inner"]), F.lit(0).cast("long"))
+        fits = F.filter(edges, lambda x: (bits.bitwiseAND(_ends(x)) == _ends(x)) & (F.bit_count(bits.bitwiseAND(_inner(x))) == 1))
+        return bits - F.coalesce(bits.bitwiseAND(_inner(F.get(fits, F.lit(0)))), F.lit(0).cast("long"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), full, step)
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), _bit(n + 1) - 1, step)
 
 
-def viterbi_fold(edges: Column, n: Column, unknown: float) -> Column:
-    """Boundaries, as bits, of the best-scored path; a character without a piece scores ``unknown``."""
+def viterbi_fold(edges: Column, n: Column, scores: list[float], unknown: float) -> Column:
+    """Boundaries, as bits, of the best-scored path; a character without a piece scores ``unknown``. scores: by place."""
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(1).cast("long").alias("bits")))
+    table = F.array(*[F.lit(float(s)) for s in scores])
 
     def step(best: Column, i: Column) -> Column:
-        into = F.filter(edges, lambda x: x["e"] == i)
+        into = F.filter(edges, lambda x: _end(x) == i)
+        own = lambda x: F.coalesce(F.get(table, F.call_function("shiftright", x, F.lit(ID_BITS + 2 * END_BITS)).cast("int")), F.lit(unknown))
         paths = F.transform(
             into,
             lambda x: F.struct(
-                (F.get(best, x["s"])["score"] + F.when(x["id"].isNull(), F.lit(unknown)).otherwise(-x["worst"])).alias("score"),
-                F.get(best, x["s"])["bits"].bitwiseOR(_bit(i)).alias("bits"),
+                (F.get(best, _start(x))["score"] + own(x)).alias("score"),
+                F.get(best, _start(x))["bits"].bitwiseOR(_bit(i)).alias("bits"),
             ),
         )
         return F.concat(best, F.array(F.array_max(paths)))
@@ -145,20 +189,59 @@ def viterbi_fold(edges: Column, n: Column, unknown: float) -> Column:
     return F.get(F.aggregate(F.sequence(F.lit(1), n), start, step), n)["bits"]
 
 
-def _ids(edges: Column, bits: Column, first_byte: int | None, unk: int) -> Column:
-    taken = F.filter(edges, lambda x: (bits.bitwiseAND(x["ends"]) == x["ends"]) & (bits.bitwiseAND(x["inner"]) == 0))
-    ordered = F.sort_array(F.transform(taken, lambda x: F.struct(x["s"].alias("s"), x["id"].alias("id"), x["ch"].alias("ch"))))
+def _ids(edges: Column, bits: Column, unit: Column, first_byte: int | None, unk: int) -> Column:
+    taken = F.filter(edges, lambda x: (bits.bitwiseAND(_ends(x)) == _ends(x)) & (bits.bitwiseAND(_inner(x)) == 0))
+    ordered = F.sort_array(F.transform(taken, lambda x: x.bitwiseAND(F.lit((1 << ID_BITS + 2 * END_BITS) - 1))))
+    plain = F.transform(ordered, lambda x: _low(x, 0, ID_BITS))
 
     def own(x: Column) -> Column:
         if first_byte is None:
-            return F.array(F.coalesce(x["id"], F.lit(unk)))
-        code = F.hex(F.encode(x["ch"], "UTF-8"))
-        several = F.transform(
-            F.sequence(F.lit(1), F.octet_length(x["ch"])), lambda k: F.conv(F.substring(code, 2 * k - 1, F.lit(2)), 16, 10).cast("int") + first_byte
-        )
-        return F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(several)
+            return F.array(F.when(_low(x, 0, ID_BITS) == NO_ID, F.lit(unk)).otherwise(_low(x, 0, ID_BITS)))
+        char = F.encode(F.substring(unit, _start(x) + 1, F.lit(1)), "UTF-8")
+        several = F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda k: F.conv(F.substring(F.hex(char), 2 * k - 1, F.lit(2)), 16, 10).cast("int") + first_byte)
+        return F.when(_low(x, 0, ID_BITS) != NO_ID, F.array(_low(x, 0, ID_BITS))).otherwise(several)
+
+    return F.when(F.array_contains(plain, NO_ID), F.flatten(F.transform(ordered, own))).otherwise(plain)
 
-    return F.flatten(F.transform(ordered, own))
+
+def _merges(unit: str, pieces: Pieces):
+    """Start and end of every merge of a unit, by a heap, best piece first and leftmost of equals."""
+    n = len(unit)
+    right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+    alive = [True] * n
+    heap: list[tuple[float, int, int]] = []
+
+    def offer(s: int) -> None:
+        middle = right[s]
+        if middle < n and right[middle] - s <= pieces.longest:
+            score = pieces.scores.get(unit[s : right[middle]])
+            if score is not None:
+                heapq.heappush(heap, (-score, s, right[middle]))
+
+    for s in range(n - 1):
+        offer(s)
+    while heap:
+        worst, s, e = heapq.heappop(heap)
+        if not alive[s] or right[s] >= n or right[right[s]] != e:
+            continue
+        alive[right[s]] = False
+        right[s] = e
+        if e < n:
+            left[e] = s
+        yield worst, s, e
+        offer(s)
+        if left[s] >= 0:
+            offer(left[s])
+
+
+def _in_order(piece: str, pieces: Pieces) -> bool:
+    """Whether the merges of a piece on its own take pieces in the order of their scores, as far as it is built."""
+    last = -np.inf
+    for worst, _, _ in _merges(piece, pieces):
+        if worst < last:
+            return False
+        last = worst
+    return True
 
 
 def fold_long(unit: str, pieces: Pieces) -> list[int]:
@@ -177,32 +260,11 @@ def fold_long(unit: str, pieces: Pieces) -> list[int]:
             cuts.append(best[cuts[-1]][1])
         cuts.reverse()
     else:
-        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        alive = [True] * n
-        heap: list[tuple[float, int, int]] = []
-
-        def offer(s: int) -> None:
-            middle = right[s]
-            if middle < n and right[middle] - s <= pieces.longest:
-                score = pieces.scores.get(unit[s : right[middle]])
-                if score is not None:
-                    heapq.heappush(heap, (-score, s, right[middle]))
-
-        for s in range(n - 1):
-            offer(s)
-        while heap:
-            _, s, e = heapq.heappop(heap)
-            if not alive[s] or right[s] >= n or right[right[s]] != e:
-                continue
-            middle = right[s]
-            alive[middle] = False
-            right[s] = e
-            if e < n:
-                left[e] = s
-            offer(s)
-            if left[s] >= 0:
-                offer(left[s])
-        cuts = [s for s in range(n) if alive[s]] + [n]
+        ends = {s: s + 1 for s in range(n)}
+        for _, s, e in _merges(unit, pieces):
+            ends.pop(ends[s])
+            ends[s] = e
+        cuts = [*sorted(ends), n]
     out: list[int] = []
     for s, e in zip(cuts, cuts[1:]):
         known = pieces.ids.get(unit[s:e])
@@ -217,113 +279,109 @@ def _fold_long_rows(pieces: Pieces):
     def run(batches):
         for batch in batches:
             ids = [fold_long(u, pieces) for u in batch.column("unit").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("unit"), batch.column("uses"), pa.array(ids, pa.list_(pa.int32()))], names=["unit", "uses", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(ids, pa.list_(pa.int32()))], names=["unit", "ids"])
 
     return run
 
 
 def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, uses, ids) for a table of distinct (unit, uses)."""
-    spark = units.sparkSession
-    table = spark.createDataFrame(pieces.rows(), "piece string, id int, score double")
-    short = units.where(F.length("unit") <= MAX_UNIT)
-    folded = lattice(short, table, pieces.longest)
+    """(unit, ids) for a stored table of distinct units."""
+    table = units.sparkSession.createDataFrame(pieces.rows(), "piece string, id int, place int, score double").drop("score")
+    numbered = materialize(units.where(F.length("unit") <= MAX_UNIT).select(F.monotonically_increasing_id().alias("uid"), "unit"), "numbered-units")
+    folded = lattice(numbered, table, pieces.longest, numbered.count() // TASK_UNITS + 1)
     if pieces.fold == "viterbi":
-        bits = viterbi_fold(F.col("edges"), F.col("n"), min(pieces.scores.values()) - UNK_PENALTY)
+        scores = sorted(set(pieces.scores.values()), reverse=True)
+        bits = viterbi_fold(F.col("edges"), F.col("n"), scores, scores[-1] - UNK_PENALTY)
     else:
-        bits = merge_fold(F.col("edges"), F.col("n"))
-    folded = folded.withColumn("bits", F.when(F.spark_partition_id() >= 0, bits))
-    short_done = folded.select("unit", "uses", _ids(F.col("edges"), F.col("bits"), pieces.first_byte, pieces.unk).alias("ids"))
-    long_done = units.where(F.length("unit") > MAX_UNIT).mapInArrow(_fold_long_rows(pieces), "unit string, uses long, ids array<int>")
+        bits = (merge_fold if pieces.ordered else merge_steps)(F.col("edges"), F.col("n"))
+    folded = folded.withColumn("bits", opaque(bits))
+    short_done = folded.select("unit", _ids(F.col("edges"), F.col("bits"), F.col("unit"), pieces.first_byte, pieces.unk).alias("ids"))
+    long_done = units.where(F.length("unit") > MAX_UNIT).mapInArrow(_fold_long_rows(pieces), "unit string, ids array<int>")
     return short_done.unionByName(long_done)
 
 
-def _hot_table(spark: SparkSession, table: DataFrame, most: int) -> dict[str, bytes]:
-    """The commonest units, at most ``most``, as one bounded table: those used at least as often as the least count that fits."""
-    level = F.floor(F.log2("uses") * 8).cast("int").alias("level")
-    sizes = sorted(table.groupBy(level).count().collect(), reverse=True)
-    least, total = None, 0
-    for row in sizes:
-        total += row["count"]
-        if total > most:
-            break
-        least = row["level"]
-    if least is None:
-        return {}
-    hot = table.where(F.floor(F.log2("uses") * 8).cast("int") >= least).select("unit", "ids").toArrow()
-    offsets = hot.column("ids").combine_chunks()
-    chunks = offsets.chunks if isinstance(offsets, pa.ChunkedArray) else [offsets]
-    out: dict[str, bytes] = {}
-    names = hot.column("unit").to_pylist()
-    at = 0
-    for c in chunks:
-        values, ends = c.values.to_numpy(zero_copy_only=False).astype("<i4"), c.offsets.to_numpy()
-        for k in range(len(c)):
-            out[names[at]] = values[ends[k] : ends[k + 1]].tobytes()
-            at += 1
-    return out
-
-
-def _rare_units(hot):
-    def run(batches):
-        known = hot.value
-        for batch in batches:
-            keys, rows, units = batch.column("key"), [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                rare = [u for u in set(python_units(text)) if u not in known]
-                units += rare
-                rows += [i] * len(rare)
-            yield pa.RecordBatch.from_arrays([keys.take(pa.array(rows, pa.int64())), pa.array(units, pa.string())], names=["key", "unit"])
-
-    return run
+def _planes(codes: np.ndarray) -> bytes:
+    """Numbers as four planes of bytes, which pack better than whole numbers."""
+    return codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _shrunk(batches):
-    import zstandard
+def _unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        packed = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(packed, pa.binary())], names=["key", "packed"])
 
+def _coded(pattern: str, most: int):
+    """(key, text) -> one row per block: its keys, the number of units of each text, all units' numbers, the distinct units."""
 
-def _assemble(hot):
     def run(batches):
-        import zstandard
-
-        known, unpacker = hot.value, zstandard.ZstdDecompressor()
+        from pyspark import TaskContext
+
+        find, number = re.compile(pattern).findall, TaskContext.get().partitionId() << 32
+
+        def block(keys, found, sizes):
+            distinct = pa.array(found, pa.string()).dictionary_encode()
+            codes = distinct.indices.to_numpy(zero_copy_only=False)
+            # The commonest units get the least numbers.
+            order = np.argsort(-np.bincount(codes, minlength=len(distinct.dictionary)), kind="stable")
+            rank = np.empty(len(order), dtype=np.int32)
+            rank[order] = np.arange(len(order))
+            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            cols = [pa.array([number], pa.int64()), one(keys), one(pa.array(sizes, pa.int32())), pa.array([_planes(rank[codes])], pa.binary()), one(distinct.dictionary.take(pa.array(order)))]
+            return pa.RecordBatch.from_arrays(cols, names=["block", "keys", "sizes", "codes", "units"])
+
+        keys, found, sizes, held = [], [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                encoded, sizes = [], [0]
-                own_units = part.column("rare").to_pylist()
-                for packed, rare in zip(part.column("packed").to_pylist(), own_units):
-                    own = {r["unit"]: np.array(r["ids"], dtype="<i4").tobytes() for r in rare or ()}
-                    text = unpacker.decompress(packed).decode("utf-8", "surrogatepass")
-                    data = b"".join([known[u] if u in known else own[u] for u in python_units(text)])
-                    encoded.append(data)
-                    sizes.append(sizes[-1] + len(data) // 4)
-                ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), dtype="<i4")))
-                yield pa.RecordBatch.from_arrays([part.column("key"), ids], names=["key", "ids"])
+            begin = 0
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                if text:
+                    own = find(SPACE + text.replace(" ", SPACE))
+                    found += own
+                    sizes.append(len(own))
+                    held += len(text)
+                else:
+                    sizes.append(0)
+                if held >= most:
+                    keys.append(batch.column("key").slice(begin, i + 1 - begin))
+                    yield block(pa.concat_arrays(keys), found, sizes)
+                    keys, found, sizes, held, begin, number = [], [], [], 0, i + 1, number + 1
+            keys.append(batch.column("key").slice(begin))
+        if sizes:
+            yield block(pa.concat_arrays(keys), found, sizes)
 
     return run
 
 
-def encode_documents(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: str = "text", hot_units: int = HOT_UNITS) -> DataFrame:
+def _gathered(batches):
+    """(keys, sizes, codes, known) -> one row per document; known lists the ids of the block's units by number."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1)
+            keys, sizes, known = (row.column(c).flatten() for c in ("keys", "sizes", "known"))
+            codes, number = _unplanes(row.column("codes")[0].as_py()), known.field("code").to_numpy()
+            lists = known.field("ids")
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            first, length = np.zeros(len(number), dtype=np.int64), np.zeros(len(number), dtype=np.int64)
+            first[number], length[number] = offsets[:-1], np.diff(offsets)
+            own = length[codes]
+            ends = np.cumsum(own)
+            ids = values[np.repeat(first[codes] - ends + own, own) + np.arange(ends[-1] if len(ends) else 0)]
+            bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes.to_numpy())])]
+            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], names=["key", "ids"])
+
+
+def encode_documents(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, ids) of every row: the piece ids that the model gives, without begin or end."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
-    units = texts.select(F.explode(units_of(F.col("text"))).alias("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("uses"))
-    table = materialize(encode_units(materialize(units, "units"), pieces), "unit-table")
-    hot = spark.sparkContext.broadcast(_hot_table(spark, table, hot_units))
-    rare = texts.mapInArrow(_rare_units(hot), f"key {kind}, unit string")
-    found = rare.join(table.select("unit", "ids"), "unit").groupBy("key").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
-    found = materialize(found, "rare-units")  # its shuffles go before the texts are shuffled
-    shrunk = texts.mapInArrow(_shrunk, f"key {kind}, packed binary")
-    joined = shrunk.join(found.withColumnRenamed("key", "key0").hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("key0")), "left")
-    out = joined.select("key", "packed", "rare").mapInArrow(_assemble(hot), f"key {kind}, ids array<int>")
-    return out.withColumnRenamed("key", key)
+    coded = texts.mapInArrow(_coded(pieces.units, block_bytes), f"block long, keys array<{kind}>, sizes array<int>, codes binary, units array<string>")
+    blocks = materialize_by(coded, "coded-blocks", "block")
+    distinct = materialize(blocks.select(F.explode("units").alias("unit")).distinct(), "units")
+    table = materialize(encode_units(distinct, pieces), "unit-table")
+    spread = blocks.select("block", F.posexplode("units").alias("code", "unit"))
+    known = spread.join(table.hint("shuffle_hash"), "unit").groupBy("block").agg(F.collect_list(F.struct("code", "ids")).alias("known"))
+    joined = blocks.select("block", "keys", "sizes", "codes").join(known, "block", "left")
+    nothing = F.array().cast("array<struct<code:int,ids:array<int>>>")
+    whole = joined.select("keys", "sizes", "codes", F.coalesce("known", nothing).alias("known"))
+    return whole.mapInArrow(_gathered, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def decode_ids(ids, pieces: Pieces) -> str:
@@ -333,16 +391,25 @@ def decode_ids(ids, pieces: Pieces) -> str:
 
 
 def _decoded(pieces: Pieces):
+    surface = pa.array(pieces.surface, pa.large_binary())
+
     def run(batches):
         for batch in batches:
-            texts = [decode_ids(x, pieces) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), pa.array(texts, pa.string())], names=["key", "ids", "text"])
+            ids = batch.column("ids")
+            # The taken surfaces of all rows stand behind one another in one buffer.
+            taken = surface.take(ids.flatten())
+            _, places, data = taken.buffers()
+            places, lengths = np.frombuffer(places, dtype=np.int64, count=len(taken) + 1), np.diff(ids.offsets.to_numpy())
+            bounds = places[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+            view = memoryview(data) if data is not None else memoryview(b"")
+            texts = [str(view[a + (view[a : a + 1] == b" ") : b], "utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), ids, pa.array(texts, pa.string())], names=["key", "ids", "text"])
 
     return run
 
 
 def decode_documents(encoded: DataFrame, pieces: Pieces, key: str = "doc_id") -> DataFrame:
     """(key, ids, text): the decoded text of every row of ids."""
-    rows = encoded.select(F.col(key).alias("key"), "ids")
+    rows = encoded.select(F.col(key).alias("key"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(_decoded(pieces), f"key {kind}, ids array<int>, text string").withColumnRenamed("key", key)

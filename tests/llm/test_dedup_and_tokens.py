@@ -251,8 +251,9 @@ def test_pieces_match_the_library(spark, pieces):
     pool = [*"aeth inou  \n\t▁éß漢字日12.,!)\r\x0b", "the", "ing", "\U0001f600", " "]
     texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 50))) for _ in range(120)] + [None, "", "x" * 100 + " end"] + ["theing" * 20][:1] + [("theing" * 20)[:n] for n in range(58, 66)]
     docs = spark.createDataFrame([*enumerate(texts), (None, "ab"), (0, texts[0])], "doc_id long, text string").withColumn("ids", F.lit("clash"))
-    for hot in (0, 40, 1 << 19):
-        encoded = sentence_pieces.encode_documents(docs, pieces, hot_units=hot)
+    assert pieces.ordered and pieces.units == sentence_pieces.FINE
+    for size in (1, 500, 1 << 23):
+        encoded = sentence_pieces.encode_documents(docs, pieces, block_bytes=size)
         rows = sentence_pieces.decode_documents(encoded, pieces).collect()
         assert len(rows) == len(texts) + 2
         for r in rows:
@@ -261,11 +262,41 @@ def test_pieces_match_the_library(spark, pieces):
     assert sentence_pieces.encode_documents(docs.limit(0), pieces).count() == 0
 
 
+def test_documents_through_viterbi_and_long_texts(spark, pieces):
+    """A unigram table from end to end, and a text of more than a block."""
+    scores = {"▁": -1.0, "a": -2.0, "b": -2.5, "ab": -2.2, "▁a": -3.1, "ba": -2.0, "▁ab": -9.0}
+    table = sentence_pieces.Pieces({p: i + 1 for i, p in enumerate(scores)}, scores, [b" \xe2\x81\x87 ", b" ", b"a", b"b", b"ab", b" a", b"ba", b" ab"], None, 0, "viterbi")
+    texts = ["abba ab", None, "", "aabab  a", "ab " * 40_000]
+    rows = sentence_pieces.decode_documents(sentence_pieces.encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), table, block_bytes=1000), table).collect()
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        assert list(r.ids) == [i for u in sentence_pieces.units_of(text) for i in sentence_pieces.fold_long(u, table)] and r.text == text
+    library = __import__("sentencepiece").SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    long = "Some würds, again 1234 ” and \u4e2d\u6587! " * 60_000
+    (row,) = sentence_pieces.encode_documents(spark.createDataFrame([(1, long)], "doc_id long, text string"), pieces).collect()
+    assert list(row.ids) == library.encode(long)
+
+
+def test_one_visit_of_each_edge_is_enough_for_ordered_tables(spark, pieces):
+    """Against the repeated choice of the best pair; and a table that is not ordered takes that."""
+    rng = random.Random(5)
+    units = ["▁" + "".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    table = spark.createDataFrame(pieces.rows(), "piece string, id int, place int, score double").drop("score")
+    edges = sentence_pieces.lattice(spark.createDataFrame(list(enumerate(units)), "uid long, unit string"), table, pieces.longest, 3)
+    both = [fold(F.col("edges"), F.col("n")) for fold in (sentence_pieces.merge_fold, sentence_pieces.merge_steps)]
+    assert edges.where(both[0] != both[1]).count() == 0 and edges.count() == len(units)
+    scores = {"▁": -9.0, "a": -9.0, "b": -9.0, "c": -9.0, "ab": -5.0, "abc": -1.0}
+    odd = sentence_pieces.Pieces({p: i for i, p in enumerate(scores)}, scores, [b""] * 6, None, 0, "merge")
+    assert not odd.ordered
+    got = sentence_pieces.encode_units(spark.createDataFrame([("▁abc",)], "unit string"), odd).first()
+    assert list(got.ids) == [0, 5] == sentence_pieces.fold_long("▁abc", odd)
+
+
 def test_viterbi_finds_the_best_path(spark):
     scores = {"▁": -1.0, "a": -2.0, "b": -2.5, "ab": -2.2, "▁a": -3.1, "ba": -2.0, "▁ab": -9.0}
     table = sentence_pieces.Pieces({p: i + 1 for i, p in enumerate(scores)}, scores, [b""] * 9, None, 0, "viterbi")
     units = ["▁abba", "▁ab", "▁", "▁aabab", "▁xb"]
-    got = {r.unit: list(r.ids) for r in sentence_pieces.encode_units(spark.createDataFrame([(u, 1) for u in units], "unit string, uses long"), table).collect()}
+    got = {r.unit: list(r.ids) for r in sentence_pieces.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), table).collect()}
     unknown = min(scores.values()) - sentence_pieces.UNK_PENALTY
     for u in units:
         best = max(
