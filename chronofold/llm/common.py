@@ -71,6 +71,15 @@ def release(spark: SparkSession, owner: str = "query") -> None:
         _delete(spark, path)
 
 
+def drop(table: DataFrame) -> None:
+    """Remove a materialized table that nothing reads any more."""
+    for path in {p.rsplit("/", 1)[0] for p in table.inputFiles()}:
+        for owned_paths in _scratch.values():
+            for mine in [x for x in owned_paths if path.endswith(x.rsplit("/", 1)[-1])]:
+                owned_paths.remove(mine)
+                _delete(table.sparkSession, mine)
+
+
 def _release_all(spark: SparkSession) -> None:
     try:
         for owner in list(_scratch):

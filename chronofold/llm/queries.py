@@ -27,8 +27,7 @@ def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     pieces = sentence_pieces.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = sentence_pieces.encode_documents(read(spark, sf_dir, "documents"), pieces)
-    return sentence_pieces.decode_documents(encoded, pieces).select(
+    return sentence_pieces.encode_documents(read(spark, sf_dir, "documents"), pieces, decode=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -4,14 +4,14 @@ A text becomes units: its spaces turn into U+2581, one is put in front, and it i
 table reaches over: around white space, in front of every run of U+2581, and, if the table allows it (``load_pieces``
 looks), between letters, digits and signs. A unit's pieces do not depend on its neighbours, so distinct units are encoded once:
 
-1. documents are coded in blocks of about BLOCK_BYTES: a block stores its distinct units and, for each document,
-   their numbers; blocks are written once, bucketed by block,
-2. the distinct units of all blocks are numbered, their substrings of at most the longest piece's length exploded,
+1. documents are coded in blocks of about BLOCK_BYTES: a block stores for each document the numbers of its units, and the units
+   that are new in its scope, which is the blocks of up to SCOPE_BYTES of one task; blocks are written once, bucketed by scope,
+2. the distinct units of all scopes are numbered, their substrings of at most the longest piece's length exploded,
 3. equi-joined to the piece table (bounded by the vocabulary, broadcast),
 4. grouped by unit into the edges of its lattice,
 5. folded with the higher-order ``aggregate``: ``viterbi_fold`` for unigram tables, ``merge_fold`` for BPE tables. A best
    path over BPE scores is not what a BPE model does, so Viterbi would give other pieces than the library,
-6. joined back to the blocks' units, and gathered per block into the documents' ids.
+6. joined back to the scopes' units, and gathered per block into the documents' ids.
 
 ``merge_fold`` visits each edge once, best piece first, and removes the boundary inside an edge that spans exactly two
 tokens. That is the library's repeated choice of the best pair if no piece is built by way of a worse one;
@@ -21,12 +21,13 @@ Lattices of up to MAX_UNIT characters keep their boundaries in one long; longer
 batches by the same rules with a heap. No text and no block is shuffled, nothing that grows with the corpus is broadcast.
 
 Characters without a piece become byte pieces (or unk where a table has none). Defined cases: null texts are
-empty and have no pieces; repeated rows are encoded one by one; null and equal ids are kept; a text beyond
-BLOCK_BYTES is a block of its own; an empty table gives an empty table; other columns are ignored.
+empty and have no pieces; repeated rows are encoded one by one; null and equal ids are kept; a text of more than
+BLOCK_BYTES ends a block; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import re
 from dataclasses import dataclass, field
@@ -36,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import materialize, materialize_by, opaque, text_or_empty
+from chronofold.llm.common import drop, materialize, materialize_by, opaque, text_or_empty
 
 SPACE = "▁"
 #: One bit per boundary of a unit, and one more for their number, fit into a signed long.
 MAX_UNIT = 61
 UNK_PENALTY = 10.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES, SCOPE_BYTES = 4 << 20, 64 << 20
+#: The scopes' units meet their ids in so many rounds; each stores its result and frees its shuffle files before the next.
+ROUNDS = 2
 #: Units that one task makes lattices of.
 TASK_UNITS = 20_000
 #: An edge as one long: place of its piece in the order of scores, start, end, id.
@@ -128,23 +131,36 @@ def _ends(x: Column) -> Column:
     return _bit(_start(x)).bitwiseOR(_bit(_end(x)))
 
 
-def _inner(x: Column) -> Column:
-    """The bits between them."""
-    return _bit(_end(x)) - _bit(_start(x) + 1)
+def _within(bits: Column, x: Column) -> Column:
+    """The boundaries from an edge's start to its end, both included."""
+    return bits.bitwiseAND(_bit(_end(x) + 1) - _bit(_start(x)))
+
+
+def _spans_two(bits: Column, x: Column) -> Column:
+    """Whether an edge spans exactly two tokens: both its ends are boundaries, and one place between them."""
+    return (_within(bits, x).bitwiseAND(_ends(x)) == _ends(x)) & (F.bit_count(_within(bits, x)) == 3)
+
+
+def _joined(bits: Column, x: Column) -> Column:
+    """The boundaries without those inside an edge."""
+    return (bits - _within(bits, x)).bitwiseOR(_ends(x))
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int, parts: int) -> DataFrame:
-    """(unit, n, edges, scores) for a table of (uid, unit): edges as sorted longs, best pieces first; an edge with NO_ID is a
-    character that no piece covers. scores are those of the edges by place of their piece."""
+    """(unit, n, edges) for a table of (uid, unit): edges as sorted longs, best pieces first; an edge with NO_ID is a
+    character that no piece covers."""
     # Dealt by unit before it is exploded: the edges, many times the units, are grouped where they are made.
     dealt = units.repartition(parts, "uid").select("uid", "unit", F.length("unit").alias("n"))
     starts = dealt.select("uid", "unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
     spans = starts.select("uid", "unit", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("s")))).alias("len"))
     cut = spans.select("uid", "unit", "s", "len", F.substring("unit", F.col("s") + 1, F.col("len")).alias("piece"))
-    edges = cut.join(F.broadcast(pieces), "piece", "left").where("id is not null or len = 1")
-    place = F.coalesce("place", F.lit((1 << 30) - 1)).cast("long")
+    # The join meets hashes, which are one word long, and then the pieces themselves; no two pieces of a table share a hash.
+    known = pieces.select(F.xxhash64("piece").alias("hash"), F.col("piece").alias("known"), "id", "place")
+    met = cut.withColumn("hash", F.xxhash64("piece")).join(F.broadcast(known), "hash", "left")
+    edges = met.withColumn("found", opaque(F.col("piece")) == F.col("known")).where("found or len = 1")
+    place = F.when(F.col("found"), F.col("place")).otherwise((1 << 30) - 1)
     shifted = lambda c, by: F.call_function("shiftleft", c.cast("long"), F.lit(by))
-    edge = shifted(place, ID_BITS + 2 * END_BITS) + shifted(F.col("s"), ID_BITS + END_BITS) + shifted(F.col("s") + F.col("len"), ID_BITS) + F.coalesce("id", F.lit(NO_ID))
+    edge = shifted(place, ID_BITS + 2 * END_BITS) + shifted(F.col("s"), ID_BITS + END_BITS) + shifted(F.col("s") + F.col("len"), ID_BITS) + F.when(F.col("found"), F.col("id")).otherwise(NO_ID)
     grouped = edges.select("uid", "unit", edge.alias("edge")).groupBy("uid").agg(F.first("unit").alias("unit"), F.collect_list("edge").alias("edges"))
     return grouped.select("unit", F.length("unit").alias("n"), opaque(F.sort_array("edges")).alias("edges"))
 
@@ -152,10 +168,7 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int, parts: int) -> Da
 def merge_fold(edges: Column, n: Column) -> Column:
     """Boundaries, as bits, after all merges, each edge visited once: for tables whose pieces are built in order."""
 
-    def step(bits: Column, x: Column) -> Column:
-        two = (bits.bitwiseAND(_ends(x)) == _ends(x)) & (F.bit_count(bits.bitwiseAND(_inner(x))) == 1)
-        return F.when(two, bits - bits.bitwiseAND(_inner(x))).otherwise(bits)
-
+    step = lambda bits, x: F.when(_spans_two(bits, x), _joined(bits, x)).otherwise(bits)
     return F.aggregate(edges, _bit(n + 1) - 1, step)
 
 
@@ -163,8 +176,8 @@ def merge_steps(edges: Column, n: Column) -> Column:
     """The same for any table: each step takes the best edge over exactly two tokens, wherever it stands in the order."""
 
     def step(bits: Column, _: Column) -> Column:
-        fits = F.filter(edges, lambda x: (bits.bitwiseAND(_ends(x)) == _ends(x)) & (F.bit_count(bits.bitwiseAND(_inner(x))) == 1))
-        return bits - F.coalesce(bits.bitwiseAND(_inner(F.get(fits, F.lit(0)))), F.lit(0).cast("long"))
+        best = F.get(F.filter(edges, lambda x: _spans_two(bits, x)), F.lit(0))
+        return F.when(best.isNull(), bits).otherwise(_joined(bits, best))
 
     return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), _bit(n + 1) - 1, step)
 
@@ -189,19 +202,22 @@ def viterbi_fold(edges: Column, n: Column, scores: list[float], unknown: float)
     return F.get(F.aggregate(F.sequence(F.lit(1), n), start, step), n)["bits"]
 
 
-def _ids(edges: Column, bits: Column, unit: Column, first_byte: int | None, unk: int) -> Column:
-    taken = F.filter(edges, lambda x: (bits.bitwiseAND(_ends(x)) == _ends(x)) & (bits.bitwiseAND(_inner(x)) == 0))
+def with_ids(folded: DataFrame, first_byte: int | None, unk: int) -> DataFrame:
+    """(unit, ids) of lattices with the boundaries of their tokens as bits."""
+    taken = F.filter("edges", lambda x: _within(F.col("bits"), x) == _ends(x))
     ordered = F.sort_array(F.transform(taken, lambda x: x.bitwiseAND(F.lit((1 << ID_BITS + 2 * END_BITS) - 1))))
-    plain = F.transform(ordered, lambda x: _low(x, 0, ID_BITS))
+    staged = folded.select("unit", opaque(ordered).alias("ordered"))
+    staged = staged.select("unit", "ordered", opaque(F.transform("ordered", lambda x: _low(x, 0, ID_BITS))).alias("plain"))
 
     def own(x: Column) -> Column:
         if first_byte is None:
             return F.array(F.when(_low(x, 0, ID_BITS) == NO_ID, F.lit(unk)).otherwise(_low(x, 0, ID_BITS)))
-        char = F.encode(F.substring(unit, _start(x) + 1, F.lit(1)), "UTF-8")
+        char = F.encode(F.substring("unit", _start(x) + 1, F.lit(1)), "UTF-8")
         several = F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda k: F.conv(F.substring(F.hex(char), 2 * k - 1, F.lit(2)), 16, 10).cast("int") + first_byte)
         return F.when(_low(x, 0, ID_BITS) != NO_ID, F.array(_low(x, 0, ID_BITS))).otherwise(several)
 
-    return F.when(F.array_contains(plain, NO_ID), F.flatten(F.transform(ordered, own))).otherwise(plain)
+    ids = F.when(F.array_contains("plain", NO_ID), F.flatten(F.transform("ordered", own))).otherwise(F.col("plain"))
+    return staged.select("unit", ids.alias("ids"))
 
 
 def _merges(unit: str, pieces: Pieces):
@@ -285,17 +301,15 @@ def _fold_long_rows(pieces: Pieces):
 
 
 def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, ids) for a stored table of distinct units."""
+    """(unit, ids) for a stored table of distinct (uid, unit)."""
     table = units.sparkSession.createDataFrame(pieces.rows(), "piece string, id int, place int, score double").drop("score")
-    numbered = materialize(units.where(F.length("unit") <= MAX_UNIT).select(F.monotonically_increasing_id().alias("uid"), "unit"), "numbered-units")
-    folded = lattice(numbered, table, pieces.longest, numbered.count() // TASK_UNITS + 1)
+    folded = lattice(units.where(F.length("unit") <= MAX_UNIT), table, pieces.longest, units.count() // TASK_UNITS + 1)
     if pieces.fold == "viterbi":
         scores = sorted(set(pieces.scores.values()), reverse=True)
         bits = viterbi_fold(F.col("edges"), F.col("n"), scores, scores[-1] - UNK_PENALTY)
     else:
         bits = (merge_fold if pieces.ordered else merge_steps)(F.col("edges"), F.col("n"))
-    folded = folded.withColumn("bits", opaque(bits))
-    short_done = folded.select("unit", _ids(F.col("edges"), F.col("bits"), F.col("unit"), pieces.first_byte, pieces.unk).alias("ids"))
+    short_done = with_ids(folded.select("unit", "edges", opaque(bits).alias("bits")), pieces.first_byte, pieces.unk)
     long_done = units.where(F.length("unit") > MAX_UNIT).mapInArrow(_fold_long_rows(pieces), "unit string, ids array<int>")
     return short_done.unionByName(long_done)
 
@@ -309,79 +323,132 @@ def _unplanes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
-def _coded(pattern: str, most: int):
-    """(key, text) -> one row per block: its keys, the number of units of each text, all units' numbers, the distinct units."""
+def _slices(batch: pa.RecordBatch, rows: int = 512):
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
-    def run(batches):
-        from pyspark import TaskContext
 
-        find, number = re.compile(pattern).findall, TaskContext.get().partitionId() << 32
+def _coded(pattern: str, block_bytes: int, scope_bytes: int):
+    """(key, text) -> one row per block: its keys, the number of units of each text, all units' numbers, the units that are new in
+    the scope, and the number of the first of them."""
 
-        def block(keys, found, sizes):
-            distinct = pa.array(found, pa.string()).dictionary_encode()
-            codes = distinct.indices.to_numpy(zero_copy_only=False)
-            # The commonest units get the least numbers.
-            order = np.argsort(-np.bincount(codes, minlength=len(distinct.dictionary)), kind="stable")
-            rank = np.empty(len(order), dtype=np.int32)
-            rank[order] = np.arange(len(order))
-            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            cols = [pa.array([number], pa.int64()), one(keys), one(pa.array(sizes, pa.int32())), pa.array([_planes(rank[codes])], pa.binary()), one(distinct.dictionary.take(pa.array(order)))]
-            return pa.RecordBatch.from_arrays(cols, names=["block", "keys", "sizes", "codes", "units"])
+    def run(batches):
+        from pyspark import TaskContext
 
-        keys, found, sizes, held = [], [], [], 0
-        for batch in batches:
-            begin = 0
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                if text:
-                    own = find(SPACE + text.replace(" ", SPACE))
-                    found += own
-                    sizes.append(len(own))
-                    held += len(text)
-                else:
-                    sizes.append(0)
-                if held >= most:
-                    keys.append(batch.column("key").slice(begin, i + 1 - begin))
-                    yield block(pa.concat_arrays(keys), found, sizes)
-                    keys, found, sizes, held, begin, number = [], [], [], 0, i + 1, number + 1
-            keys.append(batch.column("key").slice(begin))
+        find, scope = re.compile(pattern).findall, TaskContext.get().partitionId() << 32
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        known, spread = {}, 0
+        keys, codes, sizes, new, held = [], [], [], [], 0
+
+        def block():
+            cols = [
+                pa.array([scope], pa.int64()), one(pa.concat_arrays(keys)), one(pa.array(sizes, pa.int32())), pa.array([_planes(np.concatenate(codes))], pa.binary()),
+                pa.array([len(known) - len(new)], pa.int32()), one(pa.array(new, pa.string())),
+            ]
+            return pa.RecordBatch.from_arrays(cols, names=["scope", "keys", "sizes", "codes", "base", "units"])
+
+        # A few texts at a time, so a block ends soon after it is full and no list of words is long.
+        for part in (x for batch in batches for x in _slices(batch, 256)):
+            found = [find(SPACE + t.replace(" ", SPACE)) if t else [] for t in part.column("text").to_pylist()]
+            coded = pa.array([u for own in found for u in own], pa.string()).dictionary_encode()
+            here = coded.dictionary.to_pylist()
+            for unit in here:
+                if unit not in known:
+                    known[unit] = len(known)
+                    new.append(unit)
+            codes.append(np.fromiter(map(known.__getitem__, here), dtype=np.int32, count=len(here))[coded.indices.to_numpy(zero_copy_only=False)])
+            sizes += map(len, found)
+            keys.append(part.column("key"))
+            held += part.column("text").nbytes
+            if held >= block_bytes:
+                yield block()
+                spread += held
+                keys, codes, sizes, new, held = [], [], [], [], 0
+                if spread >= scope_bytes:
+                    known, spread, scope = {}, 0, scope + 1
         if sizes:
-            yield block(pa.concat_arrays(keys), found, sizes)
+            yield block()
 
     return run
 
 
-def _gathered(batches):
-    """(keys, sizes, codes, known) -> one row per document; known lists the ids of the block's units by number."""
+def _packed(batches):
+    """(scope, code, ids) sorted by scope -> one row per scope: numbers, lengths and ids behind one another."""
+    held, now = [], None
+
+    def row():
+        cols = [pa.array([now], pa.int64()), *[pa.array([_planes(np.concatenate(x))], pa.binary()) for x in zip(*held)]]
+        return pa.RecordBatch.from_arrays(cols, names=["scope", "codes", "sizes", "ids"])
+
     for batch in batches:
-        for at in range(batch.num_rows):
-            row = batch.slice(at, 1)
+        scope, code = batch.column("scope").to_numpy(), batch.column("code").to_numpy()
+        offsets, values = batch.column("ids").offsets.to_numpy(), batch.column("ids").values.to_numpy(zero_copy_only=False)
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(scope)) + 1, [len(scope)]])
+        for a, b in zip(edges, edges[1:]):
+            if a < b and scope[a] != now:
+                if held:
+                    yield row()
+                held, now = [], int(scope[a])
+            if a < b:
+                held.append((code[a:b], np.diff(offsets[a : b + 1]), values[offsets[a] : offsets[b]]))
+    if held:
+        yield row()
+
+
+def _gathered(texts_of, most: int = 1 << 18):
+    """(keys, sizes, codes, known) -> one row per document; known has the ids of the scope's units by number. Documents of about
+    ``most`` units are gathered together; texts_of decodes their ids if it is given."""
+
+    def run(batches):
+        for row in (x for batch in batches for x in _slices(batch, 1)):
             keys, sizes, known = (row.column(c).flatten() for c in ("keys", "sizes", "known"))
-            codes, number = _unplanes(row.column("codes")[0].as_py()), known.field("code").to_numpy()
-            lists = known.field("ids")
-            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            codes = _unplanes(row.column("codes")[0].as_py())
+            number, lengths, values = (np.concatenate([np.empty(0, np.int32), *map(_unplanes, known.field(c).to_pylist())]) for c in ("codes", "sizes", "ids"))
             first, length = np.zeros(len(number), dtype=np.int64), np.zeros(len(number), dtype=np.int64)
-            first[number], length[number] = offsets[:-1], np.diff(offsets)
-            own = length[codes]
-            ends = np.cumsum(own)
-            ids = values[np.repeat(first[codes] - ends + own, own) + np.arange(ends[-1] if len(ends) else 0)]
-            bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes.to_numpy())])]
-            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], names=["key", "ids"])
+            first[number], length[number] = np.cumsum(lengths) - lengths, lengths
+            units = np.concatenate([[0], np.cumsum(sizes.to_numpy())])
+            at = 0
+            while at < len(keys):
+                to = max(int(np.searchsorted(units, units[at] + most)), at + 1)
+                to = min(to, len(keys))
+                own = codes[units[at] : units[to]]
+                n = length[own]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                ids = values[np.repeat(first[own] - ends[:-1], n) + np.arange(ends[-1])]
+                bounds = ends[units[at : to + 1] - units[at]]
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+                more = {"text": texts_of(lists)} if texts_of else {}
+                yield pa.RecordBatch.from_arrays([keys.slice(at, to - at), lists, *more.values()], names=["key", "ids", *more])
+                at = to
+
+    return run
 
 
-def encode_documents(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(key, ids) of every row: the piece ids that the model gives, without begin or end."""
+def encode_documents(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, scope_bytes: int = SCOPE_BYTES, decode: bool = False) -> DataFrame:
+    """(key, ids) of every row: the piece ids that the model gives, without begin or end; with decode the text that the ids give, too."""
     texts = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
-    coded = texts.mapInArrow(_coded(pieces.units, block_bytes), f"block long, keys array<{kind}>, sizes array<int>, codes binary, units array<string>")
-    blocks = materialize_by(coded, "coded-blocks", "block")
-    distinct = materialize(blocks.select(F.explode("units").alias("unit")).distinct(), "units")
-    table = materialize(encode_units(distinct, pieces), "unit-table")
-    spread = blocks.select("block", F.posexplode("units").alias("code", "unit"))
-    known = spread.join(table.hint("shuffle_hash"), "unit").groupBy("block").agg(F.collect_list(F.struct("code", "ids")).alias("known"))
-    joined = blocks.select("block", "keys", "sizes", "codes").join(known, "block", "left")
-    nothing = F.array().cast("array<struct<code:int,ids:array<int>>>")
+    coded = texts.mapInArrow(
+        _coded(pieces.units, block_bytes, scope_bytes), f"scope long, keys array<{kind}>, sizes array<int>, codes binary, base int, units array<string>"
+    )
+    blocks = materialize_by(coded, "coded-blocks", "scope")
+    distinct = blocks.select(F.explode("units").alias("unit")).distinct()
+    numbered = materialize(distinct.select(F.monotonically_increasing_id().alias("uid"), "unit"), "units")
+    table = materialize(encode_units(numbered, pieces), "unit-table")
+    drop(numbered)
+    spread = blocks.select("scope", "base", F.posexplode("units").alias("at", "unit")).select("scope", (F.col("base") + F.col("at")).alias("code"), "unit")
+    rounds = []
+    for turn in range(ROUNDS):
+        mine = F.pmod(F.xxhash64("unit"), F.lit(ROUNDS)) == turn
+        met = spread.where(mine).join(table.where(mine).hint("shuffle_hash"), "unit").select("scope", "code", "ids").sortWithinPartitions("scope")
+        rounds.append(materialize(met.mapInArrow(_packed, "scope long, codes binary, sizes binary, ids binary"), "scope-ids"))
+    drop(table)
+    known = functools.reduce(DataFrame.unionByName, rounds).groupBy("scope").agg(F.collect_list(F.struct("codes", "sizes", "ids")).alias("known"))
+    joined = blocks.select("scope", "keys", "sizes", "codes").join(known, "scope", "left")
+    nothing = F.array().cast("array<struct<codes:binary,sizes:binary,ids:binary>>")
     whole = joined.select("keys", "sizes", "codes", F.coalesce("known", nothing).alias("known"))
-    return whole.mapInArrow(_gathered, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    out = whole.mapInArrow(_gathered(_decoder(pieces) if decode else None), f"key {kind}, ids array<int>" + ", text string" * decode)
+    return out.withColumnRenamed("key", key)
 
 
 def decode_ids(ids, pieces: Pieces) -> str:
@@ -390,20 +457,26 @@ def decode_ids(ids, pieces: Pieces) -> str:
     return data[1:] if data.startswith(" ") else data
 
 
-def _decoded(pieces: Pieces):
+def _decoder(pieces: Pieces):
+    """Lists of ids -> texts."""
     surface = pa.array(pieces.surface, pa.large_binary())
 
+    def texts_of(ids: pa.ListArray) -> pa.Array:
+        # The taken surfaces of all rows stand behind one another in one buffer.
+        taken = surface.take(ids.flatten())
+        _, places, data = taken.buffers()
+        places, lengths = np.frombuffer(places, dtype=np.int64, count=len(taken) + 1), np.diff(ids.offsets.to_numpy())
+        bounds = places[np.concatenate([[0], np.cumsum(lengths)])].tolist()
+        view = memoryview(data) if data is not None else memoryview(b"")
+        return pa.array([str(view[a + (view[a : a + 1] == b" ") : b], "utf-8", "replace") for a, b in zip(bounds, bounds[1:])], pa.string())
+
+    return texts_of
+
+
+def _decoded(texts_of):
     def run(batches):
-        for batch in batches:
-            ids = batch.column("ids")
-            # The taken surfaces of all rows stand behind one another in one buffer.
-            taken = surface.take(ids.flatten())
-            _, places, data = taken.buffers()
-            places, lengths = np.frombuffer(places, dtype=np.int64, count=len(taken) + 1), np.diff(ids.offsets.to_numpy())
-            bounds = places[np.concatenate([[0], np.cumsum(lengths)])].tolist()
-            view = memoryview(data) if data is not None else memoryview(b"")
-            texts = [str(view[a + (view[a : a + 1] == b" ") : b], "utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), ids, pa.array(texts, pa.string())], names=["key", "ids", "text"])
+        for batch in (x for whole in batches for x in _slices(whole)):
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), texts_of(batch.column("ids"))], names=["key", "ids", "text"])
 
     return run
 
@@ -412,4 +485,4 @@ def decode_documents(encoded: DataFrame, pieces: Pieces, key: str = "doc_id") ->
     """(key, ids, text): the decoded text of every row of ids."""
     rows = encoded.select(F.col(key).alias("key"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(_decoded(pieces), f"key {kind}, ids array<int>, text string").withColumnRenamed("key", key)
+    return rows.mapInArrow(_decoded(_decoder(pieces)), f"key {kind}, ids array<int>, text string").withColumnRenamed("key", key)

@@ -252,13 +252,15 @@ def test_pieces_match_the_library(spark, pieces):
     texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 50))) for _ in range(120)] + [None, "", "x" * 100 + " end"] + ["theing" * 20][:1] + [("theing" * 20)[:n] for n in range(58, 66)]
     docs = spark.createDataFrame([*enumerate(texts), (None, "ab"), (0, texts[0])], "doc_id long, text string").withColumn("ids", F.lit("clash"))
     assert pieces.ordered and pieces.units == sentence_pieces.FINE
-    for size in (1, 500, 1 << 23):
-        encoded = sentence_pieces.encode_documents(docs, pieces, block_bytes=size)
+    for size, scope in ((1, 1), (1, 1000), (500, 500), (1 << 23, 1 << 23)):
+        encoded = sentence_pieces.encode_documents(docs.repartition(2), pieces, block_bytes=size, scope_bytes=scope)
         rows = sentence_pieces.decode_documents(encoded, pieces).collect()
         assert len(rows) == len(texts) + 2
         for r in rows:
             text = "ab" if r.doc_id is None else texts[r.doc_id] or ""
             assert list(r.ids) == library.encode(text) and r.text == library.decode(list(r.ids))
+    both = sentence_pieces.encode_documents(docs, pieces, block_bytes=500, decode=True)
+    assert sorted(map(str, both.collect())) == sorted(map(str, rows))
     assert sentence_pieces.encode_documents(docs.limit(0), pieces).count() == 0
 
 
@@ -288,7 +290,7 @@ def test_one_visit_of_each_edge_is_enough_for_ordered_tables(spark, pieces):
     scores = {"▁": -9.0, "a": -9.0, "b": -9.0, "c": -9.0, "ab": -5.0, "abc": -1.0}
     odd = sentence_pieces.Pieces({p: i for i, p in enumerate(scores)}, scores, [b""] * 6, None, 0, "merge")
     assert not odd.ordered
-    got = sentence_pieces.encode_units(spark.createDataFrame([("▁abc",)], "unit string"), odd).first()
+    got = sentence_pieces.encode_units(spark.createDataFrame([(0, "▁abc")], "uid long, unit string"), odd).first()
     assert list(got.ids) == [0, 5] == sentence_pieces.fold_long("▁abc", odd)
 
 
@@ -296,7 +298,7 @@ def test_viterbi_finds_the_best_path(spark):
     scores = {"▁": -1.0, "a": -2.0, "b": -2.5, "ab": -2.2, "▁a": -3.1, "ba": -2.0, "▁ab": -9.0}
     table = sentence_pieces.Pieces({p: i + 1 for i, p in enumerate(scores)}, scores, [b""] * 9, None, 0, "viterbi")
     units = ["▁abba", "▁ab", "▁", "▁aabab", "▁xb"]
-    got = {r.unit: list(r.ids) for r in sentence_pieces.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), table).collect()}
+    got = {r.unit: list(r.ids) for r in sentence_pieces.encode_units(spark.createDataFrame(list(enumerate(units)), "uid long, unit string"), table).collect()}
     unknown = min(scores.values()) - sentence_pieces.UNK_PENALTY
     for u in units:
         best = max(
