@@ -88,12 +88,14 @@ def event_basics(
     )
 
 
-def attach_by_role(events: DataFrame, values: DataFrame, cols: Sequence[str], key: str = "hit_id", roles: Sequence[str] = ("s1", "s2", "alt_s1", "alt_s2")) -> DataFrame:
+def attach_by_role(
+    events: DataFrame, values: DataFrame, cols: Sequence[str], key: str = "hit_id", roles: Sequence[str] = ("s1", "s2", "alt_s1", "alt_s2"), by: Sequence[str] = RUN
+) -> DataFrame:
     """Joins per-peak values to each role's peak: <role>_<col>, null where the role is empty."""
     out = events
     for role in roles:
-        side = values.select(F.col(key).alias(f"{role}_{key}"), *[F.col(c).alias(f"{role}_{c}") for c in cols])
-        out = out.join(side, f"{role}_{key}", "left")
+        side = values.select(*by, F.col(key).alias(f"{role}_{key}"), *[F.col(c).alias(f"{role}_{c}") for c in cols])
+        out = out.join(side, [*by, f"{role}_{key}"], "left")
     return out
 
 
@@ -110,24 +112,24 @@ def as_double_scatter(events: DataFrame) -> DataFrame:
 
 
 def event_number_of(peaks: DataFrame, events: DataFrame, key: str = "hit_id", by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """(key, event_number, drift_time): the event that holds each peak (-1 for none) and, for S2s, the time since the main S1."""
+    """(by, key, event_number, drift_time): the event that holds each peak (-1 for none) and, for S2s, the time since the main S1."""
     inside = split_by_containment(peaks.select(*by, "time", "endtime", key, "type", "center_time"), events, "event_number", by, width)
     with_s1 = inside.join(events.select(*by, "event_number", "s1_center_time"), [*by, "event_number"])
-    found = with_s1.select(key, "event_number", F.when(F.col("type") == 2, F.col("center_time") - F.col("s1_center_time")).alias("drift_time"))
-    return peaks.select(key).join(found, key, "left").withColumn("event_number", F.coalesce("event_number", F.lit(-1).cast("long")))
+    found = with_s1.select(*by, key, "event_number", F.when(F.col("type") == 2, F.col("center_time") - F.col("s1_center_time")).alias("drift_time"))
+    return peaks.select(*by, key).join(found, [*by, key], "left").withColumn("event_number", F.coalesce("event_number", F.lit(-1).cast("long")))
 
 
-def multi_scatter(peaks: DataFrame, container: str, weight: str, values: Sequence[str], selected: Column) -> DataFrame:
+def multi_scatter(peaks: DataFrame, container: str, weight: str, values: Sequence[str], selected: Column, by: Sequence[str] = RUN) -> DataFrame:
     """Per container: number of selected peaks, their summed weight and weighted means of values (nulls ignored)."""
     w = F.when(selected, F.col(weight))
     means = [F.try_divide(F.sum(w * F.col(v)), F.sum(F.when(F.col(v).isNotNull(), w))).alias(f"{v}_avg") for v in values]
-    return peaks.groupBy(container).agg(F.count_if(selected).alias("multiplicity"), F.sum(w).alias(f"{weight}_sum"), *means)
+    return peaks.groupBy(*by, container).agg(F.count_if(selected).alias("multiplicity"), F.sum(w).alias(f"{weight}_sum"), *means)
 
 
-def distinct_channels(rows: DataFrame, container: str, channel: str, alt: Column, main: Column) -> DataFrame:
+def distinct_channels(rows: DataFrame, container: str, channel: str, alt: Column, main: Column, by: Sequence[str] = RUN) -> DataFrame:
     """Per container: channels that the alternate signal has and the main one lacks."""
-    sides = rows.groupBy(container, channel).agg(F.bool_or(alt).alias("in_alt"), F.bool_or(main).alias("in_main"))
-    return sides.groupBy(container).agg(F.count_if(F.col("in_alt") & ~F.col("in_main")).alias("n_distinct_channels"))
+    sides = rows.groupBy(*by, container, channel).agg(F.bool_or(alt).alias("in_alt"), F.bool_or(main).alias("in_main"))
+    return sides.groupBy(*by, container).agg(F.count_if(F.col("in_alt") & ~F.col("in_main")).alias("n_distinct_channels"))
 
 
 def largest(df: DataFrame, n: int, by: str = "area", time: str = "time", key: str = "hit_id") -> DataFrame:

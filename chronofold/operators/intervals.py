@@ -1,8 +1,8 @@
 """Interval algebra: every row is a half-open interval [time, endtime) in integer nanoseconds.
 
-Joins on intervals run as equi-joins on time buckets, never as nested loops: the containers (or
-windows) are copied into each bucket that they touch, and a pair found in several buckets is kept in one, so
-the result is exact for any bucket width. Runs of a common key (default run_id) never meet.
+Joins on intervals run as equi-joins on time buckets, never as nested loops: an interval is copied into the few
+buckets that it touches at the level of its length, and a pair found in several buckets is kept in one, so
+the result is exact for any bucket width. Runs of a common key (default run_id) never meet; ids need to be unique in a run only.
 """
 
 from __future__ import annotations
@@ -50,62 +50,101 @@ def select_time(df: DataFrame, start: int, end: int, mode: str = "fully_containe
     raise ValueError(f"unknown selection {mode!r}")
 
 
-def _spread(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    """One copy of each row per bucket that [start, end] touches."""
-    first = f"({start} - pmod({start}, {width}L)) div {width}L"
-    last = f"({end} - pmod({end}, {width}L)) div {width}L"
-    return df.withColumn("_bucket", F.explode(F.expr(f"sequence({first}, greatest({first}, {last}))")))
+#: An interval is copied at the level where it touches at most a few buckets; each level's buckets are FAN times as wide.
+FAN, LEVELS = 64, 6
+
+
+def _widths(width: int) -> list[int]:
+    return [width * FAN**k for k in range(LEVELS) if width * FAN**k < 1 << 62]
+
+
+def _level(start: str, end: str, width: int) -> Column:
+    """The level of an interval: the first whose buckets are at least a quarter as wide as it is long."""
+    size = F.col(end) - F.col(start)
+    out = F.lit(len(_widths(width)) - 1)
+    for k, w in reversed(list(enumerate(_widths(width)[:-1]))):
+        out = F.when(size <= 4 * w, k).otherwise(out)
+    return out
+
+
+def _bucket(time: str, level: str, width: int) -> Column:
+    w = F.element_at(F.array(*[F.lit(x).cast("long") for x in _widths(width)]), F.col(level) + 1)
+    return F.floor(F.col(time) / w).cast("long") if width == 1 else F.call_function("div", F.col(time) - F.pmod(F.col(time), w), w)
+
+
+def _spread(df: DataFrame, start: str, end: str, width: int, top: Column | None = None) -> DataFrame:
+    """One copy of each row per bucket that [start, end] touches, at its own level and, with top, at all levels up to it."""
+    own = df.withColumn("_own", _level(start, end, width))
+    own = own.withColumn("_level", F.explode(F.sequence("_own", F.greatest("_own", top))) if top is not None else F.col("_own"))
+    first, last = _bucket(start, "_level", width), _bucket(end, "_level", width)
+    return own.withColumn("_bucket", F.explode(F.sequence(first, F.greatest(first, last))))
 
 
 def overlap_join(
     things: DataFrame, windows: DataFrame, by: Sequence[str] = RUN, width: int = HOUR, how: str = "touching", prefix: str = "w_"
 ) -> DataFrame:
     """Pairs of a thing and a window: touching (t.time < w.end and w.time < t.end), contained (thing inside window) or
-    starting (t.time in [w.time, w.end]). Window columns other than ``by`` get the prefix."""
+    starting (t.time in [w.time, w.end]). Window columns other than ``by`` get the prefix.
+
+    A row is copied into the few buckets that it touches at the level of its length, so one that lasts a whole run costs no more
+    copies than a short one; levels that no row of the other side has are left out (a scalar subquery finds the highest).
+    """
     w = windows.select(*by, *[F.col(c).alias(f"{prefix}{c}") for c in windows.columns if c not in by])
     ws, we = f"{prefix}time", f"{prefix}endtime"
-    right = _spread(w, ws, we, width)
+    highest = lambda df, a, b: F.coalesce(df.agg(F.max(_level(a, b, width)).alias("top")).scalar(), F.lit(0))
+    top = highest(w, ws, we)
     if how == "touching":
-        left = _spread(things, "time", "endtime", width)
         test = (F.col("time") < F.col(we)) & (F.col(ws) < F.col("endtime"))
-        # A pair meets in every bucket that both touch; the bucket of the later start is its own.
-        later = f"greatest(time, {ws})"
-        once = F.col("_bucket") == F.expr(f"({later} - pmod({later}, {width}L)) div {width}L")
-        return left.join(right, [*by, "_bucket"]).where(test & once).drop("_bucket")
-    left = with_bucket(things, width)
+        left = _spread(things, "time", "endtime", width, top)
+        right = _spread(w, ws, we, width, highest(things, "time", "endtime")).withColumnRenamed("_own", "_w_own")
+        # A pair meets at the higher of both levels, in every bucket that both touch; the bucket of the later start is its own.
+        once = (F.col("_level") == F.greatest("_own", "_w_own")) & (F.col("_bucket") == F.greatest(_bucket("time", "_level", width), _bucket(ws, "_level", width)))
+        return left.join(right, [*by, "_level", "_bucket"]).where(test & once).drop("_level", "_bucket", "_own", "_w_own")
+    left = things.withColumn("_level", F.explode(F.sequence(F.lit(0), top)))
+    left = left.withColumn("_bucket", _bucket("time", "_level", width))
     if how == "contained":
         test = (F.col("time") >= F.col(ws)) & (F.col("endtime") <= F.col(we))
     elif how == "starting":
         test = F.col("time").between(F.col(ws), F.col(we))
     else:
         raise ValueError(f"unknown join {how!r}")
-    return left.join(right, [*by, "_bucket"]).where(test).drop("_bucket")
+    return left.join(_spread(w, ws, we, width).drop("_own"), [*by, "_level", "_bucket"]).where(test).drop("_level", "_bucket")
 
 
 def split_by_containment(things: DataFrame, containers: DataFrame, container: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """things that lie fully inside one of the disjoint containers, with that container's id."""
-    lean = containers.select(*by, "time", "endtime", container)
-    return overlap_join(things, lean, by, width, "contained").drop("w_time", "w_endtime").withColumnRenamed(f"w_{container}", container)
+    """things that lie fully inside one of the disjoint containers, with that container's id.
+
+    Disjoint containers need no copies: the last one that starts at or before a thing is the only one that can hold it.
+    """
+    if container in things.columns:
+        raise ValueError(f"things have a column {container!r} already")
+    held = F.struct("time", "endtime", F.col(container).alias("id"))
+    kind = containers.select(held.alias("h")).schema["h"].dataType
+    lhs = things.select(*by, F.col("time").alias("_t"), F.lit(1).alias("_side"), F.struct(*things.columns).alias("_thing"), F.lit(None).cast(kind).alias("_held"))
+    rhs = containers.select(*by, F.col("time").alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(lhs.schema["_thing"].dataType).alias("_thing"), held.alias("_held"))
+    both = ordered.fill_forward(lhs.unionByName(rhs), "_held", "_in", by, ("_t", "_side"), width).where("_side = 1")
+    inside = both.where(F.col("_thing.endtime") <= F.col("_in.endtime"))
+    return inside.select("_thing.*", F.col("_in.id").alias(container))
 
 
 def containing(things: DataFrame, containers: DataFrame, container: str, key: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """All things with the id of the container that holds them, null for none."""
+    """All things with the id of the disjoint container that holds them, null for none."""
     inside = split_by_containment(things.select(*by, "time", "endtime", key), containers, container, by, width)
-    return things.join(inside.select(key, container), key, "left")
+    return things.join(inside.select(*by, key, container), [*by, key], "left")
 
 
 def outside(things: DataFrame, containers: DataFrame, key: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """things that lie in no container (lone hits, veto mask)."""
+    """things that lie in no container (lone hits, veto mask); containers may overlap."""
     held = overlap_join(things.select(*by, "time", "endtime", key), containers.select(*by, "time", "endtime"), by, width, "contained")
-    return things.join(held.select(key).distinct(), key, "left_anti")
+    return things.join(held.select(*by, key).distinct(), [*by, key], "left_anti")
 
 
 def overlap_duration(windows: DataFrame, spans: DataFrame, key: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """(key, overlap): nanoseconds of each window covered by spans, 0 for none."""
+    """(by, key, overlap): nanoseconds of each window covered by spans, 0 for none."""
     met = overlap_join(windows.select(*by, "time", "endtime", key), spans.select(*by, "time", "endtime"), by, width)
     part = F.least("endtime", "w_endtime") - F.greatest("time", "w_time")
-    sums = met.groupBy(key).agg(F.sum(part).alias("overlap"))
-    return windows.select(key).join(sums, key, "left").select(key, F.coalesce("overlap", F.lit(0).cast("long")).alias("overlap"))
+    sums = met.groupBy(*by, key).agg(F.sum(part).alias("overlap"))
+    return windows.select(*by, key).join(sums, [*by, key], "left").select(*by, key, F.coalesce("overlap", F.lit(0).cast("long")).alias("overlap"))
 
 
 def islands(df: DataFrame, reach: str, gap: int, by: Sequence[str] = RUN, order: Sequence[str] = ("time",), width: int = HOUR, inclusive: bool = True) -> DataFrame:
@@ -167,33 +206,72 @@ def nearest(
     found = fill(both, "_p", "_near", by, ("time", "_side", "_tie"), width).where(F.col("_lk").isNotNull() & F.col("_p").isNull())
     gap = (F.col("_near")["time"] - F.col("time")) if after else (F.col("time") - F.col("_near")["time"])
     ok = F.lit(True) if within is None else gap <= within
-    picked = found.select(F.col("_lk").alias(left_key), F.when(ok, F.col("_near")).alias("_near"))
-    joined = left.join(picked, left_key, "left")
+    picked = found.select(*by, F.col("_lk").alias(left_key), F.when(ok, F.col("_near")).alias("_near"))
+    joined = left.join(picked, [*by, left_key], "left")
     return joined.select(*left.columns, F.col("_near")["time"].alias("n_time"), *[F.col("_near")[f"c_{c}"].alias(f"n_{c}") for c in cols])
 
 
+def nearest_triggers(left: DataFrame, triggers: DataFrame, cols: Sequence[str], within: int, by: Sequence[str] = RUN, key: str = "hit_id", width: int = HOUR) -> DataFrame:
+    """(by, key, time, and left_<col>, left_dt, right_<col>, right_dt): fields of the closest trigger on each side within ``within``,
+    of another time than one's own."""
+    extra = triggers.select(*by, "time", F.col(key).alias("_id"), *[F.col(c).alias(f"f_{c}") for c in cols])
+    fields = [f"f_{c}" for c in cols]
+    lean = left.select(*by, "time", key)
+    out = lean
+    for side, direction in (("left", "before"), ("right", "after")):
+        found = nearest(lean, extra, fields, within, direction, True, by, key, "_id", width)
+        gap = F.abs(F.col("time") - F.col("n_time"))
+        out = out.join(found.select(*by, key, *[F.col(f"n_{f}").alias(f"{side}_{c}") for f, c in zip(fields, cols)], gap.alias(f"{side}_dt")), [*by, key])
+    return out
+
+
+def nearest_absolute(left: DataFrame, right: DataFrame, cols: Sequence[str], by: Sequence[str] = RUN, key: str = "hit_id", width: int = HOUR) -> DataFrame:
+    """(by, key, n_<col>, n_dt): the right row closest in time, of equally close ones the earlier."""
+    extra = right.select(*by, "time", F.col(key).alias("_id"), *[F.col(c).alias(f"f_{c}") for c in cols])
+    fields, lean = [f"f_{c}" for c in cols], left.select(*by, "time", key)
+    one = nearest(lean, extra, fields, None, "before", False, by, key, "_id", width).withColumnsRenamed({f"n_{f}": f"l_{f}" for f in fields}).withColumn("dl", F.col("time") - F.col("n_time"))
+    two = nearest(lean, extra, fields, None, "after", False, by, key, "_id", width).withColumn("dr", F.col("n_time") - F.col("time")).drop("time", "n_time")
+    both = one.join(two, [*by, key])
+    before = F.col("dr").isNull() | (F.col("dl") <= F.col("dr"))
+    return both.select(*by, key, *[F.when(before, F.col(f"l_{f}")).otherwise(F.col(f"n_{f}")).alias(f"n_{c}") for f, c in zip(fields, cols)], F.when(before, F.col("dl")).otherwise(F.col("dr")).alias("n_dt"))
+
+
 def distance_to_neighbours(left: DataFrame, spans: DataFrame, key: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """(key, to_previous, to_next): from a row's start to the last interval end before it, from its end to the next start
+    """(by, key, to_previous, to_next): from a row's start to the last interval end before it, from its end to the next start
     after it; null where there is none or it overlaps."""
     ends = spans.select(*by, F.col("endtime").alias("time"), F.col("endtime").alias("_id"))
     starts = spans.select(*by, "time", F.col("time").alias("_id"))
     begin = left.select(*by, "time", key)
     finish = left.select(*by, F.col("endtime").alias("time"), key)
-    prev = nearest(begin, ends, [], None, "before", True, by, key, "_id", width).select(key, (F.col("time") - F.col("n_time")).alias("to_previous"))
-    nxt = nearest(finish, starts, [], None, "after", True, by, key, "_id", width).select(key, (F.col("n_time") - F.col("time")).alias("to_next"))
-    return prev.join(nxt, key)
+    prev = nearest(begin, ends, [], None, "before", True, by, key, "_id", width).select(*by, key, (F.col("time") - F.col("n_time")).alias("to_previous"))
+    nxt = nearest(finish, starts, [], None, "after", True, by, key, "_id", width).select(*by, key, (F.col("n_time") - F.col("time")).alias("to_next"))
+    return prev.join(nxt, [*by, key])
+
 
+def pair_starts_stops(
+    starts: DataFrame, stops: DataFrame, run_start: int, run_end: int, by: Sequence[str] = RUN, width: int = HOUR, name: str = "", artificial: DataFrame | None = None
+) -> DataFrame:
+    """(by, time, endtime, veto_type, veto_interval): the n-th start of a run with its n-th stop.
 
-def pair_starts_stops(starts: DataFrame, stops: DataFrame, run_start: int, run_end: int, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """Veto intervals: each start runs to the next signal if that is a stop, else (a lost stop) it is superseded by the next start;
-    a stop before any start opens at the run's start, a start without a stop closes at the run's end."""
+    A run whose last start comes after its last stop gets a stop at its end; if it then has one stop more than starts, a start at its
+    beginning. Other unequal numbers, and a start after its stop, raise. artificial: intervals of dead time, passed through.
+    """
     signals = starts.select(*by, "time", F.lit(1).alias("kind")).unionByName(stops.select(*by, "time", F.lit(0).alias("kind")))
-    rows = ordered.next_row(signals, ["time", "kind"], by, ("time", "kind"), width)
-    rows = ordered.previous_row(rows, ["kind"], by, ("time", "kind"), width)
-    opened = rows.where((F.col("kind") == 1) & (F.col("next_kind").isNull() | (F.col("next_kind") == 0)))
-    opened = opened.select(*by, "time", F.coalesce("next_time", F.lit(run_end)).alias("endtime"))
-    first = rows.where((F.col("kind") == 0) & F.col("prev_kind").isNull()).select(*by, F.lit(run_start).cast("long").alias("time"), F.col("time").alias("endtime"))
-    return opened.unionByName(first).withColumn("veto_interval", F.col("endtime") - F.col("time"))
+    on, off = F.col("kind") == 1, F.col("kind") == 0
+    ends = signals.groupBy(*by).agg(F.max(F.when(on, F.col("time"))).alias("a"), F.max(F.when(off, F.col("time"))).alias("b"), F.count_if(on).alias("n1"), F.count_if(off).alias("n0"))
+    late = F.col("a").isNotNull() & (F.col("b").isNull() | (F.col("a") > F.col("b")))
+    early = F.col("n0") + late.cast("long") - F.col("n1") == 1
+    extra = lambda test, time, kind: ends.where(test).select(*by, F.lit(time).cast("long").alias("time"), F.lit(kind).alias("kind"))
+    whole = signals.unionByName(extra(late, run_end, 0)).unionByName(extra(early, run_start, 1))
+    numbered = ordered.row_numbers(whole, "n", (*by, "kind"), ("time",), width)
+    sides = numbered.groupBy(*by, "n").agg(F.max(F.when(on, F.col("time"))).alias("a"), F.max(F.when(off, F.col("time"))).alias("b"))
+    lost = F.raise_error(F.lit(f"unequal numbers of {name} starts and stops")).cast("long")
+    wrong = F.raise_error(F.lit(f"a {name} veto starts after its stop")).cast("long")
+    end = F.when(F.col("a").isNull() | F.col("b").isNull(), lost).when(F.col("a") > F.col("b"), wrong).otherwise(F.col("b"))
+    out = sides.select(*by, F.col("a").alias("time"), end.alias("endtime"), F.lit(f"{name}veto").alias("veto_type"))
+    if artificial is not None:
+        out = out.unionByName(artificial.select(*by, "time", "endtime", F.lit("artificial_deadtime_veto").alias("veto_type")))
+    return out.withColumn("veto_interval", F.col("endtime") - F.col("time"))
 
 
 def check_overlaps(df: DataFrame, by: Sequence[str] = ("run_id", "channel"), width: int = HOUR) -> DataFrame:
@@ -204,8 +282,7 @@ def check_overlaps(df: DataFrame, by: Sequence[str] = ("run_id", "channel"), wid
 
 def isolated(df: DataFrame, gap: int, by: Sequence[str] = RUN, width: int = HOUR, key: str = "hit_id") -> DataFrame:
     """Rows whose neighbours on both sides are more than gap away; the run's ends count as far."""
-    rows = ordered.previous_row(df, ["time"], by, ("time", key), width)
-    rows = ordered.next_row(rows, ["time"], by, ("time", key), width)
+    rows = ordered.neighbours(df, ["time"], ["time"], by, ("time", key), width)
     left = F.coalesce(F.col("time") - F.col("prev_time") > gap, F.lit(True))
     right = F.coalesce(F.col("next_time") - F.col("time") > gap, F.lit(True))
     return rows.where(left & right).select(*df.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.operators import ordered
+from chronofold.operators.intervals import RUN
 
 
 def bin_of(x: Column, lo: float, hi: float, n: int) -> Column:
@@ -54,8 +55,7 @@ def per_chunk(df: DataFrame, chunk: int, time: str = "time") -> DataFrame:
 def pulse_counts(df: DataFrame, by: Sequence[str] = ("run_id", "channel"), key: str = "hit_id", width: int = ordered.HOUR) -> DataFrame:
     """Per channel: pulses, area, lone pulses (start after all before have ended, end before the next starts; the last is never lone)
     and the mean area, cut to an integer."""
-    rows = ordered.running_max_before(df, "endtime", "reach", by, ("time", key), width)
-    rows = ordered.next_row(rows, ["time"], by, ("time", key), width)
+    rows = ordered.neighbours(df, (), ["time"], by, ("time", key), width, reach="endtime")
     lone = (F.col("reach").isNull() | (F.col("time") >= F.col("reach"))) & F.coalesce(F.col("endtime") < F.col("next_time"), F.lit(False))
     return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("pulse_count"), F.sum("area").alias("pulse_area"), F.count_if(lone).alias("lone_pulse_count"),
@@ -78,25 +78,43 @@ def dark_rate(df: DataFrame, channels: DataFrame, seconds: float, value: str = "
     )
 
 
-def veto_event_properties(hitlets: DataFrame, event: str = "event_number", time: str = "time", area: str = "area") -> DataFrame:
+def veto_event_properties(hitlets: DataFrame, event: str = "event_number", time: str = "time", area: str = "area", by: Sequence[str] = RUN, key: str = "hit_id") -> DataFrame:
     """Per event: area, hits, channels, area-weighted centre and spread of time from the first hit, least and largest gap."""
-    w = Window.partitionBy(event)
+    w = Window.partitionBy(*by, event)
     rows = hitlets.withColumn("_t0", F.min(time).over(w))
-    rows = rows.withColumn("_gap", F.col(time) - F.lag(time).over(w.orderBy(time, "hit_id")))
+    rows = rows.withColumn("_gap", F.col(time) - F.lag(time).over(w.orderBy(time, key)))
     t, a = (F.col(time) - F.col("_t0")).cast("double"), F.col(area).cast("double")
     mean = F.try_divide(F.sum(a * t), F.sum(a))
     var = F.try_divide(F.sum(a * t * t), F.sum(a)) - mean * mean
-    return rows.groupBy(event).agg(
+    return rows.groupBy(*by, event).agg(
         F.sum(area).alias("area"), F.count(F.lit(1)).alias("n_hits"), F.countDistinct("channel").alias("n_channels"), mean.alias("center_time"),
         F.sqrt(F.greatest(var, F.lit(0.0))).alias("center_time_spread"), F.min("_gap").alias("min_gap"), F.max("_gap").alias("max_gap"),
     )
 
 
-def veto_event_position(hitlets: DataFrame, event: str = "event_number", area: str = "area") -> DataFrame:
-    """Area-weighted place of each event and its azimuth in [0, 2 pi); no azimuth at the origin."""
+def area_per_channel(hitlets: DataFrame, n_channels: int, event: str = "event_number", area: str = "area", channel: str = "channel", by: Sequence[str] = RUN) -> DataFrame:
+    """(by, event, area_per_channel): an array of n_channels sums for each event; channels beyond it are left out."""
+    sums = hitlets.where(F.col(channel).between(0, n_channels - 1)).groupBy(*by, event, channel).agg(F.sum(area).alias("a"))
+    found = sums.groupBy(*by, event).agg(F.map_from_entries(F.collect_list(F.struct(F.col(channel).cast("int").alias("c"), "a"))).alias("m"))
+    zero = F.lit(0).cast(sums.schema["a"].dataType)
+    return found.select(*by, event, F.transform(F.sequence(F.lit(0), F.lit(n_channels - 1)), lambda c: F.coalesce(F.try_element_at("m", c), zero)).alias("area_per_channel"))
+
+
+def veto_event_position(
+    hitlets: DataFrame, event: str = "event_number", area: str = "area", prompt: int | None = None, time: str = "time", by: Sequence[str] = RUN, axes: Sequence[str] = ("x", "y")
+) -> DataFrame:
+    """Area-weighted place and spread of each event along the axes, from the hits less than ``prompt`` after its first one (all if not
+    given), its hits, and its azimuth in [0, 2 pi); no azimuth at the origin."""
     a = F.col(area).cast("double")
-    pos = hitlets.groupBy(event).agg(*[F.try_divide(F.sum(a * F.col(c)), F.sum(a)).alias(f"pos_{c}") for c in "xy"])
-    return pos.withColumn("angle", azimuth(F.col("pos_x"), F.col("pos_y")))
+    rows = hitlets
+    if prompt is not None:
+        rows = hitlets.withColumn("_t0", F.min(time).over(Window.partitionBy(*by, event))).where(F.col(time) - F.col("_t0") < prompt)
+    aggs = [F.count(F.lit(1)).alias("n_prompt_hits")]
+    for c in axes:
+        mean = F.try_divide(F.sum(a * F.col(c)), F.sum(a))
+        var = F.try_divide(F.sum(a * F.col(c) * F.col(c)), F.sum(a)) - mean * mean
+        aggs += [mean.alias(f"pos_{c}"), F.sqrt(F.greatest(var, F.lit(0.0))).alias(f"pos_{c}_spread")]
+    return rows.groupBy(*by, event).agg(*aggs).withColumn("angle", azimuth(F.col("pos_x"), F.col("pos_y")))
 
 
 def azimuth(x: Column, y: Column) -> Column:

@@ -2,7 +2,7 @@
 
 Each operator turns the peaks into regions of interest around their centres, meets them with the casting peaks through
 the bucketed overlap join, and aggregates per peak; the sums combine on the map side. Cost is the number of
-neighbours; the bucket is as wide as the window, so a peak is copied into two or three buckets.
+neighbours; the bucket is as wide as the window, and longer peaks take wider ones. Ids are unique in a run only.
 """
 
 from __future__ import annotations
@@ -29,26 +29,26 @@ def _met(peaks: DataFrame, casting: DataFrame, back: int, ahead: int, key: str,
     return overlap_join(casting, roi, by, max(back + ahead, 1))
 
 
-def _attached(peaks: DataFrame, found: DataFrame, key: str, zeros: dict[str, Column]) -> DataFrame:
-    out = peaks.select(key).join(found.withColumnRenamed(f"w_{key}", key), key, "left")
-    return out.select(key, *[F.coalesce(F.col(n), v).alias(n) for n, v in zeros.items()])
+def _attached(peaks: DataFrame, found: DataFrame, key: str, zeros: dict[str, Column], by: Sequence[str]) -> DataFrame:
+    out = peaks.select(*by, key).join(found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
+    return out.select(*by, key, *[F.coalesce(F.col(n), v).alias(n) for n, v in zeros.items()])
 
 
 def competing(peaks: DataFrame, window: int, fraction: float = 0.2, types: Sequence[int] = (1, 2), key: str = "hit_id", by: Sequence[str] = RUN) -> DataFrame:
-    """(key, n_competing_left, n_competing): peaks of the types within the window whose area is over fraction of one's own; a peak
+    """(by, key, n_competing_left, n_competing): peaks of the types within the window whose area is over fraction of one's own; a peak
     of such a type counts itself in n_competing."""
     casting = peaks.where(F.col("type").isin(*types)).select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").alias("a"))
     met = _met(peaks, casting, window, window, key, by, ["area"]).where(F.col("a") > F.col("w_area") * fraction)
-    found = met.groupBy(f"w_{key}").agg(F.count_if(F.col("c") < F.col("w_ct")).alias("n_competing_left"), F.count(F.lit(1)).alias("n_competing"))
+    found = met.groupBy(*by, f"w_{key}").agg(F.count_if(F.col("c") < F.col("w_ct")).alias("n_competing_left"), F.count(F.lit(1)).alias("n_competing"))
     zero = F.lit(0).cast("long")
-    return _attached(peaks, found, key, {"n_competing_left": zero, "n_competing": zero})
+    return _attached(peaks, found, key, {"n_competing_left": zero, "n_competing": zero}, by)
 
 
 def proximity(
     peaks: DataFrame, window: int, exponents: Sequence[float] = (1.0, -1.0, 1.0), sigma: float = 22.0, fraction: float = 0.2,
     types: Sequence[int] = (1, 2), key: str = "hit_id", by: Sequence[str] = RUN,
 ) -> DataFrame:
-    """(key, proximity_score): sum over earlier peaks of r^e0 * dt_ms^e1 * halfCauchy(dr)^e2; infinite if one is at the same place."""
+    """(by, key, proximity_score): sum over earlier peaks of r^e0 * dt_ms^e1 * halfCauchy(dr)^e2; infinite if one is at the same place."""
     casting = peaks.where(F.col("type").isin(*types) & (F.col("area") > 0))
     casting = casting.select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").cast("double").alias("a"), F.col("x").alias("cx"), F.col("y").alias("cy"))
     met = _met(peaks.where("area > 0"), casting, window, 0, key, by, ["area", "x", "y"])
@@ -60,15 +60,15 @@ def proximity(
     own = F.col("w_area").cast("double")
     pdf = half_cauchy(dr, sigma * F.sqrt(1 / F.col("a") + 1 / own))
     score = F.pow(F.col("a") / own, exponents[0]) * F.pow(dt, exponents[1]) * F.pow(pdf, exponents[2])
-    found = met.groupBy(f"w_{key}").agg(F.sum(F.when(dr == 0, F.lit(float("inf"))).otherwise(score)).alias("proximity_score"))
-    return _attached(peaks, found, key, {"proximity_score": F.lit(0.0)})
+    found = met.groupBy(*by, f"w_{key}").agg(F.sum(F.when(dr == 0, F.lit(float("inf"))).otherwise(score)).alias("proximity_score"))
+    return _attached(peaks, found, key, {"proximity_score": F.lit(0.0)}, by)
 
 
 def shadow(
     peaks: DataFrame, window: int, min_area: float, casting_type: int, exponent: float = -1.0, position: bool = False, as_sum: bool = False,
     sigma: Sequence[float] = (15.0, 0.0), radius: float = 66.4, key: str = "hit_id", by: Sequence[str] = RUN,
 ) -> DataFrame:
-    """(key, shadow, dt, x, y, nearest, nearest_dt): the earlier large peak with the greatest area * dt^e (times the half-Cauchy
+    """(by, key, shadow, dt, x, y, nearest, nearest_dt): the earlier large peak with the greatest area * dt^e (times the half-Cauchy
     density of the distance if ``position``), or their sum; without one the shadow of a peak just under the threshold at the window's edge."""
     if position and as_sum:
         raise ValueError("a position shadow cannot be summed")
@@ -84,16 +84,16 @@ def shadow(
     near = F.min(F.struct(dt.alias("dt"), (-F.col("ck")).alias("k"), F.col("a").alias("a")))
     edge = min_area * float(window) ** exponent
     if as_sum:
-        found = met.groupBy(f"w_{key}").agg(
+        found = met.groupBy(*by, f"w_{key}").agg(
             F.sum(value).alias("shadow"), (F.count(F.lit(1)) * F.pow(F.sum(ft), 1 / exponent)).alias("dt"), F.lit(None).cast("double").alias("x"),
             F.lit(None).cast("double").alias("y"), near.alias("near"),
         )
     else:
         best = F.max(F.struct(value.alias("v"), (-F.col("c")).alias("c"), dt.cast("double").alias("dt"), F.col("cx").cast("double").alias("x"), F.col("cy").cast("double").alias("y")))
-        found = met.groupBy(f"w_{key}").agg(best.alias("best"), near.alias("near"))
-        found = found.select(f"w_{key}", F.col("best.v").alias("shadow"), F.col("best.dt").alias("dt"), F.col("best.x").alias("x"), F.col("best.y").alias("y"), "near")
-    found = found.select(f"w_{key}", "shadow", "dt", "x", "y", F.col("near.a").alias("nearest"), F.col("near.dt").alias("nearest_dt"))
-    out = peaks.select(key).join(found.withColumnRenamed(f"w_{key}", key), key, "left")
+        found = met.groupBy(*by, f"w_{key}").agg(best.alias("best"), near.alias("near"))
+        found = found.select(*by, f"w_{key}", F.col("best.v").alias("shadow"), F.col("best.dt").alias("dt"), F.col("best.x").alias("x"), F.col("best.y").alias("y"), "near")
+    found = found.select(*by, f"w_{key}", "shadow", "dt", "x", "y", F.col("near.a").alias("nearest"), F.col("near.dt").alias("nearest_dt"))
+    out = peaks.select(*by, key).join(found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
     return out.withColumn("shadow", F.coalesce("shadow", F.lit(edge))).withColumn("dt", F.coalesce("dt", F.lit(float(window))))
 
 
@@ -119,7 +119,7 @@ def ambience(
     if gains is not None:
         hits = hits.join(gains, "channel").withColumn("a", F.col("a") * F.col("gain"))
     met = _met(peaks, hits, window, 0, key, by, []).where("time < w_ct")
-    lh = met.groupBy(f"w_{key}").agg(
+    lh = met.groupBy(*by, f"w_{key}").agg(
         F.count(F.lit(1)).alias("n_lh_before"), F.sum(F.col("a") * F.pow((F.col("w_ct") - F.col("time")).cast("double"), exponents[0])).alias("s_lh_before")
     )
     small = None
@@ -136,10 +136,10 @@ def ambience(
         aggs += [F.count_if(mine).alias(f"n_s{kind}_before"), F.sum(F.when(mine, s)).alias(f"s_s{kind}_before")]
     near = (F.col("type") == 2) & (dr <= radius)
     aggs += [F.count_if(near).alias("n_s2_near"), F.sum(F.when(near & (dr > 0), s * F.pow(dr, exponents[1])).when(near, float("inf"))).alias("s_s2_near")]
-    pk = met.groupBy(f"w_{key}").agg(*aggs)
-    both = lh.join(pk, f"w_{key}", "full")
-    names = [c for c in both.columns if c != f"w_{key}"]
-    out = _attached(peaks, both, key, {n: F.lit(0).cast("long") if n.startswith("n_") else F.lit(0.0) for n in names})
+    pk = met.groupBy(*by, f"w_{key}").agg(*aggs)
+    both = lh.join(pk, [*by, f"w_{key}"], "full")
+    names = [c for c in both.columns if c not in (*by, f"w_{key}")]
+    out = _attached(peaks, both, key, {n: F.lit(0).cast("long") if n.startswith("n_") else F.lit(0.0) for n in names}, by)
     total = sum((F.col(n) for n in names if n.startswith("s_") and n.endswith("_before")), F.lit(0.0))
     return out.withColumn("s_before", total)
 
@@ -147,35 +147,35 @@ def ambience(
 def se_score(
     peaks: DataFrame, electrons: DataFrame, left: int, right: int = 0, a: float = 1.0, b: float = 0.1, key: str = "hit_id", by: Sequence[str] = RUN
 ) -> DataFrame:
-    """(key, se_score): summed 2-D normal densities of single electrons around a peak, widths a/sqrt(area) + b combined; peaks without a
+    """(by, key, se_score): summed 2-D normal densities of single electrons around a peak, widths a/sqrt(area) + b combined; peaks without a
     place get null."""
     casting = electrons.select(*by, "time", "endtime", F.col("area").cast("double").alias("a"), F.col("x").alias("cx"), F.col("y").alias("cy"))
     met = _met(peaks.where("x is not null and y is not null"), casting, left, right, key, by, ["area", "x", "y"])
     spread = F.pow(a / F.sqrt("a") + b, 2) + F.pow(a / F.sqrt(F.col("w_area").cast("double")) + b, 2)
     d2 = F.pow(F.col("w_x") - F.col("cx"), 2) + F.pow(F.col("w_y") - F.col("cy"), 2)
-    found = met.groupBy(f"w_{key}").agg(F.sum(F.exp(-d2 / (2 * spread)) / (2 * math.pi * spread)).alias("se_score"))
-    out = peaks.select(key, "x", "y").join(found.withColumnRenamed(f"w_{key}", key), key, "left")
-    return out.select(key, F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), F.coalesce("se_score", F.lit(0.0))).alias("se_score"))
+    found = met.groupBy(*by, f"w_{key}").agg(F.sum(F.exp(-d2 / (2 * spread)) / (2 * math.pi * spread)).alias("se_score"))
+    out = peaks.select(*by, key, "x", "y").join(found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
+    return out.select(*by, key, F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), F.coalesce("se_score", F.lit(0.0))).alias("se_score"))
 
 
 def tight_coincidence(peaks: DataFrame, hits: DataFrame, left: int, right: int, key: str = "peak_id", by: Sequence[str] = RUN) -> DataFrame:
-    """(key, tight_coincidence): distinct channels with a hit in [time - left, time + right]."""
+    """(by, key, tight_coincidence): distinct channels with a hit in [time - left, time + right]."""
     roi = peaks.select(*by, (F.col("time") - left).alias("time"), (F.col("time") + right).alias("endtime"), key)
     met = overlap_join(hits.select(*by, "time", "endtime", "channel"), roi, by, max(left + right, 1), "starting")
-    found = met.groupBy(f"w_{key}").agg(F.countDistinct("channel").alias("tight_coincidence"))
-    return _attached(peaks, found, key, {"tight_coincidence": F.lit(0).cast("long")})
+    found = met.groupBy(*by, f"w_{key}").agg(F.countDistinct("channel").alias("tight_coincidence"))
+    return _attached(peaks, found, key, {"tight_coincidence": F.lit(0).cast("long")}, by)
 
 
 def hits_per_peak(peaks: DataFrame, hits: DataFrame, key: str = "peak_id", by: Sequence[str] = RUN, width: int = 3600 * 10**9) -> DataFrame:
-    """(key, n_hits): hits that overlap the peak."""
+    """(by, key, n_hits): hits that overlap the peak."""
     met = overlap_join(hits.select(*by, "time", "endtime"), peaks.select(*by, "time", "endtime", key), by, width)
-    found = met.groupBy(f"w_{key}").agg(F.count(F.lit(1)).alias("n_hits"))
-    return _attached(peaks, found, key, {"n_hits": F.lit(0).cast("long")})
+    found = met.groupBy(*by, f"w_{key}").agg(F.count(F.lit(1)).alias("n_hits"))
+    return _attached(peaks, found, key, {"n_hits": F.lit(0).cast("long")}, by)
 
 
 def count_in_range(df: DataFrame, back: int, key: str = "hit_id", by: Sequence[str] = RUN) -> DataFrame:
-    """(key, n_before): rows in the ``back`` nanoseconds before each row, by a RANGE frame per bucket with a halo."""
+    """(by, key, n_before): rows in the ``back`` nanoseconds before each row, by a RANGE frame per bucket with a halo."""
     rows = with_bucket(df.select(*by, "time", key), max(back, 1)).withColumn("_own", F.lit(True))
     halo = rows.withColumn("_bucket", F.col("_bucket") + 1).withColumn("_own", F.lit(False))
     w = Window.partitionBy(*by, "_bucket").orderBy("time").rangeBetween(-back, -1)
-    return rows.unionByName(halo).withColumn("n_before", F.count(F.lit(1)).over(w)).where("_own").select(key, "n_before")
+    return rows.unionByName(halo).withColumn("n_before", F.count(F.lit(1)).over(w)).where("_own").select(*by, key, "n_before")

@@ -30,16 +30,18 @@ def carried(
     per_bucket: dict[str, Column],
     running: dict[str, Callable[[Column], Column]],
     by: Sequence[str],
-    backwards: bool = False,
+    backwards: bool | Sequence[str] = False,
 ) -> DataFrame:
-    """df (with _bucket) plus, for each name, the running aggregate over all earlier buckets.
+    """df (with _bucket) plus, for each name, the running aggregate over all earlier buckets (later ones for the names in
+    ``backwards``, or for all).
 
-    per_bucket: aggregate of one bucket; running: how bucket values combine (an aggregate function).
+    per_bucket: aggregate of one bucket; running: how bucket values combine (an aggregate function). All names share one pass.
     """
+    later = set(per_bucket) if backwards is True else set(backwards or ())
     sums = df.groupBy(*by, "_bucket").agg(*[c.alias(f"_v_{n}") for n, c in per_bucket.items()])
-    side = F.col("_bucket").desc() if backwards else F.col("_bucket").asc()
-    before = Window.partitionBy(*by).orderBy(side).rowsBetween(Window.unboundedPreceding, -1)
-    carry = sums.select(*by, "_bucket", *[running[n](F.col(f"_v_{n}")).over(before).alias(n) for n in per_bucket])
+    sides = {False: F.col("_bucket").asc(), True: F.col("_bucket").desc()}
+    before = {k: Window.partitionBy(*by).orderBy(side).rowsBetween(Window.unboundedPreceding, -1) for k, side in sides.items()}
+    carry = sums.select(*by, "_bucket", *[running[n](F.col(f"_v_{n}")).over(before[n in later]).alias(n) for n in per_bucket])
     return df.join(carry, [*by, "_bucket"])
 
 
@@ -70,14 +72,37 @@ def next_row(df: DataFrame, cols: Sequence[str], by: Sequence[str], order: Seque
 
 
 def _neighbour(df, cols, by, order, width, prefix, after):
+    return neighbours(df, (), cols, by, order, width, "prev_", prefix) if after else neighbours(df, cols, (), by, order, width, prefix)
+
+
+def neighbours(
+    df: DataFrame, previous: Sequence[str], following: Sequence[str], by: Sequence[str], order: Sequence[str], width: int = HOUR,
+    prefix: str = "prev_", next_prefix: str = "next_", reach: str | None = None,
+) -> DataFrame:
+    """Columns of the row before and of the row after in order, in one pass; with reach also the largest value of that column
+    among all earlier rows, as ``reach``. Null where there is no such row."""
     rows = with_bucket(df, width, order[0])
-    packed = F.struct(*[F.col(c) for c in (*order, *[c for c in cols if c not in order])])
-    edge = F.min(packed) if after else F.max(packed)
-    # last/first non-null bucket edge over the buckets before (after) this one
-    rows = carried(rows, {"_carry": edge}, {"_carry": F.min if after else F.max}, by, backwards=after)
-    local = (F.lead if after else F.lag)(packed, 1).over(_rows(by, order))
-    rows = rows.withColumn("_near", F.coalesce(local, F.col("_carry")))
-    return rows.select(*df.columns, *[F.col("_near")[c].alias(f"{prefix}{c}") for c in cols])
+    packed = lambda cols: F.struct(*[F.col(c) for c in (*order, *[c for c in cols if c not in order])])
+    edges, running, later = {}, {}, []
+    if previous:
+        edges["_before"], running["_before"] = F.max(packed(previous)), F.max
+    if following:
+        edges["_after"], running["_after"] = F.min(packed(following)), F.min
+        later = ["_after"]
+    if reach:
+        edges["_reach"], running["_reach"] = F.max(reach), F.max
+    rows = carried(rows, edges, running, by, later)
+    local = _rows(by, order)
+    if previous:
+        rows = rows.withColumn("_before", F.coalesce(F.lag(packed(previous), 1).over(local), F.col("_before")))
+    if following:
+        rows = rows.withColumn("_after", F.coalesce(F.lead(packed(following), 1).over(local), F.col("_after")))
+    if reach:
+        rows = rows.withColumn("_reach", F.greatest(F.max(reach).over(local.rowsBetween(Window.unboundedPreceding, -1)), "_reach"))
+    return rows.select(
+        *df.columns, *[F.col("_before")[c].alias(f"{prefix}{c}") for c in previous], *[F.col("_after")[c].alias(f"{next_prefix}{c}") for c in following],
+        *([F.col("_reach").alias("reach")] if reach else []),
+    )
 
 
 def fill_forward(df: DataFrame, value: str, out: str, by: Sequence[str], order: Sequence[str], width: int = HOUR) -> DataFrame:

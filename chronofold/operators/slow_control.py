@@ -52,9 +52,9 @@ def average_every(df: DataFrame, n: int, value: str = "value", by: Sequence[str]
 
 
 def interpolate_clock(
-    pulses: DataFrame, syncs: DataFrame, key: str, truth: str = "truth", by: Sequence[str] = RUN, width: int = ordered.HOUR, extrapolate: bool = True
+    pulses: DataFrame, syncs: DataFrame, key: str, truth: str = "truth", by: Sequence[str] = RUN, width: int = ordered.HOUR, extrapolate: bool = True, delay: int = 0
 ) -> DataFrame:
-    """(key, synced): the truth clock at each pulse, linear between the sync before (or at) and the next.
+    """(by, key, synced): the truth clock at each pulse less ``delay``, linear between the sync before (or at) and the next.
 
     Before the first and after the last sync of a run, the line of its two nearest syncs goes on; without extrapolate,
     and in a run with a single sync time, it is null there.
@@ -63,14 +63,13 @@ def interpolate_clock(
     cols = [truth]
     if extrapolate:
         points = points.groupBy(*by, "time").agg(F.max(truth).alias(truth)).withColumn("_id", F.col("time"))
-        points = ordered.previous_row(points, ["time", truth], by, ("time",), width)
-        points = ordered.next_row(points, ["time", truth], by, ("time",), width)
+        points = ordered.neighbours(points, ["time", truth], ["time", truth], by, ("time",), width)
         cols = [truth, "prev_time", f"prev_{truth}", "next_time", f"next_{truth}"]
     lean = pulses.select(*by, "time", key)
     at = lambda side: [F.col("n_time").alias(f"t{side}"), *[F.col(f"n_{c}").alias(f"{c}{side}") for c in cols]]
-    prev = nearest(lean, points, cols, None, "before", False, by, key, "_id", width).select(key, "time", *at(0))
-    nxt = nearest(lean, points, cols, None, "after", False, by, key, "_id", width).select(key, *at(1))
-    both = prev.join(nxt, key)
+    prev = nearest(lean, points, cols, None, "before", False, by, key, "_id", width).select(*by, key, "time", *at(0))
+    nxt = nearest(lean, points, cols, None, "after", False, by, key, "_id", width).select(*by, key, *at(1))
+    both = prev.join(nxt, [*by, key])
     t0, g0, t1, g1 = (F.col(c) for c in ("t0", f"{truth}0", "t1", f"{truth}1"))
     if extrapolate:
         # After the last sync: from the one before it through the last. Before the first: from the first through its next.
@@ -81,7 +80,7 @@ def interpolate_clock(
         )
     frac = F.try_divide((F.col("time") - t0).cast("double"), (t1 - t0).cast("double"))
     line = g0 + F.when(t0 == t1, F.lit(0)).otherwise((frac * (g1 - g0)).cast("long"))
-    return both.select(key, line.alias("synced"))
+    return both.select(*by, key, (line - delay).alias("synced"))
 
 
 def every_nth(df: DataFrame, n: int, by: Sequence[str] = RUN, order: Sequence[str] = ("time",), width: int = ordered.HOUR) -> DataFrame:

@@ -12,7 +12,7 @@ from chronofold.operators import merging
 from chronofold.operators import monitor as mo
 from chronofold.operators import slow_control as sc
 from chronofold.operators import waveform as wf
-from chronofold.plans.interval_queries import EVENTS_SQL, WIDTH, _events
+from chronofold.plans.interval_queries import _BASICS, EVENTS_SQL, WIDTH, _basics, _events
 from chronofold.plans.registry import query
 from chronofold.session import table
 from chronofold.sources.adapter import DAY, HITS_SQL, RUN_END, RUN_START, SECOND, WAVES_SQL, gains, hits, waveforms
@@ -58,8 +58,8 @@ def classify_rules(spark, sf_dir):
     return h.select("hit_id", co.classify(h).alias("class"))
 
 
-@query("pulse_counts", f"""WITH {HITS_SQL}, r AS (SELECT *, max(endtime) OVER (PARTITION BY channel ORDER BY time, hit_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach,
-lead(time) OVER (PARTITION BY channel ORDER BY time, hit_id) AS nxt FROM hits), l AS (SELECT *, (reach IS NULL OR time >= reach) AND coalesce(endtime < nxt, false) AS lone FROM r)
+@query("pulse_counts", f"""WITH {HITS_SQL}, r AS (SELECT *, max(endtime) OVER (PARTITION BY run_id, channel ORDER BY time, hit_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach,
+lead(time) OVER (PARTITION BY run_id, channel ORDER BY time, hit_id) AS nxt FROM hits), l AS (SELECT *, (reach IS NULL OR time >= reach) AND coalesce(endtime < nxt, false) AS lone FROM r)
 SELECT run_id, channel, count(*) AS pulse_count, CAST(sum(area) AS BIGINT) AS pulse_area, count(*) FILTER (lone) AS lone_pulse_count, CAST(coalesce(sum(area) FILTER (lone), 0) AS BIGINT) AS lone_pulse_area,
 CAST(trunc(sum(area) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS mean_area FROM l GROUP BY 1, 2""")
 def pulse_counts(spark, sf_dir):
@@ -99,7 +99,7 @@ def dark_rate(spark, sf_dir):
     return d.select("channel", F.round("dark_rate", 9).alias("dark_rate"), F.round("dark_rate_error", 9).alias("dark_rate_error"), F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"))
 
 
-_INSIDE = f"{HITS_SQL}, {EVENTS_SQL}, ih AS (SELECT h.*, e.event_number FROM hits h JOIN evts e ON h.time >= e.time AND h.endtime <= e.endtime)"
+_INSIDE = f"{HITS_SQL}, {EVENTS_SQL}, ih AS (SELECT h.*, e.event_number FROM hits h JOIN evts e ON h.run_id = e.run_id AND h.time >= e.time AND h.endtime <= e.endtime)"
 
 
 def _inside(spark, sf_dir):
@@ -107,25 +107,35 @@ def _inside(spark, sf_dir):
     return iv.split_by_containment(h, e, "event_number", width=WIDTH)
 
 
-@query("veto_event_props", f"""WITH {_INSIDE}, g AS (SELECT *, time - min(time) OVER (PARTITION BY event_number) AS t, time - lag(time) OVER (PARTITION BY event_number ORDER BY time, hit_id) AS gap FROM ih)
-SELECT event_number, CAST(sum(area) AS BIGINT) AS area, count(*) AS n_hits, count(DISTINCT channel) AS n_channels, round(sum(CAST(area AS DOUBLE) * t) / sum(area) / 1e9, 4) AS center_s, min(gap) AS min_gap, max(gap) AS max_gap FROM g GROUP BY 1""")
+@query("veto_event_props", f"""WITH {_INSIDE}, g AS (SELECT *, time - min(time) OVER (PARTITION BY run_id, event_number) AS t, time - lag(time) OVER (PARTITION BY run_id, event_number ORDER BY time, hit_id) AS gap FROM ih)
+SELECT run_id, event_number, CAST(sum(area) AS BIGINT) AS area, count(*) AS n_hits, count(DISTINCT channel) AS n_channels, round(sum(CAST(area AS DOUBLE) * t) / sum(area) / 1e9, 4) AS center_s, min(gap) AS min_gap, max(gap) AS max_gap FROM g GROUP BY 1, 2""")
 def veto_event_props(spark, sf_dir):
     p = mo.veto_event_properties(_inside(spark, sf_dir))
-    return p.select("event_number", "area", "n_hits", "n_channels", F.round(F.col("center_time") / 1e9, 4).alias("center_s"), "min_gap", "max_gap")
+    return p.select("run_id", "event_number", "area", "n_hits", "n_channels", F.round(F.col("center_time") / 1e9, 4).alias("center_s"), "min_gap", "max_gap")
 
 
-@query("veto_event_position", f"""WITH {_INSIDE}, p AS (SELECT event_number, sum(area * x) / CAST(sum(area) AS DOUBLE) AS px, sum(area * y) / CAST(sum(area) AS DOUBLE) AS py FROM ih GROUP BY 1)
-SELECT event_number, round(px, 6) AS pos_x, round(py, 6) AS pos_y, round(CASE WHEN atan2(py, px) < 0 THEN atan2(py, px) + 2 * pi() ELSE atan2(py, px) END, 6) AS angle FROM p""")
+@query("veto_event_position", f"""WITH {_INSIDE}, f AS (SELECT * FROM (SELECT *, time - min(time) OVER (PARTITION BY run_id, event_number) AS t FROM ih) WHERE t < {900 * SECOND}),
+p AS (SELECT run_id, event_number, count(*) AS n, sum(area * x) / CAST(sum(area) AS DOUBLE) AS px, sum(area * y) / CAST(sum(area) AS DOUBLE) AS py, sum(area * x * x) / CAST(sum(area) AS DOUBLE) AS xx FROM f GROUP BY 1, 2)
+SELECT run_id, event_number, n AS n_prompt_hits, round(px, 6) AS pos_x, round(py, 6) AS pos_y, round(sqrt(greatest(xx - px * px, 0)), 4) AS pos_x_spread,
+round(CASE WHEN atan2(py, px) < 0 THEN atan2(py, px) + 2 * pi() ELSE atan2(py, px) END, 6) AS angle FROM p""")
 def veto_event_position(spark, sf_dir):
-    p = mo.veto_event_position(_inside(spark, sf_dir))
-    return p.select("event_number", *[F.round(c, 6).alias(c) for c in ("pos_x", "pos_y", "angle")])
+    p = mo.veto_event_position(_inside(spark, sf_dir), prompt=900 * SECOND)
+    return p.select("run_id", "event_number", "n_prompt_hits", *[F.round(c, 6).alias(c) for c in ("pos_x", "pos_y", "angle")], F.round("pos_x_spread", 4).alias("pos_x_spread"))
 
 
-@query("online_veto_counts", f"""WITH {_INSIDE}, n AS (SELECT event_number, count(DISTINCT channel) AS c FROM ih GROUP BY 1)
-SELECT count(*) FILTER (c >= 4) AS events_4coinc, count(*) FILTER (c >= 5) AS events_5coinc, count(*) FILTER (c >= 8) AS events_8coinc, count(*) FILTER (c >= 10) AS events_10coinc FROM n""")
+@query("veto_area_per_channel", f"""WITH {_INSIDE}, c AS (SELECT run_id, event_number, channel, CAST(sum(area) AS BIGINT) AS a FROM ih WHERE channel BETWEEN 0 AND 15 GROUP BY 1, 2, 3),
+e AS (SELECT DISTINCT run_id, event_number FROM c)
+SELECT e.run_id, e.event_number, r.i AS channel, coalesce(c.a, 0) AS area FROM e CROSS JOIN range(0, 16) r(i) LEFT JOIN c ON c.run_id = e.run_id AND c.event_number = e.event_number AND c.channel = r.i""")
+def veto_area_per_channel(spark, sf_dir):
+    arrays = mo.area_per_channel(_inside(spark, sf_dir), 16)
+    return arrays.select("run_id", "event_number", F.posexplode("area_per_channel").alias("channel", "area"))
+
+
+@query("online_veto_counts", f"""WITH {_INSIDE}, n AS (SELECT run_id, event_number, count(DISTINCT channel) AS c FROM ih GROUP BY 1, 2)
+SELECT run_id, count(*) FILTER (c >= 4) AS events_4coinc, count(*) FILTER (c >= 5) AS events_5coinc, count(*) FILTER (c >= 8) AS events_8coinc, count(*) FILTER (c >= 10) AS events_10coinc FROM n GROUP BY 1""")
 def online_veto_counts(spark, sf_dir):
-    n = _inside(spark, sf_dir).groupBy("event_number").agg(F.countDistinct("channel").alias("n_channels"))
-    return mo.online_veto_counts(n)
+    n = _inside(spark, sf_dir).groupBy("run_id", "event_number").agg(F.countDistinct("channel").alias("n_channels"))
+    return mo.online_veto_counts(n, by=["run_id"])
 
 
 @query("energy_estimates", "SELECT o_orderkey, round(o_totalprice * (0.0137 / 0.15), 4) AS e_light, round(o_custkey * (0.0137 / 16.5), 6) AS e_charge, round(o_totalprice * (0.0137 / 0.15) + o_custkey * (0.0137 / 16.5), 4) AS e_ces FROM orders")
@@ -179,34 +189,34 @@ def poisson_pmf(spark, sf_dir):
 
 
 HOUR = 3600 * SECOND
-_CAL = f"cal AS (SELECT {RUN_START} + i * CAST({HOUR} AS BIGINT) AS time FROM range(0, {(RUN_END - RUN_START) // HOUR} + 1) r(i)), pts AS (SELECT time AS pt, CAST(area AS DOUBLE) AS v FROM hits WHERE type = 3)"
+_CAL = f"cal AS (SELECT rr.run_id, {RUN_START} + i * CAST({HOUR} AS BIGINT) AS time FROM range(0, {(RUN_END - RUN_START) // HOUR} + 1) r(i), (SELECT DISTINCT run_id FROM hits WHERE type = 3) rr), pts AS (SELECT run_id AS pr, time AS pt, CAST(area AS DOUBLE) AS v FROM hits WHERE type = 3)"
 
 
 def _series(spark, sf_dir):
     return hits(spark, sf_dir).where("type = 3").select("run_id", "time", F.col("area").alias("value"))
 
 
-@query("scada_fill_ffill", f"WITH {HITS_SQL}, {_CAL} SELECT cal.time, p.v AS value FROM cal ASOF LEFT JOIN pts p ON cal.time >= p.pt")
+@query("scada_fill_ffill", f"WITH {HITS_SQL}, {_CAL} SELECT cal.run_id, cal.time, p.v AS value FROM cal ASOF LEFT JOIN pts p ON cal.run_id = p.pr AND cal.time >= p.pt")
 def scada_fill_ffill(spark, sf_dir):
-    return sc.fill(_series(spark, sf_dir), RUN_START, RUN_END, HOUR, width=WIDTH).select("time", "value")
+    return sc.fill(_series(spark, sf_dir), RUN_START, RUN_END, HOUR, width=WIDTH).select("run_id", "time", "value")
 
 
-@query("scada_fill_linear", f"""WITH {HITS_SQL}, {_CAL} SELECT cal.time, round(CASE WHEN a.pt = b.pt THEN a.v ELSE a.v + (b.v - a.v) * ((cal.time - a.pt) / CAST(b.pt - a.pt AS DOUBLE)) END, 4) AS value
-FROM cal ASOF LEFT JOIN pts a ON cal.time >= a.pt ASOF LEFT JOIN pts b ON cal.time <= b.pt""")
+@query("scada_fill_linear", f"""WITH {HITS_SQL}, {_CAL} SELECT cal.run_id, cal.time, round(CASE WHEN a.pt = b.pt THEN a.v ELSE a.v + (b.v - a.v) * ((cal.time - a.pt) / CAST(b.pt - a.pt AS DOUBLE)) END, 4) AS value
+FROM cal ASOF LEFT JOIN pts a ON cal.run_id = a.pr AND cal.time >= a.pt ASOF LEFT JOIN pts b ON cal.run_id = b.pr AND cal.time <= b.pt""")
 def scada_fill_linear(spark, sf_dir):
     out = sc.fill(_series(spark, sf_dir), RUN_START, RUN_END, HOUR, "interpolate", width=WIDTH)
-    return out.select("time", F.round("value", 4).alias("value"))
+    return out.select("run_id", "time", F.round("value", 4).alias("value"))
 
 
-@query("scada_average_n", f"""WITH {HITS_SQL}, n AS (SELECT time, area, (row_number() OVER (ORDER BY time) - 1) // 7 AS bin, count(*) OVER () AS n FROM hits WHERE type = 3)
-SELECT bin, min(time) AS time, round(avg(area), 6) AS value FROM n WHERE bin < n // 7 - CASE WHEN n % 7 = 0 THEN 0 ELSE 1 END GROUP BY 1""")
+@query("scada_average_n", f"""WITH {HITS_SQL}, n AS (SELECT run_id, time, area, (row_number() OVER (PARTITION BY run_id ORDER BY time) - 1) // 7 AS bin, count(*) OVER (PARTITION BY run_id) AS n FROM hits WHERE type = 3)
+SELECT run_id, bin, min(time) AS time, round(avg(area), 6) AS value FROM n WHERE bin < n // 7 - CASE WHEN n % 7 = 0 THEN 0 ELSE 1 END GROUP BY 1, 2""")
 def scada_average_n(spark, sf_dir):
-    return sc.average_every(_series(spark, sf_dir), 7, width=WIDTH).select("bin", "time", F.round("value", 6).alias("value"))
+    return sc.average_every(_series(spark, sf_dir), 7, width=WIDTH).select("run_id", "bin", "time", F.round("value", 6).alias("value"))
 
 
-@query("gps_interpolate", f"""WITH {HITS_SQL}, s AS (SELECT time AS st, time + 5000 + k AS truth FROM hits WHERE type = 3), q AS (SELECT hit_id, time FROM hits WHERE type = 1)
-SELECT q.hit_id, a.truth + CASE WHEN a.st = b.st THEN 0 ELSE CAST(trunc(((q.time - a.st) / CAST(b.st - a.st AS DOUBLE)) * (b.truth - a.truth)) AS BIGINT) END AS synced
-FROM q ASOF LEFT JOIN s a ON q.time >= a.st ASOF LEFT JOIN s b ON q.time <= b.st""")
+@query("gps_interpolate", f"""WITH {HITS_SQL}, s AS (SELECT run_id AS sr, time AS st, time + 5000 + k AS truth FROM hits WHERE type = 3), q AS (SELECT run_id, hit_id, time FROM hits WHERE type = 1)
+SELECT q.run_id, q.hit_id, a.truth + CASE WHEN a.st = b.st THEN 0 ELSE CAST(trunc(((q.time - a.st) / CAST(b.st - a.st AS DOUBLE)) * (b.truth - a.truth)) AS BIGINT) END AS synced
+FROM q ASOF LEFT JOIN s a ON q.run_id = a.sr AND q.time >= a.st ASOF LEFT JOIN s b ON q.run_id = b.sr AND q.time <= b.st""")
 def gps_interpolate(spark, sf_dir):
     return _synced(spark, sf_dir, extrapolate=False)
 
@@ -218,11 +228,11 @@ def _synced(spark, sf_dir, extrapolate):
 
 
 @query("gps_extrapolate", f"""WITH {HITS_SQL}, s AS (SELECT *, lag(st) OVER w AS pt, lag(truth) OVER w AS pg, lead(st) OVER w AS nt, lead(truth) OVER w AS ng
-FROM (SELECT time AS st, max(time + 5000 + k) AS truth FROM hits WHERE type = 3 GROUP BY 1) WINDOW w AS (ORDER BY st)), q AS (SELECT hit_id, time FROM hits WHERE type = 1),
-e AS (SELECT q.hit_id, q.time, CASE WHEN b.st IS NULL THEN a.pt WHEN a.st IS NULL THEN b.st ELSE a.st END AS t0, CASE WHEN b.st IS NULL THEN a.pg WHEN a.st IS NULL THEN b.truth ELSE a.truth END AS g0,
+FROM (SELECT run_id AS sr, time AS st, max(time + 5000 + k) AS truth FROM hits WHERE type = 3 GROUP BY 1, 2) WINDOW w AS (PARTITION BY sr ORDER BY st)), q AS (SELECT run_id, hit_id, time FROM hits WHERE type = 1),
+e AS (SELECT q.run_id, q.hit_id, q.time, CASE WHEN b.st IS NULL THEN a.pt WHEN a.st IS NULL THEN b.st ELSE a.st END AS t0, CASE WHEN b.st IS NULL THEN a.pg WHEN a.st IS NULL THEN b.truth ELSE a.truth END AS g0,
 CASE WHEN b.st IS NULL THEN a.st WHEN a.st IS NULL THEN b.nt ELSE b.st END AS t1, CASE WHEN b.st IS NULL THEN a.truth WHEN a.st IS NULL THEN b.ng ELSE b.truth END AS g1
-FROM q ASOF LEFT JOIN s a ON q.time >= a.st ASOF LEFT JOIN s b ON q.time <= b.st)
-SELECT hit_id, g0 + CASE WHEN t0 = t1 THEN 0 ELSE CAST(trunc(((time - t0) / CAST(t1 - t0 AS DOUBLE)) * (g1 - g0)) AS BIGINT) END AS synced FROM e""")
+FROM q ASOF LEFT JOIN s a ON q.run_id = a.sr AND q.time >= a.st ASOF LEFT JOIN s b ON q.run_id = b.sr AND q.time <= b.st)
+SELECT run_id, hit_id, g0 + CASE WHEN t0 = t1 THEN 0 ELSE CAST(trunc(((time - t0) / CAST(t1 - t0 AS DOUBLE)) * (g1 - g0)) AS BIGINT) END AS synced FROM e""")
 def gps_extrapolate(spark, sf_dir):
     return _synced(spark, sf_dir, extrapolate=True)
 
@@ -250,13 +260,13 @@ def run_selection(spark, sf_dir):
     return c.join(o.where("o_totalprice > 100000"), "c_custkey", "left_semi").join(o.where("o_orderstatus = 'P'"), "c_custkey", "left_anti")
 
 
-@query("replace_merged", f"""WITH {HITS_SQL}, {EVENTS_SQL} SELECT hit_id AS id, time, endtime, false AS merged FROM hits h WHERE type = 1 OR NOT EXISTS (SELECT 1 FROM evts e WHERE h.time >= e.time AND h.endtime <= e.endtime)
-UNION ALL SELECT event_number, time, endtime, true FROM evts""")
+@query("replace_merged", f"""WITH {HITS_SQL}, {EVENTS_SQL} SELECT run_id, hit_id AS id, time, endtime, false AS merged FROM hits h WHERE type = 1 OR NOT EXISTS (SELECT 1 FROM evts e WHERE e.run_id = h.run_id AND h.time >= e.time AND h.endtime <= e.endtime)
+UNION ALL SELECT run_id, event_number, time, endtime, true FROM evts""")
 def replace_merged(spark, sf_dir):
     h, e = _events(spark, sf_dir)
     merged = e.select("run_id", "time", "endtime", F.col("event_number").alias("hit_id"), F.lit(2).alias("type"))
     out = merging.replace_merged(h.select("run_id", "time", "endtime", "hit_id", "type"), merged, width=WIDTH)
-    return out.select(F.col("hit_id").alias("id"), "time", "endtime", "merged")
+    return out.select("run_id", F.col("hit_id").alias("id"), "time", "endtime", "merged")
 
 
 @query("superrun_union", f"WITH {HITS_SQL} SELECT hit_id, time // (10 * {DAY}) AS sub_run FROM hits")
@@ -286,12 +296,12 @@ def orders_with_items(spark, sf_dir):
     return o.join(li, "o_orderkey").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_items"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("long") * F.round((1 - F.col("l_discount")) * 100).cast("long")).alias("revenue_e4"))
 
 
-@query("role_attach", None)
+@query("role_attach", f"""WITH b AS ({_BASICS}), {HITS_SQL} SELECT b.run_id, b.event_number, s1.channel AS s1_channel, s2.channel AS s2_channel, a1.channel AS alt_s1_channel, a2.channel AS alt_s2_channel, s2.k AS s2_k
+FROM b LEFT JOIN hits s1 ON s1.run_id = b.run_id AND s1.hit_id = b.s1_id LEFT JOIN hits s2 ON s2.run_id = b.run_id AND s2.hit_id = b.s2_id
+LEFT JOIN hits a1 ON a1.run_id = b.run_id AND a1.hit_id = b.alt_s1_id LEFT JOIN hits a2 ON a2.run_id = b.run_id AND a2.hit_id = b.alt_s2_id""")
 def role_attach(spark, sf_dir):
-    from chronofold.plans.interval_queries import _basics
-
-    h = hits(spark, sf_dir).select("hit_id", "channel", "k")
-    return ev.attach_by_role(_basics(spark, sf_dir), h, ["channel", "k"]).select("event_number", "s1_channel", "s2_channel", "alt_s1_channel", "alt_s2_channel", "s2_k")
+    h = hits(spark, sf_dir).select("run_id", "hit_id", "channel", "k")
+    return ev.attach_by_role(_basics(spark, sf_dir), h, ["channel", "k"]).select("run_id", "event_number", "s1_channel", "s2_channel", "alt_s1_channel", "alt_s2_channel", "s2_k")
 
 
 @query("s2_merge_islands", None)

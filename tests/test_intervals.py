@@ -73,9 +73,47 @@ def test_complement_has_no_overlap(spark):
 
 def test_starts_and_stops(spark):
     one = lambda rows: frame(spark, [(t, t + 1, i) for i, t in enumerate(rows)])
-    out = iv.pair_starts_stops(one([10, 20, 40, 90]), one([5, 30, 45]), 0, 100, width=7)
-    assert pairs(out) == [(0, 5), (20, 30), (40, 45), (90, 100)]
-    assert sum(r.veto_interval for r in out.collect()) == 5 + 10 + 5 + 10
+    out = iv.pair_starts_stops(one([20, 40, 90]), one([5, 30, 45]), 0, 100, width=7, name="busy_", artificial=one([50]))
+    assert pairs(out) == [(0, 5), (20, 30), (40, 45), (50, 51), (90, 100)]
+    assert {(r.time, r.veto_type, r.veto_interval) for r in out.collect()} >= {(50, "artificial_deadtime_veto", 1), (90, "busy_veto", 10)}
+    assert pairs(iv.pair_starts_stops(one([]), one([5]), 0, 100)) == [(0, 5)] and pairs(iv.pair_starts_stops(one([5]), one([]), 0, 100)) == [(5, 100)]
+    with pytest.raises(Exception, match="unequal numbers"):
+        iv.pair_starts_stops(one([10]), one([20, 30, 40]), 0, 100).collect()
+    with pytest.raises(Exception, match="starts after its stop"):
+        iv.pair_starts_stops(one([10, 20, 40, 90]), one([5, 30, 45]), 0, 100).collect()
+
+
+def test_runs_never_meet(spark):
+    """Two runs whose numbers and times are the same."""
+    two = lambda rows, names: spark.createDataFrame([(r, *x) for r in "ab" for x in rows[r]], f"run_id string, {names}")
+    windows = two({"a": [(0, 100, 0)], "b": [(0, 100, 0)]}, "time long, endtime long, event_number long")
+    spans = two({"a": [(10, 20, 1)], "b": [(30, 50, 1)]}, "time long, endtime long, hit_id long")
+    assert {(r.run_id, r.overlap) for r in iv.overlap_duration(windows, spans, "event_number").collect()} == {("a", 10), ("b", 20)}
+    right = two({"a": [(5, 6, 1)], "b": [(7, 8, 1)]}, "time long, endtime long, hit_id long")
+    got = iv.nearest(spans, right.withColumn("id", right.time), ["id"], None, "before").collect()
+    assert {(r.run_id, r.n_id) for r in got} == {("a", 5), ("b", 7)} and len(got) == 2
+    assert {(r.run_id, r.to_previous, r.to_next) for r in iv.distance_to_neighbours(right, spans, "hit_id").collect()} == {("a", None, 4), ("b", None, 22)}
+    inside = two({"a": [(10, 20, 1)], "b": [(300, 400, 1)]}, "time long, endtime long, hit_id long")
+    assert {(r.run_id, r.event_number) for r in iv.containing(inside, windows, "event_number", "hit_id").collect()} == {("a", 0), ("b", None)}
+    assert [r.run_id for r in iv.outside(inside, windows, "hit_id").collect()] == ["b"]
+    from chronofold.operators import monitor, neighbourhood
+
+    hits = two({"a": [(0, 5, 1, 7, 0), (10, 5, 2, 8, 0)], "b": [(0, 1, 1, 7, 0)]}, "time long, area long, hit_id long, channel long, event_number long")
+    assert {(r.run_id, r.area, r.n_hits, r.max_gap) for r in monitor.veto_event_properties(hits).collect()} == {("a", 10, 2, 10), ("b", 1, 1, None)}
+    peaks = hits.selectExpr("*", "time + 1 as endtime", "time as center_time", "2 as type")
+    assert {(r.run_id, r.hit_id, r.n_competing) for r in neighbourhood.competing(peaks, 100).collect()} == {("a", 1, 2), ("a", 2, 2), ("b", 1, 1)}
+
+
+def test_a_run_long_interval_costs_few_copies(spark):
+    """A day at a bucket width of a microsecond, beside short rows: all pairs, and no row is copied more than a few times."""
+    day = 86_400 * 10**9
+    things = frame(spark, [(i * 10**6, i * 10**6 + 10, i) for i in range(50)] + [(0, day, 99)])
+    windows = frame(spark, [(0, day, 1), (5 * 10**6, 5 * 10**6 + 3, 2), (10, 10**9, 3)], "time long, endtime long, w long")
+    got = {(r.hit_id, r.w_w) for r in iv.overlap_join(things, windows, width=1000).collect()}
+    rows = lambda df: [(r[1], r[2], r[3]) for r in df.collect()]
+    assert got == {(x[2], y[2]) for x in rows(things) for y in rows(windows) if x[0] < y[1] and y[0] < x[1]}
+    assert {r.hit_id for r in iv.overlap_join(things, windows, width=1000, how="contained").where("w_w = 1").collect()} == {*range(50), 99}
+    assert iv._spread(things, "time", "endtime", 1000).count() <= 5 * 51
 
 
 def test_router_rejects_unknown_channels(spark):

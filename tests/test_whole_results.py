@@ -41,7 +41,7 @@ def test_clock_goes_on_beyond_the_first_and_last_sync(spark):
 
 
 def test_gps_extrapolate_leaves_no_pulse_without_a_time(spark, events):
-    path = events([(1, 0, "signup", 1, 0), (2, 10, "error", 1, 0), (3, 15, "signup", 1, 0), (4, 20, "error", 1, 10), (5, 40, "signup", 1, 0)])
+    path = events([(3, 0, "signup", 1, 0), (6, 10, "error", 1, 0), (9, 15, "signup", 1, 0), (12, 20, "error", 1, 10), (15, 40, "signup", 1, 0)])
     start = 1_704_153_600 * 10**9
     got = {r.hit_id: r.synced - start - 5000 for r in registry.QUERIES["gps_extrapolate"](spark, path).collect()}
     assert got == {1: -10, 3: 15 * 10**9 + 5, 5: 40 * 10**9 + 30}
