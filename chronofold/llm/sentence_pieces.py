@@ -335,21 +335,22 @@ def _coded(pattern: str, block_bytes: int, scope_bytes: int):
     def run(batches):
         from pyspark import TaskContext
 
-        find, scope = re.compile(pattern).findall, TaskContext.get().partitionId() << 32
+        # With plain spaces the texts of most languages stay one byte a character here.
+        find, scope = re.compile(pattern.replace(SPACE, " ")).findall, TaskContext.get().partitionId() << 32
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-        known, spread = {}, 0
+        known, spread, number = {}, 0, 0
         keys, codes, sizes, new, held = [], [], [], [], 0
 
         def block():
             cols = [
-                pa.array([scope], pa.int64()), one(pa.concat_arrays(keys)), one(pa.array(sizes, pa.int32())), pa.array([_planes(np.concatenate(codes))], pa.binary()),
+                pa.array([scope], pa.int64()), pa.array([number], pa.int32()), one(pa.concat_arrays(keys)), one(pa.array(sizes, pa.int32())), pa.array([_planes(np.concatenate(codes))], pa.binary()),
                 pa.array([len(known) - len(new)], pa.int32()), one(pa.array(new, pa.string())),
             ]
-            return pa.RecordBatch.from_arrays(cols, names=["scope", "keys", "sizes", "codes", "base", "units"])
+            return pa.RecordBatch.from_arrays(cols, names=["scope", "part", "keys", "sizes", "codes", "base", "units"])
 
         # A few texts at a time, so a block ends soon after it is full and no list of words is long.
         for part in (x for batch in batches for x in _slices(batch, 256)):
-            found = [find(SPACE + t.replace(" ", SPACE)) if t else [] for t in part.column("text").to_pylist()]
+            found = [find(" " + t.replace(SPACE, " ")) if t else [] for t in part.column("text").to_pylist()]
             coded = pa.array([u for own in found for u in own], pa.string()).dictionary_encode()
             here = coded.dictionary.to_pylist()
             for unit in here:
@@ -363,9 +364,9 @@ def _coded(pattern: str, block_bytes: int, scope_bytes: int):
             if held >= block_bytes:
                 yield block()
                 spread += held
-                keys, codes, sizes, new, held = [], [], [], [], 0
+                keys, codes, sizes, new, held, number = [], [], [], [], 0, number + 1
                 if spread >= scope_bytes:
-                    known, spread, scope = {}, 0, scope + 1
+                    known, spread, scope, number = {}, 0, scope + 1, 0
         if sizes:
             yield block()
 
@@ -396,16 +397,21 @@ def _packed(batches):
 
 
 def _gathered(texts_of, most: int = 1 << 18):
-    """(keys, sizes, codes, known) -> one row per document; known has the ids of the scope's units by number. Documents of about
-    ``most`` units are gathered together; texts_of decodes their ids if it is given."""
+    """(part, keys, sizes, codes, known) by scope and part -> one row per document; the first part of a scope brings known, the ids of
+    its units by number. Documents of about ``most`` units are gathered together; texts_of decodes their ids if it is given."""
+
+    def ids_by_number(known):
+        number, lengths, values = (np.concatenate([np.empty(0, np.int32), *map(_unplanes, known.field(c).to_pylist())]) for c in ("codes", "sizes", "ids"))
+        first, length = np.zeros(len(number), dtype=np.int64), np.zeros(len(number), dtype=np.int64)
+        first[number], length[number] = np.cumsum(lengths) - lengths, lengths
+        return values, first, length
 
     def run(batches):
         for row in (x for batch in batches for x in _slices(batch, 1)):
-            keys, sizes, known = (row.column(c).flatten() for c in ("keys", "sizes", "known"))
+            keys, sizes = (row.column(c).flatten() for c in ("keys", "sizes"))
             codes = _unplanes(row.column("codes")[0].as_py())
-            number, lengths, values = (np.concatenate([np.empty(0, np.int32), *map(_unplanes, known.field(c).to_pylist())]) for c in ("codes", "sizes", "ids"))
-            first, length = np.zeros(len(number), dtype=np.int64), np.zeros(len(number), dtype=np.int64)
-            first[number], length[number] = np.cumsum(lengths) - lengths, lengths
+            if row.column("part")[0].as_py() == 0:
+                values, first, length = ids_by_number(row.column("known").flatten())
             units = np.concatenate([[0], np.cumsum(sizes.to_numpy())])
             at = 0
             while at < len(keys):
@@ -429,14 +435,15 @@ def encode_documents(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text:
     texts = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
     coded = texts.mapInArrow(
-        _coded(pieces.units, block_bytes, scope_bytes), f"scope long, keys array<{kind}>, sizes array<int>, codes binary, base int, units array<string>"
+        _coded(pieces.units, block_bytes, scope_bytes), f"scope long, part int, keys array<{kind}>, sizes array<int>, codes binary, base int, units array<string>"
     )
     blocks = materialize_by(coded, "coded-blocks", "scope")
-    distinct = blocks.select(F.explode("units").alias("unit")).distinct()
+    marked = F.translate("unit", " ", SPACE).alias("unit")
+    distinct = blocks.select(F.explode("units").alias("unit")).select(marked).distinct()
     numbered = materialize(distinct.select(F.monotonically_increasing_id().alias("uid"), "unit"), "units")
     table = materialize(encode_units(numbered, pieces), "unit-table")
     drop(numbered)
-    spread = blocks.select("scope", "base", F.posexplode("units").alias("at", "unit")).select("scope", (F.col("base") + F.col("at")).alias("code"), "unit")
+    spread = blocks.select("scope", "base", F.posexplode("units").alias("at", "unit")).select("scope", (F.col("base") + F.col("at")).alias("code"), marked)
     rounds = []
     for turn in range(ROUNDS):
         mine = F.pmod(F.xxhash64("unit"), F.lit(ROUNDS)) == turn
@@ -444,9 +451,10 @@ def encode_documents(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text:
         rounds.append(materialize(met.mapInArrow(_packed, "scope long, codes binary, sizes binary, ids binary"), "scope-ids"))
     drop(table)
     known = functools.reduce(DataFrame.unionByName, rounds).groupBy("scope").agg(F.collect_list(F.struct("codes", "sizes", "ids")).alias("known"))
-    joined = blocks.select("scope", "keys", "sizes", "codes").join(known, "scope", "left")
+    joined = blocks.select("scope", "part", "keys", "sizes", "codes").join(known, "scope", "left")
     nothing = F.array().cast("array<struct<codes:binary,sizes:binary,ids:binary>>")
-    whole = joined.select("keys", "sizes", "codes", F.coalesce("known", nothing).alias("known"))
+    first = F.when(F.col("part") == 0, F.coalesce("known", nothing))
+    whole = joined.select("scope", "part", "keys", "sizes", "codes", first.alias("known")).sortWithinPartitions("scope", "part")
     out = whole.mapInArrow(_gathered(_decoder(pieces) if decode else None), f"key {kind}, ids array<int>" + ", text string" * decode)
     return out.withColumnRenamed("key", key)
 
