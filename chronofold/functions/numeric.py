@@ -76,6 +76,14 @@ def binom_test(k: float, n: float, p: float) -> float:
     return min(max(value, 0.0), 1.0)
 
 
+def aft_probability(p: float, area: float, aft: float, discrete: bool = False) -> float:
+    """Probability of an S1's area fraction top under the expected one: a two-sided binomial test, or the density; NaN if unphysical."""
+    top = area * aft
+    if not (0 <= p <= 1 and 0 <= top <= area):
+        return math.nan
+    return float(np.exp(binom_logpmf(top, area, p))) if discrete else binom_test(top, area, p)
+
+
 def poisson_2nll(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
     """Modified Poisson -2 ln L per channel: 2 (mu - n + n ln(n / mu)); 0 where nothing is expected."""
     n, mu = np.asarray(observed, float), np.asarray(expected, float)

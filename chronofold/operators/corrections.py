@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 
@@ -48,39 +47,101 @@ def relative_light_yield(z: Column, rly: Column | float, slope: float, b: float)
     return r * (slope * (r - 1) * (z * z + b * z) + 1)
 
 
-#: The corrections of cS2, applied in this order; a variant's name lists those left out (fixed values).
-CS2_FACTORS = ("bias", "xy", "elife", "seg", "pi", "time")
+#: The corrections of cS2 in the order of application, and the sets of them that get a column: one digit for each correction, 1 if it
+#: is included (fixed values).
+CS2_FACTORS = ("bias", "xy", "segee", "pi", "relcy", "elife")
+CS2_VARIANTS = (
+    "111111", "100000", "110000", "101000", "111000", "110001", "000001", "010001",
+    "011101", "101101", "110101", "111001", "111100", "111101", "111110",
+)
 
 
-def cs2_variants(df: DataFrame, area: str, factors: dict[str, Column], out: str, without: Sequence[Sequence[str]] | None = None) -> DataFrame:
-    """cS2 with all factors, and with each listed set of factors left out: <out>, <out>_wo_<name>..."""
-    unknown = set(factors) - set(CS2_FACTORS)
-    if unknown:
-        raise ValueError(f"unknown corrections {sorted(unknown)}")
-    sets = without if without is not None else [(), *[(f,) for f in factors]]
-    cols = {}
-    for left_out in sets:
-        value = F.col(area).cast("double")
-        for name in CS2_FACTORS:
-            if name in factors and name not in left_out:
-                value = value * factors[name]
-        cols["_".join([out, *(["wo", *left_out] if left_out else [])])] = value
-    return df.withColumns(cols)
+def cs2_name(variant: str, out: str = "cs2") -> str:
+    """cs2 with all corrections, else cs2_w and the names of those included."""
+    included = [f for f, digit in zip(CS2_FACTORS, variant) if digit == "1"]
+    return out if len(included) == len(CS2_FACTORS) else "_".join([f"{out}_w", *included])
 
 
-def all_subsets(names: Sequence[str]) -> list[tuple[str, ...]]:
-    return [s for n in range(len(names) + 1) for s in itertools.combinations(names, n)]
+def corrected_s2(area: Column, aft: Column, factors: dict[str, Column], variants: Sequence[str] = CS2_VARIANTS, prefix: str = "") -> dict[str, Column]:
+    """Corrected area and area fraction top for each variant.
+
+    factors: bias, xy_top, xy_bottom, segee, relcy divide; pi multiplies the bottom part in the fraction; elife multiplies the area alone, so the
+    fraction stays known where there is no drift time. A correction that a variant leaves out counts as 1.
+    """
+    out, one = {}, F.lit(1.0)
+    for variant in variants:
+        on = {f for f, digit in zip(CS2_FACTORS, variant) if digit == "1"}
+        use = lambda name, group=None: factors[name] if (group or name) in on else one  # noqa: B023, E731
+        shared = use("bias") * use("segee")
+        top, bottom = area * aft / (shared * use("xy_top", "xy")), area * (1 - aft) / (shared * use("xy_bottom", "xy"))
+        name = cs2_name(variant)
+        out[f"{prefix}{name}"] = (top + bottom) / use("relcy") * use("elife")
+        out[f"{prefix}cs2_area_fraction_top{name[3:]}"] = F.try_divide(top, top + bottom * use("pi"))
+    return out
 
 
-def cs1(df: DataFrame, area: str, factors: dict[str, Column], out: str = "cs1") -> DataFrame:
-    """cS1 with all factors and with each one left out."""
-    cols = {}
+def corrected_s1(area: Column, factors: dict[str, Column], prefix: str = "") -> dict[str, Column]:
+    """cs1 divided by all factors (peakbias, xyz, time), and with each one left out: cs1_wo_<factor>corr."""
+    out = {}
     for skip in ("", *factors):
-        value = F.col(area).cast("double")
+        value = area
         for name, f in factors.items():
-            value = value if name == skip else value * f
-        cols[out if not skip else f"{out}_wo_{skip}"] = value
-    return df.withColumns(cols)
+            value = value if name == skip else value / f
+        out[f"{prefix}cs1" + (f"_wo_{skip}corr" if skip else "")] = value
+    return out
+
+
+def region_value(x: Column, y: Column, gain: float | dict, average: float | dict, efficiency: float | dict, half_width: float = 28.0, radius: float = 60.0) -> Column:
+    """gain / average * efficiency of the wire region AB or of CD; a number counts for both."""
+    both = lambda v: v if isinstance(v, dict) else {"ab": v, "cd": v}
+    g, m, e = both(gain), both(average), both(efficiency)
+    value = {r: g[r] / m[r] * e[r] for r in ("ab", "cd")}
+    return F.when(near_wires(x, y, half_width, radius), value["ab"]).otherwise(value["cd"])
+
+
+def corrected_areas(
+    events: DataFrame, maps: dict[str, Column], gain: float | dict, average: float | dict, efficiency: float | dict, pi_bottom: float, rel_charge_yield: float,
+    lifetime: float, rel_light: Column, half_width: float = 28.0, radius: float = 60.0,
+) -> DataFrame:
+    """events with corrected areas of the main and alternate S1 and S2, every variant.
+
+    maps: s1_bias, alt_s1_bias, s2_bias, alt_s2_bias (added to 1), s1_xyz, and for each prefix s2_xy_top and s2_xy_bottom, as columns (apply_map
+    gives them). The alternate S1 is corrected at the place of the event; the alternate S2 with its interaction's drift time.
+    """
+    cols: dict[str, Column] = {}
+    for p in ("", "alt_"):
+        cols |= corrected_s1(F.col(f"{p}s1_area").cast("double"), {"peakbias": 1 + maps[f"{p}s1_bias"], "xyz": maps["s1_xyz"], "time": rel_light}, p)
+        drift = F.col(f"{p}s2_interaction_drift_time" if p else "drift_time")
+        factors = {
+            "bias": 1 + maps[f"{p}s2_bias"], "xy_top": maps[f"{p}s2_xy_top"], "xy_bottom": maps[f"{p}s2_xy_bottom"],
+            "segee": region_value(F.col(f"{p}s2_x"), F.col(f"{p}s2_y"), gain, average, efficiency, half_width, radius), "pi": F.lit(float(pi_bottom)),
+            "relcy": F.lit(float(rel_charge_yield)), "elife": electron_lifetime(drift, lifetime),
+        }
+        cols |= corrected_s2(F.col(f"{p}s2_area").cast("double"), F.col(f"{p}s2_area_fraction_top").cast("double"), factors, prefix=p)
+    return events.withColumns(cols)
+
+
+def peak_corrections(
+    peaks: DataFrame, maps: dict[str, Column], gain: float | dict, average: float | dict, efficiency: float | dict, lifetime: float, drift_velocity: float, gate_time: float,
+    rel_light: float, half_width: float = 28.0, radius: float = 60.0,
+) -> DataFrame:
+    """peaks with the corrections of each one taken alone; what belongs to S2s is null for others, cs1_wo_xyzcorr and cs2_wo_xycorr
+    are 0 for peaks of another type."""
+    area, aft, drift = F.col("area").cast("double"), F.col("area_fraction_top").cast("double"), F.col("drift_time")
+    two = F.col("type") == 2
+    elife = electron_lifetime(drift, lifetime)
+    xy_top, xy_bottom = area * aft / maps["s2_xy_top"], area * (1 - aft) / maps["s2_xy_bottom"]
+    segee = region_value(F.col("x"), F.col("y"), gain, average, efficiency, half_width, radius)
+    top, bottom = xy_top / segee, xy_bottom / segee
+    of_s2 = {
+        "z_obs_ms": drift_velocity * (gate_time - drift), "s1_xyz_correction_factor": 1 / maps["s1_xyz"], "s1_rel_light_yield_correction_factor": F.lit(1 / rel_light),
+        "cs2_wo_timecorr": (xy_top + xy_bottom) * elife, "cs2_wo_elifecorr": top + bottom, "cs2_area_fraction_top": F.try_divide(top, top + bottom),
+        "cs2": (top + bottom) * elife, "cs2_bottom": bottom * elife,
+    }
+    return peaks.withColumns({
+        "cs1_wo_xyzcorr": F.when(F.col("type") == 1, area / (1 + maps["s1_bias"])).otherwise(0.0),
+        "cs2_wo_xycorr": F.when(two, area / (1 + maps["s2_bias"])).otherwise(0.0), **{k: F.when(two, v) for k, v in of_s2.items()},
+    })
 
 
 def event_positions(df: DataFrame, drift_velocity: float, gate: float, correction: str = "r_correction", z_bias: Column | None = None, prefix: str = "") -> DataFrame:

@@ -31,7 +31,7 @@ def find_peaklets(
     part = F.lit(0)
     if max_duration is not None:
         sizes = marked.groupBy(*by, "island").agg((F.max("endtime") - F.min("time") + left + right > max_duration).alias("long"))
-        sized = marked.join(sizes, [*by, "island"])
+        sized, columns = marked.join(sizes, [*by, "island"]), [*marked.columns, "part"]
 
         def cut(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["time", key])
@@ -41,7 +41,7 @@ def find_peaklets(
                     number, start = number + 1, None
                 start = t if start is None else start
                 parts.append(number)
-            return pdf.assign(part=parts)[[*marked.columns, "part"]]
+            return pdf.assign(part=parts)[columns]
 
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in marked.schema.fields)
         long = sized.where("long").drop("long").groupBy(*by, "island").applyInPandas(cut, f"{schema}, part int")

@@ -168,13 +168,13 @@ def event_display(events: DataFrame, peaks: DataFrame, run: str, number: int) ->
     return peaks.where((F.col("run_id") == run) & (F.col("time") < one.endtime) & (F.col("endtime") > one.time))
 
 
-def child_options(parent: Mapping, own: Mapping, renamed: Mapping[str, str]) -> dict:
-    """A child operator's options: the parent's, with those that have a name of their own taken from it. A new name that the parent
-    does not know raises."""
-    unknown = sorted(set(renamed.values()) - set(parent))
+def child_options(parent: Mapping, own: Mapping, inherits: Mapping[str, str]) -> dict:
+    """A child operator's options: the parent's, its own added, and those that inherit (child's name -> parent's name) put in the place of
+    the parent's. A name that the parent does not know raises."""
+    unknown = sorted(set(inherits.values()) - set(parent))
     if unknown:
         raise KeyError(f"the parent has no option {', '.join(unknown)}")
-    return dict(parent) | {old: own[new] for new, old in renamed.items() if new in own} | {k: v for k, v in own.items() if k not in renamed}
+    return dict(parent) | dict(own) | {old: own[new] for new, old in inherits.items() if new in own}
 
 
 def check_global_version(options: Mapping[str, object], global_version: str | None) -> None:

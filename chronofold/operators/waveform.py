@@ -180,34 +180,67 @@ def local_minimum_split(data: np.ndarray, min_height: float, min_ratio: float) -
     return [*cuts, (start, len(data))]
 
 
-def smooth(data: np.ndarray, width: int, power: float = 2.0) -> np.ndarray:
-    """Convolution with the normalised kernel (1 - |u|^power) over 2 * width + 1 samples."""
-    u = np.arange(-width, width + 1) / (width + 1)
-    kernel = 1 - np.abs(u) ** power
-    return np.convolve(data, kernel / kernel.sum(), mode="same")
+def smooth(data: np.ndarray, width: int, power: float = 3.0) -> np.ndarray:
+    """Convolution with the normalised kernel (1 - |i / width|^power)^power for i from -width to width."""
+    u = np.arange(-width, width + 1) / width
+    kernel = (1 - np.abs(u) ** power) ** power
+    return np.convolve(data, kernel / kernel.sum())[width : width + len(data)]
 
 
 def local_extrema(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of inner maxima and minima (of a plateau its first sample)."""
-    d = np.sign(np.diff(np.asarray(data, dtype=float)))
-    keep = np.flatnonzero(d)
-    turns = np.flatnonzero(np.diff(d[keep]) != 0)
-    at, kind = keep[turns] + 1, d[keep[turns]]
-    return at[kind > 0], at[kind < 0]
-
-
-def valley(data: np.ndarray) -> tuple[float, float]:
-    """(gap, depth) of the deepest valley between two maxima: samples between them, and the lower maximum less the minimum."""
-    tops, lows = local_extrema(data)
-    best = (0.0, 0.0)
-    for low in lows:
-        left, right = tops[tops < low], tops[tops > low]
-        if len(left) and len(right):
-            a, b = left[np.argmax(data[left])], right[np.argmax(data[right])]
-            depth = float(min(data[a], data[b]) - data[low])
-            if depth > best[1]:
-                best = (float(b - a), depth)
-    return best
+    """Places of the maxima and minima: where a sample is larger than the one before it, and the next one is not; and the reverse. What
+    comes before the first sample counts as zero."""
+    rises = np.diff(np.asarray(data, dtype=float), prepend=0.0) > 0
+    return np.flatnonzero(rises[:-1] & ~rises[1:]), np.flatnonzero(~rises[:-1] & rises[1:])
+
+
+def above_share(data: np.ndarray, share: float) -> tuple[int, int]:
+    """First and last (exclusive) sample of at least that share of the maximum."""
+    at = np.flatnonzero(data >= data.max() * share)
+    return int(at[0]), int(at[-1]) + 1
+
+
+def valley(data: np.ndarray, tops: np.ndarray, lows: np.ndarray, share: float = 0.9) -> tuple[int, float]:
+    """(gap, depth) of the deepest valley: the lower of its two maxima less its minimum, and the samples between the places where the
+    waveform falls to that share of the depth above the minimum after the first maximum, and rises over it again after the minimum.
+    Zeros unless every minimum lies between two maxima."""
+    if not len(lows) or len(tops) != len(lows) + 1:
+        return 0, 0.0
+    data = np.asarray(data, dtype=float)
+    depths = np.minimum(data[tops[:-1]], data[tops[1:]]) - data[lows]
+    k = int(np.argmax(depths))
+    level = data[lows[k]] + depths[k] * share
+    below = np.flatnonzero(data[tops[k] :] <= level)
+    above = np.flatnonzero(data[lows[k] :] > level)
+    left = int(tops[k] + below[0]) if len(below) else 0
+    right = int(lows[k] + above[0]) if len(above) else 0
+    return right - left, float(depths[k])
+
+
+def local_minimum_info(data: np.ndarray, dt: float = 1.0, divide: float = 7.0, power: float = 3.0, least: float = 0.1, share: float = 0.9) -> tuple[float, int, float, float]:
+    """(largest goodness of split, number of maxima, valley gap, valley depth over the smoothed maximum) of a peak.
+
+    It is smoothed over its 90 % width divided by ``divide``; extrema count where the smoothed peak has the least share of its maximum.
+    """
+    data = np.asarray(data, dtype=float)
+    if data.sum() <= 0:
+        return float("nan"), 0, float("nan"), float("nan")
+    cover = int(np.ceil(widths(data)[0][9] / divide))
+    smoothed = smooth(data, max(cover, 1), power)
+    left, right = above_share(smoothed, least)
+    tops, lows = (x[(x >= left) & (x < right)] for x in local_extrema(smoothed))
+    gap, depth = valley(smoothed, tops, lows, share)
+    return float(goodness_of_split(data[left:right]).max()), len(tops), gap * dt, depth / float(smoothed.max())
+
+
+def split_threshold(rise_time: Column, area: Column, s1_curve, s2_curve) -> Column:
+    """Threshold of the goodness of split: two curves over log10(area), mixed by how much the rise time (ns) looks like an S2's."""
+    from chronofold.functions.numeric import piecewise_linear
+
+    clip = lambda c, hi: F.least(F.greatest(c.cast("double"), F.lit(1.0)), F.lit(hi))
+    share = 1 / (1 + F.exp(-8 * F.log10(clip(rise_time, 1e5) / 100)))
+    size = F.log10(clip(area, 1e7))
+    return share * piecewise_linear(size, *zip(*s2_curve)) + (1 - share) * piecewise_linear(size, *zip(*s1_curve))
 
 
 def correct_saturation(data: np.ndarray, reference: np.ndarray, ceiling: float, before: int = 100, min_reference: float = 20.0) -> np.ndarray:

@@ -145,13 +145,79 @@ def energy_estimates(spark, sf_dir):
     return e.select("o_orderkey", F.round("e_light", 4).alias("e_light"), F.round("e_charge", 6).alias("e_charge"), F.round("e_ces", 4).alias("e_ces"))
 
 
-@query("cs2_variants", f"""WITH {HITS_SQL} SELECT hit_id, round(area * (1 + x / 100.0) * exp(k / 650.0) * 1.02, 4) AS cs2, round(area * exp(k / 650.0) * 1.02, 4) AS cs2_wo_xy,
-round(area * (1 + x / 100.0) * 1.02, 4) AS cs2_wo_elife, round(area * (1 + x / 100.0) * exp(k / 650.0), 4) AS cs2_wo_time FROM hits WHERE type = 2""")
-def cs2_variants(spark, sf_dir):
-    h = hits(spark, sf_dir).where("type = 2")
-    f = {"xy": 1 + F.col("x") / 100.0, "elife": co.electron_lifetime(F.col("k"), 650.0), "time": F.lit(1.02)}
-    out = co.cs2_variants(h, "area", f, "cs2")
-    return out.select("hit_id", *[F.round(c, 4).alias(c) for c in ("cs2", "cs2_wo_xy", "cs2_wo_elife", "cs2_wo_time")])
+def _as_events(h):
+    """Hits as events whose main signals have the hit's area and whose alternate ones have half of it."""
+    half = F.col("area") / 2.0
+    aft = (F.col("x") + 10) / 20.0
+    return h.select(
+        "run_id", "hit_id", F.col("area").cast("double").alias("s1_area"), half.alias("alt_s1_area"), F.col("area").cast("double").alias("s2_area"), half.alias("alt_s2_area"),
+        aft.alias("s2_area_fraction_top"), (aft / 2).alias("alt_s2_area_fraction_top"), F.col("x").alias("s2_x"), F.col("y").alias("s2_y"),
+        (F.col("x") * 3).alias("alt_s2_x"), (F.col("y") * 3).alias("alt_s2_y"), F.col("k").alias("drift_time"), (F.col("k") * 2).alias("alt_s2_interaction_drift_time"), (-F.col("k")).alias("z"),
+    )
+
+
+def _cs2_sql(p: str) -> str:
+    """One column for each variant and prefix, written out from the survey's order of corrections."""
+    area, aft, x, y, drift = ("area", "(x + 10) / 20.0", "x", "y", "k") if not p else ("(area / 2.0)", "((x + 10) / 40.0)", "(3 * x)", "(3 * y)", "(2 * k)")
+    u = f"({x} * cos(radians(30)) - {y} * sin(radians(30)))"
+    factor = {
+        "bias": f"(1 + {area} * 1e-6)", "xy": f"(1 + {x} / 200.0)", "segee": f"(CASE WHEN abs({u}) < 6 AND sqrt({x} * {x} + {y} * {y}) < 20 THEN 1.1 ELSE 0.9 END)", "pi": "0.95", "relcy": "1.02",
+        "elife": f"exp({drift} / 650.0)",
+    }
+    out = []
+    for v in co.CS2_VARIANTS:
+        f = {n: factor[n] if d == "1" else "1.0" for n, d in zip(co.CS2_FACTORS, v)}
+        top = f"({area} * {aft} / {f['bias']} / {f['xy']} / {f['segee']})"
+        bottom = f"({area} * (1 - {aft}) / {f['bias']} / {f['xy']} / {f['segee']})"
+        name = co.cs2_name(v)
+        out.append(f"round(({top} + {bottom}) / {f['relcy']} * {f['elife']}, 3) AS {p}{name}")
+        out.append(f"CASE WHEN area > 0 THEN round({top} / ({top} + {bottom} * {f['pi']}), 5) END AS {p}cs2_area_fraction_top{name[3:]}")
+    return ", ".join(out)
+
+
+_RLY = "(1.01 * (0.3 * 0.01 * (k * k - 2.0 * k) + 1))"
+
+
+def _cs1_sql(p: str) -> str:
+    area = "(area / 2.0)" if p else "area"
+    f = {"peakbias": f"(1 + {area} * 1e-6)", "xyz": "(1 + 0.001 * k)", "time": _RLY}
+    one = lambda skip: f"round({area} / " + " / ".join(v for k, v in f.items() if k != skip) + f", 3) AS {p}cs1" + (f"_wo_{skip}corr" if skip else "")
+    return ", ".join(one(s) for s in ("", *f))
+
+
+@query("corrected_areas", f"WITH {HITS_SQL} SELECT run_id, hit_id, {_cs1_sql('')}, {_cs1_sql('alt_')}, {_cs2_sql('')}, {_cs2_sql('alt_')} FROM hits WHERE type = 2")
+def corrected_areas(spark, sf_dir):
+    e = _as_events(hits(spark, sf_dir).where("type = 2"))
+    maps = {"s1_xyz": 1 - 0.001 * F.col("z")}
+    for p in ("", "alt_"):
+        maps |= {f"{p}s1_bias": F.col(f"{p}s1_area") * 1e-6, f"{p}s2_bias": F.col(f"{p}s2_area") * 1e-6, f"{p}s2_xy_top": 1 + F.col(f"{p}s2_x") / 200.0, f"{p}s2_xy_bottom": 1 + F.col(f"{p}s2_x") / 200.0}
+    light = co.relative_light_yield(F.col("z"), 1.01, 0.3, 2.0)
+    out = co.corrected_areas(e, maps, {"ab": 1.1, "cd": 0.9}, 1.0, 1.0, 0.95, 1.02, 650.0, light, 6.0, 20.0)
+    return out.select("run_id", "hit_id", *[F.round(c, 5 if "fraction" in c else 3).alias(c) for c in out.columns if c.removeprefix("alt_").startswith("cs")])
+
+
+@query("peak_corrections", f"""WITH {HITS_SQL}, f AS (SELECT *, (x + 10) / 20.0 AS aft, CASE WHEN abs(x * cos(radians(30)) - y * sin(radians(30))) < 6 AND sqrt(x * x + y * y) < 20 THEN 1.1 ELSE 0.9 END AS g FROM hits WHERE area > 0)
+SELECT run_id, hit_id, round(CASE WHEN type = 1 THEN area / (1 + area * 1e-6) ELSE 0 END, 3) AS cs1_wo_xyzcorr, round(CASE WHEN type = 2 THEN area / (1 + area * 2e-6) ELSE 0 END, 3) AS cs2_wo_xycorr,
+CASE WHEN type = 2 THEN round(CAST(0.675 AS DOUBLE) * (2.0 - k), 6) END AS z_obs_ms, CASE WHEN type = 2 THEN round(1 / (1 + 0.001 * k), 6) END AS s1_xyz_correction_factor, CASE WHEN type = 2 THEN round(1 / 1.01, 6) END AS s1_rel_light_yield_correction_factor,
+CASE WHEN type = 2 THEN round((area * aft / (1 + x / 200.0) + area * (1 - aft) / (1 + x / 300.0)) * exp(k / 650.0), 3) END AS cs2_wo_timecorr,
+CASE WHEN type = 2 THEN round((area * aft / (1 + x / 200.0) + area * (1 - aft) / (1 + x / 300.0)) / g, 3) END AS cs2_wo_elifecorr,
+CASE WHEN type = 2 THEN round((area * aft / (1 + x / 200.0)) / (area * aft / (1 + x / 200.0) + area * (1 - aft) / (1 + x / 300.0)), 5) END AS cs2_area_fraction_top,
+CASE WHEN type = 2 THEN round((area * aft / (1 + x / 200.0) + area * (1 - aft) / (1 + x / 300.0)) / g * exp(k / 650.0), 3) END AS cs2,
+CASE WHEN type = 2 THEN round(area * (1 - aft) / (1 + x / 300.0) / g * exp(k / 650.0), 3) END AS cs2_bottom FROM f""")
+def peak_corrections(spark, sf_dir):
+    h = hits(spark, sf_dir).where("area > 0").withColumns({"area_fraction_top": (F.col("x") + 10) / 20.0, "drift_time": F.col("k")})
+    maps = {"s1_bias": F.col("area") * 1e-6, "s2_bias": F.col("area") * 2e-6, "s1_xyz": 1 + 0.001 * F.col("k"), "s2_xy_top": 1 + F.col("x") / 200.0, "s2_xy_bottom": 1 + F.col("x") / 300.0}
+    out = co.peak_corrections(h, maps, {"ab": 1.1, "cd": 0.9}, 1.0, 1.0, 650.0, 0.675, 2.0, 1.01, 6.0, 20.0)
+    digits = {"cs2_area_fraction_top": 5, "z_obs_ms": 6, "s1_xyz_correction_factor": 6, "s1_rel_light_yield_correction_factor": 6}
+    names = ["cs1_wo_xyzcorr", "cs2_wo_xycorr", "cs2_wo_timecorr", "cs2_wo_elifecorr", "cs2", "cs2_bottom", *digits]
+    return out.select("run_id", "hit_id", *[F.round(c, digits.get(c, 3)).alias(c) for c in names])
+
+
+@query("split_threshold", f"""WITH {HITS_SQL}, m AS (SELECT *, 1 / (1 + exp(-8 * log10(least(greatest(k * 10.0, 1), 1e5) / 100))) AS s, log10(least(greatest(area, 1), 1e7)) AS a FROM hits)
+SELECT run_id, hit_id, round(s * CASE WHEN a <= 2 THEN 0.9 WHEN a <= 4 THEN 0.9 - 0.2 * (a - 2) ELSE 0.5 END + (1 - s) * CASE WHEN a <= 1 THEN 0.4 WHEN a <= 5 THEN 0.4 + 0.1 * (a - 1) ELSE 0.8 END, 6) AS threshold FROM m""")
+def split_threshold(spark, sf_dir):
+    t = wf.split_threshold(F.col("k") * 10.0, F.col("area"), ((1, 0.4), (5, 0.8)), ((2, 0.9), (4, 0.5)))
+    return hits(spark, sf_dir).select("run_id", "hit_id", F.round(t, 6).alias("threshold"))
 
 
 @query("event_positions", f"""WITH {HITS_SQL} SELECT hit_id, round(sqrt(x * x + y * y) + 0.01 * k, 6) AS r, round(CAST(-0.675 AS DOUBLE) * k - CAST(1.5 AS DOUBLE), 6) AS z,

@@ -32,13 +32,30 @@ def validate_times(rows: DataFrame, start: int, end: int) -> DataFrame:
     return rows.withColumn("time", F.when(bad, F.raise_error(F.lit("a record starts outside its chunk")).cast("long")).otherwise(F.col("time")))
 
 
-def dead_time(rows: DataFrame, min_gap: int, channel: int, width: int) -> DataFrame:
-    """Artificial dead-time rows where overlap regions hold no quiet gap of min_gap: spans of rows that follow each other more closely."""
-    from chronofold.operators.intervals import islands
-
-    marked = islands(rows.select("run_id", "time", "endtime"), "endtime", min_gap, ("run_id",), ("time", "endtime"), width, inclusive=False)
-    spans = marked.groupBy("run_id", "island").agg(F.min("time").alias("time"), F.max("endtime").alias("endtime"), F.count(F.lit(1)).alias("n"))
-    return spans.where("n > 1").select("run_id", "time", "endtime", F.lit(channel).alias("channel"))
+def split_overlap(rows: DataFrame, start: int, end: int, min_gap: int, reach: int, channel: int, part: str = "post", width: int | None = None) -> tuple[DataFrame, int]:
+    """The overlap region [start, end) of a chunk, cut at a quiet gap: (rows that belong to this side, break time).
+
+    Without rows within min_gap of the end the break is there. Else it is the first gap of min_gap between rows, not before start +
+    reach (what rows of the last chunk can extend to). Without such a gap the break is forced min_gap before the end: rows that stick
+    out go, and a row of artificial dead time on ``channel`` marks where data may be lost. part: "post" keeps what ends before the
+    break, "pre" what starts after it.
+    """
+    from chronofold.operators import ordered
+
+    last = rows.agg(F.max("endtime")).first()[0]
+    if last is None or last + min_gap < end:
+        cut, forced = end - min_gap, False
+    else:
+        runs = ordered.neighbours(rows.withColumn("_one", F.lit(1)), (), ("time",), ("_one",), ("time", "endtime"), width or max(min_gap, 10**9), reach="endtime")
+        until = F.greatest(F.coalesce("reach", F.col("endtime")), F.col("endtime"))
+        quiet = runs.where((F.col("next_time") - until >= min_gap) & (until >= start + reach)).agg(F.min(until)).first()[0]
+        cut, forced = (end - min_gap, True) if quiet is None else (quiet, False)
+    kept = rows.where(F.col("endtime") <= cut) if part == "post" else rows.where(F.col("time") >= cut)
+    if not forced:
+        return kept, cut
+    dead = (cut - reach, cut) if part == "post" else (cut, end)
+    mark = rows.sparkSession.range(1).select(F.lit(dead[0]).cast("long").alias("time"), F.lit(dead[1]).cast("long").alias("endtime"), F.lit(channel).cast("int").alias("channel"))
+    return (kept if part == "post" else kept.limit(0)).unionByName(mark, allowMissingColumns=True), cut
 
 
 def flip_baseline(rows: DataFrame) -> DataFrame:

@@ -63,15 +63,6 @@ def test_natural_breaks_split_two_boxes():
     assert len(parts) == 2 and 20 <= parts[0][1] <= 80
 
 
-def test_valleys_of_gaussians():
-    t = np.arange(200)
-    g = lambda a, b, s: np.exp(-0.5 * ((t - a) / s) ** 2) + np.exp(-0.5 * ((t - b) / s) ** 2)
-    one, two, three = g(75, 125, 15), g(75, 125, 20), g(50, 150, 20)
-    assert wf.local_extrema(one)[1][0] == 100
-    gaps, depths = zip(*(wf.valley(x) for x in (one, two, three)))
-    assert gaps[1] < gaps[0] < gaps[2] and depths[2] == max(depths)
-
-
 def test_saturation_and_afterpulses():
     ref = np.array([1.0] * 50 + [2, 8, 9, 4, 1])
     data = np.minimum(ref * 0.5, 2.0)
