@@ -1,79 +1,76 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-``measure`` adds the base counts of a text. ``plan_cascade`` runs every rule on a bounded sample,
-estimates what a row costs and which share of rows each rule rejects, and orders the rules by
-rejection per cost. ``apply_cascade`` folds them into one CASE: a rule is evaluated only for rows
-that all rules before it let through, and the base test, which every row pays for anyway, comes first. The
-verdict is a conjunction, so the order never changes it; only the cost depends on the estimates.
+A rule rejects rows by a count over their text. ``plan_cascade`` evaluates every rule on a bounded sample, in one job, and orders the
+rules by rejections per cost; ``cascade`` applies them one after the other, and a rule's counts, down to the splitting of the text
+into words, are computed only for rows that all rules before it let through. The verdict is a conjunction, so the order never
+changes it. Costs are work, not seconds: the bytes that a rule has to go over, times what its functions cost for a byte, so equal inputs give
+equal orders.
+
+``measure`` adds the base counts to every row, for reports; ``quality_cascade`` judges measured rows, and its rules take the counts that are
+there. ``keep_documents`` filters: it measures nothing beyond what the cascade asks for, and the base test is part of it.
 
 Defined cases: a null or empty text has no words and fails the base test; a null id is kept as it is;
-repeated rows are judged one by one; columns of the input whose names clash with measured ones are
-replaced in the result of ``measure``; an empty table gives an empty table (the cascade keeps its
-declared order).
+repeated rows are judged one by one; columns of the input whose names are those of measured ones are
+replaced in the result of ``measure``, all others are kept whatever their names; an empty table gives an empty table (the
+cascade keeps its declared order).
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import opaque, space_words, text_or_empty
+from chronofold.llm.common import ASCII_SPACE, opaque, space_words, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
+SAMPLE_ROWS = 512
 
 
 @dataclass(frozen=True)
-class Rule:
-    """rejects: a Column, true for a row that the rule rejects (null counts as false)."""
+class Count:
+    """A quantity of a text, in steps that are stored one by one (each step sees those before it by name), the last one being
+    the quantity; work: what a byte of text costs, in units of one look at it."""
 
     name: str
-    rejects: Callable[[], Column]
-
-
-def _share(part: Column, whole: Column, most: float) -> Column:
-    return part > F.lit(most) * whole
+    steps: tuple[tuple[str, Callable[[dict[str, Column]], Column]], ...]
+    work: float
 
 
-def _count_ascii(text: Column, char: str) -> Column:
-    """Occurrences of an ASCII character, as the bytes that its removal takes away."""
-    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
+@dataclass(frozen=True)
+class Rule:
+    """rejects: a Column over the counts that the rule needs, true for a row that it rejects (null counts as false)."""
 
+    name: str
+    needs: tuple[str, ...]
+    rejects: Callable[[dict[str, Column]], Column]
 
-#: The production rules on top of the base test; thresholds are shares of words, characters or lines.
-RULES = (
-    Rule("symbols", lambda: _share(F.col("n_symbols"), F.col("n_words"), 0.1)),
-    Rule("duplicate_lines", lambda: _share(F.col("n_dup_lines"), F.col("n_lines"), 0.5)),
-    Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 25 * F.col("n_words"))),
-    Rule("exclamation", lambda: _share(_count_ascii(F.col("text"), "!"), F.col("n_words"), 0.5)),
-    Rule("upper_case", lambda: _share(F.regexp_count("text", F.lit("[A-Z]{3,}")), F.col("n_words"), 0.5)),
-)
 
+def _share(part: Column, whole: Column, most: float) -> Column:
+    return part > F.lit(most) * whole
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside windows of five that occur twice or more in the text, the first occurrence included.
 
-    Windows become 64-bit hashes. Texts whose hashes are all distinct stop there. For the others the
-    (hash, place) pairs are sorted once, places with an equal neighbour are kept in order, and the
-    union of their five-word spans is summed.
-    """
+def _windows(words: Column) -> Column:
+    """64-bit hashes of all windows of five words; null for shorter texts."""
     n = F.size(words)
     places = F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1)))
-    hashes = F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + (k - 1)) for k in range(WINDOW)]))
-    return F.when(n >= WINDOW, hashes)
+    return F.when(n >= WINDOW, F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + (k - 1)) for k in range(WINDOW)])))
 
 
-def _covered(hashes: Column) -> Column:
-    return F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+def _ranked(hashes: Column) -> Column:
+    """(hash, place) in order, for texts in which some hash occurs twice; null for the others."""
+    twins = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    return F.when(twins, F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
 
 
 def _union_of_spans(ranked: Column) -> Column:
+    """Words inside windows that occur twice or more, the first occurrence included: places with an equal neighbour are kept
+    in order, and the union of their spans is summed."""
     last = F.size(ranked) - 1
     twin = F.filter(
         ranked,
@@ -87,60 +84,155 @@ def _union_of_spans(ranked: Column) -> Column:
         start,
         lambda acc, s: F.struct((acc["n"] + F.least(F.lit(WINDOW), s - acc["last"])).cast("long").alias("n"), s.alias("last")),
     )
-    return folded["n"]
+    return F.coalesce(F.when(ranked.isNotNull(), folded["n"]), F.lit(0).cast("long"))
+
+
+def _long(c: Column) -> Column:
+    return c.cast("long")
+
+
+_LINES = ("lines", lambda m: F.regexp_extract_all(m["text"], F.lit("[^\\n]*[^ \\t-\\r][^\\n]*"), F.lit(0)))
+
+#: All quantities. Their work is measured once (seconds for a byte against those of one regular expression), not at run time.
+COUNTS = {
+    c.name: c
+    for c in (
+        Count("n_words", (("n_words", lambda m: _long(F.regexp_count(m["text"], F.lit("[^ \\t-\\r]+")))),), 1.0),
+        Count("word_chars", (("word_chars", lambda m: _long(F.length(F.translate(m["text"], ASCII_SPACE, "")))),), 1.5),
+        Count("n_symbols", (("n_symbols", lambda m: _long(F.regexp_count(m["text"], F.lit(f"[{SYMBOLS}]")))),), 0.8),
+        Count("n_lines", (_LINES, ("n_lines", lambda m: _long(F.size(m["lines"])))), 1.5),
+        Count("n_dup_lines", (_LINES, ("n_dup_lines", lambda m: _long(F.size(m["lines"]) - F.size(F.array_distinct(m["lines"]))))), 1.6),
+        Count("n_bangs", (("n_bangs", lambda m: _long(F.octet_length(m["text"]) - F.octet_length(F.replace(m["text"], F.lit("!"), F.lit(""))))),), 0.1),
+        Count("n_shouts", (("n_shouts", lambda m: _long(F.regexp_count(m["text"], F.lit("[A-Z]{3,}")))),), 0.8),
+        Count(
+            "n_repeat_words",
+            (
+                ("words", lambda m: space_words(m["text"])), ("hashes", lambda m: _windows(m["words"])), ("ranked", lambda m: _ranked(m["hashes"])),
+                ("n_repeat_words", lambda m: _union_of_spans(m["ranked"])),
+            ),
+            12.0,
+        ),
+    )
+}
+
+#: The base test, as rules of the cascade.
+BASE = (
+    Rule("short", ("n_words",), lambda m: m["n_words"] < MIN_WORDS),
+    Rule("repeats", ("n_words", "n_repeat_words"), lambda m: 100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"]),
+)
+#: The production rules on top of it; thresholds are shares of words, characters or lines.
+RULES = (
+    Rule("symbols", ("n_words", "n_symbols"), lambda m: _share(m["n_symbols"], m["n_words"], 0.1)),
+    Rule("duplicate_lines", ("n_lines", "n_dup_lines"), lambda m: _share(m["n_dup_lines"], m["n_lines"], 0.5)),
+    Rule("word_length", ("n_words", "word_chars"), lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 25 * m["n_words"])),
+    Rule("exclamation", ("n_words", "n_bangs"), lambda m: _share(m["n_bangs"], m["n_words"], 0.5)),
+    Rule("upper_case", ("n_words", "n_shouts"), lambda m: _share(m["n_shouts"], m["n_words"], 0.5)),
+)
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
+class _Sheet:
+    """A table of rows and the counts that it has so far, under names that no column of the input has."""
+
+    def __init__(self, rows: DataFrame, text: str, have: Sequence[str] = ()):
+        self.taken = set(rows.columns)
+        self.own: list[str] = []
+        self.names: dict[str, str] = {c: c for c in have}
+        self.rows = rows
+        self.add("text", text_or_empty(text), opaquely=False)
+
+    def fresh(self, name: str) -> str:
+        while name in self.taken:
+            name = f"_{name}"
+        self.taken.add(name)
+        self.own.append(name)
+        return name
+
+    def add(self, name: str, value: Column, opaquely: bool = True) -> None:
+        self.names[name] = self.fresh(f"_{name}")
+        self.rows = self.rows.withColumn(self.names[name], opaque(value) if opaquely else value)
+
+    def columns(self) -> dict[str, Column]:
+        return {k: F.col(v) for k, v in self.names.items()}
+
+    def count(self, name: str, alive: Column | None = None) -> None:
+        """Adds a count with its steps, for the rows alive."""
+        for step, value in COUNTS[name].steps:
+            if step not in self.names:
+                # Where the words are there, they are counted.
+                found = _long(F.size(self.columns()["words"])) if step == "n_words" and "words" in self.names else value(self.columns())
+                self.add(step, found if alive is None else F.when(alive, found))
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed; one narrow pass."""
-    t = text_or_empty(text)
-    lines = F.regexp_extract_all(t, F.lit("[^\\n]*[^ \\t-\\r][^\\n]*"), F.lit(0))
-    out = docs.withColumn("_words", opaque(space_words(t))).withColumn("_lines", opaque(lines))
-    out = out.withColumn("_hashes", opaque(_repeat_words(F.col("_words"))))
-    twins = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    out = out.withColumn("_ranked", opaque(F.when(twins, _covered(F.col("_hashes")))))
-    out = out.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-        "n_symbols": F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": opaque(F.coalesce(F.when(F.col("_ranked").isNotNull(), _union_of_spans(F.col("_ranked"))), F.lit(0).cast("long"))),
-    })
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed).drop("_words", "_lines", "_hashes", "_ranked")
-
-
-def plan_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 512, key: str = "doc_id") -> list[Rule]:
-    """rules ordered by rejections per second on a sample of at most sample_rows rows.
-
-    The sample is a hash slice of the key, cut at sample_rows. It only sets the order of evaluation.
+    sheet = _Sheet(docs, text)
+    for name in reversed(REPORTED):
+        sheet.count(name)
+    m = sheet.columns()
+    failed = F.lit(False)
+    for rule in BASE:
+        failed = failed | rule.rejects(m)
+    out = sheet.rows.withColumns({**{n: m[n] for n in REPORTED}, "base_failed": failed})
+    return out.drop(*sheet.own)
+
+
+def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, have: Sequence[str] = (), sample_rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text") -> list[Rule]:
+    """rules ordered by rejections per cost on a sample of at most sample_rows rows; the declared order on ties and without rows.
+
+    The sample is a hash slice of rows, cut at sample_rows. It only sets the order of evaluation. have: counts that the rows have, which
+    cost nothing; a rule's cost is the work of its other counts over the sample's bytes, and a look at the row.
     """
-    picked = docs.where(F.pmod(F.xxhash64(F.col(key)), F.lit(8)) == 0).limit(sample_rows)
-    sample = measure(picked).where(~F.col("base_failed")).persist()
-    try:
-        rows = sample.count()
-        if not rows:
-            return list(rules)
-        timed = {}
-        for name, test in [("", F.lit(False)), *((r.name, r.rejects()) for r in rules)]:
-            began = time.perf_counter()
-            hits = sample.agg(F.count_if(F.coalesce(test, F.lit(False)))).first()[0]
-            timed[name] = (time.perf_counter() - began, hits / rows)
-        idle = timed[""][0]
-        gain = {r.name: timed[r.name][1] / max(timed[r.name][0] - idle, 1e-4) for r in rules}
-        return sorted(rules, key=lambda r: -gain[r.name])
-    finally:
-        sample.unpersist()
-
-
-def apply_cascade(measured: DataFrame, ordered: list[Rule]) -> DataFrame:
-    """measured with kept and rejected_by (the first rule that rejects; null for kept rows)."""
-    case = F.when(F.col("base_failed"), F.lit("base"))
+    picked = docs.where(F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(8)) == 0).limit(sample_rows)
+    sheet = _Sheet(picked, text, have)
+    needed = [n for n in dict.fromkeys(n for r in rules for n in r.needs) if n not in have]
+    for name in needed:
+        sheet.count(name)
+    m = sheet.columns()
+    size = F.sum(F.octet_length(m["text"]).cast("double"))
+    found = sheet.rows.agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes"), *[F.count_if(F.coalesce(r.rejects(m), F.lit(False))).alias(r.name) for r in rules]).first()
+    if not found["rows"]:
+        return list(rules)
+
+    def gain(rule: Rule) -> float:
+        work = sum(COUNTS[n].work for n in rule.needs if n not in have and n != "n_words")
+        return found[rule.name] / (found["rows"] + work * found["bytes"])
+
+    return sorted(rules, key=lambda r: -gain(r))
+
+
+def cascade(docs: DataFrame, ordered: Sequence[Rule], have: Sequence[str] = (), text: str = "text", out: str = "rejected_by", first: Column | None = None) -> DataFrame:
+    """docs with ``out``: the first rule that rejects a row, null for kept ones. first: a verdict that is known before."""
+    sheet = _Sheet(docs, text, have)
+    columns = [c for c in docs.columns if c != out]
+    sheet.add("verdict", first if first is not None else F.lit(None).cast("string"))
+    if "n_words" not in sheet.names:
+        sheet.count("n_words")
     for rule in ordered:
-        case = case.when(F.coalesce(rule.rejects(), F.lit(False)), F.lit(rule.name))
-    return measured.withColumn("rejected_by", case).withColumn("kept", F.col("rejected_by").isNull())
+        verdict = F.col(sheet.names["verdict"])
+        alive = verdict.isNull()
+        for name in rule.needs:
+            sheet.count(name, alive)
+        rejected = F.coalesce(rule.rejects(sheet.columns()), F.lit(False))
+        sheet.add("verdict", F.when(alive & rejected, F.lit(rule.name)).otherwise(verdict))
+    return sheet.rows.select(*columns, F.col(sheet.names["verdict"]).alias(out))
+
 
+def apply_cascade(measured: DataFrame, ordered: Sequence[Rule], text: str = "text") -> DataFrame:
+    """measured with kept and rejected_by (the first rule that rejects, "base" for the base test; null for kept rows)."""
+    judged = cascade(measured, ordered, REPORTED, text, first=F.when(F.col("base_failed"), F.lit("base")))
+    return judged.withColumn("kept", F.col("rejected_by").isNull())
 
-def quality_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id") -> DataFrame:
+
+def quality_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Measure, plan on a sample, and judge every row."""
-    return apply_cascade(measure(docs), plan_cascade(docs, rules, key=key))
+    return apply_cascade(measure(docs, text), plan_cascade(docs, rules, key=key, text=text), text)
+
+
+def keep_documents(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that no rule rejects, with their columns."""
+    verdict = "_verdict"
+    while verdict in docs.columns:
+        verdict = f"_{verdict}"
+    judged = cascade(docs, plan_cascade(docs, rules, key=key, text=text), text=text, out=verdict)
+    return judged.where(F.col(verdict).isNull()).select(*docs.columns)

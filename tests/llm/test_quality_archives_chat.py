@@ -42,6 +42,32 @@ def test_cascade_order_never_changes_the_verdict(spark):
     assert kept[0] == kept[1] == [True, False, False, False]
 
 
+def rejected(t):
+    n, chars, symbols, copies, _, failed = brute(t)
+    lines = len([x for x in t.split("\n") if x.strip(" \t\n\x0b\f\r")])
+    return failed or symbols > 0.1 * n or copies > 0.5 * lines or chars < 2 * n or chars > 25 * n or t.count("!") > 0.5 * n or len(re.findall("[A-Z]{3,}", t)) > 0.5 * n
+
+
+def test_filter_in_any_order_keeps_what_brute_force_keeps(spark):
+    plain = "good words make up this fairly plain sentence about nothing much"
+    texts = [*TEXTS, plain, plain.upper(), plain.replace(" ", "! "), "a# b# c# d# e# f# g# h# i# j# k#", "\n".join([plain] * 3), plain + " é" * 40_000, " ".join(f"wörd{i}" for i in range(60_000))]
+    docs = spark.createDataFrame([*enumerate(texts), (None, plain), (None, plain)], "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("_verdict", "_words", "_text", "words", "rejected_by", "n_words")})
+    want = sorted((str(i), t) for i, t in [*enumerate(texts), (None, plain), (None, plain)] if not rejected(t or ""))
+    everything = (*quality_rules.BASE, *quality_rules.RULES)
+    for rules in (everything, everything[::-1]):
+        judged = quality_rules.cascade(docs, rules, out="why")
+        assert sorted((str(r.doc_id), r.text) for r in judged.where("why is null").collect()) == want
+    kept = quality_rules.keep_documents(docs)
+    assert kept.columns == docs.columns and sorted((str(r.doc_id), r.text) for r in kept.collect()) == want and "Python" not in kept._jdf.queryExecution().toString()
+    assert quality_rules.keep_documents(docs.limit(0)).count() == 0
+
+
+def test_the_order_follows_rejections_per_cost_and_is_the_same_again(spark):
+    docs = spark.createDataFrame([(i, "AAA BBB CCC DDD EEE FFF GGG HHH III JJJ KKK" if i % 2 else f"plain words of text number {i} that is long enough for any rule here") for i in range(400)], "doc_id long, text string")
+    orders = [[r.name for r in quality_rules.plan_cascade(docs, (*quality_rules.BASE, *quality_rules.RULES))] for _ in range(2)]
+    assert orders[0] == orders[1] and orders[0][0] == "upper_case" and orders[0].index("short") < orders[0].index("symbols")
+
+
 def test_quality_empty_table(spark):
     assert quality_rules.quality_cascade(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
