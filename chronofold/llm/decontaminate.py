@@ -1,22 +1,23 @@
 """Benchmark decontamination over a distributed positional inverted index, in DataFrame functions only.
 
-1. Benchmark texts become distinct windows of ten words (shorter items: one window).
-2. One pass over the training texts counts how often each test term occurs.
-3. ``build_index`` stores the postings (term, doc, place) of the two rarest terms of every window; they
-   are written where they were read, without a shuffle.
-4. ``phrase_candidates`` takes the postings of the rarest term, subtracts its offset to get a start,
-   and intersects with the offset-adjusted postings of the next rarest.
-5. ``contamination`` compares whole windows at the surviving starts and sums the words they cover.
-``near_passages`` answers from postings of its own which documents hold, within a span, the two rarest terms of a window
-among those that occur at all: a window with a word that no document has can be near one, though it is nowhere as a phrase.
-
-Test terms and windows are broadcast only if their measured number is within BROADCAST_ROWS; beyond it the
-same joins shuffle.
+1. ``store_rows`` writes the training rows once, each under a number of its own; ``build_index`` splits their texts, once, and writes the
+   postings (term, row, place) of every token where they are read, as sorted segments: no posting is shuffled.
+2. Benchmark texts become distinct numbered windows of ten words (shorter items: one window).
+3. ``term_counts`` reads from the index how often each test term occurs.
+4. ``phrase_matches`` takes the postings of a window's rarest term, subtracts its offset to get a start, intersects with the
+   offset-adjusted postings of the next rarest, and then with those of all other terms: a start at which every term of the window stands in
+   its place is an exact match.
+5. ``contamination`` sums the words that matches cover and lists their items, per row.
+``near_matches`` answers from the same index which rows hold, within a span, the two rarest terms of a window among those that occur at all:
+a window with a word that no document has can be near one, though it is nowhere as a phrase.
+
+Tables made from the benchmark, and the rows that have candidates, are broadcast only if their measured size is within BROADCAST_BYTES; beyond
+it the same joins shuffle.
 
 Defined cases: null and empty texts have no words, windows or hits; items without words match nothing;
-repeated rows are judged one by one (postings of equal ids are pooled, and every start is verified on the
-row's own words); null ids are kept and matched as equal to each other; windows with equal words belong to
-every item that has them; empty tables give no hits; other columns are ignored.
+repeated rows, equal ids and null ids are judged row by row; windows with equal words belong to
+every item that has them; empty tables give no hits; other columns are ignored, or carried if they are named in ``extra``, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -24,13 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import LOWER, UPPER, materialize, opaque, text_or_empty
+from chronofold.llm.common import LOWER, UPPER, drop, materialize, opaque, text_or_empty
 
 WINDOW = 10
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 #: Separators before lower-casing: everything of ASCII but digits and letters.
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 
 def _lower(word: Column) -> Column:
@@ -42,104 +42,114 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(_lower(text), SEPARATORS), lambda w: w != "")
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table whose measured row count is within the bound."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def bounded(table: DataFrame) -> DataFrame:
+    """Broadcast a stored table whose measured size is within the bound."""
+    width = F.lit(32)
+    for f in table.schema.fields:
+        width = width + (F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.simpleString() == "string" else F.lit(16))
+    size = table.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
-def benchmark_windows(items: DataFrame, size: int = WINDOW, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(win, items): each distinct window, and the sorted ids (as strings) of the items that have it."""
+def benchmark_windows(items: DataFrame, size: int = WINDOW, item: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Two stored tables: (win, off, term, n), the terms of each distinct window of n words, and (win, item), the items (as
+    strings) that have it."""
     words = items.select(F.col(item).cast("string").alias("item"), opaque(words_of(text_or_empty(text))).alias("words"))
     n = F.size("words")
     starts = F.sequence(F.lit(1), F.greatest(n - (size - 1), F.lit(1)))
-    windows = words.where(n > 0).select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, size))).alias("win"))
-    return windows.groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    found = words.where(n > 0).select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, size))).alias("words")).distinct()
+    numbered = materialize(found.select("words").distinct().select(F.monotonically_increasing_id().alias("win"), "words"), "windows")
+    owners = materialize(found.join(numbered, "words").select("win", "item"), "window-items")
+    terms = numbered.select("win", F.size("words").alias("n"), F.posexplode("words").alias("off", "term"))
+    return materialize(terms.select("win", "off", "term", "n"), "window-terms"), owners
 
 
-def places(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, place, term) of every word; place counts from 0."""
-    split = F.split(text_or_empty(text), SEPARATORS)
+def store_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", extra: tuple = ()) -> DataFrame:
+    """(row, key, text, extra) of every row, stored; row is a number that no other row has, key a struct of the key alone."""
+    carried = F.struct(F.col(key).alias("key"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(extra)])
+    return materialize(docs.select(F.monotonically_increasing_id().alias("row"), carried.alias("carried"), text_or_empty(text).alias("text")), "rows")
+
+
+def build_index(rows: DataFrame) -> DataFrame:
+    """The stored postings (term, row, place) of every token; place counts from 0."""
     # A leading separator leaves one empty string in front, a trailing one behind; neither is a word.
-    cut = docs.select(F.col(key).alias("doc"), opaque(split).alias("words"))
-    out = cut.select("doc", F.posexplode("words").alias("at", "word"), F.when(F.get("words", F.lit(0)) == "", 1).otherwise(0).alias("lead"))
-    return out.where("word <> ''").select("doc", (F.col("at") - F.col("lead")).alias("place"), _lower(F.col("word")).alias("term"))
+    cut = rows.select("row", opaque(F.split("text", SEPARATORS)).alias("words"))
+    spread = cut.select("row", F.posexplode("words").alias("at", "word"), F.when(F.get("words", F.lit(0)) == "", 1).otherwise(0).alias("lead"))
+    postings = spread.where("word <> ''").select(_lower(F.col("word")).alias("term"), "row", (F.col("at") - F.col("lead")).alias("place"))
+    return materialize(postings.sortWithinPartitions("term"), "postings")
 
 
-def term_counts(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(term, n): occurrences over all documents of each term of the windows (0 if none)."""
-    terms = windows.select(F.explode("win").alias("term")).distinct()
-    seen = places(docs, key, text).select("term").join(_bounded(terms, terms.count()), "term", "left_semi")
-    return terms.join(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term", "left").select("term", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+def term_counts(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """(term, n): occurrences over all documents of each term of the windows that has any; stored."""
+    terms = materialize(windows.select("term").distinct(), "test-terms")
+    seen = index.select("term").join(bounded(terms), "term", "left_semi")
+    return materialize(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n_seen")), "term-counts")
 
 
-def _ranked(windows: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """windows with win_id; (win_id, r): the terms of each, rarest first, as structs of n, term, off."""
-    numbered = windows.withColumn("win_id", F.xxhash64(F.to_json("win")))
-    spread = numbered.select("win_id", F.posexplode("win").alias("off", "term")).join(counts, "term")
-    return numbered, spread.groupBy("win_id").agg(F.sort_array(F.collect_list(F.struct("n", "term", "off"))).alias("r"))
+def _ranked(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """(win, n, r): the terms of each window that occur, rarest first, as structs of n_seen, term, off; at most ten."""
+    met = windows.join(counts, "term")
+    return met.groupBy("win", "n").agg(F.sort_array(F.collect_list(F.struct("n_seen", "term", "off"))).alias("r"))
 
 
 def choose_anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """windows with their two rarest terms and their offsets: t1, o1, t2, o2 (t2 is null in one-word windows).
+    """(win, n, t1, o1, t2, o2): the two rarest terms of each window and their offsets (t2 is null in one-word windows); stored.
 
     A window with a term that no document has matches nowhere as a phrase and is left out.
     """
-    numbered, ranked = _ranked(windows, counts)
     first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
-    picked = ranked.where(first["n"] > 0).select(
-        "win_id", first["term"].alias("t1"), first["off"].alias("o1"), second["term"].alias("t2"), second["off"].alias("o2")
-    )
-    return numbered.join(picked, "win_id")
+    whole = _ranked(windows, counts).where(F.size("r") == F.col("n"))
+    return materialize(whole.select("win", "n", first["term"].alias("t1"), first["off"].alias("o1"), second["term"].alias("t2"), second["off"].alias("o2")), "anchors")
 
 
 def choose_pairs(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """(win_id, win, items, t1, t2): the two rarest terms among those that documents have; windows with fewer than two have none."""
-    numbered, ranked = _ranked(windows, counts)
-    # A term that a window repeats stands at several offsets; one is enough here.
-    seen = F.array_distinct(F.transform(F.filter("r", lambda x: x["n"] > 0), lambda x: x["term"]))
-    pairs = ranked.select("win_id", F.get(seen, F.lit(0)).alias("t1"), F.get(seen, F.lit(1)).alias("t2")).where("t2 is not null")
-    return numbered.join(pairs, "win_id")
+    """(win, t1, t2): the two rarest different terms among those that documents have; windows with fewer than two have none. Stored."""
+    seen = F.array_distinct(F.transform("r", lambda x: x["term"]))
+    pairs = _ranked(windows, counts).select("win", F.get(seen, F.lit(0)).alias("t1"), F.get(seen, F.lit(1)).alias("t2"))
+    return materialize(pairs.where("t2 is not null"), "pairs")
 
 
-def build_index(docs: DataFrame, anchors: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The stored postings (term, doc, place) of all anchor terms."""
-    terms = anchors.select(F.explode(F.array_compact(F.array("t1", "t2"))).alias("term")).distinct()
-    kept = places(docs, key, text).join(_bounded(terms, terms.count()), "term", "left_semi")
-    return materialize(kept.select("term", "doc", "place"), "postings")
+def _postings_of(index: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The stored postings of the terms t1 and t2."""
+    terms = materialize(chosen.select(F.explode(F.array_compact(F.array("t1", "t2"))).alias("term")).distinct(), "chosen-terms")
+    return materialize(index.join(bounded(terms), "term", "left_semi"), "chosen-postings")
 
 
-def phrase_candidates(index: DataFrame, anchors: DataFrame, n_anchors: int) -> DataFrame:
-    """(doc, start, win, items): starts at which both rarest terms of a window stand in their places."""
-    rarest = index.join(_bounded(anchors, n_anchors), F.col("term") == F.col("t1"))
-    starts = rarest.select("doc", (F.col("place") - F.col("o1")).alias("start"), "t2", "o2", "win", "items").where("start >= 0")
-    second = index.select(F.col("term").alias("term2"), F.col("doc").alias("doc2"), F.col("place").alias("place2"))
-    meets = (
-        F.col("doc").eqNullSafe(F.col("doc2")) & (F.col("start") + F.col("o2") == F.col("place2")) & (F.col("t2") == F.col("term2"))
-    )
-    two = starts.where("t2 is not null").join(second, meets, "left_semi")
-    return two.unionByName(starts.where("t2 is null")).select("doc", "start", "win", "items").distinct()
+def phrase_matches(index: DataFrame, windows: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(row, start, n, win): all exact occurrences of the windows; stored."""
+    lists = _postings_of(index, anchors)
+    rarest = lists.join(bounded(anchors), F.col("term") == F.col("t1"))
+    starts = rarest.select("row", (F.col("place") - F.col("o1")).alias("start"), "t2", "o2", "win", "n").where("start >= 0")
+    second = lists.select(F.col("term").alias("t2"), "row", (F.col("place")).alias("place2"))
+    two = starts.where("t2 is not null").withColumn("place2", F.col("start") + F.col("o2")).join(second, ["t2", "row", "place2"], "left_semi")
+    some = materialize(two.unionByName(starts.where("t2 is null").withColumn("place2", F.lit(None).cast("int"))).select("row", "start", "n", "win").distinct(), "candidates")
+    # All terms of a candidate must stand in their places; only rows that have a candidate are looked at.
+    places = some.join(bounded(windows.drop("n")), "win").select("row", (F.col("start") + F.col("off")).alias("place"), "term", "start", "n", "win")
+    near = index.join(bounded(materialize(some.select("row").distinct(), "candidate-rows")), "row", "left_semi")
+    met = places.join(near, ["row", "place", "term"]).groupBy("row", "start", "n", "win").agg(F.count(F.lit(1)).alias("met"))
+    return materialize(met.where(F.col("met") == F.col("n")).drop("met"), "matches")
 
 
-def _pair_distances(index: DataFrame, pairs: DataFrame, span: int) -> DataFrame:
-    """(t1, t2, doc, distance): documents with both terms of a pair at most span words apart; the least distance.
+def _pair_distances(postings: DataFrame, pairs: DataFrame, span: int) -> DataFrame:
+    """(t1, t2, row, distance): rows with both terms of a pair at most span words apart; the least distance.
 
     Postings are met per band of span places, so a frequent pair in one long text is not crossed with itself.
     """
-    one = index.join(pairs.select("t1", "t2"), F.col("term") == F.col("t1")).select("doc", F.col("place").alias("p1"), "t1", "t2")
+    one = postings.join(bounded(pairs), F.col("term") == F.col("t1")).select("row", F.col("place").alias("p1"), "t1", "t2")
     one = one.withColumn("band", F.explode(F.expr(f"sequence(p1 div {span} - 1, p1 div {span} + 1)")))
-    two = index.select(F.col("term").alias("term2"), F.col("doc").alias("doc2"), F.col("place").alias("p2"), F.expr(f"place div {span}").alias("band2"))
-    meets = F.col("doc").eqNullSafe(F.col("doc2")) & (F.col("t2") == F.col("term2")) & (F.col("band") == F.col("band2"))
-    near = one.join(two, meets).where((F.abs(F.col("p1") - F.col("p2")) <= span) & (F.col("p1") != F.col("p2")))
-    return near.groupBy("t1", "t2", "doc").agg(F.min(F.abs(F.col("p1") - F.col("p2"))).alias("distance"))
+    two = postings.select(F.col("term").alias("t2"), "row", F.col("place").alias("p2"), F.expr(f"place div {span}").alias("band"))
+    near = one.join(two, ["t2", "row", "band"]).where((F.abs(F.col("p1") - F.col("p2")) <= span) & (F.col("p1") != F.col("p2")))
+    return near.groupBy("t1", "t2", "row").agg(F.min(F.abs(F.col("p1") - F.col("p2"))).alias("distance"))
 
 
-def proximity_matches(index: DataFrame, anchors: DataFrame, span: int = 20) -> DataFrame:
-    """(win_id, doc, distance): documents with both rare terms of a window at most span words apart; the least distance.
+def near_matches(index: DataFrame, windows: DataFrame, counts: DataFrame, span: int = 20) -> DataFrame:
+    """(win, row, distance): rows with the two rarest terms of a window, of those that occur, at most span words apart; the least distance.
 
     Windows that share their two terms (most neighbours do) are met once.
     """
-    shared = anchors.where("t2 is not null").select("win_id", "t1", "t2")
-    return _pair_distances(index, shared.select("t1", "t2").distinct(), span).join(shared, ["t1", "t2"]).select("win_id", "doc", "distance")
+    chosen = choose_pairs(windows, counts)
+    pairs = materialize(chosen.select("t1", "t2").distinct(), "distinct-pairs")
+    return _pair_distances(_postings_of(index, chosen), pairs, span).join(chosen, ["t1", "t2"]).select("win", "row", "distance")
 
 
 def near_passages(
@@ -147,42 +157,39 @@ def near_passages(
 ) -> DataFrame:
     """(key, item, distance): documents with the two rarest terms of one of the item's windows at most span words apart, and the
     least distance. Terms that no document has are passed over, so a passage with a changed word is found too."""
-    windows = materialize(benchmark_windows(items, size, item, text), "windows")
-    chosen = materialize(choose_pairs(windows, term_counts(docs, windows, key, text)), "pairs")
-    index = build_index(docs, chosen, key, text)
-    owners = chosen.select("t1", "t2", F.explode("items").alias("item")).distinct()
-    found = _pair_distances(index, chosen.select("t1", "t2").distinct(), span).join(owners, ["t1", "t2"])
-    return found.groupBy("doc", "item").agg(F.min("distance").alias("distance")).select(F.col("doc").alias(key), "item", "distance")
+    windows, owners = benchmark_windows(items, size, item, text)
+    rows = store_rows(docs, key, text)
+    index = build_index(rows)
+    found = near_matches(index, windows, term_counts(index, windows), span).join(owners, "win").groupBy("row", "item").agg(F.min("distance").alias("distance"))
+    by_key = rows.select("row", "carried").join(found, "row")
+    return by_key.groupBy(F.col("carried.key").alias(key), "item").agg(F.min("distance").alias("distance"))
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, size: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", extra: tuple = ()
 ) -> DataFrame:
     """(key, *extra, n_words, n_hit, n_items, items, contaminated) of every row of docs."""
-    windows = materialize(benchmark_windows(items, size, item, text), "windows")
-    anchors = materialize(choose_anchors(windows, term_counts(docs, windows, key, text)), "anchors")
-    index = build_index(docs, anchors, key, text)
-    found = phrase_candidates(index, anchors, anchors.count())
-    by_doc = found.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "win", "items"))).alias("_found"))
-    by_doc = by_doc.withColumnRenamed("doc", "_doc")
-    carried = dict.fromkeys([key, text, *extra])
-    joined = docs.select(*carried).join(by_doc.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_doc")), "left")
-    body = text_or_empty(text)
-    joined = joined.withColumn("_words", opaque(F.when(F.col("_found").isNotNull(), words_of(body))))
-    hits = F.filter("_found", lambda c: F.slice("_words", c["start"] + 1, F.size(c["win"])) == c["win"])
-    joined = joined.withColumn("_hits", opaque(F.coalesce(F.when(F.col("_found").isNotNull(), hits), F.expr("slice(_found, 1, 0)"))))
+    windows, owners = benchmark_windows(items, size, item, text)
+    rows = store_rows(docs, key, text, extra)
+    index = build_index(rows)
+    matches = phrase_matches(index, windows, choose_anchors(windows, term_counts(index, windows)))
+    n_words = materialize(index.groupBy("row").agg(F.count(F.lit(1)).alias("n_words")), "row-words")
+    drop(index)
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
 
     def cover(acc: Column, c: Column) -> Column:
-        end = c["start"] + F.size(c["win"])
+        end = c["start"] + c["n"]
         new = F.greatest(end - F.greatest(acc["end"], c["start"]), F.lit(0))
         return F.struct((acc["n"] + new).cast("long").alias("n"), F.greatest(acc["end"], end).alias("end"))
 
-    n_hit = F.coalesce(F.aggregate("_hits", zero, cover)["n"], F.lit(0).cast("long"))
-    ids = F.coalesce(F.sort_array(F.array_distinct(F.flatten(F.transform("_hits", lambda c: c["items"])))), F.array().cast("array<string>"))
-    out = joined.select(
-        key, *extra, F.regexp_count(body, F.lit(WORD)).cast("long").alias("n_words"), opaque(n_hit).alias("n_hit"), opaque(ids).alias("items")
-    )
+    # Per row at most as many spans as it has words, and as many items as it has matches of.
+    spans = matches.groupBy("row", "start").agg(F.max("n").alias("n")).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("s"))
+    hits = spans.select("row", F.aggregate("s", zero, cover)["n"].alias("n_hit"))
+    of_row = matches.select("row", "win").distinct().join(bounded(owners), "win").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    found = materialize(hits.join(of_row, "row"), "row-hits")
+    out = rows.select("row", "carried").join(n_words, "row", "left").join(found, "row", "left")
+    count = lambda c: F.coalesce(c, F.lit(0).cast("long"))
     return out.select(
-        key, *extra, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")
-    )
+        F.col("carried.key").alias(key), *[F.col(f"carried.x{i}").alias(c) for i, c in enumerate(extra)], count(F.col("n_words")).alias("n_words"), count(F.col("n_hit")).alias("n_hit"),
+        count(F.size("items").cast("long")).alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (count(F.col("n_hit")) > 0).alias("contaminated"),
+    )

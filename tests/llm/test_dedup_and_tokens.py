@@ -178,15 +178,32 @@ def test_decontamination(spark):
         assert none.count() == 0
 
 
-def test_decontamination_is_native_and_finds_near_terms(spark):
+def test_decontamination_is_native_and_finds_near_terms(spark, monkeypatch):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, "alpha x x beta gamma"), (2, "alpha " + "x " * 50 + "beta")], "doc_id long, text string")
-    found = decontaminate.contamination(docs, bench)
-    assert "Python" not in found._jdf.queryExecution().toString()
-    windows = decontaminate.benchmark_windows(bench)
-    anchors = decontaminate.choose_anchors(windows, decontaminate.term_counts(docs, windows))
-    near = decontaminate.proximity_matches(decontaminate.build_index(docs, anchors), anchors, 20).collect()
-    assert all(r.distance <= 20 for r in near)
+    docs = spark.createDataFrame([(1, "alpha x x beta gamma"), (2, "alpha " + "x " * 50 + "beta"), (3, "y alpha, beta. GAMMA delta"), (3, "z")], "doc_id long, text string")
+    for limit in (16 << 20, 0):  # broadcast, and shuffled
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+        found = decontaminate.contamination(docs, bench)
+        assert "Python" not in found._jdf.queryExecution().toString()
+        assert sorted((r.doc_id, r.n_words, r.n_hit) for r in found.collect()) == [(1, 5, 0), (2, 52, 0), (3, 1, 0), (3, 5, 4)]
+        windows, _ = decontaminate.benchmark_windows(bench)
+        rows = decontaminate.store_rows(docs)
+        index = decontaminate.build_index(rows)
+        assert index.count() == 5 + 52 + 5 + 1
+        near = decontaminate.near_matches(index, windows, decontaminate.term_counts(index, windows), 20).join(rows, "row").collect()
+        # delta and gamma are the rarest; only document 3 has both.
+        assert [(r.carried.key, r.distance) for r in near] == [(3, 1)]
+
+
+def test_decontamination_of_a_very_long_text_and_clashing_columns(spark):
+    rng = random.Random(3)
+    item = words(rng, 12, 50_000)
+    long = words(rng, 120_000, 50_000) + " " + item + " " + words(rng, 50, 50_000)
+    bench = spark.createDataFrame([(5, item), (6, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, long, "r"), (2, None, "s")], "doc_id long, text string, row string").withColumn("carried", F.lit("c")).withColumn("n_hit", F.lit("h"))
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, bench, extra=("row", "carried")).collect()}
+    assert (got[1].n_words, got[1].n_hit, list(got[1]["items"]), got[1].row, got[1].carried) == (120_062, 12, ["5", "6"], "r", "c")
+    assert (got[2].n_words, got[2].n_hit, got[2].contaminated) == (0, 0, False)
 
 
 def test_near_passages(spark):
@@ -213,9 +230,6 @@ def test_near_passages(spark):
                     want[doc, str(key)] = min([*gaps, want.get((doc, str(key)), 99)])
     got = {(r.doc_id, r["item"]): r.distance for r in decontaminate.near_passages(frame, bench).collect()}
     assert got == want and (1, "1") in got and got[None, "7"] == 1 and (2, "1") not in got
-    windows = decontaminate.benchmark_windows(bench)
-    pairs = decontaminate.choose_pairs(windows, decontaminate.term_counts(frame, windows))
-    assert 1 in {r.doc for r in decontaminate.proximity_matches(decontaminate.build_index(frame, pairs), pairs).collect()}
     plan = decontaminate.near_passages(frame, bench)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan
     assert decontaminate.near_passages(frame.limit(0), bench).count() == decontaminate.near_passages(frame, bench.limit(0)).count() == 0
