@@ -18,8 +18,7 @@ PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    return quality_rules.quality_cascade(packed).where("kept").select("_row.*")
+    return quality_rules.keep_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +31,9 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    packed = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]).alias("_row"))
-    found = decontaminate.contamination(packed, read(spark, sf_dir, "benchmark"), extra=("text", "_row"))
-    clean = found.where(~F.col("contaminated"))
-    return clean.select(*[c if c in ("doc_id", "text") else F.col("_row")[c].alias(c) for c in docs.columns])
+    others = tuple(c for c in docs.columns if c != "doc_id")
+    found = decontaminate.contamination(docs.select("doc_id", "text", F.struct(*[F.col(c) for c in others]).alias("_row")), read(spark, sf_dir, "benchmark"), extra=("_row",))
+    return found.where(~F.col("contaminated")).select(*[c if c == "doc_id" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
