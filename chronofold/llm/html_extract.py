@@ -1,25 +1,28 @@
 """Main text of web pages by line-block distribution.
 
-``page_lines`` strips the markup: every block of a page becomes a line, with its characters outside links as
-weight. Lines inside menus, page headers, footers, sidebars, notices, adverts, forms and reader comments
-weigh nothing and are never kept. ``surge_and_dive`` sums weights over sliding windows of lines: a
-region begins where the sum rises (surge) and ends where it falls to nothing (dive); lines between are text.
-If a page marks its article (``article``, ``main``, ``role=main``, ``itemprop=articleBody``), only its lines have
-weight and any text is a surge, so short articles stay whole; otherwise a surge needs SURGE characters, and
-the heaviest region is kept with the other regions in the same containers.
+``page_lines`` strips the markup: every block of a page becomes a line, with its characters as weight. A line that is mostly links, or inside a menu,
+page header, footer, sidebar, notice, advert, form or reader comment, weighs nothing. ``surge_and_dive`` sums weights over sliding windows of
+lines: a region begins where the sum rises to the surge and its first line has weight (surge point), and ends with the last line of weight before
+the sum falls to nothing (dive point); the lines between are text, those without weight included, but for lines in boilerplate.
+
+If a page marks articles (``article``, ``main``, ``role=main``, ``itemprop=articleBody``), only their lines have weight. In the article with
+most text any weight is a surge, so a short article stays whole; regions of other articles, and of pages without marks, need SURGE characters.
+Without marks the heaviest region is kept with the other regions in the same containers. What the windows decide on a marked article: runs
+of link lines at its beginning, its end, or as long as a window in between are no text; single ones inside the text are.
 
 A marked paragraph or heading runs to its end tag or the next block, a marked list item to its end tag or the next item of its
 list, and both end with their container; an article or main element is marked by full class names only.
 
 Defined cases: null and empty html give an empty text; unclosed elements end where their container does, and an opening
 article ends an unclosed menu or header; raw text (script, style, ...) without an end runs to the end of the page; comments and
-doctypes are dropped; ``<`` before anything but a tag is text; repeated rows are extracted one by one; an empty
-table gives an empty table; other columns are ignored.
+doctypes are dropped; ``<`` before anything but a tag is text; a page whose quotes never close is read as if quotes meant nothing, so the
+time is in proportion to the page; repeated rows are extracted one by one; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
@@ -31,15 +34,17 @@ WINDOW = 3
 SURGE = 60
 BATCH_BYTES = 8 << 20
 
-_TAG = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S
-)
+_OTHER = re.compile(r"<!--(?:.*?-->|.*\Z)|<![^>]*>|<\?[^>]*>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag: with quoted values, and without.
+_QUOTED = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_PLAIN = re.compile(r"([^>]*)>")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 _TOKEN = re.compile(r"[a-z]+|\d+")
 
 #: HTML element classes (fixed values of the HTML standard, grouped by use here).
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video select datalist xmp noframes noembed".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object canvas audio video select datalist xmp noframes noembed".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog button fieldset head".split())
 CONTAINERS = frozenset("html body div section article main nav header footer aside form menu dialog button fieldset ul ol dl table tbody thead tfoot tr td th blockquote figure details center head".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr address figcaption caption legend summary option".split())
@@ -123,6 +128,11 @@ def page_lines(html: str) -> list[Line]:
             size = len(piece.strip())
             linked, plain = (linked + size, plain) if in_link else (linked, plain + size)
 
+    def close(first: int) -> None:
+        for x in stack[first:]:
+            opened[x.name] -= 1
+        del stack[first:]
+
     def flush() -> None:
         nonlocal linked, plain
         if chunks:
@@ -133,17 +143,25 @@ def page_lines(html: str) -> list[Line]:
             chunks.clear()
         linked = plain = 0
 
+    quotes, opened = True, Counter()
     while True:
-        m = _TAG.search(html, at)
-        if m is None:
+        lt = html.find("<", at)
+        head = _NAME.match(html, lt) if lt >= 0 else None
+        if lt < 0 or html.find(">", lt) < 0 and not html.startswith("<!--", lt):
             text(html[at:])
             break
-        text(html[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        if not name:
+        if head is None:
+            other = _OTHER.match(html, lt)
+            text(html[at : lt if other else lt + 1])
+            at = other.end() if other else lt + 1
             continue
-        closing, raw = bool(m[1] or m[4]), m[3] if m[2] else m[6]
+        text(html[at:lt])
+        m = _QUOTED.match(html, head.end()) if quotes else None
+        if m is None:
+            # The quotes ran to the end of the page: from here on they mean nothing.
+            quotes, m = False, _PLAIN.match(html, head.end())
+        at = m.end()
+        closing, name, raw = bool(head[1]), head[2].lower(), m[1]
         if name in RAW and not closing:
             if not raw.rstrip().endswith("/"):
                 end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
@@ -161,21 +179,23 @@ def page_lines(html: str) -> list[Line]:
         in_link = False
         if stack[-1].dropped and stack[-1].name in LEAVES:
             # It ends here, by its own end tag or by the next block; a stray end tag of another name is as good as one.
-            stack.pop()
+            close(len(stack) - 1)
             if closing and name in LEAVES:
                 continue
+        if closing and not opened[name]:
+            continue
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name == name:
-                    del stack[i:]
+                    close(i)
                     break
                 if name not in CONTAINERS and stack[i].name in SCOPES:
                     break
             continue
-        if name in ITEMS:
+        if name in ITEMS and any(opened[x] for x in ITEMS[name]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name in ITEMS[name]:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].name in CONTAINERS and stack[i].name != "div":
                     break
@@ -183,7 +203,7 @@ def page_lines(html: str) -> list[Line]:
         main = name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
         marked = bool(attrs) and _marked(attrs, name in ("article", "main"))
         if main and not marked:
-            del stack[_unclosed(stack) :]
+            close(_unclosed(stack))
         if name in CONTAINERS and not raw.rstrip().endswith("/"):
             top = stack[-1]
             boiler = top.boiler or name in BOILERPLATE or (name == "header" and not top.article) or (name not in ("html", "body") and marked)
@@ -191,11 +211,14 @@ def page_lines(html: str) -> list[Line]:
             if main and not boiler and not top.article:
                 articles += 1
                 stack.append(_Open(name, False, articles, numbers))
+                opened[name] += 1
             else:
                 stack.append(_Open(name, boiler, top.article, numbers, top.dropped))
+                opened[name] += 1
         elif name not in CONTAINERS and name != "hr" and marked and not raw.rstrip().endswith("/"):
             numbers += 1
             stack.append(_Open(name, True, stack[-1].article, numbers, True))
+            opened[name] += 1
     flush()
     return lines
 
@@ -229,10 +252,16 @@ def main_text(html: str | None) -> str:
     for x in lines:
         if x.article and not x.boiler:
             mass[x.article] = mass.get(x.article, 0) + len(x.text)
+    keep: set[int] = set()
     if mass:
         best = max(mass, key=lambda k: (mass[k], -k))
-        regions = surge_and_dive([len(x.text) if x.article == best and not x.boiler else 0 for x in lines], 1)
-        keep = {i for a, b in regions for i in range(a, b + 1) if lines[i].article == best and not lines[i].boiler}
+        for article in mass:
+            of = [i for i, x in enumerate(lines) if x.article == article]
+            weights = [lines[i].weight for i in of]
+            # An article of nothing but link lines is its text; there is no other to find.
+            whole = article == best and not any(weights)
+            regions = [(0, len(of) - 1)] if whole else surge_and_dive(weights, 1 if article == best else SURGE)
+            keep |= {i for a, b in regions for i in of[a : b + 1] if not lines[i].boiler}
     else:
         regions = surge_and_dive([x.weight for x in lines], SURGE) or surge_and_dive([x.weight for x in lines], 1)
         if not regions:

@@ -190,6 +190,55 @@ def test_html_edge_cases(spark):
     assert [(r.text, r.n_chars) for r in got] == [("", 0), ("", 0), ("hi", 2), ("plain < text", 12), ("é x\né x\né x", 11), ("", 0)]
 
 
+def test_html_of_made_pages(spark):
+    """Pages put together from known blocks and known boilerplate: the text is the blocks."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda: rng.choice(["lorem", "ipsum", "é", "日本", "a&amp;b", "x &lt; y", "<b>dolor</b>", "<i>sit</i>\n amet", '<a href="/z">link</a>', "<span title='>'>q</span>"])
+    plain = lambda t: re.sub(r"\s+", " ", re.sub(r"<[^<>']*(?:'[^']*'[^<>']*)?>", "", t)).replace("&amp;", "&").replace("&lt;", "<").strip()
+    links = lambda n: "".join(f"<li><a href=/{i}>Menu entry {i}</a></li>" for i in range(n))
+    noise = [
+        "<nav><ul>%s</ul></nav>" % links(5), "<aside><p>Something on the side that is long enough to count as text.</p></aside>", "<script>if (a < b) { x = '<p>no</p>'; }</script>",
+        '<div class="cookie-banner"><p>We use cookies for many good reasons.</p></div>', "<form><p>Your name please</p><input></form>", "<!-- <p>comment</p> -->", "<style>p { color: red }</style>",
+        '<div id="comments"><p>What a wonderful page, I must say, and more words.</p></div>',
+    ]
+    rows = []
+    for n in range(60):
+        blocks = [" ".join(["Plain", *(word() for _ in range(rng.randint(12, 30)))]) for _ in range(rng.randint(1, 8))]
+        body = "".join(rng.choice(["<p>%s</p>", "<p>%s", "<h2>%s</h2>", "<blockquote>%s</blockquote>", "<div>%s</div>"]) % b + (rng.choice(noise) if rng.random() < 0.4 else "") for b in blocks)
+        tag = rng.choice(["article", "main", "div role=main"])
+        page = f"<html><head><title>t</title></head><body><header><p>Site name</p></header>{rng.choice(noise)}<{tag}>{body}</{tag.split()[0]}>{rng.choice(noise)}<footer><p>Imprint</p></footer></body></html>"
+        rows.append((n, page, "\n".join(plain(b) for b in blocks)))
+    got = html_extract.extract_pages(spark.createDataFrame([(i, "u", h) for i, h, _ in rows], "page_id long, url string, html string")).collect()
+    want = {i: t for i, _, t in rows}
+    assert all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got) and len(got) == 60
+    assert html_extract.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_windows_decide_inside_an_article(monkeypatch):
+    """Link lines at the end of a marked article are behind the dive point; one between paragraphs is text; short articles stay whole."""
+    link = "<p><a href=/x>Read this other page too</a></p>"
+    page = f"<article><p>First words.</p>{link}<p>More words.</p>{link * 3}</article>"
+    assert html_extract.main_text(page) == "First words.\nRead this other page too\nMore words."
+    assert html_extract.main_text(f"<article>{link}</article>") == "Read this other page too"
+    two = "<article><p>The longer one of two articles on a page, with enough text for a surge, and then some.</p></article><article><p>%s</p></article>"
+    assert html_extract.main_text(two % ("Second, of more than sixty characters, " + "so it is text as well.")).count("\n") == 1
+    assert "Card" not in html_extract.main_text(two % "Card")
+    assert html_extract.main_text("<article><p>If <math><mi>x</mi></math> is odd</p></article>") == "If x is odd"
+    monkeypatch.setattr(html_extract, "surge_and_dive", lambda weights, surge, window=3: [(0, len(weights) - 1)])
+    assert html_extract.main_text(page).count("\n") == 5
+
+
+def test_html_time_is_in_proportion_to_the_page():
+    import time
+
+    for unit in ('<a "', '<a ">"', "<div>", "<p class=ad>", "</p></section>", "<!--", "<", "<i c='>' ", "<li class=ad>x<ul>"):
+        began = time.perf_counter()
+        html_extract.main_text("<div>" * 1000 + unit * 60_000)
+        assert time.perf_counter() - began < 5, unit
+
+
 def test_surges_and_dives():
     assert html_extract.surge_and_dive([0, 5, 80, 0, 90, 0, 0, 0, 0, 70], 60) == [(1, 4), (9, 9)]
     assert html_extract.surge_and_dive([0, 0], 1) == []
