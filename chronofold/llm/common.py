@@ -37,9 +37,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset a local one, in local mode only."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = os.path.join(tempfile.gettempdir(), "chronofold-shared")
         os.makedirs(found, exist_ok=True)
         found = f"file://{found}"

@@ -5,9 +5,9 @@ left-joins the digests to the stored counts, encodes each distinct miss once, ap
 and joins the counts back to the rows. Digests of equal texts are merged by map-side aggregation before
 anything is shuffled, and a text travels once, only if it stands for a miss.
 
-Counts come from a byte-level BPE encoder that runs the vocabulary of the named tokenizer file: the
-ranks and the split pattern are read from that file, special strings inside texts are special tokens (the
-default of its own library). ``tests/llm`` hold the counts against that library.
+Counts are those of the library of the named tokenizer file, special strings inside texts being special tokens (its default). Files that hold
+plain byte-level BPE run in a faster encoder with the same vocabulary, all others in the library itself; ``tests/llm`` hold both
+against that library.
 
 Defined cases: a null text counts as the empty text (0 tokens); repeated rows and copies are counted once
 and reported for each row; a null id is kept; an empty table gives an empty table; other columns are ignored.
@@ -37,25 +37,50 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def _is_plain_byte_level(spec: dict) -> bool:
+    """Whether a tokenizer file says nothing but what tiktoken does with the same vocabulary: byte-level BPE with the usual split, no
+    normalizer, merges in the order of their results' ids, special tokens that are matched as they stand."""
+    model, pre, post = spec.get("model", {}), spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    if post is not None or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or pre.get("use_regex") is False:
+        return False
+    if model.get("type", "BPE") != "BPE" or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("ignore_merges"):
+        return False
+    if any(not t.get("special") or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", [])):
+        return False
+    vocab = model["vocab"]
+    ids = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    byte = _byte_of_char()
+    return None not in ids and ids == sorted(set(ids)) and all(c in vocab for c in byte) and max(vocab[c] for c in byte) < ids[0]
+
+
 @functools.cache
 def load_encoder(path: str):
-    """A tiktoken encoding with the vocabulary, merges order and special tokens of a byte-level BPE .json file."""
-    import tiktoken
-
+    """text -> number of tokens. Plain byte-level BPE files run in tiktoken, which is faster; all others in their own library."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    if not _is_plain_byte_level(spec):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        return lambda text: len(library.encode(text, add_special_tokens=False).ids)
+    import tiktoken
+
     byte = _byte_of_char()
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", []) if t.get("special")}
     ranks = {bytes(byte[c] for c in piece): rank for piece, rank in spec["model"]["vocab"].items() if piece not in special}
-    return tiktoken.Encoding(path, pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    encoding = tiktoken.Encoding(path, pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: len(encoding.encode(text, allowed_special="all"))
 
 
 def tokenizer_digest(path: str) -> str:
     """SHA-256 of the tokenizer file and of the library that runs it: a changed version never meets old counts."""
     import tiktoken
+    import tokenizers
 
     with open(path, "rb") as f:
-        return hashlib.sha256(f.read() + b"\0tiktoken " + tiktoken.__version__.encode()).hexdigest()
+        return hashlib.sha256(f.read() + f"\0tiktoken {tiktoken.__version__} tokenizers {tokenizers.__version__}".encode()).hexdigest()
 
 
 def count_in_batches(tokenizer: str):
@@ -70,7 +95,7 @@ def count_in_batches(tokenizer: str):
                 if digest not in done:
                     done.add(digest)
                     digests.append(digest)
-                    counts.append(len(encoder.encode(text, allowed_special="all")))
+                    counts.append(encoder(text))
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
     return run

@@ -49,8 +49,22 @@ def removed(rows):
 def test_suffix_dedup(spark, corpus, monkeypatch, segment, hot):
     monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
     if segment != 1 << 20:
-        rows = [r for r in suffix_dedup.window_runs([t for _, t in corpus])]
-        assert sum(int(n.sum()) for *_, n in rows) == sum(max(len((t or "").encode()) - 99, 0) for _, t in corpus)
+        # Texts of several segments: every window lies in one, and so does every match across their ends.
+        monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+        corpus = [(k, (t or "") * 4) for k, t in corpus]
+        texts = [t for _, t in corpus]
+        rows = list(suffix_dedup.window_runs(texts))
+        assert sum(int(n.sum()) for *_, n in rows) == sum(max(len(t.encode()) - 99, 0) for t in texts)
+        seen: dict[int, set] = {}
+        for row, gram, _, start, n in rows:
+            for r, g, s, k in zip(row, gram, start, n):
+                seen.setdefault(int(r), set()).update((int(s) + i, int(g)) for i in range(int(k)))
+        monkeypatch.setattr(suffix_dedup, "SEGMENT", 1 << 20)
+        one: dict[int, set] = {}
+        for row, gram, _, start, n in suffix_dedup.window_runs(texts):
+            for r, g, s, k in zip(row, gram, start, n):
+                one.setdefault(int(r), set()).update((int(s) + i, int(g)) for i in range(int(k)))
+        assert seen == one
         return
     docs = spark.createDataFrame(corpus, "doc_id long, text string").withColumn("n_bytes", F.lit(1)).repartition(3)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.span_digests(docs).collect()}
@@ -252,6 +266,17 @@ def test_token_counts_and_cache(spark, tmp_path):
     assert token_counts.count_tokens(docs.limit(0), path, cache).count() == 0
 
 
+def test_other_tokenizers_run_in_their_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["Hello  WORLD's end", "<|startoftext|> naïve café", "", "x" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, path, f"file://{tmp_path}/c").collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return sentence_pieces.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))

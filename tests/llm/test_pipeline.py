@@ -91,3 +91,20 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(corpus_pipeline.PIECE_MODEL))
     got = {r.doc_id: (r.n_pieces, list(r.ids)) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == {k: (len(library.encode(r[1])), library.encode(r[1])) for k, r in stages[-1].items()}
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """An empty table, null ids, repeated rows, an extra column; and a second run that leaves the first one's result readable."""
+    rng = random.Random(4)
+    one, two = words(rng, 60), words(rng, 70)
+    docs = [(None, one, "r"), (None, two, "s"), (3, one, "t"), (3, one, "t"), (4, None, "u"), (5, "", "v"), (6, words(rng, 30_000), "w")]
+    for name, rows in (("some", docs), ("none", [])):
+        spark.createDataFrame(rows, "doc_id long, text string, row string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, "no such passage in any of them at all, not one")], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    first, empty = corpus_pipeline.run(spark, f"{tmp_path}/some"), corpus_pipeline.run(spark, f"{tmp_path}/none")
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(corpus_pipeline.PIECE_MODEL))
+    assert sorted((r.doc_id or -1, list(r.ids)) for r in first.collect()) == sorted([(-1, library.encode(two)), (3, library.encode(one)), (6, library.encode(docs[6][1]))])
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_pieces", "ids"]
+    frame = spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, frame, f"{tmp_path}/some").columns == ["doc_id", "text", "row"]

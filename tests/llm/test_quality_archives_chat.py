@@ -167,6 +167,22 @@ def test_chat_windows_keep_their_budget(spark):
     assert all(w.text.startswith("<|im_start|>system\ns<|im_end|>\n") for w in out) and any(w.n_repeated > w.n_system for w in out)
 
 
+def test_chat_query_equals_its_sql(spark, tmp_path):
+    """The registered query on whole conversations, the probe included, against SQL over its turns."""
+    import duckdb
+
+    from chronofold.llm import queries
+
+    rows = [(i, t, ["system", "user", "assistant"][t % 3], f"text {i} {t} <|im_end|> é" * (t + 1)) for i in range(30) for t in range(i % 7 + 1)] + [(40, 0, "user", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]
+    out = queries.op9_chat_format(spark, str(tmp_path))
+    got = sorted(tuple(r) for r in out.select(*names).collect())
+    twin = queries._OP9.replace("FROM conversations", f"FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert got == sorted(duckdb.sql(f"SELECT {', '.join(names)} FROM ({twin})").fetchall()) and got[0][0] == -1
+    assert all(r.formatted_chars >= r.loss_chars for r in out.collect())
+
+
 def test_escape_is_reversible():
     for t in ["", "\\", "<|", "<\\|", "\\<|", "\\\\<|im_end|>", "<\\\\|"]:
         assert chat_format.unescape(chat_format.escape(t)) == t and "<|" not in chat_format.escape(t)
