@@ -2,12 +2,17 @@
 
 STAGES run in order, each on the written table of the stage before: quality rules drop rejected documents,
 SimHash keeps one document of each near-duplicate group (op5's: three-word shingles, 3 differing bits),
-suffix-array dedup cuts repeated passages out of the texts, decontamination drops documents that hold benchmark windows, and SentencePiece encodes what is left. All
-stages but the last return the columns of documents.
+suffix-array dedup cuts repeated passages out of the texts, decontamination drops documents that hold benchmark windows, and SentencePiece encodes
+what is left. All stages but the last return the columns of documents, the last doc_id, n_pieces and ids.
+
+Defined cases: a null or empty text is rejected by the quality rules; rows with equal ids and unlike texts are documents of their own; of repeated
+rows one stays; null ids are kept; extra columns are carried up to the last stage; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +49,15 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
 
 
+OPERATORS = [
+    ("quality rules", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding", encoding),
+]
+
+
 def _stage(operator):
     """operator, with its scratch tables owned by the pipeline; those of the stage before, which is written by now, go first."""
 
@@ -55,28 +69,25 @@ def _stage(operator):
     return run_stage
 
 
-STAGES = [
-    ("quality rules", _stage(quality)),
-    ("SimHash near-dedup", _stage(near_dedup)),
-    ("suffix-array dedup", _stage(suffix_array_dedup)),
-    ("benchmark decontamination", _stage(decontamination)),
-    ("SentencePiece encoding", _stage(encoding)),
-]
+STAGES = [(name, _stage(operator)) for name, operator in OPERATORS]
 
 #: The stages hash, refine and fold beyond what SQL can express; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline over the documents table."""
-    docs = read(spark, sf_dir, "documents")
-    release(spark, "pipeline tables")
-    for name, stage in STAGES[:-1]:
-        with owned("pipeline tables"):
+    """The pipeline over the documents table. Its tables are its own: another run leaves them alone; a stage's scratch goes when the stage
+    is written, the tables between stages and the last scratch when the driver ends."""
+    docs, mine = read(spark, sf_dir, "documents"), f"pipeline {uuid.uuid4().hex}"
+    for name, operator in OPERATORS[:-1]:
+        with owned(f"{mine} tables"):
             path = scratch_path(spark, name.replace(" ", "-").lower())
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with owned(f"{mine} scratch"):
+            operator(spark, docs, sf_dir).write.parquet(path)
+        release(spark, f"{mine} scratch")
         docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with owned(f"{mine} last"):
+        return OPERATORS[-1][1](spark, docs, sf_dir)
 
 
 QUERIES = {"pipeline": run}
