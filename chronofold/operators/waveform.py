@@ -276,26 +276,19 @@ def find_afterpulses(hits: Sequence[tuple[int, int]], led: tuple[int, int], comp
     return out[:-1] if compat else out
 
 
-def led_area(data: np.ndarray, window: tuple[int, int], baseline: tuple[int, int] = (0, 40)) -> tuple[float, float]:
-    """(amplitude, area) in a fixed window after baseline subtraction."""
-    d = np.asarray(data, dtype=float)
-    d = d - d[baseline[0] : baseline[1]].mean()
-    part = d[window[0] : window[1]]
-    return float(part.max()), float(part.sum())
-
-
 # --- Arrow wrappers ----------------------------------------------------------------------------------------------
 
 HIT = "array<struct<left:int,right:int,area:double,height:double,max_sample:int>>"
 
 
-def with_arrays(df: DataFrame, key: Sequence[str], data: str, kernel, schema: str) -> DataFrame:
-    """(key, result): kernel(numpy samples) -> value of the schema, in Arrow batches without a shuffle."""
-    keys = list(key)
+def with_arrays(df: DataFrame, key: Sequence[str], data: str, kernel, schema: str, more: Sequence[str] = ()) -> DataFrame:
+    """(key, result): kernel(numpy samples, further columns...) -> value of the schema, in Arrow batches without a shuffle."""
+    keys, others = list(key), list(more)
 
     def run(batches):
         for batch in batches:
-            values = [kernel(np.asarray(x, dtype=float)) for x in batch.column(data).to_pylist()]
+            columns = [batch.column(c).to_pylist() for c in others]
+            values = [kernel(np.asarray(x, dtype=float), *m) for x, *m in zip(batch.column(data).to_pylist(), *columns)]
             arrays = [batch.column(k) for k in keys]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(values, type=arrow_type)], names=[*keys, "result"])
 
@@ -304,7 +297,7 @@ def with_arrays(df: DataFrame, key: Sequence[str], data: str, kernel, schema: st
 
     arrow_type = to_arrow_type(_parse_datatype_string(schema))
     fields = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return df.select(*keys, data).mapInArrow(run, f"{fields}, result {schema}")
+    return df.select(*keys, data, *others).mapInArrow(run, f"{fields}, result {schema}")
 
 
 def hits_of(df: DataFrame, threshold: float, key: Sequence[str], data: str = "data") -> DataFrame:

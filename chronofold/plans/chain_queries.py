@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from chronofold.operators import intervals as iv
 from chronofold.operators import monitor as mo
 from chronofold.operators import peaklets as pk
+from chronofold.operators import posterior as po
 from chronofold.operators import selections as se
 from chronofold.operators import waveform as wf
 from chronofold.plans.interval_queries import _MERGED, EVENTS_SQL, RESOLVING, WIDTH, _coincidence_sql, _events
 from chronofold.plans.registry import query
-from chronofold.session import table
+from chronofold.session import pinned, table
 from chronofold.sources.adapter import DAY, HITS_SQL, RUN_END, RUN_START, SECOND, WAVES_SQL, hits, waveforms
 
 GAP, LEFT, RIGHT = 400 * SECOND, 30 * SECOND, 60 * SECOND
@@ -261,3 +262,33 @@ def channels_in_both(spark, sf_dir):
     """Runs in which a channel has signals of both types: an intersection of sets."""
     sets = hits(spark, sf_dir).groupBy("channel").agg(*[F.collect_set(F.when(F.col("type") == t, F.col("run_id"))).alias(n) for t, n in ((1, "a"), (2, "b"))])
     return sets.select("channel", F.size(F.array_intersect("a", "b")).cast("long").alias("n_runs"))
+
+
+def _disjoint(spark, sf_dir):
+    """Peaklets of the hits of type 2, in seconds, as even pulses; every 31st is of type 0."""
+    p = pinned(pk.find_peaklets(hits(spark, sf_dir).where("type = 2"), 0, width=WIDTH))
+    length = (F.col("endtime") - F.col("time")) / SECOND
+    return p.select(
+        "run_id", "peaklet", F.expr(f"time div {SECOND}L").alias("time"), F.expr(f"endtime div {SECOND}L").alias("endtime"), (F.col("area") / 100.0).alias("area"),
+        F.when(F.col("peaklet") % 31 == 0, 0).otherwise(2).alias("type"), (length / 2).alias("median_time"), F.transform(F.sequence(F.lit(-5), F.lit(5)), lambda k: k / 10.0 * length).alias("area_decile_from_midpoint"),
+        F.lit(0.7).alias("area_fraction_top"), (F.col("peaklet") % 40 - 20).cast("double").alias("x"), (F.col("peaklet") % 7).cast("double").alias("y"),
+    )
+
+
+def _assigned(spark, sf_dir):
+    peaklets = _disjoint(spark, sf_dir)
+    return peaklets, pinned(po.assign_clusters(peaklets, width=WIDTH // SECOND))
+
+
+@query("s2_merge_posterior")
+def s2_merge_posterior(spark, sf_dir):
+    peaklets, found = _assigned(spark, sf_dir)
+    merged = po.merged_peaks(found, peaklets, width=WIDTH // SECOND)
+    return merged.select("run_id", "cluster", "time", "endtime", F.round("area", 4).alias("area"), "n_merged", "n_aside", "type")
+
+
+@query("enhanced_types")
+def enhanced_types(spark, sf_dir):
+    """Types after merging, and whether a peaklet went into a merged peak."""
+    peaklets, found = _assigned(spark, sf_dir)
+    return po.enhanced_types(peaklets, found, po.merged_peaks(found, width=WIDTH // SECOND), width=WIDTH // SECOND)

@@ -10,6 +10,7 @@ from chronofold.operators import events as ev
 from chronofold.operators import intervals as iv
 from chronofold.operators import merging
 from chronofold.operators import monitor as mo
+from chronofold.operators import patterns as pa
 from chronofold.operators import slow_control as sc
 from chronofold.operators import waveform as wf
 from chronofold.plans.interval_queries import _BASICS, EVENTS_SQL, WIDTH, _basics, _events
@@ -90,7 +91,7 @@ def se_gain_mode(spark, sf_dir):
     return mo.modal_centre(hits(spark, sf_dir), F.col("area"), 0, 20000, 100, ["type"]).withColumn("mode", F.round("mode", 6))
 
 
-@query("dark_rate", f"""WITH {HITS_SQL}, c AS (SELECT i AS channel FROM range(0, 160) r(i)) SELECT c.channel, round(count(h.hit_id) / 2592000.0, 9) AS dark_rate, round(sqrt(count(h.hit_id)) / 2592000.0, 9) AS dark_rate_error,
+@query("dark_rate", f"""WITH {HITS_SQL}, c AS (SELECT i AS channel FROM range(0, 160) r(i) UNION SELECT channel FROM hits WHERE channel IS NOT NULL) SELECT c.channel, round(count(h.hit_id) / 2592000.0, 9) AS dark_rate, round(sqrt(count(h.hit_id)) / 2592000.0, 9) AS dark_rate_error,
 round(avg(h.area), 4) AS mean, round(stddev_pop(h.area), 4) AS deviation FROM c LEFT JOIN hits h ON h.channel = c.channel GROUP BY 1""")
 def dark_rate(spark, sf_dir):
     h = hits(spark, sf_dir)
@@ -376,34 +377,68 @@ def s2_merge_islands(spark, sf_dir):
     return merging.merge_s2(h, max_gap=1200 * SECOND, max_duration=7200 * SECOND, max_distance=12.0, width=WIDTH)
 
 
+#: Curves of the split threshold, for S1-like and S2-like rise times (example values).
+_S1_SPLIT, _S2_SPLIT = ((1, 0.4), (5, 0.8)), ((2, 0.9), (4, 0.5))
+
+
+def _positive(spark, sf_dir):
+    return waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.greatest(v, F.lit(0))))
+
+
 @query("natural_breaks", None)
 def natural_breaks(spark, sf_dir):
-    w = waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.greatest(v, F.lit(0))))
-    found = wf.with_arrays(w, ["wave_id"], "data", lambda d: [{"left": a, "right": b} for a, b in wf.natural_breaks(d, lambda area, n: 0.6)], "array<struct<left:int,right:int>>")
+    """Waveforms cut where the goodness of split exceeds the threshold of their area and rise time."""
+    w = _positive(spark, sf_dir)
+    rise = wf.with_arrays(w, ["wave_id"], "data", lambda d: float(-wf.widths(d, 10.0)[1][1]), "double").withColumnRenamed("result", "rise_time")
+    cut = w.join(rise, "wave_id").withColumn("threshold", wf.split_threshold(F.col("rise_time"), wf.total(F.col("data")), _S1_SPLIT, _S2_SPLIT))
+    found = wf.with_arrays(cut, ["wave_id"], "data", lambda d, t: [{"left": a, "right": b} for a, b in wf.natural_breaks(d, lambda area, n: t)], "array<struct<left:int,right:int>>", ["threshold"])
     return found.select("wave_id", F.explode("result").alias("p")).select("wave_id", "p.*")
 
 
-@query("waveform_widths", None)
+@query("waveform_widths", f"""WITH {WAVES_SQL}, s AS (SELECT wave_id, i - 1 AS i, CAST(greatest(data[i], 0) AS DOUBLE) AS v FROM waves, range(1, 65) r(i)),
+c AS (SELECT *, sum(v) OVER (PARTITION BY wave_id ORDER BY i) AS hi, sum(v) OVER (PARTITION BY wave_id) AS whole FROM s),
+q AS (SELECT wave_id, f, i, i + CASE WHEN v > 0 THEN (f / 20.0 * whole - (hi - v)) / v ELSE 0 END AS pos FROM c, range(0, 21) q(f) WHERE whole > 0 AND hi >= f / 20.0 * whole),
+t AS (SELECT wave_id, f, arg_min(pos, i) AS pos FROM q GROUP BY 1, 2),
+p AS (SELECT w.wave_id, max(pos) FILTER (f = 5) AS a5, max(pos) FILTER (f = 15) AS a15, max(pos) FILTER (f = 1) AS a1, max(pos) FILTER (f = 19) AS a19 FROM waves w LEFT JOIN t ON t.wave_id = w.wave_id GROUP BY 1)
+SELECT wave_id, round(coalesce(a15 - a5, 0), 6) AS range_50p, round(coalesce(a19 - a1, 0), 6) AS range_90p FROM p""")
 def waveform_widths(spark, sf_dir):
-    w = waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.greatest(v, F.lit(0))))
-    return wf.with_arrays(w, ["wave_id"], "data", lambda d: wf.widths(d)[0].tolist(), "array<double>").select("wave_id", F.get("result", F.lit(5)).alias("range_50p"), F.get("result", F.lit(9)).alias("range_90p"))
+    found = wf.with_arrays(_positive(spark, sf_dir), ["wave_id"], "data", lambda d: wf.widths(d)[0].tolist(), "array<double>")
+    return found.select("wave_id", F.round(F.get("result", F.lit(5)), 6).alias("range_50p"), F.round(F.get("result", F.lit(9)), 6).alias("range_90p"))
+
+
+_FIT = """round(sum(CASE WHEN mu > 0 THEN 2 * (mu - n + CASE WHEN n > 0 THEN n * ln(n / mu) ELSE 0 END) ELSE 0 END), 4)"""
 
 
-@query("pattern_fit", None)
+@query("pattern_fit", f"""WITH {WAVES_SQL}, s AS (SELECT wave_id, label, i - 1 AS i, CAST(abs(data[i]) AS DOUBLE) AS o, CAST(1 + (i - 1 + label) % 5 AS DOUBLE) AS e FROM waves, range(1, 65) r(i)),
+t AS (SELECT *, sum(o) OVER w AS area, sum(o) FILTER (i < 40) OVER w AS top FROM s WINDOW w AS (PARTITION BY wave_id)), l AS (SELECT * FROM t WHERE i % 13 <> 0 AND area > 500),
+a AS (SELECT wave_id, e * area / sum(e) OVER (PARTITION BY wave_id) / 1.2 AS mu, o / 1.2 AS n FROM l), b AS (SELECT wave_id, i < 40 AS up, e * CASE WHEN i < 40 THEN top ELSE area - top END / sum(e) OVER (PARTITION BY wave_id, i < 40) / 1.2 AS mu, o / 1.2 AS n FROM l),
+x AS (SELECT wave_id, {_FIT} AS v FROM a GROUP BY 1), y AS (SELECT wave_id, up, {_FIT} AS v FROM b GROUP BY 1, 2)
+SELECT w.wave_id, x.v AS two_nll, u.v AS two_nll_top, d.v AS two_nll_bottom FROM waves w LEFT JOIN x ON x.wave_id = w.wave_id LEFT JOIN y u ON u.wave_id = w.wave_id AND u.up LEFT JOIN y d ON d.wave_id = w.wave_id AND NOT d.up""")
 def pattern_fit(spark, sf_dir):
-    w = waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.abs(v)))
+    """Patterns against a map that depends on the label, every 13th channel dead, 1.2 units of area a photon."""
+    w = waveforms(spark, sf_dir).withColumn("observed", F.transform("data", lambda v: F.abs(v)))
+    w = w.withColumns({"area": wf.total(F.col("observed")), "top": wf.total(F.slice("observed", 1, 40)), "efficiency": F.transform("data", lambda v, i: (1 + (i + F.col("label")) % 5).cast("double"))})
+    fit = pa.pattern_fit(w.withColumn("aft", F.try_divide(F.col("top"), F.col("area"))), 40, [i % 13 != 0 for i in range(64)], 1.2, 500, observed="observed", aft="aft")
+    return fit.select("wave_id", *[F.round(c, 4).alias(c) for c in ("two_nll", "two_nll_top", "two_nll_bottom")])
 
-    def statistic(d):
-        expected = float(d.sum()) / len(d)
-        return float(numeric.poisson_2nll(d, expected * (d * 0 + 1)).sum())
 
-    return wf.with_arrays(w, ["wave_id"], "data", statistic, "double").withColumnRenamed("result", "two_nll")
+@query("aft_probabilities", None)
+def aft_probabilities(spark, sf_dir):
+    """Area fractions top of the hits, as S1s, under an expected one that depends on the place."""
+    h = hits(spark, sf_dir).where("type = 1").select("run_id", "hit_id", (F.col("area") / 100.0).alias("area"), (F.col("k") / 100.0).alias("aft"), (0.3 + F.col("y") * 0.05).alias("expected"))
+    return pa.aft_probabilities(h, ["run_id", "hit_id"], "expected", "area", "aft", 1.2)
 
 
-@query("led_calibration", None)
+@query("led_calibration", f"""WITH {WAVES_SQL}, b AS (SELECT wave_id, label, data, list_avg(data[1:30]) AS b, list_stddev_pop(data[1:30]) AS s FROM waves),
+n AS (SELECT *, list_transform(data, lambda x: b - x) AS d FROM b), r AS (SELECT wave_id, min(i - 1) AS hit FROM n, range(31, 65) q(i) WHERE d[i] >= 2 * s AND d[i - 1] < 2 * s GROUP BY 1),
+m AS (SELECT label, hit AS mode FROM (SELECT label, hit, row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, hit) AS k FROM r JOIN n USING (wave_id) GROUP BY label, hit) WHERE k = 1),
+w AS (SELECT n.*, r.hit IS NOT NULL AS triggered, CAST(CASE WHEN r.hit IS NOT NULL THEN least(r.hit, 50) WHEN m.mode IS NOT NULL THEN least(m.mode, 50) ELSE 40 END AS INTEGER) AS pos FROM n LEFT JOIN r USING (wave_id) LEFT JOIN m USING (label))
+SELECT wave_id, triggered, pos AS hit_position, round(list_max(d[pos - 1:pos + 8]), 6) AS amplitude_led, round(list_max(d[1:10]), 6) AS amplitude_noise, round((list_sum(d[pos - 1:pos + 8]) + list_sum(d[pos - 1:pos + 11]) + list_sum(d[pos - 1:pos + 14])) / 3, 6) AS area FROM w""")
 def led_calibration(spark, sf_dir):
-    found = wf.with_arrays(waveforms(spark, sf_dir), ["wave_id"], "data", lambda d: dict(zip(("amplitude", "area"), wf.led_area(d, (40, 60), (0, 30)))), "struct<amplitude:double,area:double>")
-    return found.select("wave_id", "result.*")
+    """Waveforms as calibration records, grouped by label: turned over, windows around the first hit, light in them."""
+    rows = pa.led_records(waveforms(spark, sf_dir).withColumn("record_i", F.lit(0)), 64, (0, 30))
+    light = pa.led_light(pa.led_windows(rows, 2.0, (-2, 8), 30, 40, 64, 6, by=["label"]), (0, 10), 6, 3)
+    return light.select("wave_id", "triggered", "hit_position", *[F.round(c, 6).alias(c) for c in ("amplitude_led", "amplitude_noise", "area")])
 
 
 @query("afterpulses", None)

@@ -40,5 +40,5 @@ def test_entry(spark):
 
 def test_every_query_has_sql_or_is_known_not_to():
     assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {
-        "s2_merge_islands", "natural_breaks", "waveform_widths", "pattern_fit", "led_calibration", "afterpulses", "sample_monitor",
+        "s2_merge_islands", "natural_breaks", "aft_probabilities", "afterpulses", "sample_monitor", "s2_merge_posterior", "enhanced_types",
     }
