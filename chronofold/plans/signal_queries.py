@@ -397,13 +397,13 @@ def natural_breaks(spark, sf_dir):
 
 @query("waveform_widths", f"""WITH {WAVES_SQL}, s AS (SELECT wave_id, i - 1 AS i, CAST(greatest(data[i], 0) AS DOUBLE) AS v FROM waves, range(1, 65) r(i)),
 c AS (SELECT *, sum(v) OVER (PARTITION BY wave_id ORDER BY i) AS hi, sum(v) OVER (PARTITION BY wave_id) AS whole FROM s),
-q AS (SELECT wave_id, f, i, i + CASE WHEN v > 0 THEN (f / 20.0 * whole - (hi - v)) / v ELSE 0 END AS pos FROM c, range(0, 21) q(f) WHERE whole > 0 AND hi >= f / 20.0 * whole),
+q AS (SELECT wave_id, f, i, i + CASE WHEN v > 0 THEN (f / 20.0 * whole - (hi - v)) / v ELSE 0 END AS pos FROM c, range(0, 21) q(f) WHERE whole > 0 AND hi > f / 20.0 * whole),
 t AS (SELECT wave_id, f, arg_min(pos, i) AS pos FROM q GROUP BY 1, 2),
 p AS (SELECT w.wave_id, max(pos) FILTER (f = 5) AS a5, max(pos) FILTER (f = 15) AS a15, max(pos) FILTER (f = 1) AS a1, max(pos) FILTER (f = 19) AS a19 FROM waves w LEFT JOIN t ON t.wave_id = w.wave_id GROUP BY 1)
-SELECT wave_id, round(coalesce(a15 - a5, 0), 6) AS range_50p, round(coalesce(a19 - a1, 0), 6) AS range_90p FROM p""")
+SELECT wave_id, round(coalesce(a15 - a5, 0), 9) AS range_50p, round(coalesce(a19 - a1, 0), 9) AS range_90p FROM p""")
 def waveform_widths(spark, sf_dir):
     found = wf.with_arrays(_positive(spark, sf_dir), ["wave_id"], "data", lambda d: wf.widths(d)[0].tolist(), "array<double>")
-    return found.select("wave_id", F.round(F.get("result", F.lit(5)), 6).alias("range_50p"), F.round(F.get("result", F.lit(9)), 6).alias("range_90p"))
+    return found.select("wave_id", F.round(F.get("result", F.lit(5)), 9).alias("range_50p"), F.round(F.get("result", F.lit(9)), 9).alias("range_90p"))
 
 
 _FIT = """round(sum(CASE WHEN mu > 0 THEN 2 * (mu - n + CASE WHEN n > 0 THEN n * ln(n / mu) ELSE 0 END) ELSE 0 END), 4)"""
