@@ -173,3 +173,19 @@ def match_clock(pulses: DataFrame, truths: DataFrame, before: int, after: int, k
     windows = pulses.select(*by, (F.col("time") - before).alias("time"), (F.col("time") + after).alias("endtime"), key)
     met = overlap_join(truths.select(*by, F.col(truth).alias("time")), windows, by, width, "starting")
     return met.select(*by, F.col(f"w_{key}").alias(key), F.col("time").alias(truth))
+
+
+def clock_edges(records: DataFrame, threshold: float, offset: int = 0, baseline_samples: int = 40, data: str = "data", key: str = "hit_id", by: Sequence[str] = RUN) -> DataFrame:
+    """(by, key, time): where the pulses of a clock channel rise by threshold below their baseline. A run without any such edge gives the starts
+    of its first fragments, ``offset`` later."""
+    from chronofold.operators import waveform as wf
+
+    def edges(samples):
+        return [h[0] for h in wf.find_hits(wf.process_pulse(samples, baseline_samples)[0], threshold)]
+
+    found = wf.with_arrays(records.select(*by, key, "time", "dt", "record_i", data), [*by, key, "time", "dt", "record_i"], data, edges, "array<int>")
+    marks = pinned(found.withColumnRenamed("result", "edges"))
+    seen = marks.where(F.size("edges") > 0)
+    risen = seen.select(*by, key, "time", "dt", F.explode("edges").alias("at")).select(*by, key, (F.col("time") + F.col("at") * F.col("dt")).alias("time"))
+    silent = marks.where("record_i = 0").join(seen.select(*by).distinct(), list(by), "left_anti")
+    return risen.unionByName(silent.select(*by, key, (F.col("time") + offset).alias("time")))

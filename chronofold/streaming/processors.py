@@ -62,6 +62,31 @@ def competing_before(stream: DataFrame, window: int, fraction: float = 0.2, by:
     )
 
 
+def mark_late(stream: DataFrame, late: int, by: str = "run_id") -> DataFrame:
+    """stream's (by, hit_id, time, endtime) with ``late``: whether a row is more than ``late`` ns behind the latest time of earlier batches.
+
+    The state is one time per key. Rows that are not late go on; the others are the side output, see dead_spans.
+    """
+    kind = stream.schema[by].dataType.simpleString()
+
+    def process(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        reached = state.get[0] if state.exists else None
+        most = reached
+        for f in frames:
+            behind = f["time"] < reached - late if reached is not None else pd.Series(False, index=f.index)
+            most = max(int(f["time"].max()), most if most is not None else int(f["time"].max()))
+            yield f.assign(late=behind)[[by, "hit_id", "time", "endtime", "late"]]
+        state.update((most,))
+
+    lean = stream.select(by, "hit_id", "time", "endtime")
+    return lean.groupBy(by).applyInPandasWithState(process, f"{by} {kind}, hit_id long, time long, endtime long, late boolean", "reached long", "append", GroupStateTimeout.NoTimeout)
+
+
+def dead_spans(marked: DataFrame, channel: int, by: str = "run_id") -> DataFrame:
+    """The side output: the time that each late row covers, as artificial dead time on a channel."""
+    return marked.where("late").select(by, "time", "endtime", F.lit(channel).alias("channel"))
+
+
 def start_available(df: DataFrame, name: str, checkpoint: str, mode: str = "append"):
     """Runs everything that is there into an in-memory table, and ends."""
     return df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
