@@ -297,7 +297,7 @@ def with_arrays(df: DataFrame, key: Sequence[str], data: str, kernel, schema: st
 
     arrow_type = to_arrow_type(_parse_datatype_string(schema))
     fields = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return df.select(*keys, data, *others).mapInArrow(run, f"{fields}, result {schema}")
+    return df.select(*dict.fromkeys([*keys, data, *others])).mapInArrow(run, f"{fields}, result {schema}")
 
 
 def hits_of(df: DataFrame, threshold: float, key: Sequence[str], data: str = "data") -> DataFrame:

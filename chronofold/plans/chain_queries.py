@@ -8,6 +8,7 @@ from chronofold.operators import intervals as iv
 from chronofold.operators import monitor as mo
 from chronofold.operators import peaklets as pk
 from chronofold.operators import posterior as po
+from chronofold.operators import records as rc
 from chronofold.operators import selections as se
 from chronofold.operators import waveform as wf
 from chronofold.plans.interval_queries import _MERGED, EVENTS_SQL, RESOLVING, WIDTH, _coincidence_sql, _events
@@ -292,3 +293,16 @@ def enhanced_types(spark, sf_dir):
     """Types after merging, and whether a peaklet went into a merged peak."""
     peaklets, found = _assigned(spark, sf_dir)
     return po.enhanced_types(peaklets, found, po.merged_peaks(found, width=WIDTH // SECOND), width=WIDTH // SECOND)
+
+
+@query("pulse_processing", f"""WITH {WAVES_SQL}, r AS (SELECT wave_id, wave_id // 2 AS pulse, wave_id % 2 AS record_i, 64 - label AS n, data, list_avg(data[1:16]) AS own FROM waves),
+b AS (SELECT *, coalesce(max(own) FILTER (record_i = 0) OVER (PARTITION BY pulse), own) AS base FROM r),
+s AS (SELECT wave_id, base, i, CASE WHEN i <= n THEN CAST(floor(base) AS BIGINT) - data[i] ELSE 0 END AS v FROM b, range(1, 65) q(i)),
+h AS (SELECT *, v >= 150 AS o, coalesce(lag(v) OVER (PARTITION BY wave_id ORDER BY i), 0) < 150 AS up, max(CASE WHEN v >= 150 THEN 1 ELSE 0 END) OVER (PARTITION BY wave_id ORDER BY i ROWS BETWEEN 20 PRECEDING AND 3 FOLLOWING) AS k FROM s)
+SELECT wave_id, round(max(base), 6) AS baseline, CAST(sum(v) AS BIGINT) AS area, CAST(sum(v * k) AS BIGINT) AS kept_area, count(*) FILTER (o AND up) AS n_hits FROM h GROUP BY 1""")
+def pulse_processing(spark, sf_dir):
+    """Waveforms as raw fragments, two to a pulse, some of them shorter than their array."""
+    raw = waveforms(spark, sf_dir).select("wave_id", F.expr("wave_id div 2").alias("pulse"), (F.col("wave_id") % 2).alias("record_i"), (64 - F.col("label")).alias("length"), "data")
+    found = rc.process_records(raw, ["wave_id"], 150, 16, pulse=["pulse"])
+    kept = F.aggregate("data", F.lit(0.0), lambda a, x: a + x).cast("long")
+    return found.select("wave_id", F.round("baseline", 6).alias("baseline"), F.col("area").cast("long").alias("area"), kept.alias("kept_area"), F.col("n_hits").cast("long").alias("n_hits"))
