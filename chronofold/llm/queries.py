@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.llm import archives, chat_format, decontaminate, html_extract, quality_classifier, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts
+from chronofold.llm import archives, chat_format, decontaminate, filter_audit, html_extract, mixing, name_join, quality_classifier, quality_rules, sentence_pieces, simhash, suffix_dedup, token_counts
 from chronofold.llm.common import read
 
 
@@ -80,7 +80,25 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_windows(turns.unionByName(probe)))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of all documents, shared by sources in the ratio 5 : 2 : 1 and so on, at most three times a source's size."""
+    return mixing.mix(read(spark, sf_dir, "documents"), (5, 2, 1), epochs=3).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vendors = read(spark, sf_dir, "vendors")
+    vendors = vendors.select("vendor_id", name_join.misspelt(F.col("name"), F.col("vendor_id")).alias("name"))
+    return name_join.link_vendors(read(spark, sf_dir, "clients").select("client_id", "name"), vendors)
+
+
 QUERIES = {
+    "op11_source_mixing": op11_source_mixing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_name_join": op13_name_join,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op6_html_extraction": op6_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
@@ -155,7 +173,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM m
 """
 
+_OP11 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS mark FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * CAST(sum(size) AS BIGINT) AS most,
+         CASE (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM d GROUP BY source),
+o AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(most) OVER before, 0) AS l, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS lw
+  FROM s WINDOW before AS (ORDER BY CAST(most AS DOUBLE) / w, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT l, lw FROM o WHERE l * w <= most * lw ORDER BY lw DESC LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN o.lw > f.lw THEN CAST(most AS DOUBLE) ELSE CAST(f.l * w AS DOUBLE) / f.lw END AS target FROM o, f),
+p AS (
+  SELECT d.doc_id, size, source_size, target, CAST(floor(target) AS BIGINT) AS budget,
+         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY mark ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0
+       ELSE budget // source_size * size + greatest(0, least(size, budget % source_size - before)) END AS BIGINT) AS taken
+FROM p
+"""
+
+_OP12 = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)::INT AS mask FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+c AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, mask),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS b),
+orders AS (
+  SELECT o, [b1, b2, b3, b4, b5] AS bits FROM (
+    SELECT a.f || b.f || c.f || d.f || e.f AS o, a.b AS b1, b.b AS b2, c.b AS b3, d.b AS b4, e.b AS b5
+    FROM x a, x b, x c, x d, x e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5)),
+steps AS (
+  SELECT o, CAST(s AS INT) AS step, bits[s] AS bit, CAST(coalesce(list_sum(bits[1:s - 1]), 0) AS INT) AS earlier FROM orders, range(1, 6) r(s)),
+r AS (
+  SELECT part, o AS filter_order, step, bit, CAST(sum(n) FILTER (mask & (bit | earlier) = 0) AS BIGINT) AS kept,
+         CAST(sum(n) FILTER (mask & bit <> 0 AND mask & earlier = 0) AS BIGINT) AS removed, CAST(sum(n) FILTER (mask & bit <> 0 AND mask & earlier <> 0) AS BIGINT) AS redundant,
+         CAST(sum(n) FILTER (mask = bit) AS BIGINT) AS unique_fails, CAST(sum(good) FILTER (mask & bit <> 0 AND mask & earlier = 0) AS BIGINT) AS good_lost,
+         CAST(sum(toxic) FILTER (mask & bit <> 0 AND mask & earlier = 0) AS BIGINT) AS toxic_lost
+  FROM c, steps GROUP BY part, o, step, bit)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant,
+       coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_source_mixing": _OP11,
+    "op12_filter_audit": _OP12,
     "op1_legacy_archives": _OP1,
     "op10_quality_rules": _OP10,
     "op7_decontaminate": _OP7,
