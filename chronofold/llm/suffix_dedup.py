@@ -1,22 +1,25 @@
 """Exact removal of repeated byte strings by bucket-pointer refinement.
 
 A byte goes if a string of ``length`` bytes that covers it also starts earlier (in a smaller id, or
-earlier in the same document). Suffixes are refined only where a repeat is possible:
+earlier in the same document). A document is an id with a text, told apart by a 64-bit digest of the text: rows of one id
+with unlike texts are documents of their own, none smaller than another. Suffixes are refined only where a repeat is possible:
 
 1. Every window of ``length`` bytes is owned by the place of the least 32-gram hash inside it, which its
    bytes alone decide: equal windows have equal owners. Consecutive windows with one owner form a run.
    Runs whose owner's 32-gram occurs once in the corpus hold no repeat and are dropped.
-2. Runs with equal bytes are merged by map-side minima: all but the first are repeats as a whole.
+2. Runs with equal bytes are merged by map-side minima: all but the first are repeats as a whole, except those of another text
+   under the first one's id, which go on to the next step.
 3. First runs that share their 32-gram with a different run are refined: buckets of 8-grams are split by
    sorting on (own bucket, bucket 8 bytes later), then 16, 32 and 36 bytes later, each step reusing the
    identifiers that the last one wrote; suffixes alone in their bucket leave the sort. At depth
-   ``length`` a bucket holds equal windows; all but its first are repeats. A 32-gram with more than
+   ``length`` a bucket holds equal windows; those of larger ids than its first and those behind one of their own document are
+   repeats. A 32-gram with more than
    HOT_RUNS different runs is refined by aggregation over window digests instead, so no group is unbounded.
 4. Repeated windows become spans per document, and spans are applied where the text is.
 
 Defined cases: null texts are empty; texts shorter than ``length`` keep everything; a repeated row (same id
-and text) is the same document, not a copy of it, and each row gets the same result; null ids count as
-smaller than any other and as one document; empty tables give empty tables; extra columns are carried by
+and text) is the same document, not a copy of it, and each row gets the same result; a null id counts as smaller than any
+other and is otherwise an id like them; empty tables give empty tables; extra columns are carried by
 ``remove_repeats``. Texts are cut in segments for hashing, so memory does not follow the longest text's
 hashes, and matches across segment ends are still found.
 """
@@ -146,33 +149,34 @@ def _runs(length: int):
 
 
 def _cut_runs(length: int):
-    """(key, text, runs) -> one row per run with its bytes; runs of another text under the same id are dropped."""
+    """(key, text, runs) -> one row per run with its bytes."""
 
     def run(batches):
         import xxhash
 
         for batch in batches:
-            keys, texts, runs = (batch.column(c).to_pylist() for c in ("key", "text", "runs"))
+            texts, runs = (batch.column(c).to_pylist() for c in ("text", "runs"))
             out = []
-            for key, text, own in zip(keys, texts, runs):
+            for row, (text, own) in enumerate(zip(texts, runs)):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 for r in own:
                     piece = data[r["start"] : r["start"] + r["n"] + length - 1]
                     if np.uint64(xxhash.xxh3_64_intdigest(piece)).astype(np.int64) == r["digest"]:
-                        out.append((r["gram"], key, r["start"], piece))
+                        out.append((r["gram"], row, r["start"], piece))
             cols = list(zip(*out)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], batch.schema.field("key").type), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())],
+                [pa.array(cols[0], pa.int64()), batch.column("key").take(pa.array(cols[1], pa.int64())), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())],
                 names=["gram", "key", "start", "piece"],
             )
 
     return run
 
 
-def refine(blob: bytes, sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket-pointer refinement over the concatenated pieces.
+def refine(blob: bytes, sizes: np.ndarray, length: int = LENGTH, ids: np.ndarray | None = None, docs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket-pointer refinement over the concatenated pieces, which stand in order of their ids and, in those, of their documents.
 
-    Returns (place, repeated) for every window start: whether an equal window starts at a smaller place.
+    Returns (place, repeated) for every window start: whether an equal window starts at a smaller place, in a piece of another
+    id or of the same document. ids and docs: numbers of each piece's id and document; without them no two pieces share an id.
     """
     data = np.frombuffer(blob, dtype=np.uint8)
     ends = np.repeat(np.cumsum(sizes), sizes)
@@ -186,12 +190,12 @@ def refine(blob: bytes, sizes: np.ndarray, length: int = LENGTH) -> tuple[np.nda
     active, depth = place[room >= 8], 8
     keys = words[active]
     while True:
-        _, ids, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        _, codes, counts = np.unique(keys, return_inverse=True, return_counts=True)
         # New identifiers start beyond all old ones; a place alone in its bucket keeps a pointer of its own.
-        bucket[active] = ids + bucket.max() + 1
+        bucket[active] = codes + bucket.max() + 1
         if depth == length:
             break
-        active = active[counts[ids] > 1]
+        active = active[counts[codes] > 1]
         step = min(depth, length - depth)
         depth += step
         active = active[room[active] >= depth]
@@ -199,9 +203,14 @@ def refine(blob: bytes, sizes: np.ndarray, length: int = LENGTH) -> tuple[np.nda
         bucket = dense.astype(np.int64)
         keys = bucket[active] * np.int64(len(data) + 1) + bucket[active + step]
     repeated = np.zeros(len(data), dtype=bool)
-    order = np.argsort(bucket[active], kind="stable")
-    same = np.flatnonzero(np.diff(bucket[active][order]) == 0) + 1
-    repeated[active[order[same]]] = True
+    order = active[np.argsort(bucket[active], kind="stable")]
+    same = np.concatenate([[False], np.diff(bucket[order]) == 0])[: len(order)]
+    if ids is not None and len(order):
+        piece = np.searchsorted(np.cumsum(sizes), order, side="right")
+        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+        own = np.concatenate([[False], docs[piece[1:]] == docs[piece[:-1]]])
+        same &= own | (ids[piece] != ids[piece[first]])
+    repeated[order[same]] = True
     starts = place[room >= length]
     return starts, repeated[starts]
 
@@ -209,59 +218,76 @@ def refine(blob: bytes, sizes: np.ndarray, length: int = LENGTH) -> tuple[np.nda
 def _refine_groups(length: int, most: int = 2 << 20):
     """mapInArrow over runs sorted by (gram, key, start): whole grams at a time, about ``most`` bytes together."""
 
-    def spans(gram, key, start, piece, kind):
-        fresh = [i for i in range(len(gram)) if not i or (gram[i], key[i], start[i]) != (gram[i - 1], key[i - 1], start[i - 1])]
+    def spans(gram, ident, digest, start, piece, kind):
+        fresh = [i for i in range(len(gram)) if not i or (gram[i], ident[i], digest[i], start[i]) != (gram[i - 1], ident[i - 1], digest[i - 1], start[i - 1])]
         sizes = np.array([len(piece[i]) for i in fresh], dtype=np.int64)
-        at, repeated = refine(b"".join(piece[i] for i in fresh), sizes, length)
+        # Numbers that change with the id and with the document.
+        steps = [(gram[i] != gram[j] or ident[i] != ident[j], digest[i] != digest[j]) for j, i in zip(fresh, fresh[1:])]
+        ids = np.cumsum([0, *(s[0] for s in steps)])
+        docs = np.cumsum([0, *(s[0] or s[1] for s in steps)])
+        at, repeated = refine(b"".join(piece[i] for i in fresh), sizes, length, ids, docs)
         begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         at = at[repeated]
-        cut = np.flatnonzero(np.diff(at) != 1) + 1
+        own = np.searchsorted(begins, at, side="right") - 1
+        cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(own) != 0)) + 1
         first, last = at[np.concatenate([[0], cut])] if len(at) else at, at[np.concatenate([cut - 1, [len(at) - 1]])] if len(at) else at
         own = np.searchsorted(begins, first, side="right") - 1
         base = np.array([start[i] for i in fresh], dtype=np.int64)[own] - begins[own] if len(own) else own
-        return pa.RecordBatch.from_arrays(
-            [pa.array([key[fresh[i]] for i in own], kind), pa.array(first + base, pa.int64()), pa.array(last + base + length, pa.int64())],
-            names=["key", "start", "end"],
-        )
+        keys = [{"id": ident[fresh[i]], "digest": digest[fresh[i]]} for i in own]
+        return pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(first + base, pa.int64()), pa.array(last + base + length, pa.int64())], names=["key", "start", "end"])
 
     def run(batches):
-        held, size = [[], [], [], []], 0
+        held, size = [[], [], [], [], []], 0
         for batch in batches:
             kind = batch.schema.field("key").type
-            cols = [batch.column(c).to_pylist() for c in ("gram", "key", "start", "piece")]
+            key = batch.column("key")
+            cols = [c.to_pylist() for c in (batch.column("gram"), key.field("id"), key.field("digest"), batch.column("start"), batch.column("piece"))]
             for row in zip(*cols):
                 if size >= most and row[0] != held[0][-1]:
                     yield spans(*held, kind)
-                    held, size = [[], [], [], []], 0
+                    held, size = [[], [], [], [], []], 0
                 for to, value in zip(held, row):
                     to.append(value)
-                size += len(row[3])
+                size += len(row[4])
         if held[0]:
             yield spans(*held, kind)
 
     return run
 
 
+def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """docs with ``key``, the document of each row: its id and the digest of its text."""
+    return docs.select(F.struct(F.col(key).alias("id"), F.xxhash64(text_or_empty(text)).alias("digest")).alias("key"), *[F.col(c).alias(f"_{c}") for c in docs.columns])
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, spans): byte spans [start, end) of each document that repeat earlier bytes; documents without any are absent."""
-    texts = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
+    """(key, spans): byte spans [start, end) of each document (its id and text digest) that repeat earlier bytes; documents without any are absent."""
+    texts = _keyed(docs, key, text).select("key", text_or_empty(f"_{text}").alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
     counted = texts.select("text").mapInArrow(_gram_counts(length), "gram long, n long")
-    repeated = counted.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
+    # Written, so that both sides of the next join are dealt out by it and a hot gram can be split there.
+    repeated = materialize(counted.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "repeated-grams")
     runs = texts.mapInArrow(_runs(length), f"gram long, digest long, key {kind}, start long, n int")
     shared = materialize(runs.join(repeated, "gram"), "runs")
 
     firsts = shared.groupBy("gram", "digest").agg(F.min(F.struct("key", "start", "n")).alias("f"), F.count(F.lit(1)).alias("copies"))
     firsts = materialize(firsts.select("gram", "digest", "f.*", "copies"), "first-runs")
     many = firsts.where("copies > 1").select("gram", "digest", F.col("key").alias("key0"), F.col("start").alias("start0"))
-    same = F.col("key").eqNullSafe(F.col("key0")) & (F.col("start") == F.col("start0"))
-    whole = shared.join(many, ["gram", "digest"]).where(~same)
+    rival = F.col("key.id").eqNullSafe(F.col("key0.id")) & (F.col("key.digest") != F.col("key0.digest"))
+    same = (F.col("key") == F.col("key0")) & (F.col("start") == F.col("start0"))
+    whole = shared.join(many, ["gram", "digest"]).where(~same & ~rival)
     whole = whole.select("key", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
 
-    kinds = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    mixed = firsts.join(kinds, "gram").select("key", "gram", "digest", "start", "n", "kinds")
-    wanted = mixed.groupBy("key").agg(F.collect_list(F.struct("gram", "digest", "start", "n")).alias("runs")).withColumnRenamed("key", "key0")
-    carried = texts.join(wanted.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("key0"))).select("key", "text", "runs")
+    pieces = firsts.select("key", "gram", "digest", "start", "n")
+    texts_of = shared.groupBy(F.col("key.id").alias("id0")).agg(F.min("key.digest").alias("low"), F.max("key.digest").alias("high"))
+    twins = materialize(texts_of.where("low <> high").select("id0"), "shared-ids")
+    if not twins.isEmpty():
+        met = shared.join(twins, F.col("key.id").eqNullSafe(F.col("id0"))).join(many, ["gram", "digest"])
+        pieces = pieces.unionByName(met.where(rival).select("key", "gram", "digest", "start", "n"))
+    kinds = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    mixed = pieces.join(kinds, "gram").select("key", "gram", "digest", "start", "n", "kinds")
+    wanted = mixed.groupBy("key").agg(F.collect_list(F.struct("gram", "digest", "start", "n")).alias("runs"))
+    carried = texts.join(wanted.hint("shuffle_hash"), "key").select("key", "text", "runs")
     pieces = materialize(carried.mapInArrow(_cut_runs(length), f"gram long, key {kind}, start long, piece binary"), "pieces")
     pieces = pieces.join(kinds, "gram")
     cold = pieces.where(F.col("kinds") <= HOT_RUNS).select("gram", "key", "start", "piece")
@@ -274,10 +300,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", t
 def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
     """Repeated windows of grams with very many different runs, by aggregation over window digests."""
     offsets = F.sequence(F.lit(0), F.octet_length("piece") - length)
-    windows = pieces.distinct().select("key", "start", "piece", F.explode(offsets).alias("t"))
+    windows = pieces.select("key", "start", "piece").distinct().select("key", "start", "piece", F.explode(offsets).alias("t"))
     windows = windows.select("key", (F.col("start") + F.col("t")).alias("start"), F.unhex(F.md5(F.substring("piece", F.col("t") + 1, F.lit(length)))).alias("win"))
-    first = windows.groupBy("win").agg(F.min(F.struct("key", "start")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = windows.join(first, "win").where(~F.struct("key", "start").eqNullSafe(F.col("f")))
+    own = windows.groupBy("win", "key").agg(F.min("start").alias("own0"))
+    first = own.groupBy("win").agg(F.min(F.struct("key")).alias("f"))
+    later = windows.join(own, ["win", "key"]).join(first, "win")
+    later = later.where(~F.col("key.id").eqNullSafe(F.col("f.key.id")) | (F.col("start") > F.col("own0")))
     return later.select("key", "start", (F.col("start") + length).alias("end"))
 
 
@@ -334,21 +362,22 @@ def _apply(mode: str):
 
 def span_digests(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    spans = repeated_spans(docs, length, key, text).withColumnRenamed("key", "key0")
-    texts = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
-    kind = texts.schema["key"].dataType.simpleString()
-    joined = texts.join(spans.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("key0")), "left").select("key", "text", "spans")
+    spans = repeated_spans(docs, length, key, text)
+    texts = _keyed(docs, key, text).select("key", text_or_empty(f"_{text}").alias("text"))
+    joined = texts.join(spans.hint("shuffle_hash"), "key", "left").select(F.col("key.id").alias("key"), "text", "spans")
+    kind = joined.schema["key"].dataType.simpleString()
     out = joined.mapInArrow(_apply("digest"), f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumnRenamed("key", key)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with every repeated span cut from text, in whole characters; other columns are kept as they are."""
-    spans = repeated_spans(docs, length, key, text).withColumnRenamed("key", "key0")
+    spans = repeated_spans(docs, length, key, text)
     others = [c for c in docs.columns if c not in (key, text)]
-    packed = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.struct(*others).alias("row") if others else F.lit(None).cast("string").alias("row"))
-    joined = packed.join(spans.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("key0")), "left").select("key", "row", "text", "spans")
-    kind, row = packed.schema["key"].dataType.simpleString(), packed.schema["row"].dataType.simpleString()
+    row = F.struct(*[F.col(f"_{c}").alias(c) for c in others]) if others else F.lit(None).cast("string")
+    packed = _keyed(docs, key, text).select("key", F.col(f"_{text}").alias("text"), row.alias("row"))
+    joined = packed.join(spans.hint("shuffle_hash"), "key", "left").select(F.col("key.id").alias("key"), "row", "text", "spans")
+    kind, row = joined.schema["key"].dataType.simpleString(), joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(_apply("text"), f"key {kind}, row {row}, _new string")
     origin = {key: F.col("key"), text: F.col("_new")}
     return out.select(*[(origin[c] if c in origin else F.col("row")[c]).alias(c) for c in docs.columns])

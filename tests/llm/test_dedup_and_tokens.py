@@ -99,6 +99,47 @@ def test_repeated_rows_are_one_document(spark):
     assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (1, 0), (2, len(text.encode()))]
 
 
+def removed_rows(rows):
+    """(id, text) -> (bytes, removed, spans, rest) by the contract, where rows of one id with unlike texts are documents of their own."""
+    docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    first, out = {}, {}
+    for key, text in docs:
+        data = (text or "").encode()
+        for p in range(len(data) - 99):
+            first.setdefault(data[p : p + 100], key)
+    for key, text in docs:
+        data, own = (text or "").encode(), set()
+        gone = bytearray(len(data))
+        for p in range(len(data) - 99):
+            w = data[p : p + 100]
+            if first[w] != key or w in own:
+                gone[p : p + 100] = b"\1" * 100
+            own.add(w)
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        out[key, text] = (len(data), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_unlike_texts_under_one_id_are_documents_of_their_own(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
+    rng = random.Random(12)
+    parts = [words(rng, 30) for _ in range(7)]
+    a, b = parts[0] * 2, parts[1]
+    rows = [(1, a), (2, a), (2, b), (None, parts[2] + "x"), (None, "y" + parts[2]), (None, parts[3]), (3, parts[4] + "1"), (3, parts[4] + "2" + parts[4]), (4, "z" + parts[4])]
+    rows += [(5, parts[5]), (5, parts[5]), (5, "q" + parts[5]), (0, parts[6]), (None, parts[6] + parts[2]), (2, None), (2, "")]
+    rows += [(rng.choice([None, 7, 8, 9]), " ".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))) for _ in range(25)]
+    docs = spark.createDataFrame([(*r, "d") for r in rows], "doc_id long, text string, digest string").repartition(3)
+    want = removed_rows(rows)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.span_digests(docs).collect()), key=str)
+    assert got == sorted(((k, *want[k, t]) for k, t in rows), key=str)
+    cut = suffix_dedup.remove_repeats(docs)
+    assert cut.columns == ["doc_id", "text", "digest"] and cut.count() == len(rows)
+    few = [(1, a), (2, a), (2, b), (None, parts[2] + "x"), (None, "y" + parts[2]), (None, parts[3]), (2, None)]
+    left = {(r.doc_id, r.text) for r in suffix_dedup.remove_repeats(spark.createDataFrame(few, "doc_id long, text string")).collect()}
+    assert left == {(1, parts[0]), (2, ""), (2, b), (None, parts[2] + "x"), (None, "y" + parts[2]), (None, parts[3]), (2, None)}
+
+
 def test_fingerprints():
     import xxhash
 
