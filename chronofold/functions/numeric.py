@@ -10,86 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
-
-
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function, by Lentz's continued fraction."""
-    if not 0 <= x <= 1 or a <= 0 or b <= 0:
-        return math.nan
-    if x in (0.0, 1.0):
-        return x
-    if x > (a + 1) / (a + b + 2):
-        return 1 - betainc(b, a, 1 - x)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-    tiny, f, c, d = 1e-300, 1.0, 1.0, 0.0
-    for i in range(500):
-        m = i // 2
-        if i == 0:
-            num = 1.0
-        elif i % 2 == 0:
-            num = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        else:
-            num = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        d = 1 / (1 + num * d or tiny)
-        c = 1 + num / c or tiny
-        f *= c * d
-        if abs(1 - c * d) < 1e-14:
-            break
-    return front * (f - 1)
-
-
-def binom_logpmf(k, n, p):
-    """log of the binomial density for real k and n."""
-    k, n, p = np.broadcast_arrays(np.asarray(k, float), np.asarray(n, float), np.asarray(p, float))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return _lgamma(n + 1) - _lgamma(k + 1) - _lgamma(n - k + 1) + k * np.log(p) + (n - k) * np.log1p(-p)
-
-
-def binom_cdf(k: float, n: float, p: float) -> float:
-    return 1.0 if k >= n else 0.0 if k < 0 else betainc(n - k, k + 1, 1 - p)
-
-
-def binom_sf(k: float, n: float, p: float) -> float:
-    return 1 - binom_cdf(k, n, p)
-
-
-def binom_test(k: float, n: float, p: float) -> float:
-    """Two-sided p-value: the probability of all counts no likelier than k, the far tail found by bisection on the density."""
-    if not 0 < p < 1 or n <= 0 or not 0 <= k <= n:
-        return math.nan
-    mode = (n + 1) * p
-    here = float(binom_logpmf(k, n, p))
-    if abs(k - mode) < 0.5:
-        return 1.0
-    lo, hi = (math.floor(mode), n) if k < mode else (0.0, math.ceil(mode))
-    rising = k > mode
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        above = float(binom_logpmf(mid, n, p)) > here
-        if above != rising:
-            lo = mid
-        else:
-            hi = mid
-    far = (lo + hi) / 2
-    value = binom_cdf(k, n, p) + binom_sf(far, n, p) if k < mode else binom_sf(k - 1, n, p) + binom_cdf(far, n, p)
-    return min(max(value, 0.0), 1.0)
-
-
-def aft_probability(p: float, area: float, aft: float, discrete: bool = False) -> float:
-    """Probability of an S1's area fraction top under the expected one: a two-sided binomial test, or the density; NaN if unphysical."""
-    top = area * aft
-    if not (0 <= p <= 1 and 0 <= top <= area):
-        return math.nan
-    return float(np.exp(binom_logpmf(top, area, p))) if discrete else binom_test(top, area, p)
-
 
 def poisson_2nll(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    """Modified Poisson -2 ln L per channel: 2 (mu - n + n ln(n / mu)); 0 where nothing is expected."""
+    """Modified Poisson -2 ln L per channel, less that of a perfect fit: 2 (mu - n + n ln(n / mu)); a channel that saw nothing, or of
+    which nothing is expected, adds 0."""
     n, mu = np.asarray(observed, float), np.asarray(expected, float)
     with np.errstate(divide="ignore", invalid="ignore"):
-        term = np.where(n > 0, n * np.log(n / mu), 0.0)
-        return np.where(mu > 0, 2 * (mu - n + term), 0.0)
+        return np.where((n > 0) & (mu > 0), 2 * (mu - n + n * np.log(n / mu)), 0.0)
 
 
 def poisson_pmf(k: Column, mu: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators import ordered
 from chronofold.operators.intervals import RUN, islands, split_by_containment
-from chronofold.operators.ordered import HOUR
+from chronofold.operators.ordered import HOUR, match
 from chronofold.session import pinned
 
 
@@ -27,7 +27,7 @@ def build_events(
         spans = spans.withColumn("endtime", F.least("endtime", F.lit(end)))
     if veto_type is not None:
         inside = split_by_containment(peaks.where(F.col("type") == veto_type).select(*by, "time", "endtime"), spans, "island", by, width)
-        spans = spans.join(inside.select(*by, "island").distinct(), [*by, "island"], "left_anti")
+        spans = match(spans, inside.select(*by, "island").distinct(), [*by, "island"], "left_anti")
     return pinned(ordered.row_numbers(pinned(spans.drop("island")), "event_number", by, ("time",), max(width, left + right)))
 
 
@@ -68,7 +68,7 @@ def event_basics(
         F.coalesce(F.sum(F.when(side < 0, F.col("area"))), F.lit(0)).alias("area_before_main_s2"),
         F.max(F.when(side > 0, large)).alias("after"), F.max(F.when(side < 0, large)).alias("before"),
     )
-    out = events.select(*event, "time", "endtime").join(found, event, "left")
+    out = match(events.select(*event, "time", "endtime"), found, event, "left")
     m2, a2 = F.col("m2"), F.col("a2")
     if main_before_alt:
         swap = F.col("a2").isNotNull() & (F.col("a2.time") < F.col("m2.time"))
@@ -95,7 +95,7 @@ def attach_by_role(
     out = events
     for role in roles:
         side = values.select(*by, F.col(key).alias(f"{role}_{key}"), *[F.col(c).alias(f"{role}_{c}") for c in cols])
-        out = out.join(side, [*by, f"{role}_{key}"], "left")
+        out = match(out, side, [*by, f"{role}_{key}"], "left")
     return out
 
 
@@ -114,9 +114,9 @@ def as_double_scatter(events: DataFrame) -> DataFrame:
 def event_number_of(peaks: DataFrame, events: DataFrame, key: str = "hit_id", by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
     """(by, key, event_number, drift_time): the event that holds each peak (-1 for none) and, for S2s, the time since the main S1."""
     inside = split_by_containment(peaks.select(*by, "time", "endtime", key, "type", "center_time"), events, "event_number", by, width)
-    with_s1 = inside.join(events.select(*by, "event_number", "s1_center_time"), [*by, "event_number"])
+    with_s1 = match(inside, events.select(*by, "event_number", "s1_center_time"), [*by, "event_number"])
     found = with_s1.select(*by, key, "event_number", F.when(F.col("type") == 2, F.col("center_time") - F.col("s1_center_time")).alias("drift_time"))
-    return peaks.select(*by, key).join(found, [*by, key], "left").withColumn("event_number", F.coalesce("event_number", F.lit(-1).cast("long")))
+    return match(peaks.select(*by, key), found, [*by, key], "left").withColumn("event_number", F.coalesce("event_number", F.lit(-1).cast("long")))
 
 
 def multi_scatter(peaks: DataFrame, container: str, weight: str, values: Sequence[str], selected: Column, by: Sequence[str] = RUN) -> DataFrame:

@@ -1,8 +1,8 @@
 """Interval algebra: every row is a half-open interval [time, endtime) in integer nanoseconds.
 
 Joins on intervals run as equi-joins on time buckets, never as nested loops: an interval is copied into the few
-buckets that it touches at the level of its length, and a pair found in several buckets is kept in one, so
-the result is exact for any bucket width. Runs of a common key (default run_id) never meet; ids need to be unique in a run only.
+buckets that it touches at the level of its length, and a pair found in several buckets is kept in one, the result is exact for any bucket width. Runs of a common key (default run_id) never meet; ids need to be unique in a run only.
+Rows without a run are a run of their own, in joins too.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.operators import ordered
-from chronofold.operators.ordered import HOUR, with_bucket
-from chronofold.session import pinned
+from chronofold.operators.ordered import HOUR, before_part, match, parted, with_bucket, within_part
 
 RUN = ("run_id",)
 
@@ -99,7 +98,7 @@ def overlap_join(
         right = _spread(w, ws, we, width, highest(things, "time", "endtime")).withColumnRenamed("_own", "_w_own")
         # A pair meets at the higher of both levels, in every bucket that both touch; the bucket of the later start is its own.
         once = (F.col("_level") == F.greatest("_own", "_w_own")) & (F.col("_bucket") == F.greatest(_bucket("time", "_level", width), _bucket(ws, "_level", width)))
-        return left.join(right, [*by, "_level", "_bucket"]).where(test & once).drop("_level", "_bucket", "_own", "_w_own")
+        return match(left, right, [*by, "_level", "_bucket"]).where(test & once).drop("_level", "_bucket", "_own", "_w_own")
     left = things.withColumn("_level", F.explode(F.sequence(F.lit(0), top)))
     left = left.withColumn("_bucket", _bucket("time", "_level", width))
     if how == "contained":
@@ -108,35 +107,39 @@ def overlap_join(
         test = F.col("time").between(F.col(ws), F.col(we))
     else:
         raise ValueError(f"unknown join {how!r}")
-    return left.join(_spread(w, ws, we, width).drop("_own"), [*by, "_level", "_bucket"]).where(test).drop("_level", "_bucket")
+    return match(left, _spread(w, ws, we, width).drop("_own"), [*by, "_level", "_bucket"]).where(test).drop("_level", "_bucket")
 
 
-def split_by_containment(things: DataFrame, containers: DataFrame, container: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """things that lie fully inside one of the disjoint containers, with that container's id.
-
-    Disjoint containers need no copies: the last one that starts at or before a thing is the only one that can hold it.
-    """
-    if container in things.columns:
-        raise ValueError(f"things have a column {container!r} already")
+def _held(things: DataFrame, containers: DataFrame, container: str, by: Sequence[str], width: int) -> DataFrame:
+    """(_thing, _in): each thing with the last of the disjoint containers that starts at or before it, the only one that can hold it."""
     held = F.struct("time", "endtime", F.col(container).alias("id"))
     kind = containers.select(held.alias("h")).schema["h"].dataType
     lhs = things.select(*by, F.col("time").alias("_t"), F.lit(1).alias("_side"), F.struct(*things.columns).alias("_thing"), F.lit(None).cast(kind).alias("_held"))
     rhs = containers.select(*by, F.col("time").alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(lhs.schema["_thing"].dataType).alias("_thing"), held.alias("_held"))
-    both = ordered.fill_forward(lhs.unionByName(rhs), "_held", "_in", by, ("_t", "_side"), width).where("_side = 1")
-    inside = both.where(F.col("_thing.endtime") <= F.col("_in.endtime"))
+    return ordered.fill_forward(lhs.unionByName(rhs), "_held", "_in", by, ("_t", "_side"), width).where("_side = 1")
+
+
+def split_by_containment(things: DataFrame, containers: DataFrame, container: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
+    """things that lie fully inside one of the disjoint containers, with that container's id. Disjoint containers need no copies."""
+    if container in things.columns:
+        raise ValueError(f"things have a column {container!r} already")
+    inside = _held(things, containers, container, by, width).where(F.col("_thing.endtime") <= F.col("_in.endtime"))
     return inside.select("_thing.*", F.col("_in.id").alias(container))
 
 
 def containing(things: DataFrame, containers: DataFrame, container: str, key: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
     """All things with the id of the disjoint container that holds them, null for none."""
-    inside = split_by_containment(things.select(*by, "time", "endtime", key), containers, container, by, width)
-    return things.join(inside.select(*by, key, container), [*by, key], "left")
+    inside = F.col("_thing.endtime") <= F.col("_in.endtime")
+    return _held(things, containers, container, by, width).select("_thing.*", F.when(inside, F.col("_in.id")).alias(container))
 
 
-def outside(things: DataFrame, containers: DataFrame, key: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
-    """things that lie in no container (lone hits, veto mask); containers may overlap."""
+def outside(things: DataFrame, containers: DataFrame, key: str, by: Sequence[str] = RUN, width: int = HOUR, disjoint: bool = False) -> DataFrame:
+    """things that lie in no container (lone hits, veto mask). Containers may overlap, unless they are said to be disjoint, which is cheaper."""
+    if disjoint:
+        held = _held(things, containers.withColumn("_c", F.lit(1)), "_c", by, width)
+        return held.where(~F.coalesce(F.col("_thing.endtime") <= F.col("_in.endtime"), F.lit(False))).select("_thing.*")
     held = overlap_join(things.select(*by, "time", "endtime", key), containers.select(*by, "time", "endtime"), by, width, "contained")
-    return things.join(held.select(*by, key).distinct(), [*by, key], "left_anti")
+    return match(things, held.select(*by, key).distinct(), [*by, key], "left_anti")
 
 
 def overlap_duration(windows: DataFrame, spans: DataFrame, key: str, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
@@ -144,19 +147,36 @@ def overlap_duration(windows: DataFrame, spans: DataFrame, key: str, by: Sequenc
     met = overlap_join(windows.select(*by, "time", "endtime", key), spans.select(*by, "time", "endtime"), by, width)
     part = F.least("endtime", "w_endtime") - F.greatest("time", "w_time")
     sums = met.groupBy(*by, key).agg(F.sum(part).alias("overlap"))
-    return windows.select(*by, key).join(sums, [*by, key], "left").select(*by, key, F.coalesce("overlap", F.lit(0).cast("long")).alias("overlap"))
+    return match(windows.select(*by, key), sums, [*by, key], "left").select(*by, key, F.coalesce("overlap", F.lit(0).cast("long")).alias("overlap"))
 
 
 def islands(df: DataFrame, reach: str, gap: int, by: Sequence[str] = RUN, order: Sequence[str] = ("time",), width: int = HOUR, inclusive: bool = True) -> DataFrame:
-    """Adds ``island``: a row opens a new one if it starts more than gap after the furthest reach of all rows before.
+    """Adds ``island``, the start of its first row: a row opens a new one if it starts more than gap after the furthest reach of all rows before.
 
-    inclusive: a start exactly gap after the reach still joins.
+    inclusive: a start exactly gap after the reach still joins. Rows that open one as far as their own bucket goes are found first; what the
+    buckets before reach decides which of them stand, and the last that stands is carried on. Both are one pass over the buckets' table.
     """
-    rows = ordered.running_max_before(df, reach, "_reach", by, order, width)
-    far = F.col(order[0]) - F.col("_reach")
-    new = F.col("_reach").isNull() | ((far > gap) if inclusive else (far >= gap))
-    rows = pinned(rows.withColumn("_new", new.cast("long")))
-    return ordered.running_sum(rows, "_new", "island", by, order, width).drop("_reach", "_new")
+    if gap < (0 if inclusive else 1):
+        raise ValueError("a smaller gap would let two islands start at one time")
+    opens = lambda far: F.coalesce((far > gap) if inclusive else (far >= gap), F.lit(True))
+    time = F.col(order[0])
+    local = F.max(reach).over(within_part(order).rowsBetween(Window.unboundedPreceding, -1))
+    rows = parted(df, by, width, order[0]).withColumn("_local", local).withColumn("_new", F.when(opens(time - F.col("_local")), time))
+    sums = rows.groupBy("_part").agg(F.max(reach).alias("_reach"), F.max("_new").alias("_last"))
+    sums = sums.withColumn("_before", F.max("_reach").over(before_part(by)))
+    sums = sums.withColumn("_stands", F.when(opens(F.col("_last") - F.col("_before")), F.col("_last")))
+    carry = sums.select("_part", "_before", F.last("_stands", ignorenulls=True).over(before_part(by)).alias("_open"))
+    rows = rows.join(carry, "_part").withColumn("_new", F.when(opens(time - F.col("_before")), F.col("_new")))
+    last = F.last("_new", ignorenulls=True).over(within_part(order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("island", F.coalesce(last, "_open")).drop("_part", "_local", "_new", "_before", "_open")
+
+
+def numbered_islands(df: DataFrame, reach: str, gap: int, by: Sequence[str] = RUN, order: Sequence[str] = ("time",), width: int = HOUR, inclusive: bool = True) -> DataFrame:
+    """The same with islands counted from 1 in each run."""
+    marked = islands(df, reach, gap, by, order, width, inclusive)
+    starts = marked.select(*by, "island").distinct()
+    numbers = ordered.row_numbers(starts.withColumn("_start", F.col("island")), "_n", by, ("_start",), width).select(*by, "island", (F.col("_n") + 1).alias("_n"))
+    return match(marked, numbers, [*by, "island"]).drop("island").withColumnRenamed("_n", "island")
 
 
 def merge_intervals(df: DataFrame, by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
@@ -170,10 +190,11 @@ def coincidence(hits: DataFrame, n: int, resolving: int, pre: int = 0, by: Seque
     less than ``resolving`` later. Hits just behind a bucket's end are copied into it, so no run is one task."""
     if width < resolving:
         raise ValueError("a bucket must be at least as wide as the resolving time")
-    rows = with_bucket(hits.select(*by, "time", key), width).withColumn("_own", F.lit(True))
-    halo = rows.where(F.expr(f"pmod(time, {width}L) < {resolving}")).withColumn("_bucket", F.col("_bucket") - 1).withColumn("_own", F.lit(False))
+    rows = with_bucket(hits.select(*by, "time", key), width)
+    halo = F.when(F.expr(f"pmod(time, {width}L) < {resolving}"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = rows.withColumn("_off", F.explode(halo)).withColumn("_bucket", F.col("_bucket") - F.col("_off"))
     w = Window.partitionBy(*by, "_bucket").orderBy("time", key)
-    near = rows.unionByName(halo).withColumn("_nth", F.lead("time", n - 1).over(w))
+    near = rows.withColumn("_nth", F.lead("time", n - 1).over(w)).withColumn("_own", F.col("_off") == 0)
     opens = near.where("_own").where(F.col("_nth") - F.col("time") < resolving)
     spans = opens.select(*by, (F.col("time") - pre).alias("time"), (F.col("time") + resolving).alias("endtime"))
     return merge_intervals(spans, by, width)
@@ -207,7 +228,7 @@ def nearest(
     gap = (F.col("_near")["time"] - F.col("time")) if after else (F.col("time") - F.col("_near")["time"])
     ok = F.lit(True) if within is None else gap <= within
     picked = found.select(*by, F.col("_lk").alias(left_key), F.when(ok, F.col("_near")).alias("_near"))
-    joined = left.join(picked, [*by, left_key], "left")
+    joined = match(left, picked, [*by, left_key], "left")
     return joined.select(*left.columns, F.col("_near")["time"].alias("n_time"), *[F.col("_near")[f"c_{c}"].alias(f"n_{c}") for c in cols])
 
 
@@ -221,7 +242,7 @@ def nearest_triggers(left: DataFrame, triggers: DataFrame, cols: Sequence[str],
     for side, direction in (("left", "before"), ("right", "after")):
         found = nearest(lean, extra, fields, within, direction, True, by, key, "_id", width)
         gap = F.abs(F.col("time") - F.col("n_time"))
-        out = out.join(found.select(*by, key, *[F.col(f"n_{f}").alias(f"{side}_{c}") for f, c in zip(fields, cols)], gap.alias(f"{side}_dt")), [*by, key])
+        out = match(out, found.select(*by, key, *[F.col(f"n_{f}").alias(f"{side}_{c}") for f, c in zip(fields, cols)], gap.alias(f"{side}_dt")), [*by, key])
     return out
 
 
@@ -231,7 +252,7 @@ def nearest_absolute(left: DataFrame, right: DataFrame, cols: Sequence[str], by:
     fields, lean = [f"f_{c}" for c in cols], left.select(*by, "time", key)
     one = nearest(lean, extra, fields, None, "before", False, by, key, "_id", width).withColumnsRenamed({f"n_{f}": f"l_{f}" for f in fields}).withColumn("dl", F.col("time") - F.col("n_time"))
     two = nearest(lean, extra, fields, None, "after", False, by, key, "_id", width).withColumn("dr", F.col("n_time") - F.col("time")).drop("time", "n_time")
-    both = one.join(two, [*by, key])
+    both = match(one, two, [*by, key])
     before = F.col("dr").isNull() | (F.col("dl") <= F.col("dr"))
     return both.select(*by, key, *[F.when(before, F.col(f"l_{f}")).otherwise(F.col(f"n_{f}")).alias(f"n_{c}") for f, c in zip(fields, cols)], F.when(before, F.col("dl")).otherwise(F.col("dr")).alias("n_dt"))
 
@@ -245,7 +266,7 @@ def distance_to_neighbours(left: DataFrame, spans: DataFrame, key: str, by: Sequ
     finish = left.select(*by, F.col("endtime").alias("time"), key)
     prev = nearest(begin, ends, [], None, "before", True, by, key, "_id", width).select(*by, key, (F.col("time") - F.col("n_time")).alias("to_previous"))
     nxt = nearest(finish, starts, [], None, "after", True, by, key, "_id", width).select(*by, key, (F.col("n_time") - F.col("time")).alias("to_next"))
-    return prev.join(nxt, [*by, key])
+    return match(prev, nxt, [*by, key])
 
 
 def pair_starts_stops(

@@ -10,11 +10,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from chronofold.operators.intervals import RUN, overlap_join
-from chronofold.operators.ordered import with_bucket
+from chronofold.operators import ordered
+from chronofold.operators.executor import floats, map_islands
+from chronofold.operators.intervals import RUN, islands, overlap_join
+from chronofold.operators.ordered import match, with_bucket
 
 
 def half_cauchy(x: Column, scale: Column) -> Column:
@@ -30,7 +35,7 @@ def _met(peaks: DataFrame, casting: DataFrame, back: int, ahead: int, key: str,
 
 
 def _attached(peaks: DataFrame, found: DataFrame, key: str, zeros: dict[str, Column], by: Sequence[str]) -> DataFrame:
-    out = peaks.select(*by, key).join(found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
+    out = match(peaks.select(*by, key), found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
     return out.select(*by, key, *[F.coalesce(F.col(n), v).alias(n) for n, v in zeros.items()])
 
 
@@ -93,21 +98,81 @@ def shadow(
         found = met.groupBy(*by, f"w_{key}").agg(best.alias("best"), near.alias("near"))
         found = found.select(*by, f"w_{key}", F.col("best.v").alias("shadow"), F.col("best.dt").alias("dt"), F.col("best.x").alias("x"), F.col("best.y").alias("y"), "near")
     found = found.select(*by, f"w_{key}", "shadow", "dt", "x", "y", F.col("near.a").alias("nearest"), F.col("near.dt").alias("nearest_dt"))
-    out = peaks.select(*by, key).join(found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
+    out = match(peaks.select(*by, key), found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
     return out.withColumn("shadow", F.coalesce("shadow", F.lit(edge))).withColumn("dt", F.coalesce("dt", F.lit(float(window))))
 
 
-def merge_casting(peaks: DataFrame, gap: int, distance: float, key: str = "hit_id", by: Sequence[str] = RUN) -> DataFrame:
-    """Casting peaks that follow each other within gap and stay within distance of the one before become one: areas add up,
-    place and time are those of the largest."""
-    from chronofold.operators import ordered
-
-    width = max(gap, ordered.HOUR)
-    rows = ordered.previous_row(peaks, ["center_time", "x", "y"], by, ("center_time", key), width)
-    near = (F.col("center_time") - F.col("prev_center_time") <= gap) & (F.hypot(F.col("x") - F.col("prev_x"), F.col("y") - F.col("prev_y")) <= distance)
-    rows = ordered.running_sum(rows.withColumn("_new", (~F.coalesce(near, F.lit(False))).cast("long")), "_new", "cluster", by, ("center_time", key), width)
-    top = F.max_by(F.struct("center_time", "x", "y", "time", "endtime", key, "type"), F.struct("area", "center_time"))
-    return rows.groupBy(*by, "cluster").agg(F.sum("area").alias("area"), top.alias("t")).select(*by, "cluster", "area", "t.*")
+def linked_places(x: np.ndarray, y: np.ndarray, distance: float) -> np.ndarray:
+    """For each point the first point of its connected component, where points at most ``distance`` apart are linked. Points meet in a grid
+    whose cells are that wide, so only those of neighbouring cells are compared; points without a place are alone."""
+    first = np.arange(len(x))
+    cells: dict[tuple[int, int], list[int]] = {}
+
+    def root(i: int) -> int:
+        while first[i] != i:
+            first[i] = first[first[i]]
+            i = int(first[i])
+        return i
+
+    for i in range(len(x)):
+        if math.isnan(x[i]) or math.isnan(y[i]):
+            continue
+        cx, cy = math.floor(x[i] / distance), math.floor(y[i] / distance)
+        for near in ((cx + u, cy + v) for u in (-1, 0, 1) for v in (-1, 0, 1)):
+            for j in cells.get(near, ()):
+                if math.hypot(x[i] - x[j], y[i] - y[j]) <= distance:
+                    a, b = sorted((root(i), root(j)))
+                    first[b] = a
+        cells.setdefault((cx, cy), []).append(i)
+    return np.array([root(i) for i in range(len(x))], dtype=np.int64)
+
+
+def casting_clusters(peaks: DataFrame, gap: int, distance: float = 0.0, key: str = "hit_id", by: Sequence[str] = RUN, width: int = ordered.HOUR) -> DataFrame:
+    """(by, key, cluster): the key of the first peak, by centre, of each peak's cluster. Peaks whose centres follow each other within gap are a time
+    cluster; with a distance it falls apart into the connected components of peaks at most that far apart."""
+    rows = peaks.select(*by, key, F.col("center_time").alias("time"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    marked = islands(rows, "time", gap, by, ("time", key), max(width, gap))
+    if distance <= 0:
+        first = F.min(F.struct("time", key)).over(Window.partitionBy(*by, "island"))
+        return marked.select(*by, key, first[key].alias("cluster"))
+
+    def kernel(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        x, y, first = floats(batch, "x"), floats(batch, "y"), np.arange(batch.num_rows)
+        ends = np.append(starts[1:], batch.num_rows)
+        for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
+            first[a:b] = a + linked_places(x[a:b], y[a:b], distance)
+        keys = batch.column(key)
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in by), keys, keys.take(pa.array(first))], names=[*by, key, "cluster"])
+
+    out = StructType([*[marked.schema[c] for c in (*by, key)], StructField("cluster", marked.schema[key].dataType)])
+    return map_islands(marked, kernel, out, ("time", key), by)
+
+
+def merge_casting(
+    peaks: DataFrame, gap: int, distance: float, weight: Column | None = None, last: bool = True, replace: bool = True, key: str = "hit_id", by: Sequence[str] = RUN, width: int = ordered.HOUR
+) -> DataFrame:
+    """(by, key, time, endtime, center_time, area, x, y, type, n_merged): casting peaks with those of a cluster made one.
+
+    Areas add up, the span covers all; the centre is the last one's (``last``) or the area-weighted mean; places are weighed by ``weight`` (the area where not
+    given), and where a weight is infinite only those places count. key and type are the first one's. replace: the parts are gone; otherwise they stay beside
+    the merged peak. Every clustered peak is merged with its own cluster; a run of close peaks begins with its first peak.
+    """
+    rows = match(peaks.withColumn("_w", (weight if weight is not None else F.col("area")).cast("double")), casting_clusters(peaks, gap, distance, key, by, width), [*by, key])
+    order, infinite = F.struct("center_time", key), F.col("_w") == float("inf")
+    place = lambda c: F.when(F.bool_or(infinite), F.avg(F.when(infinite, F.col(c)))).otherwise(F.try_divide(F.sum(F.col(c) * F.col("_w")), F.sum(F.when(F.col(c).isNotNull(), F.col("_w")))))
+    mean = F.round(F.try_divide(F.sum(F.col("center_time").cast("double") * F.col("area")), F.sum("area"))).cast("long")
+    centre = F.max("center_time") if last else F.coalesce(mean, F.max("center_time"))
+    found = rows.groupBy(*by, "cluster").agg(
+        F.min("time").alias("time"), F.max("endtime").alias("endtime"), centre.alias("center_time"), F.sum("area").alias("area"), place("x").alias("x"), place("y").alias("y"),
+        F.min_by("type", order).alias("type"), F.count(F.lit(1)).alias("n_merged"), F.first("x").alias("_x"), F.first("y").alias("_y"),
+    )
+    alone = F.col("n_merged") == 1
+    found = found.withColumns({"x": F.when(alone, F.col("_x")).otherwise(F.col("x")), "y": F.when(alone, F.col("_y")).otherwise(F.col("y"))}).withColumnRenamed("cluster", key)
+    names = [*by, key, "time", "endtime", "center_time", "area", "x", "y", "type", "n_merged"]
+    if replace:
+        return found.select(names)
+    parts = peaks.withColumn("n_merged", F.lit(1).cast("long")).select(names)
+    return parts.unionByName(found.where(~alone).select(names))
 
 
 def ambience(
@@ -154,7 +219,7 @@ def se_score(
     spread = F.pow(a / F.sqrt("a") + b, 2) + F.pow(a / F.sqrt(F.col("w_area").cast("double")) + b, 2)
     d2 = F.pow(F.col("w_x") - F.col("cx"), 2) + F.pow(F.col("w_y") - F.col("cy"), 2)
     found = met.groupBy(*by, f"w_{key}").agg(F.sum(F.exp(-d2 / (2 * spread)) / (2 * math.pi * spread)).alias("se_score"))
-    out = peaks.select(*by, key, "x", "y").join(found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
+    out = match(peaks.select(*by, key, "x", "y"), found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
     return out.select(*by, key, F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), F.coalesce("se_score", F.lit(0.0))).alias("se_score"))
 
 

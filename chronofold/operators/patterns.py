@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.functions import numeric
-from chronofold.operators.waveform import with_arrays
+from chronofold.functions import special
 
 
 def _sum(c: Column) -> Column:
@@ -17,13 +16,13 @@ def _sum(c: Column) -> Column:
 
 def two_nll(observed: Column, efficiency: Column, area: Column, photon: float = 1.0) -> Column:
     """Modified Poisson -2 ln L of a pattern, less that of a perfect fit: the area is shared out by efficiency and counted in photons.
-    Null where no channel has any efficiency; channels without any expectation add nothing."""
+    Null where no channel has any efficiency; channels that saw nothing, or of which nothing is expected, add nothing."""
     whole = _sum(efficiency)
     mu = F.transform(efficiency, lambda e: e * F.try_divide(area, whole * photon))
 
     def term(m, o):
         n = o / F.lit(photon)
-        return F.when(m > 0, 2 * (m - n + F.when(n > 0, n * F.ln(n / m)).otherwise(F.lit(0.0)))).when(m.isNotNull(), F.lit(0.0))
+        return F.when((m > 0) & (n > 0), 2 * (m - n + n * F.ln(n / m))).when(m.isNotNull(), F.lit(0.0))
 
     return _sum(F.zip_with(mu, observed, term))
 
@@ -48,14 +47,11 @@ def pattern_fit(
 def aft_probabilities(df: DataFrame, key: Sequence[str], expected: str, area: str, aft: str, photon: float = 1.0) -> DataFrame:
     """(key, continuous, discrete, photon_continuous, photon_discrete): how likely the area fraction top is under the expected one, for the
     area and for the number of photons. NaN where one of them is missing or unphysical."""
-    names = ("continuous", "discrete", "photon_continuous", "photon_discrete")
-
-    def kernel(v):
-        p, a, f = (float("nan") if x is None else float(x) for x in v)
-        return dict(zip(names, [numeric.aft_probability(p, n, f, d) for n in (a, a / photon) for d in (False, True)]))
-
-    packed = df.select(*key, F.array(*[F.col(c).cast("double") for c in (expected, area, aft)]).alias("_v"))
-    return with_arrays(packed, key, "_v", kernel, f"struct<{', '.join(f'{n}:double' for n in names)}>").select(*key, "result.*")
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in (expected, area, aft)]
+    photons = [values[0], values[1] / photon, values[2]]
+    test, density = special.aft_probability, lambda p, n, f: special.aft_probability(p, n, f, True)
+    found = {"continuous": (test, values), "discrete": (density, values), "photon_continuous": (test, photons), "photon_discrete": (density, photons)}
+    return df.select(*key, *[special.column(f, *v).alias(n) for n, (f, v) in found.items()])
 
 
 def led_records(df: DataFrame, length: int, baseline: tuple[int, int], data: str = "data", fragment: str = "record_i") -> DataFrame:

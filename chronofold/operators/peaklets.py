@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators import ordered
 from chronofold.operators.intervals import RUN, coincidence, islands, merge_intervals, overlap_join, split_by_containment
-from chronofold.operators.ordered import HOUR
+from chronofold.operators.ordered import HOUR, match
 from chronofold.session import pinned
 
 
@@ -31,7 +31,7 @@ def find_peaklets(
     part = F.lit(0)
     if max_duration is not None:
         sizes = marked.groupBy(*by, "island").agg((F.max("endtime") - F.min("time") + left + right > max_duration).alias("long"))
-        sized, columns = marked.join(sizes, [*by, "island"]), [*marked.columns, "part"]
+        sized, columns = match(marked, sizes, [*by, "island"]), [*marked.columns, "part"]
 
         def cut(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["time", key])
@@ -100,26 +100,36 @@ def hit_features(peaklets: DataFrame, hits: DataFrame, peaklet: str = "peaklet",
         F.max("gap").alias("max_diff"), F.min("gap").alias("min_diff"), F.min_by("channel", F.struct(at, key)).alias("first_channel"),
         F.max_by("channel", F.struct(at, key)).alias("last_channel"),
     )
-    out = peaklets.select(*by, peaklet).join(found, [*by, peaklet], "left")
+    out = match(peaklets.select(*by, peaklet), found, [*by, peaklet], "left")
     return out.select(*by, peaklet, *[F.coalesce(c, F.lit(-1).cast("long")).alias(c) for c in ("max_diff", "min_diff", "first_channel", "last_channel")])
 
 
 def veto_events(hitlets: DataFrame, n: int, resolving: int, pre: int = 0, by: Sequence[str] = RUN, key: str = "hit_id", width: int = HOUR) -> DataFrame:
     """(by, event_number, time, endtime, n_hits): the hitlets that touch each n-fold coincidence; coincidences that share a hitlet
     are one event, which begins with its first hitlet and ends with its last."""
-    spans = coincidence(hitlets, n, resolving, pre, by, key, width)
-    numbered = pinned(ordered.row_numbers(hitlets.select(*by, "time", "endtime", key), "place", by, ("time", key), width))
-    met = overlap_join(numbered, spans.withColumn("span", F.col("time")), by, width)
-    ranges = met.groupBy(*by, "w_span").agg(F.min("place").alias("time"), (F.max("place") + 1).alias("endtime"))
-    # Ranges of hitlet numbers: one begins anew where it starts at or after the end of all before it.
-    merged = islands(ranges.select(*by, "time", "endtime"), "endtime", -1, by, ("time", "endtime"), max(width // 10**9, 1))
-    events = merged.groupBy(*by, "island").agg(F.min("time").alias("first"), (F.max("endtime") - 1).alias("last"))
-    events = pinned(events.select(*by, "first", "last"))
-    spans_of = events.select(*by, F.col("first").alias("time"), (F.col("last") + 1).alias("endtime"), F.col("first").alias("event"))
-    places = numbered.select(*by, F.col("place").alias("time"), (F.col("place") + 1).alias("endtime"), F.col("time").alias("t"), F.col("endtime").alias("e"))
-    inside = split_by_containment(places, spans_of, "event", by, max(width // 10**9, 1))
-    found = pinned(inside.groupBy(*by, "event").agg(F.min("t").alias("time"), F.max("e").alias("endtime"), F.count(F.lit(1)).alias("n_hits")).drop("event"))
-    return ordered.row_numbers(found, "event_number", by, ("time",), width)
+    lean = pinned(hitlets.select(*by, "time", "endtime", key))
+    spans = pinned(coincidence(lean, n, resolving, pre, by, key, width))
+    place = F.struct("time", F.col(key).alias("key"))
+    met = overlap_join(lean, spans.withColumn("span", F.col("time")), by, width)
+    ranges = met.groupBy(*by, "w_span").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    # Ranges of hitlets in order: one begins anew where its first hitlet comes after the last of all ranges before it. A range opens at its
+    # first hitlet as far as its bucket goes; those that earlier buckets reach fall away, and so does what follows up to the next that stands.
+    opens = lambda reach: F.coalesce(F.col("first") > F.col(reach), F.lit(True))
+    rows = ordered.parted(ranges.withColumn("time", F.col("first.time")), by, width)
+    local = F.max("last").over(ordered.within_part(["first", "last"]).rowsBetween(Window.unboundedPreceding, -1))
+    rows = ordered.carried(rows, {"_reach": F.max("last")}, {"_reach": F.max}, by).withColumn("_local", local)
+    starts = pinned(rows.select(*by, "time", "first", "last", (opens("_reach") & opens("_local")).alias("new")))
+    opened = F.when(F.col("new"), F.col("first"))
+    named = ordered.fill_forward(starts.withColumn("_open", opened), "_open", "event", by, ("time", "first", "last"), width)
+    events = named.groupBy(*by, "event").agg(F.max("last").alias("last")).select(*by, F.col("event.time").alias("time"), F.col("event").alias("first"), "last")
+    # Every hitlet from an event's first to its last: the last event that opens at or before it, if that has not ended.
+    span = F.struct("first", "last")
+    marks = events.select(*by, "time", F.col("first.key").alias(key), F.lit(0).alias("side"), F.lit(None).cast("long").alias("endtime"), span.alias("span"))
+    both = lean.select(*by, "time", key, F.lit(1).alias("side"), F.col("endtime").cast("long").alias("endtime"), F.lit(None).cast(marks.schema["span"].dataType).alias("span"))
+    filled = ordered.fill_forward(pinned(both.unionByName(marks)), "span", "event", by, ("time", key, "side"), width).where("side = 1")
+    inside = filled.where(F.struct("time", F.col(key).alias("key")) <= F.col("event.last"))
+    found = inside.groupBy(*by, "event").agg(F.min("time").alias("time"), F.max("endtime").alias("endtime"), F.count(F.lit(1)).alias("n_hits")).drop("event")
+    return ordered.row_numbers(pinned(found), "event_number", by, ("time",), width)
 
 
 def rough_sum(records: DataFrame, regions: DataFrame, dt: int, region: str = "region", by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
@@ -187,5 +197,5 @@ def clock_edges(records: DataFrame, threshold: float, offset: int = 0, baseline_
     marks = pinned(found.withColumnRenamed("result", "edges"))
     seen = marks.where(F.size("edges") > 0)
     risen = seen.select(*by, key, "time", "dt", F.explode("edges").alias("at")).select(*by, key, (F.col("time") + F.col("at") * F.col("dt")).alias("time"))
-    silent = marks.where("record_i = 0").join(seen.select(*by).distinct(), list(by), "left_anti")
+    silent = match(marks.where("record_i = 0"), seen.select(*by).distinct(), by, "left_anti")
     return risen.unionByName(silent.select(*by, key, (F.col("time") + offset).alias("time")))

@@ -13,21 +13,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from chronofold.operators.executor import floats, lists, map_islands
 from chronofold.operators.intervals import RUN, islands, split_by_containment
-from chronofold.operators.merging import weighted_spread
-from chronofold.operators.ordered import HOUR
+from chronofold.operators.merging import GAPS, SPREADS, on_curve, weighted_spread
+from chronofold.operators.ordered import HOUR, match
 from chronofold.session import pinned
 
 #: Types of a peaklet set aside by its place, and of a merged peak with too much set aside (fixed values).
 FAR, WIDE = 20, 22
-#: Thresholds over log10 of the area: gap in ns, p-value, spread in cm; and the most that may be set aside: number, area, share (fixed values).
-GAPS = ((1.74, 5.02e3), (2.13, 4.18e3), (2.51, 3.26e3), (2.9, 3.25e3), (3.29, 3.04e3), (3.68, 2.67e3), (4.07, 2.31e3), (4.46, 2.05e3), (4.85, 1.89e3))
+#: p-values over log10 of the area, and the most that may be set aside: number, area, share (fixed values).
 P_VALUES = ((4.18, 9.89e-4), (4.51, 7.15e-3), (4.84, 1.60e-1))
-SPREADS = ((1.51, 14.0), (1.84, 18.3), (2.18, 19.7), (2.51, 12.4), (2.84, 5.75))
 SET_ASIDE = (1, 49.5, 0.01)
 
 
@@ -56,12 +56,6 @@ class Settings:
         return self.max_gap if self.max_gap >= 0 else self.gaps[0][1]
 
 
-def on_curve(log_area: float, points: Sequence) -> float:
-    """Linear between the points, constant beyond them."""
-    x, y = zip(*points)
-    return float(np.interp(log_area, x, y))
-
-
 class Normal:
     """Distribution function of the standard normal on a grid, linear between its points."""
 
@@ -194,25 +188,33 @@ def assign_clusters(
     names = ["time", "endtime", "area", "median_time", "area_decile_from_midpoint", "area_fraction_top", "x", "y", key, *([weight] if weight else [])]
     marked = islands(peaklets.where("type = 2").select(*by, *dict.fromkeys(names)), "endtime", int(s.widest_gap()), by, ("time", key), width)
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["time", key]).reset_index(drop=True)
-        if (pdf.time.to_numpy()[1:] < pdf.endtime.to_numpy()[:-1]).any():
+    def choose(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        n = batch.num_rows
+        ends = np.append(starts[1:], n)
+        time, endtime = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("time", "endtime"))
+        inside = np.ones(max(n - 1, 0), dtype=bool)
+        inside[starts[1:] - 1] = False
+        if (inside & (time[1:] < endtime[:-1])).any():
             raise ValueError("peaklets overlap")
-        rows = []
-        for r in pdf.to_dict("records"):
-            top = r["area"] * r["area_fraction_top"]
-            rows.append({
-                "time": int(r["time"]), "endtime": int(r["endtime"]), "area": float(r["area"]), "median": float(r["median_time"]), "deciles": np.asarray(r["area_decile_from_midpoint"], float),
-                "x": r["x"], "y": r["y"], "area_top": top, "weight": 1 / r[weight] if weight and r[weight] else math.nan if weight else top,
-            })
-        first, kept = grow_clusters(rows, s)
-        keys = pdf[key].to_numpy()
-        size = pd.Series(first).map(pd.Series(first).value_counts()).to_numpy()
-        return pdf.assign(cluster=keys[first], size=size, kept=kept)[[*by, key, "time", "endtime", "area", "cluster", "size", "kept"]]
-
-    kinds = dict(marked.dtypes)
-    fields = [f"{c} {kinds[c]}" for c in (*by, key, "time", "endtime", "area")]
-    return marked.groupBy(*by, "island").applyInPandas(choose, ", ".join([*fields, f"cluster {kinds[key]}", "size long", "kept boolean"]))
+        area, median, share, x, y = (floats(batch, c) for c in ("area", "median_time", "area_fraction_top", "x", "y"))
+        top = area * share
+        weights = np.where(floats(batch, weight) != 0, 1 / floats(batch, weight), np.nan) if weight else top
+        deciles, at = lists(batch, "area_decile_from_midpoint")
+        first, kept, size = np.arange(n), np.ones(n, dtype=bool), np.ones(n, dtype=np.int64)
+        for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
+            rows = [
+                {"time": int(time[i]), "endtime": int(endtime[i]), "area": float(area[i]), "median": float(median[i]), "deciles": deciles[at[i] : at[i + 1]], "x": x[i], "y": y[i],
+                 "area_top": top[i], "weight": weights[i]} for i in range(a, b)
+            ]
+            own, left = grow_clusters(rows, s)
+            first[a:b], kept[a:b], size[a:b] = a + own, left, np.bincount(own)[own]
+        keys = batch.column(key)
+        carried = [batch.column(c) for c in (*by, key, "time", "endtime", "area")]
+        return pa.RecordBatch.from_arrays([*carried, keys.take(pa.array(first)), pa.array(size), pa.array(kept)], names=[*by, key, "time", "endtime", "area", "cluster", "size", "kept"])
+
+    fields = [marked.schema[c] for c in (*by, key, "time", "endtime", "area")]
+    out = StructType([*fields, StructField("cluster", marked.schema[key].dataType), StructField("size", LongType()), StructField("kept", BooleanType())])
+    return map_islands(marked, choose, out, ("time", key), by)
 
 
 def merged_peaks(
@@ -239,7 +241,7 @@ def merged_peaks(
         frames.append(held.select(*by, "cluster", "area", F.lit(0).alias("n")))
     for f in frames:
         more = f.groupBy(*by, "cluster").agg(F.sum("area").alias("_area"), F.sum("n").alias("_n"))
-        out = out.join(more, [*by, "cluster"], "left")
+        out = match(out, more, [*by, "cluster"], "left")
         out = out.withColumns({"area": F.col("area") + F.coalesce("_area", F.lit(0)), "n_merged": F.col("n_merged") + F.coalesce("_n", F.lit(0))}).drop("_area", "_n")
     return out
 
@@ -251,4 +253,4 @@ def enhanced_types(peaklets: DataFrame, assigned: DataFrame, merged: DataFrame |
         held = split_by_containment(peaklets.where("type = 0").select(*by, "time", "endtime", key), merged.select(*by, "time", "endtime", "cluster"), "cluster", by, width)
         flags = flags.unionByName(held.select(*by, key, F.lit(False).alias("_far"), F.lit(True).alias("_in")))
     far = F.coalesce("_far", F.lit(False))
-    return peaklets.join(flags, [*by, key], "left").select(*by, key, F.when(far, FAR).otherwise(F.col("type")).alias("type"), F.coalesce("_in", F.lit(False)).alias("merged"))
+    return match(peaklets, flags, [*by, key], "left").select(*by, key, F.when(far, FAR).otherwise(F.col("type")).alias("type"), F.coalesce("_in", F.lit(False)).alias("merged"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from chronofold.operators.intervals import RUN, overlap_join
-from chronofold.operators.ordered import HOUR
+from chronofold.operators.ordered import HOUR, match
 
 #: Tables that hold each other's columns; a query loads one of them at most (fixed names of the data model).
 EXCLUSIVE = ("event_positions", "corrected_areas", "energy_estimates")
@@ -43,7 +43,7 @@ def apply_function(df: DataFrame, function: Callable[[DataFrame, str, Sequence[s
 def time_within(df: DataFrame, intervals: DataFrame, key: str = "hit_id", by: Sequence[str] = RUN, width: int = HOUR) -> DataFrame:
     """Rows fully inside one of the intervals."""
     held = overlap_join(df.select(*by, "time", "endtime", key), intervals.select(*by, "time", "endtime"), by, width, "contained")
-    return df.join(held.select(*by, key).distinct(), [*by, key], "left_semi")
+    return match(df, held.select(*by, key).distinct(), [*by, key], "left_semi")
 
 
 def single_electrons(df: DataFrame, area: tuple = (10, 80), width: tuple = (80, 700)) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators import ordered
 from chronofold.operators.intervals import RUN, nearest
+from chronofold.operators.ordered import match
 
 
 def calendar(df: DataFrame, start: int, end: int, step: int, by: Sequence[str] = RUN) -> DataFrame:
@@ -26,7 +27,7 @@ def fill(df: DataFrame, start: int, end: int, step: int, how: str = "ffill", val
     both = days.unionByName(df.select(*by, "time", F.col(value).cast("double").alias("_x"), F.lit(False).alias("_cal")), allowMissingColumns=True)
     if how == "none":
         at = df.select(*by, "time", F.col(value).cast("double").alias(value))
-        return days.drop("_cal").join(at, [*by, "time"], "left")
+        return match(days.drop("_cal"), at, [*by, "time"], "left")
     both = both.withColumn("_side", F.col("_cal").cast("int"))
     if how == "ffill":
         out = ordered.fill_forward(both, "_x", value, by, ("time", "_side"), width)
@@ -48,7 +49,7 @@ def average_every(df: DataFrame, n: int, value: str = "value", by: Sequence[str]
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     bins = F.expr(f"_n div {n} - if(_n % {n} = 0, 0, 1)")
     means = rows.groupBy(*by, "bin").agg(F.min("time").alias("time"), F.avg(value).alias(value))
-    return means.join(sizes, list(by)).where(F.col("bin") < bins).drop("_n")
+    return match(means, sizes, by).where(F.col("bin") < bins).drop("_n")
 
 
 def interpolate_clock(
@@ -69,7 +70,7 @@ def interpolate_clock(
     at = lambda side: [F.col("n_time").alias(f"t{side}"), *[F.col(f"n_{c}").alias(f"{c}{side}") for c in cols]]
     prev = nearest(lean, points, cols, None, "before", False, by, key, "_id", width).select(*by, key, "time", *at(0))
     nxt = nearest(lean, points, cols, None, "after", False, by, key, "_id", width).select(*by, key, *at(1))
-    both = prev.join(nxt, [*by, key])
+    both = match(prev, nxt, [*by, key])
     t0, g0, t1, g1 = (F.col(c) for c in ("t0", f"{truth}0", "t1", f"{truth}1"))
     if extrapolate:
         # After the last sync: from the one before it through the last. Before the first: from the first through its next.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronofold.operators import intervals as iv
+from chronofold.operators import merging as mg
 from chronofold.operators import monitor as mo
 from chronofold.operators import peaklets as pk
 from chronofold.operators import posterior as po
@@ -281,6 +282,27 @@ def _assigned(spark, sf_dir):
     return peaklets, pinned(po.assign_clusters(peaklets, width=WIDTH // SECOND))
 
 
+def _sampled(spark, sf_dir):
+    """The same peaklets, some of them S1s, with eight uneven samples each."""
+    p = _disjoint(spark, sf_dir)
+    samples = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.col("area") * ((F.col("peaklet") + i * i) % 5 + 1) / 8)
+    kind = F.when(F.col("peaklet") % 7 == 3, 1).otherwise(F.col("type"))
+    return p.withColumns({"type": kind, "data": samples, "dt": (F.col("endtime") - F.col("time")) / 8})
+
+
+#: S1s are not left out from the start, and places count as well as splits.
+MERGE_RULES = mg.MergeRules(spreads=mg.SPREADS, without_s1=False)
+
+
+@query("s2_merge_islands")
+def s2_merge_islands(spark, sf_dir):
+    """Merging gap after gap, by area, duration, spread and goodness of split."""
+    p = pinned(_sampled(spark, sf_dir))
+    found = mg.assign_merges(p, MERGE_RULES, "data", key="peaklet", width=WIDTH // SECOND).where("merged")
+    parts = found.join(p, ["run_id", "peaklet"]).groupBy("run_id", "cluster")
+    return parts.agg(F.min("time").alias("time"), F.max("endtime").alias("endtime"), F.round(F.sum("area"), 4).alias("area"), F.count(F.lit(1)).alias("n_merged"))
+
+
 @query("s2_merge_posterior")
 def s2_merge_posterior(spark, sf_dir):
     peaklets, found = _assigned(spark, sf_dir)

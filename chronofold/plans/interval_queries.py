@@ -358,8 +358,8 @@ FROM d WINDOW w AS (PARTITION BY run_id ORDER BY time, hit_id)""")
 def trigger_split(spark, sf_dir):
     """Groups split by gaps of more than W (hitlets), and by gaps of W or more (raw records)."""
     t = hits(spark, sf_dir).where("type = 2").select("run_id", "time", "hit_id")
-    more = iv.islands(t, "time", W, iv.RUN, ("time", "hit_id"), WIDTH).withColumnRenamed("island", "after_more")
-    return iv.islands(more, "time", W, iv.RUN, ("time", "hit_id"), WIDTH, inclusive=False).select("run_id", "hit_id", "after_more", F.col("island").alias("after_as_much"))
+    more = iv.numbered_islands(t, "time", W, iv.RUN, ("time", "hit_id"), WIDTH).withColumnRenamed("island", "after_more")
+    return iv.numbered_islands(more, "time", W, iv.RUN, ("time", "hit_id"), WIDTH, inclusive=False).select("run_id", "hit_id", "after_more", F.col("island").alias("after_as_much"))
 
 
 @query("running_event_counter", f"WITH {HITS_SQL} SELECT run_id, hit_id, row_number() OVER (PARTITION BY run_id ORDER BY time, hit_id) - 1 AS n FROM hits")

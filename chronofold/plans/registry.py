@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     """Imports every module that registers queries."""
-    from chronofold.plans import chain_queries, interval_queries, signal_queries  # noqa: F401
+    from chronofold.plans import chain_queries, interval_queries, peak_queries, signal_queries  # noqa: F401

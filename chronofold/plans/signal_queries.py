@@ -371,30 +371,10 @@ def role_attach(spark, sf_dir):
     return ev.attach_by_role(_basics(spark, sf_dir), h, ["channel", "k"]).select("run_id", "event_number", "s1_channel", "s2_channel", "alt_s1_channel", "alt_s2_channel", "s2_k")
 
 
-@query("s2_merge_islands", None)
-def s2_merge_islands(spark, sf_dir):
-    h = hits(spark, sf_dir).where("type = 2").withColumn("dt", F.lit(SECOND)).select("run_id", "hit_id", "time", "endtime", "area", "x", "y")
-    return merging.merge_s2(h, max_gap=1200 * SECOND, max_duration=7200 * SECOND, max_distance=12.0, width=WIDTH)
-
-
-#: Curves of the split threshold, for S1-like and S2-like rise times (example values).
-_S1_SPLIT, _S2_SPLIT = ((1, 0.4), (5, 0.8)), ((2, 0.9), (4, 0.5))
-
-
 def _positive(spark, sf_dir):
     return waveforms(spark, sf_dir).withColumn("data", F.transform("data", lambda v: F.greatest(v, F.lit(0))))
 
 
-@query("natural_breaks", None)
-def natural_breaks(spark, sf_dir):
-    """Waveforms cut where the goodness of split exceeds the threshold of their area and rise time."""
-    w = _positive(spark, sf_dir)
-    rise = wf.with_arrays(w, ["wave_id"], "data", lambda d: float(-wf.widths(d, 10.0)[1][1]), "double").withColumnRenamed("result", "rise_time")
-    cut = w.join(rise, "wave_id").withColumn("threshold", wf.split_threshold(F.col("rise_time"), wf.total(F.col("data")), _S1_SPLIT, _S2_SPLIT))
-    found = wf.with_arrays(cut, ["wave_id"], "data", lambda d, t: [{"left": a, "right": b} for a, b in wf.natural_breaks(d, lambda area, n: t)], "array<struct<left:int,right:int>>", ["threshold"])
-    return found.select("wave_id", F.explode("result").alias("p")).select("wave_id", "p.*")
-
-
 @query("waveform_widths", f"""WITH {WAVES_SQL}, s AS (SELECT wave_id, i - 1 AS i, CAST(greatest(data[i], 0) AS DOUBLE) AS v FROM waves, range(1, 65) r(i)),
 c AS (SELECT *, sum(v) OVER (PARTITION BY wave_id ORDER BY i) AS hi, sum(v) OVER (PARTITION BY wave_id) AS whole FROM s),
 q AS (SELECT wave_id, f, i, i + CASE WHEN v > 0 THEN (f / 20.0 * whole - (hi - v)) / v ELSE 0 END AS pos FROM c, range(0, 21) q(f) WHERE whole > 0 AND hi > f / 20.0 * whole),
@@ -406,7 +386,7 @@ def waveform_widths(spark, sf_dir):
     return found.select("wave_id", F.round(F.get("result", F.lit(5)), 9).alias("range_50p"), F.round(F.get("result", F.lit(9)), 9).alias("range_90p"))
 
 
-_FIT = """round(sum(CASE WHEN mu > 0 THEN 2 * (mu - n + CASE WHEN n > 0 THEN n * ln(n / mu) ELSE 0 END) ELSE 0 END), 4)"""
+_FIT = """round(sum(CASE WHEN mu > 0 AND n > 0 THEN 2 * (mu - n + n * ln(n / mu)) ELSE 0 END), 4)"""
 
 
 @query("pattern_fit", f"""WITH {WAVES_SQL}, s AS (SELECT wave_id, label, i - 1 AS i, CAST(abs(data[i]) AS DOUBLE) AS o, CAST(1 + (i - 1 + label) % 5 AS DOUBLE) AS e FROM waves, range(1, 65) r(i)),

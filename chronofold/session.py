@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_pinned: list[DataFrame] = []
+_pinned: list[tuple[SparkSession, str]] = []
 
 
 def get_session(app: str = "chronofold", cores: str | int | None = None, shuffle_partitions: int = 8) -> SparkSession:
@@ -32,13 +34,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset a local one, in local mode only."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"file://{tempfile.gettempdir()}/chronofold-shared"
+
+
 def pinned(df: DataFrame) -> DataFrame:
-    """df, computed once for all the branches of a plan that read it; lost parts are computed again. unpin() frees it."""
-    _pinned.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-    return df
+    """df as a written table in the shared folder, computed once for all the branches of a plan that read it. It cuts the plan and survives
+    lost executors. unpin() removes it, the driver's end does too."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/chronofold-pinned-{uuid.uuid4().hex}"
+    if not _pinned:
+        atexit.register(unpin)
+    _pinned.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unpin() -> None:
-    """Frees what pinned() holds."""
+    """Removes what pinned() has written; call it once the results have been read."""
     while _pinned:
-        _pinned.pop().unpersist()
+        spark, path = _pinned.pop()
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001  the JVM may have ended before Python
+            _pinned.clear()

@@ -26,25 +26,6 @@ def with_chunk(rows: DataFrame) -> DataFrame:
     return rows.select("*", name.cast("int").alias("chunk_i"), F.when(part == "", "central").otherwise(part).alias("part"))
 
 
-def ready_chunks(files: DataFrame, readers: dict[str, int], ended: bool) -> DataFrame:
-    """(chunk_i) that can be read, from the paths of all chunk files (column path, file names thread_number): a part of a chunk is whole
-    with a file of every thread's every output, or once the run has ended. A chunk needs itself, its post part and, unless it is the first,
-    its pre part; after the end the last one needs no post part. Files of an unknown thread, or too many of one, raise."""
-    place = r"/(\d{6})(?:_(pre|post))?/([^/]*)_[^/_]*$"
-    names = files.select(F.regexp_extract("path", place, 1).alias("chunk"), F.regexp_extract("path", place, 2).alias("part"), F.regexp_extract("path", place, 3).alias("thread")).where("chunk <> ''")
-    wanted = F.create_map(*[F.lit(v) for pair in readers.items() for v in pair])
-    counts = names.groupBy("chunk", "part", "thread").agg(F.count(F.lit(1)).alias("n"))
-    most = F.coalesce(F.try_element_at(wanted, F.col("thread")), F.lit(0))
-    counts = counts.withColumn("n", F.when(F.col("n") > most, F.raise_error(F.concat(F.lit("unexpected files of "), F.col("thread"))).cast("long")).otherwise(F.col("n")))
-    parts = counts.groupBy("chunk", "part").agg(((F.sum("n") >= sum(readers.values())) | F.lit(ended)).alias("whole"))
-    has = lambda part: F.coalesce(F.bool_or(F.when(F.col("part") == part, F.col("whole"))), F.lit(False)).alias(part or "central")
-    chunks = parts.groupBy(F.col("chunk").cast("int").alias("chunk_i")).agg(has(""), has("pre"), has("post"), F.bool_or(F.col("part") == "").alias("there"))
-    ahead = chunks.where("there").select((F.col("chunk_i") - 1).alias("chunk_i"), F.lit(True).alias("ahead"))
-    rows = chunks.join(ahead, "chunk_i", "left").withColumn("ahead", F.coalesce("ahead", F.lit(False)))
-    last = F.lit(ended) & F.col("pre") & ~F.col("ahead")
-    return rows.where(F.col("central") & ((F.col("pre") & F.col("post")) | ((F.col("chunk_i") == 0) & F.col("post")) | last)).select("chunk_i")
-
-
 def validate_times(rows: DataFrame, start: int, end: int) -> DataFrame:
     """rows; raises for one that starts outside [start, end)."""
     bad = (F.col("time") < start) | (F.col("time") >= end)

@@ -1,19 +1,13 @@
 """The operators on Structured Streaming.
 
 Nanosecond times get a microsecond copy for watermarks. Tumbling monitors are windowed aggregations; sessions use a
-fixed gap; interval joins of two streams carry a time bound so that state is dropped; scores over a backward
-neighbourhood keep the last window of rows per key in state and emit a row when it arrives in order.
+fixed gap; interval joins of two streams carry a time bound so that state is dropped. Scores of the neighbourhood are in release.py.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def with_timestamp(df: DataFrame, time: str = "time") -> DataFrame:
@@ -40,53 +34,6 @@ def interval_join(left: DataFrame, right: DataFrame, before: str, late: str = "1
     return a.join(b, (F.col(by) == F.col(f"r_{by}")) & bound)
 
 
-def competing_before(stream: DataFrame, window: int, fraction: float = 0.2, by: str = "channel") -> DataFrame:
-    """(by, hit_id, n_before): earlier rows of the key within ``window`` ns whose area is over fraction of one's own.
-
-    Rows of a micro-batch are put in order; the state holds the rows of the last window only.
-    """
-    def process(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held: list[Any] = list(zip(*state.get)) if state.exists else []
-        new = pd.concat(list(frames)).sort_values(["time", "hit_id"])
-        out = []
-        for hit, t, area in zip(new.hit_id, new.time, new.area):
-            held = [h for h in held if h[0] >= t - window]
-            out.append((key[0], int(hit), sum(1 for h in held if h[0] < t and h[1] > fraction * area)))
-            held.append((int(t), float(area)))
-        state.update(([h[0] for h in held], [h[1] for h in held]))
-        yield pd.DataFrame(out, columns=[by, "hit_id", "n_before"])
-
-    kind = stream.schema[by].dataType.simpleString()
-    return stream.groupBy(by).applyInPandasWithState(
-        process, f"{by} {kind}, hit_id long, n_before long", "times array<long>, areas array<double>", "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def mark_late(stream: DataFrame, late: int, by: str = "run_id") -> DataFrame:
-    """stream's (by, hit_id, time, endtime) with ``late``: whether a row is more than ``late`` ns behind the latest time of earlier batches.
-
-    The state is one time per key. Rows that are not late go on; the others are the side output, see dead_spans.
-    """
-    kind = stream.schema[by].dataType.simpleString()
-
-    def process(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        reached = state.get[0] if state.exists else None
-        most = reached
-        for f in frames:
-            behind = f["time"] < reached - late if reached is not None else pd.Series(False, index=f.index)
-            most = max(int(f["time"].max()), most if most is not None else int(f["time"].max()))
-            yield f.assign(late=behind)[[by, "hit_id", "time", "endtime", "late"]]
-        state.update((most,))
-
-    lean = stream.select(by, "hit_id", "time", "endtime")
-    return lean.groupBy(by).applyInPandasWithState(process, f"{by} {kind}, hit_id long, time long, endtime long, late boolean", "reached long", "append", GroupStateTimeout.NoTimeout)
-
-
-def dead_spans(marked: DataFrame, channel: int, by: str = "run_id") -> DataFrame:
-    """The side output: the time that each late row covers, as artificial dead time on a channel."""
-    return marked.where("late").select(by, "time", "endtime", F.lit(channel).alias("channel"))
-
-
 def start_available(df: DataFrame, name: str, checkpoint: str, mode: str = "append"):
     """Runs everything that is there into an in-memory table, and ends."""
     return df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

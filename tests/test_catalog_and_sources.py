@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from chronofold.operators import peaklets
 from chronofold.plans import lint
 from chronofold.plans.engine import DataNotAvailable
-from chronofold.sources import catalog, files, paged
-from chronofold.streaming import processors
+from chronofold.sources import catalog, paged
 
 LINEAGE = {"peaks": ["Peaks", "1", {"gap": 3, "seed": 1}], "hits": ["Hits", "2", {}]}
 
@@ -81,27 +80,6 @@ def test_url_checks():
     assert lint.lint_config({"a": "file://posrec_models_x", "b": 3, "c": "tf://posrec_models_x"}) == {"a": ["a position model needs tf:// or jax://"]}
 
 
-def test_ready_chunks(spark):
-    paths = [f"/d/{c:06d}{p}/{t}_{i}" for c, p in ((0, ""), (0, "_post"), (1, "_pre"), (1, ""), (1, "_post"), (2, "_pre"), (2, "")) for t, i in (("r0", 0), ("r0", 1), ("r1", 0))]
-    ready = lambda ps, ended: sorted(r.chunk_i for r in files.ready_chunks(spark.createDataFrame([(p,) for p in ps], "path string"), {"r0": 2, "r1": 1}, ended).collect())
-    assert ready(paths, False) == [0, 1] and ready(paths, True) == [0, 1, 2] and ready(paths[:-1], False) == [0, 1]
-    assert ready([p for p in paths if p != "/d/000001_post/r1_0"], False) == [0] and ready(["/d/THE_END/r0_0"], False) == []
-    with pytest.raises(Exception, match="unexpected files"):
-        ready([*paths, "/d/000000/r1_7"], False)
-
-
-def test_late_rows_become_dead_time(spark, tmp_path):
-    schema = "run_id string, hit_id long, time long, endtime long"
-    for rows in ([[("0", 0, 100, 110), ("0", 1, 5, 9), ("1", 0, 50, 60)], [("0", 2, 40, 45), ("0", 3, 95, 99), ("1", 1, 45, 48)]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    q = processors.start_available(processors.mark_late(stream, 20), "late_rows", str(tmp_path / "ck"))
-    q.awaitTermination(120)
-    out = spark.table("late_rows")
-    assert sorted((r.run_id, r.hit_id) for r in out.where("late").collect()) == [("0", 2)] and out.count() == 6
-    assert [tuple(r) for r in processors.dead_spans(out, 799).collect()] == [("0", 40, 45, 799)]
-
-
 def test_clock_edges_fall_back_to_starts(spark):
     quiet, step = [100] * 50, [100] * 45 + [20] * 3 + [100] * 2
     rows = [("0", 0, 1000, 10, 0, step), ("0", 1, 5000, 10, 0, quiet), ("1", 0, 1000, 10, 0, quiet), ("1", 1, 2000, 10, 1, quiet)]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chronofold.functions import numeric
+from chronofold.functions import special
 from chronofold.operators import corrections, peaklets, selections
 from chronofold.operators import waveform as wf
 from chronofold.sources import files
@@ -91,10 +91,9 @@ def test_selections(spark):
 
 
 def test_area_fraction_top_probability():
-    assert numeric.aft_probability(0.3, 10, 1.2) != numeric.aft_probability(0.3, 10, 1.2)
-    assert numeric.aft_probability(1.3, 10, 0.2) != numeric.aft_probability(1.3, 10, 0.2)
-    assert 0.9 < numeric.aft_probability(0.5, 100, 0.5) <= 1 and numeric.aft_probability(0.5, 100, 0.9) < 1e-6
-    assert numeric.aft_probability(0.5, 2, 0.5, discrete=True) == pytest.approx(0.5)
+    got = special.aft_probability([0.3, 1.3, 0.5, 0.5], [10, 10, 100, 100], [1.2, 0.2, 0.5, 0.9])
+    assert (got != got).tolist() == [True, True, False, False] and 0.9 < got[2] < 1 + 1e-6 and got[3] < 1e-6
+    assert special.aft_probability([0.5], [2], [0.5], discrete=True)[0] == pytest.approx(0.5)
 
 
 def test_names_of_corrected_areas():

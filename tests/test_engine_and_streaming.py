@@ -110,12 +110,3 @@ def test_stream_equals_batch(spark, stream_input, tmp_path):
     batch = ps.with_timestamp(df).groupBy(F.window("ts", "1 hour"), "type").agg(F.count(F.lit(1)).alias("n"), F.sum("area").alias("area"))
     want = {(r.type, r.n, r.area) for r in batch.collect()}
     assert {(r.type, r.n, r.area) for r in got.collect()} <= want and got.count() >= len(want) - 2
-
-
-def test_stateful_neighbourhood_equals_brute_force(spark, stream_input, tmp_path):
-    path, df = stream_input
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    got = {r.hit_id: r.n_before for r in run(spark, ps.competing_before(stream, 600 * 10**9), "competing", tmp_path).collect()}
-    rows = df.collect()
-    want = {a.hit_id: sum(1 for b in rows if b.channel == a.channel and a.time - 600 * 10**9 <= b.time < a.time and b.area > 0.2 * a.area) for a in rows}
-    assert got == want

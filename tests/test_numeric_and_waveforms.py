@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from chronofold.functions import numeric as nm
-from chronofold.operators import inference, merging, monitor
+from chronofold.operators import inference, monitor
 from chronofold.operators import waveform as wf
 from pyspark.sql import functions as F
 
@@ -30,14 +30,6 @@ def test_bicubic_and_rotated_maps_hit_their_knots():
     assert r([[0.5, 0.1], [0.5, 0.9]]) == pytest.approx([0.5, 6.0])
 
 
-@pytest.mark.parametrize(("k", "n", "p"), [(3, 10, 0.3), (50, 100, 0.5), (1, 20, 0.2)])
-def test_binomial(k, n, p):
-    pmf = [math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(n + 1)]
-    assert float(nm.binom_logpmf(k, n, p)) == pytest.approx(math.log(pmf[k]), abs=1e-9)
-    assert nm.binom_cdf(k, n, p) == pytest.approx(sum(pmf[: k + 1]), abs=1e-9)
-    assert 0 <= nm.binom_test(k, n, p) <= 1
-
-
 def test_poisson_statistic_is_zero_at_the_truth():
     mu = np.array([1.0, 5.0, 0.0])
     assert nm.poisson_2nll(mu, mu).sum() == pytest.approx(0)
@@ -93,15 +85,6 @@ def test_inference_gates(spark):
     assert math.isnan(inference.positions(df, None).first().x)
 
 
-def test_greedy_union_respects_gap_and_spread():
-    t = np.array([0, 10, 100, 112])
-    e = t + 5
-    same = merging.greedy_union(t, e, np.ones(4), np.zeros(4), np.zeros(4), 20, 1000, 5.0)
-    assert len(set(same)) == 2
-    apart = merging.greedy_union(t, e, np.ones(4), np.array([0, 50, 0, 0.0]), np.zeros(4), 20, 1000, 5.0)
-    assert len(set(apart)) == 3
-
-
 def test_last_bin_is_closed(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (10.1,)], "x double")
     assert [r[0] for r in df.select(monitor.bin_of(F.col("x"), 0, 10, 5)).collect()] == [0, 4, None]

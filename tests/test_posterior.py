@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from chronofold.functions import numeric
 from chronofold.operators import patterns, posterior
 from chronofold.operators.posterior import Normal, Settings
 
@@ -112,13 +113,22 @@ def test_pattern_of_a_perfect_fit_is_zero(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0, 3.0], [2.0, 4.0, 9.0]), (1, [1.0, 2.0, 3.0], [0.0, 0.0, 0.0]), (2, [0.0, 0.0, 3.0], [1.0, 1.0, 9.0])], "i int, area_per_channel array<double>, efficiency array<double>")
     df = df.withColumns({"area": F.lit(3.0), "area_fraction_top": F.lit(1.0), "x": F.lit(1.0), "y": F.lit(0.0)})
     fit = {r.i: r for r in patterns.pattern_fit(df, 3, [True, True, False]).collect()}
-    assert fit[0].two_nll == pytest.approx(0) and fit[1].two_nll is None and fit[2].two_nll == pytest.approx(6)
+    assert fit[0].two_nll == pytest.approx(0) and fit[1].two_nll is None and fit[2].two_nll == pytest.approx(0)
     assert fit[0].two_nll_top == pytest.approx(0)
     assert patterns.pattern_fit(df, 3, [True] * 3, max_radius=0.5).where("two_nll is not null").count() == 0
     p = patterns.aft_probabilities(df.withColumn("e", F.when(F.col("i") < 2, 0.9)), ["i"], "e", "area", "area_fraction_top").collect()
     assert [r.discrete == r.discrete for r in sorted(p, key=lambda r: r.i)] == [True, True, False]
 
 
+def test_silent_channels_add_nothing(spark):
+    """2 ln L of (0, 3, 5) under (2, 3, 3), less that of a perfect fit: only the last channel adds."""
+    df = spark.createDataFrame([([0.0, 3.0, 5.0], [2.0, 3.0, 3.0])], "o array<double>, e array<double>")
+    assert df.select(patterns.two_nll(F.col("o"), F.col("e"), F.lit(8.0))).first()[0] == pytest.approx(1.108256, abs=1e-6)
+    assert df.select(patterns.two_nll(F.col("o"), F.col("e"), F.lit(16.0), 2.0)).first()[0] == pytest.approx(2 * (3 - 1.5 + 1.5 * math.log(0.5)) + 2 * (3 - 2.5 + 2.5 * math.log(2.5 / 3)))
+    assert numeric.poisson_2nll([0.0, 3.0, 5.0], [2.0, 3.0, 3.0]).tolist() == pytest.approx([0, 0, 1.108256], abs=1e-6)
+    assert numeric.poisson_2nll([-1.0, 2.0], [2.0, -1.0]).tolist() == [0, 0]
+
+
 def test_led_windows_without_light(spark):
     df = spark.createDataFrame([(0, 0, [10] * 20), (1, 1, [10] * 20), (2, 0, [10] * 5)], "c int, record_i int, data array<int>")
     rows = patterns.led_records(df, 20, (0, 4))
