@@ -3,8 +3,8 @@
 A rule rejects rows by a count over their text. ``plan_cascade`` evaluates every rule on a bounded sample, in one job, and orders the
 rules by rejections per cost; ``cascade`` applies them one after the other, and a rule's counts, down to the splitting of the text
 into words, are computed only for rows that all rules before it let through. The verdict is a conjunction, so the order never
-changes it. Costs are work, not seconds: the bytes that a rule has to go over, times what its functions cost for a byte, so equal inputs give
-equal orders.
+changes it. Costs are estimated on the sample too, as work, not seconds, so that equal inputs give equal orders: the bytes that each step of a rule's
+counts reads, writes, hashes or compares on the sample's own texts, lines, words and windows.
 
 ``measure`` adds the base counts to every row, for reports; ``quality_cascade`` judges measured rows, and its rules take the counts that are
 there. ``keep_documents`` filters: it measures nothing beyond what the cascade asks for, and the base test is part of it.
@@ -35,11 +35,11 @@ SAMPLE_ROWS = 512
 @dataclass(frozen=True)
 class Count:
     """A quantity of a text, in steps that are stored one by one (each step sees those before it by name), the last one being
-    the quantity; work: what a byte of text costs, in units of one look at it."""
+    the quantity; work: the bytes that the steps go over for a row, from the text and the steps."""
 
     name: str
     steps: tuple[tuple[str, Callable[[dict[str, Column]], Column]], ...]
-    work: float
+    work: Callable[[dict[str, Column]], Column]
 
 
 @dataclass(frozen=True)
@@ -93,24 +93,41 @@ def _long(c: Column) -> Column:
 
 _LINES = ("lines", lambda m: F.regexp_extract_all(m["text"], F.lit("[^\\n]*[^ \\t-\\r][^\\n]*"), F.lit(0)))
 
-#: All quantities. Their work is measured once (seconds for a byte against those of one regular expression), not at run time.
+
+def _size(text: Column) -> Column:
+    return F.octet_length(text).cast("double")
+
+
+def _held(items: Column) -> Column:
+    """Bytes of an array's strings, and eight for each of them; 0 for none."""
+    return F.coalesce(F.aggregate(items, F.lit(0.0), lambda s, x: s + F.octet_length(x) + 8), F.lit(0.0))
+
+
+def _repeat_work(m: dict[str, Column]) -> Column:
+    """The words are cut out, each is hashed in five windows, hashes are compared, and sorted where one occurs twice."""
+    places = F.coalesce(F.size(m["hashes"]), F.lit(0)).cast("double")
+    sorting = F.when(m["ranked"].isNotNull(), 16 * places * F.log2(F.greatest(places, F.lit(2.0)))).otherwise(0.0)
+    return _size(m["text"]) + (1 + WINDOW) * _held(m["words"]) + 16 * F.greatest(places, F.lit(0.0)) + sorting
+
+
+#: All quantities. One look at a byte is the unit of work.
 COUNTS = {
     c.name: c
     for c in (
-        Count("n_words", (("n_words", lambda m: _long(F.regexp_count(m["text"], F.lit("[^ \\t-\\r]+")))),), 1.0),
-        Count("word_chars", (("word_chars", lambda m: _long(F.length(F.translate(m["text"], ASCII_SPACE, "")))),), 1.5),
-        Count("n_symbols", (("n_symbols", lambda m: _long(F.regexp_count(m["text"], F.lit(f"[{SYMBOLS}]")))),), 0.8),
-        Count("n_lines", (_LINES, ("n_lines", lambda m: _long(F.size(m["lines"])))), 1.5),
-        Count("n_dup_lines", (_LINES, ("n_dup_lines", lambda m: _long(F.size(m["lines"]) - F.size(F.array_distinct(m["lines"]))))), 1.6),
-        Count("n_bangs", (("n_bangs", lambda m: _long(F.octet_length(m["text"]) - F.octet_length(F.replace(m["text"], F.lit("!"), F.lit(""))))),), 0.1),
-        Count("n_shouts", (("n_shouts", lambda m: _long(F.regexp_count(m["text"], F.lit("[A-Z]{3,}")))),), 0.8),
+        Count("n_words", (("n_words", lambda m: _long(F.regexp_count(m["text"], F.lit("[^ \\t-\\r]+")))),), lambda m: _size(m["text"]) + 8 * m["n_words"]),
+        Count("word_chars", (("word_chars", lambda m: _long(F.length(F.translate(m["text"], ASCII_SPACE, "")))),), lambda m: _size(m["text"]) + m["word_chars"]),
+        Count("n_symbols", (("n_symbols", lambda m: _long(F.regexp_count(m["text"], F.lit(f"[{SYMBOLS}]")))),), lambda m: _size(m["text"]) + 8 * m["n_symbols"]),
+        Count("n_lines", (_LINES, ("n_lines", lambda m: _long(F.size(m["lines"])))), lambda m: _size(m["text"]) + _held(m["lines"])),
+        Count("n_dup_lines", (_LINES, ("n_dup_lines", lambda m: _long(F.size(m["lines"]) - F.size(F.array_distinct(m["lines"]))))), lambda m: _size(m["text"]) + 2 * _held(m["lines"])),
+        Count("n_bangs", (("n_bangs", lambda m: _long(F.octet_length(m["text"]) - F.octet_length(F.replace(m["text"], F.lit("!"), F.lit(""))))),), lambda m: 2 * _size(m["text"]) - m["n_bangs"]),
+        Count("n_shouts", (("n_shouts", lambda m: _long(F.regexp_count(m["text"], F.lit("[A-Z]{3,}")))),), lambda m: _size(m["text"]) + 8 * m["n_shouts"]),
         Count(
             "n_repeat_words",
             (
                 ("words", lambda m: space_words(m["text"])), ("hashes", lambda m: _windows(m["words"])), ("ranked", lambda m: _ranked(m["hashes"])),
                 ("n_repeat_words", lambda m: _union_of_spans(m["ranked"])),
             ),
-            12.0,
+            _repeat_work,
         ),
     )
 }
@@ -181,7 +198,7 @@ def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, have: Sequence[
     """rules ordered by rejections per cost on a sample of at most sample_rows rows; the declared order on ties and without rows.
 
     The sample is a hash slice of rows, cut at sample_rows. It only sets the order of evaluation. have: counts that the rows have, which
-    cost nothing; a rule's cost is the work of its other counts over the sample's bytes, and a look at the row.
+    cost nothing; a rule's cost is the work that its other counts took on the sample, and a look at each row.
     """
     picked = docs.where(F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(8)) == 0).limit(sample_rows)
     sheet = _Sheet(picked, text, have)
@@ -189,14 +206,15 @@ def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, have: Sequence[
     for name in needed:
         sheet.count(name)
     m = sheet.columns()
-    size = F.sum(F.octet_length(m["text"]).cast("double"))
-    found = sheet.rows.agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes"), *[F.count_if(F.coalesce(r.rejects(m), F.lit(False))).alias(r.name) for r in rules]).first()
+    effort = [F.coalesce(F.sum(COUNTS[n].work(m)), F.lit(0.0)).cast("double").alias(f"work of {n}") for n in needed]
+    found = sheet.rows.agg(F.count(F.lit(1)).alias("rows"), *effort, *[F.count_if(F.coalesce(r.rejects(m), F.lit(False))).alias(r.name) for r in rules]).first()
     if not found["rows"]:
         return list(rules)
 
     def gain(rule: Rule) -> float:
-        work = sum(COUNTS[n].work for n in rule.needs if n not in have and n != "n_words")
-        return found[rule.name] / (found["rows"] + work * found["bytes"])
+        # Every row's words are counted before the first rule.
+        work = sum(found[f"work of {n}"] for n in rule.needs if n not in have and n != "n_words")
+        return found[rule.name] / (found["rows"] + work)
 
     return sorted(rules, key=lambda r: -gain(r))
 
@@ -225,8 +243,9 @@ def apply_cascade(measured: DataFrame, ordered: Sequence[Rule], text: str = "tex
 
 
 def quality_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Measure, plan on a sample, and judge every row."""
-    return apply_cascade(measure(docs, text), plan_cascade(docs, rules, key=key, text=text), text)
+    """Measure, plan on a sample of measured rows, whose counts cost nothing any more, and judge every row."""
+    measured = measure(docs, text)
+    return apply_cascade(measured, plan_cascade(measured, rules, REPORTED, key=key, text=text), text)
 
 
 def keep_documents(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -279,3 +279,17 @@ def test_surges_and_dives():
 )
 def test_marked_blocks_end_where_they_should(html, want):
     assert html_extract.main_text(html) == want
+
+
+def test_costs_come_from_the_sample(spark):
+    """Counts that are there cost nothing, and a rule over many short lines costs more than over one long line."""
+    from chronofold.llm import quality_rules as qr
+
+    texts = ["word " * 30 + "# " * 20, "fine text here " * 9, "a!b " * 20 + "!" * 90] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    measured = qr.measure(docs)
+    order = [r.name for r in qr.plan_cascade(measured, qr.RULES, qr.REPORTED)]
+    assert order[0] == "symbols" and order.index("exclamation") < order.index("upper_case")
+    assert order == [r.name for r in qr.plan_cascade(measured, qr.RULES, qr.REPORTED)]
+    work = lambda name, text: spark.createDataFrame([(text,)], "text string").select(qr._size(qr.F.col("text")).alias("b"), qr._held(qr.COUNTS[name].steps[0][1]({"text": qr.F.col("text")})).alias("h")).first()
+    assert work("n_lines", "a\n" * 100).h > work("n_lines", "a " * 100).h
