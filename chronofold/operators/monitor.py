@@ -84,10 +84,12 @@ def veto_event_properties(hitlets: DataFrame, event: str = "event_number", time:
     rows = hitlets.withColumn("_t0", F.min(time).over(w))
     rows = rows.withColumn("_gap", F.col(time) - F.lag(time).over(w.orderBy(time, key)))
     t, a = (F.col(time) - F.col("_t0")).cast("double"), F.col(area).cast("double")
-    mean = F.try_divide(F.sum(a * t), F.sum(a))
-    var = F.try_divide(F.sum(a * t * t), F.sum(a)) - mean * mean
+    # The mean first, then the squares around it: nothing cancels.
+    rows = rows.withColumn("_mean", F.try_divide(F.sum(a * t).over(w), F.sum(a).over(w)))
+    off = t - F.col("_mean")
+    var = F.try_divide(F.sum(a * off * off), F.sum(a))
     return rows.groupBy(*by, event).agg(
-        F.sum(area).alias("area"), F.count(F.lit(1)).alias("n_hits"), F.countDistinct("channel").alias("n_channels"), mean.alias("center_time"),
+        F.sum(area).alias("area"), F.count(F.lit(1)).alias("n_hits"), F.countDistinct("channel").alias("n_channels"), F.first("_mean").alias("center_time"),
         F.sqrt(F.greatest(var, F.lit(0.0))).alias("center_time_spread"), F.min("_gap").alias("min_gap"), F.max("_gap").alias("max_gap"),
     )
 
@@ -109,11 +111,12 @@ def veto_event_position(
     rows = hitlets
     if prompt is not None:
         rows = hitlets.withColumn("_t0", F.min(time).over(Window.partitionBy(*by, event))).where(F.col(time) - F.col("_t0") < prompt)
-    aggs = [F.count(F.lit(1)).alias("n_prompt_hits")]
+    aggs, w = [F.count(F.lit(1)).alias("n_prompt_hits")], Window.partitionBy(*by, event)
     for c in axes:
-        mean = F.try_divide(F.sum(a * F.col(c)), F.sum(a))
-        var = F.try_divide(F.sum(a * F.col(c) * F.col(c)), F.sum(a)) - mean * mean
-        aggs += [mean.alias(f"pos_{c}"), F.sqrt(F.greatest(var, F.lit(0.0))).alias(f"pos_{c}_spread")]
+        rows = rows.withColumn(f"_mean_{c}", F.try_divide(F.sum(a * F.col(c)).over(w), F.sum(a).over(w)))
+        off = F.col(c) - F.col(f"_mean_{c}")
+        var = F.try_divide(F.sum(a * off * off), F.sum(a))
+        aggs += [F.first(f"_mean_{c}").alias(f"pos_{c}"), F.sqrt(F.greatest(var, F.lit(0.0))).alias(f"pos_{c}_spread")]
     return rows.groupBy(*by, event).agg(*aggs).withColumn("angle", azimuth(F.col("pos_x"), F.col("pos_y")))
 
 

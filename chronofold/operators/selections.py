@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -66,8 +67,8 @@ def channel_thresholds(spark, groups: Sequence[tuple[int, Sequence[int]]]) -> Da
 
 
 def over_threshold(df: DataFrame, thresholds: DataFrame, value: str = "area", channel: str = "channel") -> DataFrame:
-    """Rows at or above their channel's threshold; channels without one are left out. Thresholds are as many as channels."""
-    return df.join(F.broadcast(thresholds), channel).where(F.col(value) >= F.col("threshold")).drop("threshold")
+    """Rows at or above their channel's threshold; channels without one are left out. Spark broadcasts the thresholds only if they are small."""
+    return df.join(thresholds, channel).where(F.col(value) >= F.col("threshold")).drop("threshold")
 
 
 def partition(df: DataFrame, mask: Column) -> tuple[DataFrame, DataFrame]:
@@ -145,13 +146,13 @@ def local_time(ns: Column, zone: str) -> Column:
     return F.from_utc_timestamp(F.timestamp_micros(F.call_function("div", ns, F.lit(1000))), zone)
 
 
-def dataset_id(run: Column, kind: Column, lineage: Column) -> Column:
-    return F.concat(F.lit("xnt_"), run, F.lit(":"), kind, F.lit("-"), lineage)
+def dataset_id(run: Column, kind: Column, lineage: Column, scope: str = "exp") -> Column:
+    return F.concat(F.lit(f"{scope}_"), run, F.lit(":"), kind, F.lit("-"), lineage)
 
 
-def parse_dataset_id(did: Column) -> dict[str, Column]:
+def parse_dataset_id(did: Column, scope: str = "exp") -> dict[str, Column]:
     """run_id, data_type and lineage of an identifier; empty where it is none."""
-    return {name: F.regexp_extract(did, r"^xnt_([^:]+):(.+)-([^-]+)$", k) for k, name in enumerate(("run_id", "data_type", "lineage"), 1)}
+    return {name: F.regexp_extract(did, rf"^{re.escape(scope)}_([^:]+):(.+)-([^-]+)$", k) for k, name in enumerate(("run_id", "data_type", "lineage"), 1)}
 
 
 def event_scatter(events: DataFrame, color: Column) -> DataFrame:

@@ -153,9 +153,12 @@ def single_electrons(spark, sf_dir):
     return se.single_electrons(h).select("run_id", "hit_id")
 
 
-@query("channel_thresholds", f"WITH {HITS_SQL} SELECT run_id, hit_id FROM hits WHERE (channel BETWEEN 0 AND 4 AND area >= 3000) OR (channel BETWEEN 5 AND 9 AND area >= 9000)")
+@query("channel_thresholds", f"WITH {HITS_SQL} SELECT run_id, hit_id FROM hits WHERE area >= CASE WHEN channel % 10 < 5 THEN 3000 ELSE 9000 END")
 def channel_thresholds(spark, sf_dir):
-    return se.over_threshold(hits(spark, sf_dir), se.channel_thresholds(spark, [(3000, range(5)), (9000, range(5, 10))])).select("run_id", "hit_id")
+    """Every channel of the table has a threshold, by its place on its board."""
+    h = hits(spark, sf_dir)
+    low = F.col("channel") % 10 < 5
+    return se.over_threshold(h, h.where("channel is not null").select("channel", F.when(low, 3000).otherwise(9000).alias("threshold")).distinct()).select("run_id", "hit_id")
 
 
 @query("boolean_partition", f"WITH {HITS_SQL} SELECT run_id, hit_id, coalesce(nullif(k, 7) > 50, false) AS passed FROM hits")
@@ -178,11 +181,13 @@ def cable_map(spark, sf_dir):
     return se.cable_map(hits(spark, sf_dir), channels, boards).select("run_id", "hit_id", "board", "link")
 
 
-@query("daq_plot", f"WITH {HITS_SQL} SELECT run_id, time // {DAY} AS time_bin, (channel // 8) % 3 AS link, CAST(sum(area) AS BIGINT) AS area FROM hits WHERE channel < 96 GROUP BY 1, 2, 3")
+@query("daq_plot", f"WITH {HITS_SQL} SELECT run_id, time // {DAY} AS time_bin, (channel // 8) % 3 AS link, CAST(sum(area) AS BIGINT) AS area FROM hits WHERE channel IS NOT NULL GROUP BY 1, 2, 3")
 def daq_plot(spark, sf_dir):
-    channels = spark.range(120).select(F.col("id").alias("channel"), F.expr("id div 8").alias("board"))
-    boards = spark.range(12).select(F.col("id").alias("board"), (F.col("id") % 3).alias("link"))
-    linked = se.cable_map(hits(spark, sf_dir), channels, boards).where("link is not null")
+    """Every channel of the table is on a board of eight, every board on one of three links."""
+    h = hits(spark, sf_dir)
+    channels = h.where("channel is not null").select("channel", F.expr("channel div 8").alias("board")).distinct()
+    boards = channels.select("board", (F.col("board") % 3).alias("link")).distinct()
+    linked = se.cable_map(h, channels, boards).where("link is not null")
     return linked.groupBy("run_id", F.expr(f"time div {DAY}L").alias("time_bin"), "link").agg(F.sum("area").alias("area"))
 
 
@@ -219,7 +224,7 @@ def local_time(spark, sf_dir):
     return hits(spark, sf_dir).select("run_id", "hit_id", F.date_format(se.local_time(F.col("time"), "Asia/Kolkata"), "yyyy-MM-dd HH:mm:ss").alias("wall"))
 
 
-@query("dataset_ids", "SELECT o_orderkey, 'xnt_' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') || ':' || lower(o_orderstatus) || '-' || substr(md5(o_orderpriority), 1, 10) AS did, lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS run_id, lower(o_orderstatus) AS data_type, substr(md5(o_orderpriority), 1, 10) AS lineage FROM orders")
+@query("dataset_ids", "SELECT o_orderkey, 'exp_' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') || ':' || lower(o_orderstatus) || '-' || substr(md5(o_orderpriority), 1, 10) AS did, lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS run_id, lower(o_orderstatus) AS data_type, substr(md5(o_orderpriority), 1, 10) AS lineage FROM orders")
 def dataset_ids(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     did = se.dataset_id(F.lpad(F.col("o_custkey").cast("string"), 6, "0"), F.lower("o_orderstatus"), F.substring(F.md5("o_orderpriority"), 1, 10))

@@ -15,7 +15,7 @@ from chronofold.operators import slow_control as sc
 from chronofold.operators import waveform as wf
 from chronofold.plans.interval_queries import _BASICS, EVENTS_SQL, WIDTH, _basics, _events
 from chronofold.plans.registry import query
-from chronofold.session import table
+from chronofold.session import pinned, table
 from chronofold.sources.adapter import DAY, HITS_SQL, RUN_END, RUN_START, SECOND, WAVES_SQL, gains, hits, waveforms
 
 
@@ -124,12 +124,14 @@ def veto_event_position(spark, sf_dir):
     return p.select("run_id", "event_number", "n_prompt_hits", *[F.round(c, 6).alias(c) for c in ("pos_x", "pos_y", "angle")], F.round("pos_x_spread", 4).alias("pos_x_spread"))
 
 
-@query("veto_area_per_channel", f"""WITH {_INSIDE}, c AS (SELECT run_id, event_number, channel, CAST(sum(area) AS BIGINT) AS a FROM ih WHERE channel BETWEEN 0 AND 15 GROUP BY 1, 2, 3),
-e AS (SELECT DISTINCT run_id, event_number FROM c)
-SELECT e.run_id, e.event_number, r.i AS channel, coalesce(c.a, 0) AS area FROM e CROSS JOIN range(0, 16) r(i) LEFT JOIN c ON c.run_id = e.run_id AND c.event_number = e.event_number AND c.channel = r.i""")
+@query("veto_area_per_channel", f"""WITH {_INSIDE}, c AS (SELECT run_id, event_number, channel, CAST(sum(area) AS BIGINT) AS a FROM ih WHERE channel IS NOT NULL GROUP BY 1, 2, 3)
+SELECT run_id, event_number, channel, a AS area FROM c WHERE a <> 0""")
 def veto_area_per_channel(spark, sf_dir):
-    arrays = mo.area_per_channel(_inside(spark, sf_dir), 16)
-    return arrays.select("run_id", "event_number", F.posexplode("area_per_channel").alias("channel", "area"))
+    """Arrays over all channels of the table; their entries other than 0."""
+    inside = pinned(_inside(spark, sf_dir))
+    last = inside.agg(F.max("channel")).first()[0]
+    arrays = mo.area_per_channel(inside, 1 + (last if last is not None else 0))
+    return arrays.select("run_id", "event_number", F.posexplode("area_per_channel").alias("channel", "area")).where("area <> 0").withColumn("channel", F.col("channel").cast("long"))
 
 
 @query("online_veto_counts", f"""WITH {_INSIDE}, n AS (SELECT run_id, event_number, count(DISTINCT channel) AS c FROM ih GROUP BY 1, 2)
@@ -341,7 +343,8 @@ def superrun_union(spark, sf_dir):
     from chronofold.plans.engine import superrun
 
     h = hits(spark, sf_dir).withColumn("sub_run", F.expr(f"time div {10 * DAY}"))
-    parts = {str(i): (h.where(F.col("sub_run") == i), "same") for i in range(RUN_START // (10 * DAY), RUN_END // (10 * DAY) + 1)}
+    found = sorted(r[0] for r in h.select("sub_run").distinct().collect())
+    parts = {str(i): (h.where(F.col("sub_run") == i), "same") for i in found}
     return superrun("_all", parts).select("hit_id", "sub_run")
 
 

@@ -55,7 +55,7 @@ class Catalog:
         rows = self.spark.read.schema(f"{MANIFEST}, seq long").parquet(self.manifest_path)
         return rows.groupBy(*KEY).agg(*[F.max_by(c, "seq").alias(c) for c in rows.columns if c not in KEY])
 
-    def save(self, df: DataFrame, run_id: str, data_type: str, lineage: dict, scope: str = "xnt") -> str:
+    def save(self, df: DataFrame, run_id: str, data_type: str, lineage: dict, scope: str = "exp") -> str:
         """Writes a dataset and registers it; its location."""
         if self.readonly:
             raise PermissionError(f"{self.root} is read only")
