@@ -14,7 +14,7 @@ exchange two adjacent ones, no substring edited twice) is at most ``distance``:
    traversed together: a state is (left node, right node, edits left), visited once however many names lead to it; states that
    cannot end in two names are cut off, and the rest give the pairs with their least cost.
 
-The depth is the least at which a name shares its group with most / 2 others on average. Every join is a shuffle: nothing that
+The depth is the least at which at most half of the left names are in groups of over four blocks. Every join is a shuffle: nothing that
 grows with the names is broadcast, collected or put into one task.
 
 Defined cases: null and empty names take no part; repeated names count once; names of any length and any characters are
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from chronofold.llm.common import materialize
 
 DEEPEST = 12
-MOST = 4000
+MOST = 250
 #: Remaining lengths of a node as bits; the top bit stands for all lengths from there on.
 _BITS, _LONG = (1 << 64) - 1, 1 << 63
 
@@ -224,8 +224,9 @@ def similar_names(left: DataFrame, right: DataFrame, left_name: str = "name", ri
     """(l, r, distance): every pair of different-or-equal names of both sides within distance, once."""
     a, b = materialize(_distinct(left, left_name), "left-names"), materialize(_distinct(right, right_name), "right-names")
     upper, lower = materialize(_prefixes(a), "left-nodes"), materialize(_prefixes(b), "right-nodes")
-    shared = {r["depth"]: r["seen"] for r in upper.groupBy("depth").agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("seen")).collect()}
-    depth = next((k for k in range(2, DEEPEST - 1) if shared.get(k, 0) <= most / 2), DEEPEST - 2)
+    crowded = F.sum(F.when(F.col("n") > 4 * most, F.col("n")).otherwise(0)) / F.sum("n")
+    shared = {r["depth"]: r["crowded"] for r in upper.groupBy("depth").agg(crowded.alias("crowded")).collect()}
+    depth = next((k for k in range(2, DEEPEST - 1) if shared.get(k, 0) <= 0.5), DEEPEST - 2)
     deep = depth + 2
 
     level = lambda nodes, k, own: nodes.where(F.col("depth") == k + 1).select(_start("node", k).alias(own), F.col("node").alias(f"{own}2"))
@@ -237,7 +238,8 @@ def similar_names(left: DataFrame, right: DataFrame, left_name: str = "name", ri
 
     size = lambda nodes, k, own, out: nodes.where(F.col("depth") == k).select(F.col("node").alias(own), F.col("n").alias(out))
     blocks = lambda n: F.ceil(F.col(n) / most).cast("int")
-    rights = met.join(size(lower, deep, "v", "n").hint("shuffle_hash"), "v").groupBy("node").agg(F.sum("n").alias("nb"))
+    # Written, so that the next join deals both sides anew and a crowded node can be split there.
+    rights = materialize(met.join(size(lower, deep, "v", "n").hint("shuffle_hash"), "v").groupBy("node").agg(F.sum("n").alias("nb")), "right-sizes")
     groups = rights.join(size(upper, depth, "node", "na").hint("shuffle_hash"), "node").select("node", blocks("na").alias("blocks"), blocks("nb").alias("others"))
     groups = materialize(groups, "groups")
     part = lambda n: F.pmod(F.xxhash64("name"), F.col(n)).cast("int")
