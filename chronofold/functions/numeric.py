@@ -87,28 +87,66 @@ class GridMap:
         return out
 
 
-class BicubicMap:
-    """Cubic (Catmull-Rom) interpolation on a regular 2-D grid, clamped at the edges."""
+def spline_knots(x: np.ndarray) -> np.ndarray:
+    """Knots of the interpolating cubic spline: fourfold at the ends, and at all points but the first and last two."""
+    return np.concatenate([[x[0]] * 4, x[2:-2], [x[-1]] * 4])
+
+
+def spline_basis(knots: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, values): the four cubic B-splines that are not zero at each x, and the number of the first of them; x is clamped to the knots' range."""
+    x = np.clip(x, knots[3], knots[-4])
+    at = np.clip(np.searchsorted(knots, x, side="right") - 1, 3, len(knots) - 5)
+    values = np.zeros((len(x), 4))
+    values[:, 0] = 1.0
+    for k in range(1, 4):
+        carried = np.zeros(len(x))
+        for j in range(k):
+            right, left = knots[at + j + 1], knots[at + j + 1 - k]
+            part = values[:, j] / (right - left)
+            values[:, j] = carried + (right - x) * part
+            carried = (x - left) * part
+        values[:, k] = carried
+    return at - 3, values
+
+
+def solve_spline(x: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Coefficients of the splines through the rows of values at x: a banded elimination, without pivots, which collocation by B-splines never needs."""
+    first, basis = spline_basis(spline_knots(x), x)
+    n = len(x)
+    band, right = np.zeros((n, 7)), np.array(values, dtype=float)
+    for k in range(4):
+        band[np.arange(n), np.clip(first + k - np.arange(n) + 3, 0, 6)] += basis[:, k]
+    for i in range(n):
+        for r in range(i + 1, min(i + 4, n)):
+            factor = band[r, i - r + 3] / band[i, 3]
+            if factor:
+                band[r, i - r + 3 : i - r + 7] -= factor * band[i, 3:]
+                right[r] -= factor * right[i]
+    for i in reversed(range(n)):
+        for k in range(1, min(4, n - i)):
+            right[i] -= band[i, 3 + k] * right[i + k]
+        right[i] /= band[i, 3]
+    return right
 
-    def __init__(self, xs, ys, values):
-        self.xs, self.ys, self.values = np.asarray(xs, float), np.asarray(ys, float), np.asarray(values, float)
 
-    @staticmethod
-    def _weights(t: np.ndarray) -> np.ndarray:
-        return np.stack([-0.5 * t + t**2 - 0.5 * t**3, 1 - 2.5 * t**2 + 1.5 * t**3, 0.5 * t + 2 * t**2 - 1.5 * t**3, -0.5 * t**2 + 0.5 * t**3], -1)
+class BicubicMap:
+    """The bicubic spline through the values of a rectangular grid, clamped at its edges; at least four points along each axis. The coefficients are solved
+    once, where the map is made; a batch only evaluates sixteen products a point."""
 
-    def _axis(self, a: np.ndarray, c: np.ndarray):
-        i = np.clip(np.searchsorted(a, c, side="right") - 1, 0, len(a) - 2)
-        t = np.clip((c - a[i]) / (a[i + 1] - a[i]), 0, 1)
-        return np.clip(i[:, None] + np.arange(-1, 3), 0, len(a) - 1), self._weights(t)
+    def __init__(self, xs, ys, values):
+        xs, ys = np.asarray(xs, float), np.asarray(ys, float)
+        if min(len(xs), len(ys)) < 4:
+            raise ValueError("a bicubic spline needs four points along each axis")
+        self.kx, self.ky = spline_knots(xs), spline_knots(ys)
+        self.coefficients = solve_spline(ys, solve_spline(xs, np.asarray(values, float)).T).T
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         x = np.atleast_2d(np.asarray(x, float))
         ok = ~np.isnan(x).any(axis=1)
         out = np.full(len(x), np.nan)
-        ix, wx = self._axis(self.xs, x[ok, 0])
-        iy, wy = self._axis(self.ys, x[ok, 1])
-        out[ok] = np.einsum("ni,nij,nj->n", wx, self.values[ix[:, :, None], iy[:, None, :]], wy)
+        (ix, wx), (iy, wy) = spline_basis(self.kx, x[ok, 0]), spline_basis(self.ky, x[ok, 1])
+        cells = self.coefficients[ix[:, None, None] + np.arange(4)[:, None], iy[:, None, None] + np.arange(4)]
+        out[ok] = np.einsum("ni,nij,nj->n", wx, cells, wy)
         return out
 
 

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from chronofold.operators import neighbourhood as nb
+from chronofold.operators import recorder as rec
 from chronofold.operators import som as so
 from chronofold.operators import splitting as sp
 from chronofold.operators import sums
@@ -105,3 +106,34 @@ def som_classification(spark, sf_dir):
     kind = (F.col("peaklet") % 3).cast("int").alias("type")
     rows = _waves(spark, sf_dir, 90).select("peaklet", kind, "area", "dt", "data", "area_per_channel")
     return so.classify(rows, _example_som(), ["peaklet"])
+
+
+#: The trigger of the veto records: three hits of 250 within 100 ns, begun 50 ns before. Example values.
+_TRIGGER = {"threshold": 250.0, "n": 3, "resolving": 100, "pre": 50, "seconds": 3e-6, "baseline_samples": 8}
+
+
+def _raw(spark, sf_dir):
+    """Waveforms as raw fragments, two to a pulse, on the channels in turn."""
+    w = waveforms(spark, sf_dir)
+    pulse, fragment = F.expr("wave_id div 2"), F.col("wave_id") % 2
+    rows = w.select(F.lit("0").alias("run_id"), F.col("wave_id").alias("record_id"), pulse.alias("pulse"), (pulse % CHANNELS).alias("channel"), fragment.cast("int").alias("record_i"), F.lit(DT).alias("dt"),
+                    (pulse * 500 + fragment * 640).alias("time"), (64 - F.col("label") % 8).cast("int").alias("length"), "data")
+    return rows.withColumn("endtime", F.col("time") + F.col("length") * DT)
+
+
+def _recorded(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    bounds = raw.groupBy("run_id").agg(F.min("time").alias("start"), F.max("endtime").alias("end"))
+    return rec.record_veto(raw, bounds=bounds, width=10**6, **_TRIGGER)
+
+
+@query("veto_recorder")
+def veto_recorder(spark, sf_dir):
+    """Every record with what the trigger says of it."""
+    return _recorded(spark, sf_dir).select("record_id", "pulse", "channel", "bypassed", "kept", F.round("baseline", 6).alias("baseline"), F.round("area", 4).alias("area"))
+
+
+@query("veto_lone_statistics")
+def veto_lone_statistics(spark, sf_dir):
+    found = rec.lone_statistics(pinned(_recorded(spark, sf_dir)))
+    return found.select("run_id", "channel", "n_fragments", "n_higher_fragments", *[F.round(c, 4).alias(c) for c in ("mean_area", "higher_area", "mean_baseline", "mean_baseline_rms")])

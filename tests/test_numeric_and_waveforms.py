@@ -30,6 +30,53 @@ def test_bicubic_and_rotated_maps_hit_their_knots():
     assert r([[0.5, 0.1], [0.5, 0.9]]) == pytest.approx([0.5, 6.0])
 
 
+def dense_spline(x, v, at):
+    """The not-a-knot cubic spline by a dense solve for the polynomial of each interval; at is clamped."""
+    n = len(x) - 1
+    rows, right = [], []
+
+    def row(parts):
+        r = np.zeros(4 * n)
+        for k, c in parts:
+            r[4 * k : 4 * k + 4] += c
+        return r
+
+    powers = lambda t, d: np.array([0.0 if p < d else math.factorial(p) / math.factorial(p - d) * t ** (p - d) for p in range(4)])
+    for k in range(n):
+        h = x[k + 1] - x[k]
+        rows += [row([(k, powers(0, 0))]), row([(k, powers(h, 0))])]
+        right += [v[k], v[k + 1]]
+        if k < n - 1:
+            rows += [row([(k, powers(h, d)), (k + 1, -powers(0, d))]) for d in (1, 2)]
+            right += [0, 0]
+    for k in (0, n - 2):
+        rows.append(row([(k, powers(0, 3)), (k + 1, -powers(0, 3))]))
+        right.append(0)
+    c = np.linalg.solve(np.array(rows), np.array(right, dtype=float)).reshape(n, 4)
+    at = min(max(at, x[0]), x[-1])
+    k = min(max(int(np.searchsorted(x, at, side="right")) - 1, 0), n - 1)
+    return float(c[k] @ powers(at - x[k], 0))
+
+
+def test_bicubic_spline_between_its_knots():
+    rng = np.random.default_rng(6)
+    for nx, ny in ((4, 5), (9, 4), (12, 17)):
+        x, y = (np.cumsum(rng.uniform(0.2, 2, n)) for n in (nx, ny))
+        z = rng.normal(size=(nx, ny))
+        points = np.column_stack([rng.uniform(x[0] - 1, x[-1] + 1, 40), rng.uniform(y[0] - 1, y[-1] + 1, 40)])
+        got = nm.BicubicMap(x, y, z)(points)
+        want = [dense_spline(x, [dense_spline(y, z[i], b) for i in range(nx)], a) for a, b in points]
+        assert got == pytest.approx(want, abs=1e-9)
+        knots = np.array([(a, b) for a in x for b in y])
+        assert nm.BicubicMap(x, y, z)(knots) == pytest.approx(z.ravel(), abs=1e-9)
+    cubic = nm.BicubicMap(x, y, np.add.outer(x**3, y**2 * 2))(points[:1].clip([x[0], y[0]], [x[-1], y[-1]]))
+    a, b = points[0].clip([x[0], y[0]], [x[-1], y[-1]])
+    assert cubic[0] == pytest.approx(a**3 + 2 * b**2)
+    assert np.isnan(nm.BicubicMap(x, y, z)([[np.nan, 1.0]])[0])
+    with pytest.raises(ValueError, match="four points"):
+        nm.BicubicMap(x[:3], y, z[:3])
+
+
 def test_poisson_statistic_is_zero_at_the_truth():
     mu = np.array([1.0, 5.0, 0.0])
     assert nm.poisson_2nll(mu, mu).sum() == pytest.approx(0)

@@ -40,5 +40,5 @@ def test_entry(spark):
 
 def test_every_query_has_sql_or_is_known_not_to():
     assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {
-        "s2_merge_islands", "natural_breaks", "desaturated_records", "som_classification", "aft_probabilities", "afterpulses", "sample_monitor", "s2_merge_posterior", "enhanced_types",
+        "s2_merge_islands", "natural_breaks", "desaturated_records", "som_classification", "veto_recorder", "veto_lone_statistics", "aft_probabilities", "afterpulses", "sample_monitor", "s2_merge_posterior", "enhanced_types",
     }
