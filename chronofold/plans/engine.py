@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofold.operators.intervals import select_time
+from chronofold.operators.ordered import match
 
 
 class SaveWhen(enum.IntEnum):
@@ -29,12 +30,17 @@ class SaveWhen(enum.IntEnum):
 
 @dataclass(frozen=True)
 class Operator:
+    """kind: what a row is; types of one kind have the same rows and can be joined. key: the columns that name a row of the kind (its
+    time, if that is enough)."""
+
     provides: str
     depends_on: tuple[str, ...]
     compute: Callable[..., DataFrame]
     version: str = "0"
     options: dict = field(default_factory=dict)
     save_when: SaveWhen = SaveWhen.TARGET
+    kind: str | None = None
+    key: tuple[str, ...] = ("run_id", "time")
 
 
 class DataNotAvailable(LookupError):
@@ -141,14 +147,24 @@ class Engine:
 
     def get_df(
         self, run_id: str, targets: str | Sequence[str], selection: str | Sequence[str] | None = None, time_range: tuple[int, int] | None = None,
-        time_selection: str = "fully_contained", keep_columns: Sequence[str] | None = None, on: Sequence[str] = ("run_id", "time"),
+        time_selection: str = "fully_contained", keep_columns: Sequence[str] | None = None, on: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Targets of one run, joined on their key, cut in time, selected and projected."""
+        """Targets of one run, joined row by row, cut in time, selected and projected.
+
+        Targets must be of one kind and are joined on its key (or ``on``). Where that does not name the rows of a target, as with equal times,
+        the query fails instead of pairing every row with every other.
+        """
         names = [targets] if isinstance(targets, str) else list(targets)
+        kinds = {self.operators[n].kind for n in names} - {None}
+        if len(kinds) > 1:
+            raise ValueError(f"types of different kinds cannot be joined: {', '.join(sorted(kinds))}")
+        key = list(on or next((self.operators[n].key for n in names if self.operators[n].kind), self.operators[names[0]].key))
         df = self._make(run_id, names[0], True)
+        if len(names) > 1:
+            df = one_row_a_key(df, key, names[0])
         for n in names[1:]:
             other = self._make(run_id, n, True)
-            df = df.join(other.select(*on, *[c for c in other.columns if c not in df.columns]), list(on))
+            df = match(df, one_row_a_key(other, key, n).select(*key, *[c for c in other.columns if c not in df.columns]), key)
         if time_range is not None:
             df = select_time(df, *time_range, time_selection)
         if selection:
@@ -176,6 +192,16 @@ class Engine:
         return f(self.get_df(run_id, requires, selection, time_range), **options)
 
 
+def one_row_a_key(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    """df; raises for a key with several rows. The rows are dealt by the key, as the join that follows wants them."""
+    from pyspark.sql import Window
+
+    parts = F.struct(*key).alias("_on")
+    twice = F.count(F.lit(1)).over(Window.partitionBy("_on")) > 1
+    lost = F.raise_error(F.lit(f"rows of {name} share a key ({', '.join(key)})")).cast(df.schema[key[0]].dataType)
+    return df.select("*", parts).withColumn(key[0], F.when(twice, lost).otherwise(F.col(key[0]))).drop("_on")
+
+
 def superrun(name: str, parts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Union of sub-runs made with one configuration."""
     if len({h for _, h in parts.values()}) > 1:

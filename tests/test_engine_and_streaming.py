@@ -39,6 +39,30 @@ def test_lineage_decides_what_is_stored(spark, tmp_path):
     assert e.dependency_tree("area") == [("area", "raw")]
 
 
+def test_targets_join_row_by_row(spark, tmp_path):
+    """Rows of equal time are joined by their kind's key; where nothing names them, the query fails."""
+    e = Engine(spark, {}, [str(tmp_path)])
+    rows = [("000001", 5, 6, 1), ("000001", 5, 7, 2), ("000001", 9, 10, 3)]
+
+    @e.operator("peaks", kind="peaks", key=("run_id", "peak_id"))
+    def peaks(run_id):
+        return spark.createDataFrame(rows, "run_id string, time long, endtime long, peak_id long")
+
+    @e.operator("sizes", ["peaks"], kind="peaks", key=("run_id", "peak_id"))
+    def sizes(peaks, run_id):
+        return peaks.select("run_id", "time", "peak_id", (F.col("peak_id") * 10).alias("size"))
+
+    @e.operator("events", kind="events")
+    def events(run_id):
+        return spark.createDataFrame([("000001", 5, 10)], "run_id string, time long, endtime long")
+
+    assert sorted((r.peak_id, r.endtime, r["size"]) for r in e.get_df("000001", ["peaks", "sizes"]).collect()) == [(1, 6, 10), (2, 7, 20), (3, 10, 30)]
+    with pytest.raises(Exception, match="share a key"):
+        e.get_df("000001", ["peaks", "sizes"], on=("run_id", "time")).collect()
+    with pytest.raises(ValueError, match="different kinds"):
+        e.get_df("000001", ["peaks", "events"])
+
+
 def test_named_queries(spark, tmp_path):
     e = engine(spark, tmp_path)
 
