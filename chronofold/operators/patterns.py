@@ -14,6 +14,11 @@ def _sum(c: Column) -> Column:
     return F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
 
 
+def settled(c: Column) -> Column:
+    """c, computed once a row: the optimizer does not write it out again inside the steps (and their lambdas) that use it."""
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def two_nll(observed: Column, efficiency: Column, area: Column, photon: float = 1.0) -> Column:
     """Modified Poisson -2 ln L of a pattern, less that of a perfect fit: the area is shared out by efficiency and counted in photons.
     Null where no channel has any efficiency; channels that saw nothing, or of which nothing is expected, add nothing."""
@@ -58,9 +63,10 @@ def led_records(df: DataFrame, length: int, baseline: tuple[int, int], data: str
     """First fragments of exactly that length, with baseline, baseline_rms, and data turned over around the baseline."""
     head = F.slice(F.col(data), baseline[0] + 1, baseline[1] - baseline[0])
     n = float(baseline[1] - baseline[0])
-    rows = df.where((F.col(fragment) == 0) & (F.size(data) == length)).withColumn("baseline", _sum(F.transform(head, lambda x: x.cast("double"))) / n)
+    rows = df.where((F.col(fragment) == 0) & (F.size(data) == length)).withColumn("baseline", settled(_sum(F.transform(head, lambda x: x.cast("double"))) / n))
     b = F.col("baseline")
-    return rows.withColumns({"baseline_rms": F.sqrt(_sum(F.transform(head, lambda x: (x - b) * (x - b))) / n), data: F.transform(data, lambda x: b - x)})
+    spread = F.sqrt(_sum(F.transform(head, lambda x: (x - b) * (x - b))) / n)
+    return rows.withColumns({"baseline_rms": settled(spread), data: settled(F.transform(data, lambda x: b - x))})
 
 
 def led_windows(
@@ -71,7 +77,7 @@ def led_windows(
     ``default`` if there is none or the light was off. No window reaches beyond the record."""
     c, over = F.col(data), F.col("baseline_rms") * height
     samples = F.transform(c, lambda v, i: F.when((v >= over) & (i >= earliest) & ((i == 0) | (F.get(c, i - 1) < over)), i))
-    rows = df.withColumn("_hit", F.array_min(F.filter(samples, lambda i: i.isNotNull())))
+    rows = df.withColumn("_hit", settled(F.array_min(F.filter(samples, lambda i: i.isNotNull()))))
     last = length - averaging - extension[1]
     usual = F.lit(default)
     if led_on:
@@ -80,7 +86,7 @@ def led_windows(
         rows = rows.join(modes, list(by), "left") if by else rows.join(F.broadcast(modes.select("_mode")))
         usual = F.when(F.col("_mode").isNotNull(), F.least("_mode", F.lit(last))).otherwise(F.lit(default))
     place = F.when(F.col("_hit").isNotNull(), F.least("_hit", F.lit(last))).otherwise(usual).cast("int")
-    out = rows.withColumns({"triggered": F.col("_hit").isNotNull(), "hit_position": place})
+    out = rows.withColumns({"triggered": F.col("_hit").isNotNull(), "hit_position": settled(place)})
     return out.withColumns({"window_left": F.col("hit_position") + extension[0], "window_right": F.col("hit_position") + extension[1]}).drop("_hit", "_mode")
 
 
