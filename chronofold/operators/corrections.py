@@ -170,15 +170,6 @@ def position_spread(df: DataFrame, xs: Sequence[str], ys: Sequence[str], valid:
     })
 
 
-def contour_uncertainty(points: Column) -> tuple[Column, Column]:
-    """(r_uncertainty, theta_uncertainty) of a contour array<array<double>>: half the ranges of radius and, around the mean direction, of angle."""
-    r = F.transform(points, lambda p: F.hypot(F.get(p, F.lit(0)), F.get(p, F.lit(1))))
-    mean = lambda i: F.aggregate(F.transform(points, lambda p: F.get(p, F.lit(i))), F.lit(0.0), lambda a, x: a + x)
-    middle = F.atan2(mean(1), mean(0))
-    off = F.transform(points, lambda p: F.pmod(F.atan2(F.get(p, F.lit(1)), F.get(p, F.lit(0))) - middle + F.pi(), 2 * F.pi()) - F.pi())
-    return (F.array_max(r) - F.array_min(r)) / 2, (F.array_max(off) - F.array_min(off)) / 2
-
-
 def veto_azimuth(x: Column, y: Column) -> Column:
     return azimuth(x, y)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from chronofold.functions import numeric
+from chronofold.operators import contours as ct
 from chronofold.operators import neighbourhood as nb
 from chronofold.operators import recorder as rec
 from chronofold.operators import som as so
@@ -137,3 +139,31 @@ def veto_recorder(spark, sf_dir):
 def veto_lone_statistics(spark, sf_dir):
     found = rec.lone_statistics(pinned(_recorded(spark, sf_dir)))
     return found.select("run_id", "channel", "n_fragments", "n_higher_fragments", *[F.round(c, 4).alias(c) for c in ("mean_area", "higher_area", "mean_baseline", "mean_baseline_rms")])
+
+
+def _radial(x, y, z):
+    """An example change of the radius, linear along each axis, so that a grid map has it exactly."""
+    return 0.1 + 0.02 * x - 0.01 * y + 0.03 * z + 0.001 * x * z
+
+
+_RING = """c AS (SELECT run_id, hit_id, x + 0.37 AS x, y + 0.61 AS y, CAST(-k AS DOUBLE) AS z, 1 + k % 3 AS rad FROM hits WHERE type = 2),
+q AS (SELECT *, x + rad * cos(0.1 + i * 0.7853981633974483) AS px, y + rad * sin(0.1 + i * 0.7853981633974483) AS py FROM c, range(0, 8) r(i)),
+m AS (SELECT *, 1 + (0.1 + 0.02 * px - 0.01 * py + 0.03 * z + 0.001 * px * z) / sqrt(px * px + py * py) AS s, 1 + (0.1 + 0.02 * x - 0.01 * y + 0.03 * z + 0.001 * x * z) / sqrt(x * x + y * y) AS own FROM q),
+n AS (SELECT *, px * s AS qx, py * s AS qy, (atan2(py, px) - atan2(y, x) + 5 * pi()) % (2 * pi()) - pi() AS off FROM m),
+t AS (SELECT *, coalesce(lead(qx) OVER w, first_value(qx) OVER w) AS nx, coalesce(lead(qy) OVER w, first_value(qy) OVER w) AS ny FROM n WINDOW w AS (PARTITION BY run_id, hit_id ORDER BY i))"""
+
+
+@query("event_contours", f"""WITH {HITS_SQL}, {_RING} SELECT run_id, hit_id, round(abs(sum(qx * ny - nx * qy)) / 2, 5) AS contour_area_fdc, round(any_value(x * own), 6) AS x_fdc, round(any_value(y * own), 6) AS y_fdc,
+round((max(sqrt(px * px + py * py)) - min(sqrt(px * px + py * py))) / 2, 6) AS r_uncertainty, round((max(off) - min(off)) / 2, 6) AS theta_uncertainty FROM t GROUP BY run_id, hit_id""")
+def event_contours(spark, sf_dir):
+    """Rings around the places of the S2s, corrected by a 3-D map, and the uncertainties that they give."""
+    h = hits(spark, sf_dir).where("type = 2").withColumns({"x": F.col("x") + 0.37, "y": F.col("y") + 0.61, "z": -F.col("k").cast("double"), "rad": 1 + F.col("k") % 3})
+    turn = lambda i: F.lit(0.1) + i * 0.7853981633974483
+    ring = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.array(F.col("x") + F.col("rad") * F.cos(turn(i)), F.col("y") + F.col("rad") * F.sin(turn(i))))
+    axes = [np.linspace(-20, 20, 5), np.linspace(-20, 20, 4), np.linspace(-110, 10, 6)]
+    change = numeric.GridMap(axes, _radial(*np.meshgrid(*axes, indexing="ij")))
+    rows = h.withColumn("contour", ring)
+    r, theta = ct.contour_uncertainty(F.col("contour"), F.col("x"), F.col("y"))
+    rows = rows.withColumns({"r_uncertainty": r, "theta_uncertainty": theta})
+    found = ct.correct_contours(rows, change, ["run_id", "hit_id", "r_uncertainty", "theta_uncertainty"])
+    return found.select("run_id", "hit_id", F.round("contour_area_fdc", 5).alias("contour_area_fdc"), *[F.round(c, 6).alias(c) for c in ("x_fdc", "y_fdc", "r_uncertainty", "theta_uncertainty")])
