@@ -132,7 +132,7 @@ def split_by_containment(spark, sf_dir):
 @query("lone_hits", f"WITH {HITS_SQL}, {_coincidence_sql(N_FOLD)} SELECT run_id, hit_id FROM hits h WHERE NOT EXISTS (SELECT 1 FROM coin c WHERE h.run_id = c.run_id AND h.time >= c.time AND h.endtime <= c.endtime)")
 def lone_hits(spark, sf_dir):
     h = hits(spark, sf_dir)
-    return iv.outside(h, iv.coincidence(h, N_FOLD, RESOLVING, SECOND, width=WIDTH), "hit_id", width=WIDTH).select("run_id", "hit_id")
+    return iv.outside(h, iv.coincidence(h, N_FOLD, RESOLVING, SECOND, width=WIDTH), "hit_id", width=WIDTH, disjoint=True).select("run_id", "hit_id")
 
 
 ROI = 600 * SECOND
