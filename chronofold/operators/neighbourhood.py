@@ -102,34 +102,63 @@ def shadow(
     return out.withColumn("shadow", F.coalesce("shadow", F.lit(edge))).withColumn("dt", F.coalesce("dt", F.lit(float(window))))
 
 
+def _close(a: np.ndarray, b: np.ndarray, distance: float) -> bool:
+    """Whether a place of a and one of b (rows of x, y) are at most ``distance`` apart; only those near the other's box are compared, a block at a time."""
+    for one, two in ((0, 1), (1, 0)):
+        p, q = (a, b) if one == 0 else (b, a)
+        p = p[np.all((p >= q.min(axis=0) - distance) & (p <= q.max(axis=0) + distance), axis=1)]
+        if not len(p):
+            return False
+        a, b = (p, q) if one == 0 else (q, p)
+    for i in range(0, len(a), 512):
+        for j in range(0, len(b), 512):
+            u, v = a[i : i + 512, None], b[None, j : j + 512]
+            if np.any(np.hypot(u[..., 0] - v[..., 0], u[..., 1] - v[..., 1]) <= distance):
+                return True
+    return False
+
+
 def linked_places(x: np.ndarray, y: np.ndarray, distance: float) -> np.ndarray:
-    """For each point the first point of its connected component, where points at most ``distance`` apart are linked. Points meet in a grid
-    whose cells are that wide, so only those of neighbouring cells are compared; points without a place are alone."""
+    """For each point the first point of its connected component, where points at most ``distance`` apart are linked. Points of one cell of a
+    grid are always that near, so cells are linked, not points: two cells by the first near pair found. Points without a place are alone."""
     first = np.arange(len(x))
-    cells: dict[tuple[int, int], list[int]] = {}
+    placed = np.flatnonzero(np.isfinite(x) & np.isfinite(y))
+    if not len(placed):
+        return first
+    points = np.column_stack([x[placed], y[placed]])
+    grid = np.floor(points / (distance / 1.5))
+    cells, cell = np.unique(grid, axis=0, return_inverse=True)
+    cell = cell.ravel()
+    order = np.argsort(cell, kind="stable")
+    ends = np.cumsum(np.bincount(cell, minlength=len(cells)))
+    members = np.split(order, ends[:-1])
+    parent = list(range(len(cells)))
 
     def root(i: int) -> int:
-        while first[i] != i:
-            first[i] = first[first[i]]
-            i = int(first[i])
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
         return i
 
-    for i in range(len(x)):
-        if math.isnan(x[i]) or math.isnan(y[i]):
-            continue
-        cx, cy = math.floor(x[i] / distance), math.floor(y[i] / distance)
-        for near in ((cx + u, cy + v) for u in (-1, 0, 1) for v in (-1, 0, 1)):
-            for j in cells.get(near, ()):
-                if math.hypot(x[i] - x[j], y[i] - y[j]) <= distance:
-                    a, b = sorted((root(i), root(j)))
-                    first[b] = a
-        cells.setdefault((cx, cy), []).append(i)
-    return np.array([root(i) for i in range(len(x))], dtype=np.int64)
+    number = {c: i for i, c in enumerate(map(tuple, cells.tolist()))}
+    # Near cells first: most of those farther away are linked through them by then.
+    steps = sorted(((u, v) for u in range(-2, 3) for v in range(-2, 3) if (u, v) > (0, 0)), key=lambda s: s[0] ** 2 + s[1] ** 2)
+    for u, v in steps:
+        for (cx, cy), i in number.items():
+            j = number.get((cx + u, cy + v))
+            if j is not None and (r := root(i)) != (t := root(j)) and _close(points[members[i]], points[members[j]], distance):
+                parent[max(r, t)] = min(r, t)
+    group = np.array([root(i) for i in range(len(cells))])[cell]
+    least = np.full(len(cells), len(x))
+    np.minimum.at(least, group, placed)
+    first[placed] = least[group]
+    return first
 
 
 def casting_clusters(peaks: DataFrame, gap: int, distance: float = 0.0, key: str = "hit_id", by: Sequence[str] = RUN, width: int = ordered.HOUR) -> DataFrame:
     """(by, key, cluster): the key of the first peak, by centre, of each peak's cluster. Peaks whose centres follow each other within gap are a time
-    cluster; with a distance it falls apart into the connected components of peaks at most that far apart."""
+    cluster; with a distance it falls apart into the connected components of peaks at most that far apart. Peaks of one place are one to the task that holds
+    an island."""
     rows = peaks.select(*by, key, F.col("center_time").alias("time"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     marked = islands(rows, "time", gap, by, ("time", key), max(width, gap))
     if distance <= 0:
@@ -141,11 +170,15 @@ def casting_clusters(peaks: DataFrame, gap: int, distance: float = 0.0, key: str
         ends = np.append(starts[1:], batch.num_rows)
         for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
             first[a:b] = a + linked_places(x[a:b], y[a:b], distance)
-        keys = batch.column(key)
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in by), keys, keys.take(pa.array(first))], names=[*by, key, "cluster"])
-
-    out = StructType([*[marked.schema[c] for c in (*by, key)], StructField("cluster", marked.schema[key].dataType)])
-    return map_islands(marked, kernel, out, ("time", key), by)
+        firsts = batch.column(key).take(pa.array(first))
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*by, "island", "x", "y")), firsts], names=[*by, "island", "x", "y", "cluster"])
+
+    on = [*by, "island", "x", "y"]
+    somewhere = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
+    places = marked.where(somewhere).groupBy(*on).agg(F.min(F.struct("time", key)).alias("_first")).select(*on, "_first.*")
+    out = StructType([*[places.schema[c] for c in on], StructField("cluster", marked.schema[key].dataType)])
+    found = match(marked, map_islands(places, kernel, out, ("time", key), by), on, "left")
+    return found.select(*by, key, F.coalesce("cluster", key).alias("cluster"))
 
 
 def merge_casting(

@@ -121,3 +121,18 @@ def test_components_of_many_points():
             break
         want = new
     assert first.tolist() == [*want, 300]
+
+
+def test_many_peaks_at_few_places_are_linked_by_place(spark):
+    """20,000 peaks of one time cluster at 40 places: comparing each with all the others near it took minutes."""
+    import time
+
+    began = time.time()
+    x, y = np.arange(20_000) % 8 * 3.0 + np.arange(20_000) % 2 * 100, np.arange(20_000) % 5 * 3.0
+    first = nb.linked_places(x, y, 3.5)
+    # Even and odd columns are 100 apart, and 6 within each: every column is alone, its rows are linked.
+    assert len(set(first.tolist())) == 8 and all(len(set(x[first == f].tolist())) == 1 for f in set(first.tolist()))
+    assert time.time() - began < 5
+    rows = spark.range(20_000).selectExpr("'0' as run_id", "id as hit_id", "id as time", "id + 1 as endtime", "id as center_time", "1L as area", "double(id % 8 * 3) as x", "double(id % 5 * 9) as y", "2 as type")
+    got = sorted((r.hit_id, r.n_merged) for r in nb.merge_casting(rows.repartition(3), 20, 3.5).collect())
+    assert got == [(0, 4000), (1, 4000), (2, 4000), (3, 4000), (4, 4000)]
