@@ -256,12 +256,25 @@ def se_score(
     return out.select(*by, key, F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), F.coalesce("se_score", F.lit(0.0))).alias("se_score"))
 
 
-def tight_coincidence(peaks: DataFrame, hits: DataFrame, left: int, right: int, key: str = "peak_id", by: Sequence[str] = RUN) -> DataFrame:
-    """(by, key, tight_coincidence): distinct channels with a hit in [time - left, time + right]."""
-    roi = peaks.select(*by, (F.col("time") - left).alias("time"), (F.col("time") + right).alias("endtime"), key)
-    met = overlap_join(hits.select(*by, "time", "endtime", "channel"), roi, by, max(left + right, 1), "starting")
-    found = met.groupBy(*by, f"w_{key}").agg(F.countDistinct("channel").alias("tight_coincidence"))
-    return _attached(peaks, found, key, {"tight_coincidence": F.lit(0).cast("long")}, by)
+def tight_coincidence(peaks: DataFrame, hits: DataFrame, left: int, right: int, key: str = "peak_id", by: Sequence[str] = RUN, width: int = ordered.HOUR) -> DataFrame:
+    """(by, key, tight_coincidence): distinct channels with a hit in [time - left, time + right].
+
+    All windows are equally long. A channel counts in the windows that begin at most that long before one of its hits: spans, disjoint in each channel
+    once joined. So the number is that of the spans begun less that of those over at a window's begin, running sums over all channels, without pairs.
+    """
+    size = left + right
+    if size < 0:
+        return peaks.select(*by, key, F.lit(0).cast("long").alias("tight_coincidence"))
+    seen = hits.where(F.col("channel").isNotNull() & F.col("time").isNotNull()).select(*by, "channel", F.col("time").cast("long").alias("time")).distinct()
+    seen = ordered.neighbours(seen, ["time"], ["time"], [*by, "channel"], ("time",), 24 * max(width, size))
+    begins = F.when(F.col("prev_time").isNull() | (F.col("time") - F.col("prev_time") > size), F.struct((F.col("time") - size).alias("time"), F.lit(1).cast("long").alias("_step")))
+    over = F.when(F.col("next_time").isNull() | (F.col("next_time") - F.col("time") > size), F.struct((F.col("time") + 1).alias("time"), F.lit(-1).cast("long").alias("_step")))
+    steps = seen.select(*by, F.explode(F.array_compact(F.array(begins, over))).alias("_s")).select(*by, "_s.*").groupBy(*by, "time").agg(F.sum("_step").alias("_step"))
+    asked = peaks.select(*by, (F.col("time").cast("long") - left).alias("time"), key)
+    # At equal times the steps stand before the windows.
+    both = asked.withColumns({"_step": F.lit(0).cast("long"), "_asks": F.lit(1)}).unionByName(steps.withColumns({key: F.lit(None).cast(peaks.schema[key].dataType), "_asks": F.lit(0)}))
+    found = ordered.running_sum(both, "_step", "tight_coincidence", by, ("time", "_asks"), max(width, size)).where("_asks = 1")
+    return found.select(*by, key, F.when(F.col("time").isNull(), F.lit(0).cast("long")).otherwise(F.col("tight_coincidence")).alias("tight_coincidence"))
 
 
 def hits_per_peak(peaks: DataFrame, hits: DataFrame, key: str = "peak_id", by: Sequence[str] = RUN, width: int = 3600 * 10**9) -> DataFrame:

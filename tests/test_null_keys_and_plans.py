@@ -90,3 +90,14 @@ def test_pinned_tables_go_with_unpin(spark):
     import os
 
     assert not os.path.exists(df.inputFiles()[0].removeprefix("file://"))
+
+
+@pytest.mark.parametrize("reach", [(0, 0), (40, 25), (700, 0)])
+def test_tight_coincidence_makes_no_pairs(spark, rows, reach):
+    """The same as a plain loop, and no join of hits with windows: their pairs grew with the square of the rate."""
+    df = spark.createDataFrame([(*r[:5], i % 5 or None, *r[6:]) for i, r in enumerate(rows)], SCHEMA)
+    got = nb.tight_coincidence(some(df), df, *reach, key="hit_id", width=100)
+    assert "_level" not in got._jdf.queryExecution().analyzed().toString()
+    data = df.collect()
+    near = lambda p: {h.channel for h in data if h.run_id == p.run_id and h.channel is not None and p.time - reach[0] <= h.time <= p.time + reach[1]}
+    assert {(r.run_id, r.hit_id): r.tight_coincidence for r in got.collect()} == {(p.run_id, p.hit_id): len(near(p)) for p in data if p.hit_id % 7 == 0}
