@@ -1,24 +1,26 @@
 """Scores of a peak from the peaks in a time window around it.
 
-Each operator turns the peaks into regions of interest around their centres, meets them with the casting peaks through
-the bucketed overlap join, and aggregates per peak; the sums combine on the map side. Cost is the number of
-neighbours; the bucket is as wide as the window, and longer peaks take wider ones. Ids are unique in a run only.
+Each operator turns the peaks into regions of interest around their centres. Spark deals both sides to time buckets as wide as the
+window, wider ones for longer peaks; there numpy judges the pairs, a block at a time, so none is a row. Competing peaks are counted
+without pairs, the others cost their number of neighbours. Ids are unique in a run only.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from chronofold.operators import ordered
 from chronofold.operators.executor import floats, map_islands
-from chronofold.operators.intervals import RUN, islands, overlap_join
+from chronofold.operators.intervals import RUN, _bucket, _level, islands, overlap_join
 from chronofold.operators.ordered import match, with_bucket
 
 
@@ -28,10 +30,94 @@ def half_cauchy(x: Column, scale: Column) -> Column:
     return F.when(scale <= 0, F.lit(None)).when(x < 0, 0.0).otherwise(dense)
 
 
-def _met(peaks: DataFrame, casting: DataFrame, back: int, ahead: int, key: str, by: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """Pairs of a casting peak (plain names) and a peak's region (w_ names)."""
-    roi = peaks.select(*by, (F.col("center_time") - back).alias("time"), (F.col("center_time") + ahead).alias("endtime"), F.col("center_time").alias("ct"), key, *carry)
-    return overlap_join(casting, roi, by, max(back + ahead, 1))
+#: Long windows are dealt to DEALT groups a bucket by the peaks in them; BLOCK pairs are compared at a time.
+DEALT, BLOCK = 16, 1 << 18
+
+
+@dataclass
+class Side:
+    """Rows of one side in a bucket, by time: [time, end) (of a peak its window), centre, key, and the numbers asked for, NaN for null."""
+
+    time: np.ndarray
+    end: np.ndarray
+    centre: np.ndarray
+    key: np.ndarray | None
+    numbers: dict[str, np.ndarray]
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        return self.numbers[name]
+
+    def cut(self, rows, shape=slice(None)) -> Side:
+        pick = lambda v: None if v is None else v[rows][shape]
+        return Side(pick(self.time), pick(self.end), pick(self.centre), pick(self.key), {n: pick(v) for n, v in self.numbers.items()})
+
+
+def blocks(peaks: Side, casting: Side):
+    """(rows, p, c, touching) over all that may touch: p is a column of peaks, c a row of casting peaks, both cut from their sides; never over BLOCK pairs at once."""
+    if not len(peaks.time) or not len(casting.time):
+        return
+    reach = np.maximum.accumulate(casting.end)
+    step = 256
+    for i in range(0, len(peaks.time), step):
+        rows = slice(i, i + step)
+        p = peaks.cut(rows, (slice(None), None))
+        first, last = np.searchsorted(reach, p.time.min(), side="right"), np.searchsorted(casting.time, p.end.max(), side="left")
+        for j in range(first, last, BLOCK // step):
+            c = casting.cut(slice(j, min(j + BLOCK // step, last)), (None, slice(None)))
+            yield rows, p, c, (c.time < p.end) & (p.time < c.end)
+
+
+def _met(
+    peaks: DataFrame, casting: DataFrame, back: int, ahead: int, score: Callable[[Side, Side], dict[str, np.ndarray]], out: dict[str, str],
+    merge: dict[str, Column], key: str, by: Sequence[str], carry: Sequence[str], numbers: Sequence[str],
+) -> DataFrame:
+    """(by, w_key, columns of merge): what score finds of each peak's window, [centre - back, centre + ahead), among the casting peaks that touch it.
+
+    Both sides go by time buckets as wide as the window, casting peaks with a copy in each that they reach, long ones in wider buckets; score gets both sides of
+    one bucket, sorted by time, as columns, and judges pairs by the block: no pair is a row. Its results (columns of out) are partial ones of a peak, of
+    each width of bucket, which merge combines; of them n, the number of pairs found, must be over 0.
+    """
+    width = max(back + ahead, 2)
+    doubles = lambda df, cols, names: [F.col(c).cast("double").alias(f"_n_{c}") if c in cols else F.lit(None).cast("double").alias(f"_n_{c}") for c in names]
+    every = [*carry, *[n for n in numbers if n not in carry]]
+    long, kind = lambda c: F.col(c).cast("long"), peaks.schema[key].dataType
+    keyed = "ck" in casting.columns
+    own_key = F.col("ck").cast(kind) if keyed else F.lit(None).cast(kind)
+    cast = casting.where("time is not null and endtime is not null and c is not null")
+    cast = cast.select(*by, long("time").alias("time"), long("endtime").alias("endtime"), long("c").alias("_c"), own_key.alias(f"w_{key}"), *doubles(cast, numbers, every), F.lit(0).alias("_side"))
+    cast = cast.withColumn("_level", _level("time", "endtime", width))
+    top = F.coalesce(cast.agg(F.max("_level").alias("top")).scalar(), F.lit(0))
+    cast = cast.withColumns({"_from": F.col("time") - ahead, "_to": F.greatest("time", "endtime") + back})
+    cast = cast.withColumn("_bucket", F.explode(F.sequence(_bucket("_from", "_level", width), _bucket("_to", "_level", width)))).drop("_from", "_to")
+    cast = cast.withColumn("_deal", F.explode(F.when(F.col("_level") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(DEALT - 1)))))
+    ct = long("center_time")
+    asked = peaks.where("center_time is not null").select(*by, (ct - back).alias("time"), (ct + ahead).alias("endtime"), ct.alias("_c"), F.col(key).alias(f"w_{key}"), *doubles(peaks, carry, every), F.lit(1).alias("_side"))
+    asked = asked.withColumn("_level", F.explode(F.sequence(F.lit(0), top))).withColumn("_bucket", _bucket("_c", "_level", width))
+    asked = asked.withColumn("_deal", F.when(F.col("_level") == 0, 0).otherwise(F.pmod(F.xxhash64("_c"), F.lit(DEALT)).cast("int")))
+    both = cast.unionByName(asked.select(cast.columns))
+    fields = [*[both.schema[c] for c in (*by, f"w_{key}")], *[StructField(n, LongType() if t == "long" else DoubleType()) for n, t in out.items()]]
+
+    def kernel(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        ints = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
+        side, cols = ints("_side"), [ints(c) for c in ("time", "endtime", "_c")]
+        keys = ints(f"w_{key}") if keyed else None
+        values = {c: floats(batch, f"_n_{c}") for c in every}
+        rows, found = [], {n: [] for n in out}
+        for a, b in zip(starts, np.append(starts[1:], batch.num_rows)):
+            m = a + int(np.searchsorted(side[a:b], 1))
+            if m == a or m == b:
+                continue  # one side only
+            part = lambda u, v, names: Side(*[c[u:v] for c in cols], None if keys is None else keys[u:v], {n: values[n][u:v] for n in names})
+            got = score(part(m, b, carry), part(a, m, numbers))
+            rows.append(np.arange(m, b))
+            for n in out:
+                found[n].append(got[n])
+        at = pa.array(np.concatenate(rows) if rows else np.array([], dtype=np.int64))
+        joined = [pa.array(np.concatenate(found[n]) if rows else np.array([]), pa.int64() if t == "long" else pa.float64()) for n, t in out.items()]
+        return pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in (*by, f"w_{key}")), *joined], names=[*by, f"w_{key}", *out])
+
+    parts = map_islands(both, kernel, StructType(fields), ("_side", "time"), [*by, "_level", "_bucket"], "_deal").where("n > 0")
+    return parts.groupBy(*by, f"w_{key}").agg(*[c.alias(n) for n, c in merge.items()])
 
 
 def _attached(peaks: DataFrame, found: DataFrame, key: str, zeros: dict[str, Column], by: Sequence[str]) -> DataFrame:
@@ -39,36 +125,132 @@ def _attached(peaks: DataFrame, found: DataFrame, key: str, zeros: dict[str, Col
     return out.select(*by, key, *[F.coalesce(F.col(n), v).alias(n) for n, v in zeros.items()])
 
 
+def _power(x: np.ndarray, exponent: float) -> np.ndarray:
+    return x if exponent == 1 else 1 / x if exponent == -1 else np.power(x, exponent)
+
+
+def above(values: np.ndarray, upto: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """How many of the first upto[i] values exceed limits[i], by a wavelet matrix: a pass over values and questions for each bit of a rank."""
+    order = np.argsort(values, kind="stable")
+    ranks = np.empty(len(values), dtype=np.int64)
+    ranks[order] = np.arange(len(values))
+    least = np.searchsorted(values[order], limits, side="right")
+    low, high, found = np.zeros(len(upto), dtype=np.int64), upto.astype(np.int64), np.zeros(len(upto), dtype=np.int64)
+    for b in reversed(range(len(values).bit_length())):
+        one = (ranks >> b) & 1
+        zeros = np.concatenate([[0], np.cumsum(1 - one)])
+        a, z = zeros[low], zeros[high]
+        up = ((least >> b) & 1) == 1
+        found += np.where(up, 0, (high - low) - (z - a))
+        low, high = np.where(up, zeros[-1] + low - a, a), np.where(up, zeros[-1] + high - z, z)
+        ranks = np.concatenate([ranks[one == 0], ranks[one == 1]])
+    return found + high - low
+
+
+def _competing(fraction: float, p: Side, c: Side) -> dict[str, np.ndarray]:
+    n, left = np.zeros(len(p.time), dtype=np.int64), np.zeros(len(p.time), dtype=np.int64)
+    limit = p["area"] * fraction
+    if len(p.time) * len(c.time) > 1 << 16:
+        # Of peaks with their centre inside, those that are over before the window have begun before its end, so two counts each are enough.
+        plain = (c.time <= c.centre) & (c.centre <= c.end) & (p.time[0] < p.centre[0] < p.end[0])
+        begin, centre, end = (np.argsort(v[plain], kind="stable") for v in (c.time, c.centre, c.end))
+        a = c["a"][plain]
+        over = above(a[end], np.searchsorted(c.end[plain][end], p.time, side="right"), limit)
+        n += above(a[begin], np.searchsorted(c.time[plain][begin], p.end, side="left"), limit) - over
+        left += above(a[centre], np.searchsorted(c.centre[plain][centre], p.centre, side="left"), limit) - over
+        c = c.cut(~plain)
+    for rows, q, d, met in blocks(p, c):
+        met &= (d["a"] > q["area"] * fraction) | (np.isnan(d["a"]) & ~np.isnan(q["area"]))
+        n[rows] += met.sum(axis=1)
+        left[rows] += (met & (d.centre < q.centre)).sum(axis=1)
+    return {"n": n, "left": left}
+
+
 def competing(peaks: DataFrame, window: int, fraction: float = 0.2, types: Sequence[int] = (1, 2), key: str = "hit_id", by: Sequence[str] = RUN) -> DataFrame:
     """(by, key, n_competing_left, n_competing): peaks of the types within the window whose area is over fraction of one's own; a peak
     of such a type counts itself in n_competing."""
-    casting = peaks.where(F.col("type").isin(*types)).select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").alias("a"))
-    met = _met(peaks, casting, window, window, key, by, ["area"]).where(F.col("a") > F.col("w_area") * fraction)
-    found = met.groupBy(*by, f"w_{key}").agg(F.count_if(F.col("c") < F.col("w_ct")).alias("n_competing_left"), F.count(F.lit(1)).alias("n_competing"))
+    casting = peaks.where(F.col("type").isin(*types) & F.col("area").isNotNull()).select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").alias("a"))
+    merge = {"n_competing_left": F.sum("left"), "n_competing": F.sum("n")}
+    found = _met(peaks, casting, window, window, partial(_competing, fraction), {"n": "long", "left": "long"}, merge, key, by, ["area"], ["a"])
     zero = F.lit(0).cast("long")
     return _attached(peaks, found, key, {"n_competing_left": zero, "n_competing": zero}, by)
 
 
+def _proximity(exponents: Sequence[float], sigma: float, fraction: float, p: Side, c: Side) -> dict[str, np.ndarray]:
+    n, total = np.zeros(len(p.time), dtype=np.int64), np.zeros(len(p.time))
+    for rows, q, d, met in blocks(p, c):
+        met &= (d.centre < q.centre) & (d["a"] >= q["area"] * fraction) & ~np.isnan(d["cx"] + d["cy"]) & ~np.isnan(q["x"] + q["y"])
+        with np.errstate(all="ignore"):
+            dr, scale = np.hypot(q["x"] - d["cx"], q["y"] - d["cy"]), sigma * np.sqrt(1 / d["a"] + 1 / q["area"])
+            pdf = 2 / (math.pi * scale * (1 + (dr / scale) ** 2))
+            score = _power(d["a"] / q["area"], exponents[0]) * _power((q.centre - d.centre) / 1e6, exponents[1]) * _power(pdf, exponents[2])
+        total[rows] += np.where(met, np.where(dr == 0, np.inf, score), 0).sum(axis=1)
+        n[rows] += met.sum(axis=1)
+    return {"n": n, "score": total}
+
+
 def proximity(
     peaks: DataFrame, window: int, exponents: Sequence[float] = (1.0, -1.0, 1.0), sigma: float = 22.0, fraction: float = 0.2,
     types: Sequence[int] = (1, 2), key: str = "hit_id", by: Sequence[str] = RUN,
 ) -> DataFrame:
     """(by, key, proximity_score): sum over earlier peaks of r^e0 * dt_ms^e1 * halfCauchy(dr)^e2; infinite if one is at the same place."""
     casting = peaks.where(F.col("type").isin(*types) & (F.col("area") > 0))
-    casting = casting.select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").cast("double").alias("a"), F.col("x").alias("cx"), F.col("y").alias("cy"))
-    met = _met(peaks.where("area > 0"), casting, window, 0, key, by, ["area", "x", "y"])
-    met = met.where((F.col("c") < F.col("w_ct")) & (F.col("a") >= F.col("w_area") * fraction)).where(
-        "w_x is not null and w_y is not null and cx is not null and cy is not null and not isnan(cx) and not isnan(cy) and not isnan(w_x) and not isnan(w_y)"
-    )
-    dt = (F.col("w_ct") - F.col("c")) / 1e6
-    dr = F.hypot(F.col("w_x") - F.col("cx"), F.col("w_y") - F.col("cy"))
-    own = F.col("w_area").cast("double")
-    pdf = half_cauchy(dr, sigma * F.sqrt(1 / F.col("a") + 1 / own))
-    score = F.pow(F.col("a") / own, exponents[0]) * F.pow(dt, exponents[1]) * F.pow(pdf, exponents[2])
-    found = met.groupBy(*by, f"w_{key}").agg(F.sum(F.when(dr == 0, F.lit(float("inf"))).otherwise(score)).alias("proximity_score"))
+    casting = casting.select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").alias("a"), F.col("x").alias("cx"), F.col("y").alias("cy"))
+    score = partial(_proximity, tuple(exponents), sigma, fraction)
+    found = _met(peaks.where("area > 0"), casting, window, 0, score, {"n": "long", "score": "double"}, {"proximity_score": F.sum("score")}, key, by, ["area", "x", "y"], ["a", "cx", "cy"])
     return _attached(peaks, found, key, {"proximity_score": F.lit(0.0)}, by)
 
 
+#: Stands for a place that is null, as NaN is one that is not a number.
+NOWHERE = float("-inf")
+
+
+def _shadow(exponent: float, position: bool, sigma: Sequence[float], radius: float, p: Side, c: Side) -> dict[str, np.ndarray]:
+    """Of each peak: n, the sums of value and of dt^e; the greatest value and where it comes from (of equals the earliest); the nearest casting
+    peak (of equals the largest key). A value that cannot be told is below all others."""
+    m = len(p.time)
+    out = {n: np.zeros(m, dtype=np.int64) for n in ("n", "c", "ndt", "nk")} | {n: np.zeros(m) for n in ("s", "f", "x", "y", "na")} | {"v": np.full(m, -np.inf)}
+    last = np.iinfo(np.int64).max
+    out["c"][:], out["ndt"][:] = last, last
+    high = lambda v: np.where(np.isnan(v), np.inf, v)
+    for rows, q, d, met in blocks(p, c):
+        turn = np.lexsort((-high(d["cy"][0]), -high(d["cx"][0]), d.centre[0]))  # of equal values argmax takes the first
+        d, met = d.cut((slice(None), turn)), met[:, turn]
+        met &= d.centre < q.centre
+        with np.errstate(all="ignore"):
+            dt = (q.centre - d.centre).astype(np.float64)
+            ft = _power(dt, exponent)
+            value = d["a"] * ft
+            if position:
+                dist = np.hypot(q["x"] - d["cx"], q["y"] - d["cy"])
+                dist = np.where(np.isfinite(dist), dist, 2 * radius)
+                scale = sigma[0] / np.sqrt(q["area"]) + sigma[1]
+                value = value * (2 / (math.pi * scale * (1 + (dist / scale) ** 2)))
+        some = met.any(axis=1)
+        got = {n: v[rows] for n, v in out.items()}  # views
+        got["n"] += met.sum(axis=1)
+        got["s"] += np.where(met, value, 0).sum(axis=1)
+        got["f"] += np.where(met, ft, 0).sum(axis=1)
+        judged = np.where(met, np.nan_to_num(value, nan=np.finfo(float).min, posinf=np.inf), -np.inf)
+        at = judged.argmax(axis=1)
+        v, cc, x, y = judged[np.arange(len(at)), at], d.centre[0][at], d["cx"][0][at], d["cy"][0][at]
+        new, old = (v, -cc, high(x), high(y)), (got["v"], -got["c"], high(got["x"]), high(got["y"]))
+        better = np.zeros(len(at), dtype=bool)
+        for u, w in reversed(list(zip(new, old))):
+            better = (u > w) | ((u == w) & better)
+        better &= some
+        for n, w in (("v", v), ("c", cc), ("x", x), ("y", y)):
+            got[n][better] = w[better]
+        rank = np.empty(len(turn), dtype=np.int64)
+        rank[np.lexsort((-d["a"][0], d.key[0], d.centre[0]))] = np.arange(len(turn))
+        at = np.where(met, rank, -1).argmax(axis=1)
+        ndt, nk, na = q.centre[:, 0] - d.centre[0][at], d.key[0][at], d["a"][0][at]
+        nearer = some & ((ndt < got["ndt"]) | ((ndt == got["ndt"]) & ((nk > got["nk"]) | ((nk == got["nk"]) & (na < got["na"])))))
+        for n, w in (("ndt", ndt), ("nk", nk), ("na", na)):
+            got[n][nearer] = w[nearer]
+    return out
+
+
 def shadow(
     peaks: DataFrame, window: int, min_area: float, casting_type: int, exponent: float = -1.0, position: bool = False, as_sum: bool = False,
     sigma: Sequence[float] = (15.0, 0.0), radius: float = 66.4, key: str = "hit_id", by: Sequence[str] = RUN,
@@ -78,28 +260,27 @@ def shadow(
     if position and as_sum:
         raise ValueError("a position shadow cannot be summed")
     casting = peaks.where((F.col("type") == casting_type) & (F.col("area") > min_area))
-    casting = casting.select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").cast("double").alias("a"), F.col("x").alias("cx"), F.col("y").alias("cy"), F.col(key).alias("ck"))
-    met = _met(peaks, casting, window, 0, key, by, ["area", "x", "y"]).where("c < w_ct")
-    dt = F.col("w_ct") - F.col("c")
-    ft = F.pow(dt.cast("double"), exponent)
-    value = F.col("a") * ft
-    if position:
-        dist = F.coalesce(F.nanvl(F.hypot(F.col("w_x") - F.col("cx"), F.col("w_y") - F.col("cy")), F.lit(2 * radius)), F.lit(2 * radius))
-        value = value * half_cauchy(dist, sigma[0] / F.sqrt(F.col("w_area").cast("double")) + sigma[1])
-    near = F.min(F.struct(dt.alias("dt"), (-F.col("ck")).alias("k"), F.col("a").alias("a")))
+    place = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(NOWHERE)).alias(f"c{c}")
+    casting = casting.select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").alias("a"), place("x"), place("y"), F.col(key).alias("ck"))
+    near = F.min(F.struct(F.col("ndt").alias("dt"), (-F.col("nk")).alias("k"), F.col("na").alias("a")))
     edge = min_area * float(window) ** exponent
+    out = {"n": "long", "c": "long", "ndt": "long", "nk": "long", "s": "double", "f": "double", "x": "double", "y": "double", "na": "double", "v": "double"}
     if as_sum:
-        found = met.groupBy(*by, f"w_{key}").agg(
-            F.sum(value).alias("shadow"), (F.count(F.lit(1)) * F.pow(F.sum(ft), 1 / exponent)).alias("dt"), F.lit(None).cast("double").alias("x"),
-            F.lit(None).cast("double").alias("y"), near.alias("near"),
-        )
+        nothing = F.first(F.lit(None).cast("double"))
+        merge = {"shadow": F.sum("s"), "dt": F.sum("n") * F.pow(F.sum("f"), 1 / exponent), "x": nothing, "y": nothing, "near": near}
     else:
-        best = F.max(F.struct(value.alias("v"), (-F.col("c")).alias("c"), dt.cast("double").alias("dt"), F.col("cx").cast("double").alias("x"), F.col("cy").cast("double").alias("y")))
-        found = met.groupBy(*by, f"w_{key}").agg(best.alias("best"), near.alias("near"))
-        found = found.select(*by, f"w_{key}", F.col("best.v").alias("shadow"), F.col("best.dt").alias("dt"), F.col("best.x").alias("x"), F.col("best.y").alias("y"), "near")
-    found = found.select(*by, f"w_{key}", "shadow", "dt", "x", "y", F.col("near.a").alias("nearest"), F.col("near.dt").alias("nearest_dt"))
-    out = match(peaks.select(*by, key), found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
-    return out.withColumn("shadow", F.coalesce("shadow", F.lit(edge))).withColumn("dt", F.coalesce("dt", F.lit(float(window))))
+        merge = {"best": F.max(F.struct("v", (-F.col("c")).alias("c"), "x", "y")), "near": near}
+    score = partial(_shadow, exponent, position, tuple(sigma), radius)
+    found = _met(peaks, casting, window, 0, score, out, merge, key, by, ["area", "x", "y"], ["a", "cx", "cy"])
+    if not as_sum:
+        told = lambda c: F.when(F.col(f"best.{c}") != NOWHERE, F.col(f"best.{c}")).alias(c)
+        value = F.when(F.col("best.v") > float(np.finfo(float).min), F.col("best.v")).alias("shadow")
+        found = found.select(*by, f"w_{key}", value, (-F.col("best.c")).alias("c"), told("x"), told("y"), "near")
+    late = F.lit(None).cast("long").alias("c") if as_sum else F.col("c")
+    found = found.select(*by, F.col(f"w_{key}").alias(key), "shadow", F.col("dt") if as_sum else F.lit(None).cast("double").alias("dt"), late, "x", "y", F.col("near.a").alias("nearest"), F.col("near.dt").alias("nearest_dt"))
+    rows = match(peaks.select(*by, key, F.col("center_time").alias("_ct")), found, [*by, key], "left")
+    dt = F.coalesce("dt", (F.col("_ct") - F.col("c")).cast("double"), F.lit(float(window)))
+    return rows.select(*by, key, F.coalesce("shadow", F.lit(edge)).alias("shadow"), dt.alias("dt"), "x", "y", "nearest", "nearest_dt")
 
 
 def _close(a: np.ndarray, b: np.ndarray, distance: float) -> bool:
@@ -208,38 +389,69 @@ def merge_casting(
     return parts.unionByName(found.where(~alone).select(names))
 
 
+def _ambience(kinds: Sequence[int], radius: float, exponents: Sequence[float], p: Side, c: Side) -> dict[str, np.ndarray]:
+    m = len(p.time)
+    counts, sums, n_near, near = np.zeros((m, len(kinds))), np.zeros((m, len(kinds))), np.zeros(m, dtype=np.int64), np.zeros(m)
+    for rows, q, d, met in blocks(p, c):
+        met &= d.centre < q.centre
+        mine = (d["type"][0][:, None] == np.array(kinds)).astype(float)
+        with np.errstate(all="ignore"):
+            s = np.where(met, np.nan_to_num(d["a"]) * _power((q.centre - d.centre).astype(np.float64), exponents[0]), 0)
+        counts[rows] += met @ mine
+        sums[rows] += s @ mine
+        second = np.flatnonzero(d["type"][0] == 2)
+        if len(second) and "x" in q.numbers:
+            with np.errstate(all="ignore"):
+                dr = np.hypot(q["x"] - d["cx"][:, second], q["y"] - d["cy"][:, second])
+                close = met[:, second] & (dr <= radius)
+                near[rows] += np.where(close, np.where(dr > 0, s[:, second] * _power(dr, exponents[1]), np.inf), 0).sum(axis=1)
+            n_near[rows] += close.sum(axis=1)
+    out = {"n": counts.sum(axis=1).astype(np.int64), "n_near": n_near, "s_near": near}
+    for i, k in enumerate(kinds):
+        out |= {f"n_{k}": counts[:, i].astype(np.int64), f"s_{k}": sums[:, i]}
+    return out
+
+
 def ambience(
     peaks: DataFrame, lone_hits: DataFrame, window: int, max_area: dict[int, float], radius: float, gains: DataFrame | None = None,
     exponents: Sequence[float] = (-1.0, -1.0), key: str = "hit_id", by: Sequence[str] = RUN,
 ) -> DataFrame:
     """Numbers (n_) and sums of area * dt^e (s_) of lone hits and of small peaks of each type before a peak, and of type 2 nearby."""
-    hits = lone_hits.where("area > 0").select(*by, "time", "endtime", F.col("area").cast("double").alias("a"), "channel")
+    hits = lone_hits.where("area > 0").select(*by, "time", "endtime", F.col("time").alias("c"), F.col("area").cast("double").alias("a"), F.lit(-1).alias("type"), "channel")
     if gains is not None:
         hits = hits.join(gains, "channel").withColumn("a", F.col("a") * F.col("gain"))
-    met = _met(peaks, hits, window, 0, key, by, []).where("time < w_ct")
-    lh = met.groupBy(*by, f"w_{key}").agg(
-        F.count(F.lit(1)).alias("n_lh_before"), F.sum(F.col("a") * F.pow((F.col("w_ct") - F.col("time")).cast("double"), exponents[0])).alias("s_lh_before")
-    )
+    types = lambda kinds: {n: t for k in kinds for n, t in ((f"n_{k}", "long"), (f"s_{k}", "double"))} | {"n": "long", "n_near": "long", "s_near": "double"}
+    score = lambda kinds: partial(_ambience, kinds, radius, tuple(exponents))
+    lh = _met(peaks, hits, window, 0, score((-1,)), types((-1,)), {"n_lh_before": F.sum("n"), "s_lh_before": F.sum("s_-1")}, key, by, [], ["a", "type"])
     small = None
     for kind, area in max_area.items():
         test = (F.col("type") == kind) & (F.col("area") < area)
         small = test if small is None else small | test
-    casting = peaks.where(small).select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").cast("double").alias("a"), "type", F.col("x").alias("cx"), F.col("y").alias("cy"))
-    met = _met(peaks, casting, window, 0, key, by, ["x", "y"]).where("c < w_ct")
-    dr = F.hypot(F.col("w_x") - F.col("cx"), F.col("w_y") - F.col("cy"))
-    s = F.col("a") * F.pow((F.col("w_ct") - F.col("c")).cast("double"), exponents[0])
-    aggs = []
-    for kind in max_area:
-        mine = F.col("type") == kind
-        aggs += [F.count_if(mine).alias(f"n_s{kind}_before"), F.sum(F.when(mine, s)).alias(f"s_s{kind}_before")]
-    near = (F.col("type") == 2) & (dr <= radius)
-    aggs += [F.count_if(near).alias("n_s2_near"), F.sum(F.when(near & (dr > 0), s * F.pow(dr, exponents[1])).when(near, float("inf"))).alias("s_s2_near")]
-    pk = met.groupBy(*by, f"w_{key}").agg(*aggs)
-    both = lh.join(pk, [*by, f"w_{key}"], "full")
-    names = [c for c in both.columns if c not in (*by, f"w_{key}")]
-    out = _attached(peaks, both, key, {n: F.lit(0).cast("long") if n.startswith("n_") else F.lit(0.0) for n in names}, by)
+    casting = peaks.where(small).select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").alias("a"), "type", F.col("x").alias("cx"), F.col("y").alias("cy"))
+    kinds = tuple(max_area)
+    merge = {}
+    for kind in kinds:
+        merge |= {f"n_s{kind}_before": F.sum(f"n_{kind}"), f"s_s{kind}_before": F.sum(f"s_{kind}")}
+    merge |= {"n_s2_near": F.sum("n_near"), "s_s2_near": F.sum("s_near")}
+    pk = _met(peaks, casting, window, 0, score(kinds), types(kinds), merge, key, by, ["x", "y"], ["a", "type", "cx", "cy"])
+    names = [c for c in (*lh.columns, *pk.columns) if c not in (*by, f"w_{key}")]
+    zeros = {n: F.lit(0).cast("long") if n.startswith("n_") else F.lit(0.0) for n in names}
+    out = _attached(peaks, lh, key, {n: v for n, v in zeros.items() if n in lh.columns}, by)
+    out = match(out, _attached(peaks, pk, key, {n: v for n, v in zeros.items() if n in pk.columns}, by), [*by, key])
     total = sum((F.col(n) for n in names if n.startswith("s_") and n.endswith("_before")), F.lit(0.0))
-    return out.withColumn("s_before", total)
+    return out.select(*by, key, *names).withColumn("s_before", total)
+
+
+def _se_score(a: float, b: float, p: Side, c: Side) -> dict[str, np.ndarray]:
+    n, total = np.zeros(len(p.time), dtype=np.int64), np.zeros(len(p.time))
+    for rows, q, d, met in blocks(p, c):
+        with np.errstate(all="ignore"):
+            spread = (a / np.sqrt(d["a"]) + b) ** 2 + (a / np.sqrt(q["area"]) + b) ** 2
+            d2 = (q["x"] - d["cx"]) ** 2 + (q["y"] - d["cy"]) ** 2
+            score = np.exp(-d2 / (2 * spread)) / (2 * math.pi * spread)
+        total[rows] += np.where(met & ~np.isnan(score), score, 0).sum(axis=1)
+        n[rows] += met.sum(axis=1)
+    return {"n": n, "score": total}
 
 
 def se_score(
@@ -247,11 +459,9 @@ def se_score(
 ) -> DataFrame:
     """(by, key, se_score): summed 2-D normal densities of single electrons around a peak, widths a/sqrt(area) + b combined; peaks without a
     place get null."""
-    casting = electrons.select(*by, "time", "endtime", F.col("area").cast("double").alias("a"), F.col("x").alias("cx"), F.col("y").alias("cy"))
-    met = _met(peaks.where("x is not null and y is not null"), casting, left, right, key, by, ["area", "x", "y"])
-    spread = F.pow(a / F.sqrt("a") + b, 2) + F.pow(a / F.sqrt(F.col("w_area").cast("double")) + b, 2)
-    d2 = F.pow(F.col("w_x") - F.col("cx"), 2) + F.pow(F.col("w_y") - F.col("cy"), 2)
-    found = met.groupBy(*by, f"w_{key}").agg(F.sum(F.exp(-d2 / (2 * spread)) / (2 * math.pi * spread)).alias("se_score"))
+    casting = electrons.select(*by, "time", "endtime", F.col("time").alias("c"), F.col("area").alias("a"), F.col("x").alias("cx"), F.col("y").alias("cy"))
+    asked, out = peaks.where("x is not null and y is not null"), {"n": "long", "score": "double"}
+    found = _met(asked, casting, left, right, partial(_se_score, a, b), out, {"se_score": F.sum("score")}, key, by, ["area", "x", "y"], ["a", "cx", "cy"])
     out = match(peaks.select(*by, key, "x", "y"), found.withColumnRenamed(f"w_{key}", key), [*by, key], "left")
     return out.select(*by, key, F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), F.coalesce("se_score", F.lit(0.0))).alias("se_score"))
 

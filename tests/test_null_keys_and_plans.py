@@ -101,3 +101,51 @@ def test_tight_coincidence_makes_no_pairs(spark, rows, reach):
     data = df.collect()
     near = lambda p: {h.channel for h in data if h.run_id == p.run_id and h.channel is not None and p.time - reach[0] <= h.time <= p.time + reach[1]}
     assert {(r.run_id, r.hit_id): r.tight_coincidence for r in got.collect()} == {(p.run_id, p.hit_id): len(near(p)) for p in data if p.hit_id % 7 == 0}
+
+
+#: Peaks that last a whole run, end before they begin, have no area or place, or share all with others.
+ODD = [("0", 1000, 5, 5 + 10**7, 900, 1, 2, 70.0, 0.5, 0.5), ("0", 1001, 700, 650, 690, 1, 2, 60.0, 0.1, 0.2), ("0", 1002, 800, 800, 800, 1, 1, None, None, 0.3),
+       (None, 1003, 0, 10**9, 10**8, 1, 1, 80.0, 0.5, None), ("0", 1004, 1200, 1300, 1250, 1, 2, 88.0, 0.4, 0.4), ("0", 1005, 1200, 1300, 1250, 1, 2, 88.0, 0.4, 0.4), ("0", 1006, 50, 60, 2000, 1, 2, 88.0, 0.4, 0.4)]
+
+
+def test_scores_of_odd_peaks_equal_a_plain_loop_and_make_no_pair_rows(spark, rows, monkeypatch):
+    data = spark.createDataFrame([*rows, *ODD], SCHEMA).collect()
+    df = spark.createDataFrame(data, SCHEMA)
+    found = {"n": nb.competing(df, 200), "s": nb.shadow(df.where("area > 0"), 200, 20.0, 2, position=True), "t": nb.shadow(df, 200, 20.0, 2), "a": nb.ambience(df, df.where("type = 1"), 200, {1: 50, 2: 85}, 0.4)}
+    assert not any("w_ct" in x._jdf.queryExecution().analyzed().toString() for x in found.values())
+    got = {n: {r.hit_id: r for r in x.collect()} for n, x in found.items()}
+    here = lambda p, o, ahead: o.run_id == p.run_id and o.time < p.center_time + ahead and o.endtime > p.center_time - 200
+    far = lambda p, o: 132.8 if None in (p.x, p.y, o.x, o.y) else ((p.x - o.x) ** 2 + (p.y - o.y) ** 2) ** 0.5
+    for p in data:
+        near = [o for o in data if here(p, o, 200) and o.area is not None and p.area is not None and o.area > p.area * 0.2]
+        r = got["n"][p.hit_id]
+        assert (r.n_competing, r.n_competing_left) == (len(near), sum(o.center_time < p.center_time for o in near))
+        casting = [o for o in data if here(p, o, 0) and o.center_time < p.center_time and o.type == 2 and (o.area or 0) > 20]
+        if p.area:
+            scale = 15.0 / p.area**0.5
+            values = [o.area / (p.center_time - o.center_time) * 2 / (3.141592653589793 * scale * (1 + (far(p, o) / scale) ** 2)) for o in casting]
+            assert got["s"][p.hit_id].shadow == pytest.approx(max(values, default=0.1))
+        r, best = got["t"][p.hit_id], max(casting, key=lambda o: (o.area / (p.center_time - o.center_time), -o.center_time), default=None)
+        assert (r.shadow, r.dt, r.x) == pytest.approx((best.area / (p.center_time - best.center_time), p.center_time - best.center_time, best.x) if best else (0.1, 200.0, None))
+        assert r.nearest_dt == min((p.center_time - o.center_time for o in casting), default=None)
+        small = [o for o in data if here(p, o, 0) and o.center_time < p.center_time and o.type == 2 and o.area is not None and o.area < 85]
+        lone = [o for o in data if here(p, o, 0) and o.time < p.center_time and o.type == 1 and o.area]
+        r = got["a"][p.hit_id]
+        assert (r.n_lh_before, r.n_s2_before, r.n_s2_near) == (len(lone), len(small), sum(far(p, o) <= 0.4 for o in small))
+        assert r.s_lh_before == pytest.approx(sum(o.area / (p.center_time - o.time) for o in lone)) and r.s_s2_before == pytest.approx(sum(o.area / (p.center_time - o.center_time) for o in small))
+
+
+def test_counts_without_pairs_and_blocks_of_bounded_size():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values, upto, limits = rng.integers(0, 40, 500).astype(float), rng.integers(0, 501, 300), rng.integers(-2, 43, 300).astype(float)
+    assert nb.above(values, upto, limits).tolist() == [int((values[:k] > v).sum()) for k, v in zip(upto, limits)]
+    time = np.sort(rng.integers(0, 5000, 3000))
+    side = lambda end, name: nb.Side(time, end, time + 1, None, {name: rng.integers(1, 90, 3000).astype(float)})
+    p, c = side(time + 400, "area"), side(time + rng.integers(-3, 90, 3000), "a")
+    p.centre = time + 200
+    assert all(met.size <= nb.BLOCK for _, _, _, met in nb.blocks(p, c))
+    met = (c.time < p.end[:, None]) & (p.time[:, None] < c.end) & (c["a"] > p["area"][:, None] * 0.2)
+    got = nb._competing(0.2, p, c)
+    assert got["n"].tolist() == met.sum(axis=1).tolist() and got["left"].tolist() == (met & (c.centre < p.centre[:, None])).sum(axis=1).tolist()
