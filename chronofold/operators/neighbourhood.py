@@ -389,6 +389,10 @@ def merge_casting(
     return parts.unionByName(found.where(~alone).select(names))
 
 
+#: The type that lone hits have among casting peaks.
+LONE = -1
+
+
 def _ambience(kinds: Sequence[int], radius: float, exponents: Sequence[float], p: Side, c: Side) -> dict[str, np.ndarray]:
     m = len(p.time)
     counts, sums, n_near, near = np.zeros((m, len(kinds))), np.zeros((m, len(kinds))), np.zeros(m, dtype=np.int64), np.zeros(m)
@@ -400,7 +404,7 @@ def _ambience(kinds: Sequence[int], radius: float, exponents: Sequence[float], p
         counts[rows] += met @ mine
         sums[rows] += s @ mine
         second = np.flatnonzero(d["type"][0] == 2)
-        if len(second) and "x" in q.numbers:
+        if len(second):
             with np.errstate(all="ignore"):
                 dr = np.hypot(q["x"] - d["cx"][:, second], q["y"] - d["cy"][:, second])
                 close = met[:, second] & (dr <= radius)
@@ -417,29 +421,27 @@ def ambience(
     exponents: Sequence[float] = (-1.0, -1.0), key: str = "hit_id", by: Sequence[str] = RUN,
 ) -> DataFrame:
     """Numbers (n_) and sums of area * dt^e (s_) of lone hits and of small peaks of each type before a peak, and of type 2 nearby."""
-    hits = lone_hits.where("area > 0").select(*by, "time", "endtime", F.col("time").alias("c"), F.col("area").cast("double").alias("a"), F.lit(-1).alias("type"), "channel")
+    hits = lone_hits.where("area > 0").select(*by, "time", "endtime", F.col("time").alias("c"), F.col("area").cast("double").alias("a"), F.lit(LONE).alias("type"), "channel")
     if gains is not None:
         hits = hits.join(gains, "channel").withColumn("a", F.col("a") * F.col("gain"))
-    types = lambda kinds: {n: t for k in kinds for n, t in ((f"n_{k}", "long"), (f"s_{k}", "double"))} | {"n": "long", "n_near": "long", "s_near": "double"}
-    score = lambda kinds: partial(_ambience, kinds, radius, tuple(exponents))
-    lh = _met(peaks, hits, window, 0, score((-1,)), types((-1,)), {"n_lh_before": F.sum("n"), "s_lh_before": F.sum("s_-1")}, key, by, [], ["a", "type"])
     small = None
     for kind, area in max_area.items():
         test = (F.col("type") == kind) & (F.col("area") < area)
         small = test if small is None else small | test
-    casting = peaks.where(small).select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").alias("a"), "type", F.col("x").alias("cx"), F.col("y").alias("cy"))
-    kinds = tuple(max_area)
-    merge = {}
+    casting = peaks.where(small).select(*by, "time", "endtime", F.col("center_time").alias("c"), F.col("area").cast("double").alias("a"), "type", F.col("x").cast("double").alias("cx"), F.col("y").cast("double").alias("cy"))
+    nowhere = F.lit(None).cast("double")
+    casting = casting.unionByName(hits.drop("channel").select(*by, "time", "endtime", "c", "a", "type", nowhere.alias("cx"), nowhere.alias("cy")))
+    kinds, out, merge = (LONE, *max_area), {"n": "long", "n_near": "long", "s_near": "double"}, {"n_lh_before": F.sum(f"n_{LONE}"), "s_lh_before": F.sum(f"s_{LONE}")}
     for kind in kinds:
+        out |= {f"n_{kind}": "long", f"s_{kind}": "double"}
+    for kind in max_area:
         merge |= {f"n_s{kind}_before": F.sum(f"n_{kind}"), f"s_s{kind}_before": F.sum(f"s_{kind}")}
     merge |= {"n_s2_near": F.sum("n_near"), "s_s2_near": F.sum("s_near")}
-    pk = _met(peaks, casting, window, 0, score(kinds), types(kinds), merge, key, by, ["x", "y"], ["a", "type", "cx", "cy"])
-    names = [c for c in (*lh.columns, *pk.columns) if c not in (*by, f"w_{key}")]
-    zeros = {n: F.lit(0).cast("long") if n.startswith("n_") else F.lit(0.0) for n in names}
-    out = _attached(peaks, lh, key, {n: v for n, v in zeros.items() if n in lh.columns}, by)
-    out = match(out, _attached(peaks, pk, key, {n: v for n, v in zeros.items() if n in pk.columns}, by), [*by, key])
+    found = _met(peaks, casting, window, 0, partial(_ambience, kinds, radius, tuple(exponents)), out, merge, key, by, ["x", "y"], ["a", "type", "cx", "cy"])
+    names = list(merge)
+    out = _attached(peaks, found, key, {n: F.lit(0).cast("long") if n.startswith("n_") else F.lit(0.0) for n in names}, by)
     total = sum((F.col(n) for n in names if n.startswith("s_") and n.endswith("_before")), F.lit(0.0))
-    return out.select(*by, key, *names).withColumn("s_before", total)
+    return out.withColumn("s_before", total)
 
 
 def _se_score(a: float, b: float, p: Side, c: Side) -> dict[str, np.ndarray]:
